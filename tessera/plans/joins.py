@@ -1,0 +1,39 @@
+"""Join helpers for a large side against a keyed lookup side.
+
+* ``broadcast_if_bounded`` broadcasts only after proving a row bound with a
+  bounded-cost count (``limit(max_rows + 1).count()``); above the bound the
+  join stays a shuffle join, which AQE may still turn into a broadcast from
+  runtime statistics.
+* ``salted_lookup_join`` spreads a hot key of the large side over ``salts``
+  tasks by replicating each lookup row ``salts`` times (explode of a short
+  sequence, not a cross join).  Use it where a key may hold a large share of
+  the rows and AQE skew splitting is unavailable or disabled.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+
+def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
+
+
+def salted_lookup_join(big: DataFrame, lookup: DataFrame, on: list[str], how: str = "inner",
+                       salts: int = 16, salt_source: list[str] | None = None) -> DataFrame:
+    """Equi-join ``big`` to ``lookup`` (unique on ``on``) with the hot keys split.
+
+    ``salt_source`` names the columns of ``big`` hashed into the salt
+    (default: all of its columns), so the salt is stable under recomputation.
+    """
+    if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
+        raise ValueError(f"salted join keeps the lookup side on the right; got how={how!r}")
+    if salts <= 1:
+        return big.join(lookup, on, how)
+    cols = salt_source or big.columns
+    salt: Column = F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(salts))
+    big_s = big.withColumn("_salt", salt)
+    lookup_s = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return big_s.join(lookup_s, on + ["_salt"], how).drop("_salt")
