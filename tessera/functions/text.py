@@ -3,8 +3,12 @@
 The segmenter of the original news job is a per-row dictionary library; it is
 re-aimed here as a regular expression that Java's engine and RE2 read alike:
 a word is a run of at least two letters or digits of the lower-cased text.
-Runs of Han, Kana or Hangul characters have no blanks between words, so they
-are cut into overlapping two-character pieces instead (optional).
+Runs of Han, Kana or Hangul characters have no blanks between words, so for
+texts flagged as such they are cut into overlapping two-character pieces.
+
+The flag is a per-row predicate (typically on a language column) rather than
+a scan of every text: a character-class scan over the whole corpus costs as
+much as the tokenising itself.
 """
 
 from __future__ import annotations
@@ -12,29 +16,62 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed values.
+# The word pattern, and the code-point blocks treated as CJK
+# (Hangul Jamo, Hiragana + Katakana, Hangul Compatibility Jamo, Katakana
+# Phonetic Extensions, CJK Extension A, CJK Unified Ideographs, Hangul
+# Syllables, CJK Compatibility Ideographs).
 WORD_PATTERN = r"[\p{L}\p{N}]{2,}"
-_CJK = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsHangul}"
-_WORD_OR_CJK_RUN = rf"[{_CJK}]{{2,}}|[\p{{L}}\p{{N}}&&[^{_CJK}]]{{2,}}"
+CJK_RANGES = "ᄀ-ᇿ぀-ヿ㄰-㆏ㇰ-ㇿ㐀-䶿一-鿿가-힯豈-﫿"
+CJK_LANGS = ("zh", "ja", "ko")
+
+_RUNS = rf"[{CJK_RANGES}]{{2,}}|[\p{{L}}\p{{N}}&&[^{CJK_RANGES}]]{{2,}}"
+
 
+def _col(x: Column | str) -> Column:
+    return F.col(x) if isinstance(x, str) else x
 
-def word_tokens(text: Column | str, cjk_bigrams: bool = True) -> Column:
-    """Ordered array of lower-case word tokens (length >= 2) of ``text``."""
-    t = F.lower(F.col(text) if isinstance(text, str) else text)
-    if not cjk_bigrams:
-        return F.regexp_extract_all(t, F.lit(WORD_PATTERN), 0)
-    runs = F.regexp_extract_all(t, F.lit(_WORD_OR_CJK_RUN), 0)
+
+def _cjk_tokens(t: Column) -> Column:
+    runs = F.regexp_extract_all(t, F.lit(_RUNS), 0)
     return F.flatten(F.transform(runs, lambda r: F.when(
-        r.rlike(f"^[{_CJK}]"),
+        F.substring(r, 1, 1).rlike(f"[{CJK_RANGES}]"),
         F.transform(F.sequence(F.lit(1), F.length(r) - 1), lambda i: F.substring(r, i, 2)),
     ).otherwise(F.array(r))))
 
 
+def word_tokens(text: Column | str, cjk_bigrams: bool | Column = False) -> Column:
+    """Ordered array of lower-case word tokens (length >= 2) of ``text``.
+
+    ``cjk_bigrams``: ``True`` for every row, or a boolean column choosing the
+    rows whose Han/Kana/Hangul runs become overlapping bigrams.
+    """
+    t = F.lower(_col(text))
+    plain = F.regexp_extract_all(t, F.lit(WORD_PATTERN), 0)
+    if cjk_bigrams is False:
+        return plain
+    if cjk_bigrams is True:
+        return _cjk_tokens(t)
+    return F.when(cjk_bigrams, _cjk_tokens(t)).otherwise(plain)
+
+
+def has_word(text: Column | str, cjk_bigrams: bool | Column = False) -> Column:
+    """True when :func:`word_tokens` gives at least one token.  A regex
+    ``find`` stops at the first word, so this guard is far cheaper than the
+    tokens themselves and keeps the token expression out of filters (where
+    it would be evaluated once more)."""
+    t = F.lower(_col(text))
+    plain = t.rlike(WORD_PATTERN)
+    if cjk_bigrams is False:
+        return plain
+    if cjk_bigrams is True:
+        return t.rlike(_RUNS)
+    return F.when(cjk_bigrams, t.rlike(_RUNS)).otherwise(plain)
+
+
 def whitespace_tokens(text: Column | str, min_length: int = 2) -> Column:
     """Lower-case, split on runs of white space, keep tokens of ``min_length``+ chars."""
-    t = F.lower(F.col(text) if isinstance(text, str) else text)
-    return F.filter(F.split(t, r"\s+"), lambda w: F.length(w) >= min_length)
+    return F.filter(F.split(F.lower(_col(text)), r"\s+"), lambda w: F.length(w) >= min_length)
 
 
 def join_tokens(tokens: Column | str, sep: str = " ") -> Column:
-    return F.array_join(F.col(tokens) if isinstance(tokens, str) else tokens, sep)
+    return F.array_join(_col(tokens), sep)

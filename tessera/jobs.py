@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.records import composite_record, labeled_line, parse_composite_record
-from .functions.text import whitespace_tokens
+from .functions.text import CJK_LANGS, whitespace_tokens
 from .operators import categories, itemsets, keywords, relational, svm, trails
 from .sources.delimited import lines_from_columns, parse_delimited
 from .sources.json_docs import map_to_json, parse_json_column, read_json_column
@@ -102,8 +102,18 @@ def q_year_text_filter(spark, sf_dir):
 
 # ---------------------------------------------------------------- text
 
+def _cjk():
+    return F.col("lang").isin(*CJK_LANGS)
+
+
 def _doc_tokens(spark, sf_dir):
-    return keywords.document_tokens(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return keywords.document_tokens(table(spark, sf_dir, "documents"), "doc_id", "text", cjk_bigrams=_cjk())
+
+
+def _tc_and_m(spark, sf_dir):
+    tc = keywords.term_counts(_doc_tokens(spark, sf_dir))
+    m = keywords.document_count(table(spark, sf_dir, "documents"), "doc_id", "text", cjk_bigrams=_cjk())
+    return tc, m
 
 
 def q_word_count_top20(spark, sf_dir):
@@ -111,19 +121,19 @@ def q_word_count_top20(spark, sf_dir):
 
 
 def q_idf(spark, sf_dir):
-    tc = keywords.term_counts(_doc_tokens(spark, sf_dir))
-    return keywords.inverse_document_frequency(tc).select("word", "df", F.round("idf", 6).alias("idf"))
+    tc, m = _tc_and_m(spark, sf_dir)
+    return keywords.inverse_document_frequency(tc, m).select("word", "df", F.round("idf", 6).alias("idf"))
 
 
 def q_tfidf(spark, sf_dir):
-    tc = keywords.term_counts(_doc_tokens(spark, sf_dir))
-    return keywords.tfidf(tc).select(F.col("doc").alias("doc_id"), "word", "tf",
+    tc, m = _tc_and_m(spark, sf_dir)
+    return keywords.tfidf(tc, m).select(F.col("doc").alias("doc_id"), "word", "tf",
                                      F.round("tfidf", 6).alias("tfidf"))
 
 
 def q_doc_keyword(spark, sf_dir):
-    tc = keywords.term_counts(_doc_tokens(spark, sf_dir))
-    return keywords.doc_keyword(keywords.tfidf(tc)).select(F.col("doc").alias("doc_id"), "word", "score")
+    tc, m = _tc_and_m(spark, sf_dir)
+    return keywords.doc_keyword(keywords.tfidf(tc, m)).select(F.col("doc").alias("doc_id"), "word", "score")
 
 
 def q_tfidf_hashed(spark, sf_dir):

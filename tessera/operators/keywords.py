@@ -12,7 +12,9 @@ Plan shape for a document table (one row per document):
 4. the (doc, word) rows join the per-word table on ``word``; that side has one
    row per word, so a hot word on the large side is a skew-join split, and
    AQE broadcasts the word table when runtime statistics show it is small;
-5. the document count is a scalar sub-query, not a cross join.
+5. the document count is a scalar sub-query, not a cross join;
+6. an input with fewer splits than the cluster has cores is spread by
+   document key before tokenising (a no-op on a large, well-split input).
 """
 
 from __future__ import annotations
@@ -20,15 +22,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import word_tokens, join_tokens
+from ..plans.partitioning import spread
+from ..functions.text import has_word, word_tokens, join_tokens
 
 
-def document_tokens(docs: DataFrame, id_col: str, text_col: str, tokens: Column | None = None) -> DataFrame:
-    """``doc, tokens``; blank or NULL texts and texts without a token are dropped."""
-    toks = tokens if tokens is not None else word_tokens(F.col(text_col))
-    return (docs.where(F.col(text_col).isNotNull() & (F.length(F.trim(F.col(text_col))) > 0))
-            .select(F.col(id_col).alias("doc"), toks.alias("tokens"))
-            .where(F.size("tokens") > 0))
+def document_tokens(docs: DataFrame, id_col: str, text_col: str, cjk_bigrams: bool | Column = False) -> DataFrame:
+    """``doc, tokens``; NULL texts and texts without a token are dropped.
+
+    The drop uses the cheap :func:`has_word` guard, never ``size(tokens)``:
+    a filter on the tokens would make Catalyst evaluate them twice."""
+    docs = spread(docs.where(F.col(text_col).isNotNull()), [id_col])
+    return (docs.where(has_word(text_col, cjk_bigrams))
+            .select(F.col(id_col).alias("doc"), word_tokens(text_col, cjk_bigrams).alias("tokens")))
 
 
 def joined_tokens(doc_tokens: DataFrame) -> DataFrame:
@@ -62,22 +67,26 @@ def _idf(df_col: Column, m: Column) -> Column:
     return F.log((m + F.lit(1.0)) / (df_col + F.lit(1.0)))
 
 
-def document_count(tc: DataFrame) -> Column:
-    """Number of documents with at least one token, as a scalar sub-query."""
-    return tc.select(F.count_distinct("doc")).scalar()
+def document_count(docs: DataFrame, id_col: str, text_col: str, cjk_bigrams: bool | Column = False) -> Column:
+    """Number of documents with at least one token, as a scalar sub-query.
+
+    Counted with the :func:`has_word` guard (a regex ``find`` that stops at
+    the first word) instead of re-deriving it from the tokens: the sub-query
+    is planned on its own, so reading the tokens would tokenise twice."""
+    kept = docs.where(F.col(text_col).isNotNull() & has_word(text_col, cjk_bigrams))
+    return kept.select(F.count_distinct(id_col)).scalar()
 
 
-def inverse_document_frequency(tc: DataFrame) -> DataFrame:
+def inverse_document_frequency(tc: DataFrame, m: Column) -> DataFrame:
     """``word, df, idf`` with idf = ln((m + 1) / (df + 1)), the smoothed form
-    also used by ``pyspark.ml.feature.IDF``."""
-    m = document_count(tc)
+    also used by ``pyspark.ml.feature.IDF``; ``m`` from :func:`document_count`."""
     return (tc.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
             .select("word", "df", _idf(F.col("df"), m).alias("idf")))
 
 
-def tfidf(tc: DataFrame) -> DataFrame:
+def tfidf(tc: DataFrame, m: Column) -> DataFrame:
     """``doc, word, tf, tfidf`` — exact words, no hashing collisions."""
-    idf = inverse_document_frequency(tc)
+    idf = inverse_document_frequency(tc, m)
     return (tc.join(idf.select("word", "idf"), "word")
             .select("doc", "word", "tf", (F.col("tf") * F.col("idf")).alias("tfidf")))
 

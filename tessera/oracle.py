@@ -116,7 +116,7 @@ SQL: dict[str, str] = {
         FROM ({_DOCS}) WHERE len(toks) > 0""",
     "tokens_joined": f"SELECT doc_id, array_to_string(toks, ' ') AS text FROM ({_DOCS}) WHERE len(toks) > 0",
     "whitespace_tokens": r"""SELECT doc_id,
-        CAST(len(list_filter(regexp_split_to_array(lower(text), '\s+'), w -> length(w) >= 2)) AS INTEGER) AS n_words
+        CAST(len(list_filter(regexp_split_to_array(lower(text), '\s+'), lambda w: length(w) >= 2)) AS INTEGER) AS n_words
         FROM documents WHERE text IS NOT NULL""",
     "path_to_target": f"""WITH {_FIRSTS}
         SELECT user_id, day, string_agg(page, ',' ORDER BY ts, event_id) AS path, CAST(count(*) AS INTEGER) AS n_pages

@@ -3,6 +3,7 @@
 from .checkpoint import checkpoint_dir, cut_lineage
 from .indexing import dense_index
 from .joins import broadcast_if_bounded, salted_lookup_join
+from .partitioning import spread
 
 __all__ = ["checkpoint_dir", "cut_lineage", "dense_index",
-           "broadcast_if_bounded", "salted_lookup_join"]
+           "broadcast_if_bounded", "salted_lookup_join", "spread"]

@@ -1,0 +1,22 @@
+"""Parallelism for CPU-heavy per-row work.
+
+A scan yields one task per file split (per Parquet row group); a large
+table on a cluster has thousands, but a small or unsplittable input can have
+fewer splits than the cluster has cores, and then per-row work such as
+tokenising runs on a handful of tasks.  ``spread`` hash-partitions by a key
+only in that case; on a well-split input it returns the DataFrame unchanged,
+so it costs nothing at scale.  Hash partitioning (not round-robin) keeps the
+placement deterministic when a task is re-run after an executor loss.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, keys: list[str], min_partitions: int | None = None) -> DataFrame:
+    sc = df.sparkSession.sparkContext
+    target = min_partitions or sc.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, *keys)
