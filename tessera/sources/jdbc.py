@@ -35,14 +35,14 @@ def read_jdbc(spark: SparkSession, url: str, table_or_query: str, *,
         stats = spark.read.jdbc(
             url, f"(SELECT MIN({partition_column}) AS lo, MAX({partition_column}) AS hi FROM {dbtable}) AS b",
             properties=props)
-        kind = dict(stats.dtypes)["lo"]
+        kind = stats.dtypes[0][1]          # databases may upper-case the alias
         if not kind.startswith(_NUMERIC_LIKE):
             # text keys cannot drive range partitions; read as one partition
             return spark.read.jdbc(url, dbtable, properties=props)
         row = stats.first()
-        if row is None or row.lo is None:
+        if row is None or row[0] is None:
             return spark.read.jdbc(url, dbtable, properties=props)
-        lower_bound, upper_bound = row.lo, row.hi
+        lower_bound, upper_bound = row[0], row[1]
         if lower_bound == upper_bound:
             num_partitions = 1
     return spark.read.jdbc(url, dbtable, column=partition_column, lowerBound=lower_bound,
