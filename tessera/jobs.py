@@ -107,7 +107,7 @@ def _cjk():
 
 
 def _doc_tokens(spark, sf_dir):
-    return keywords.document_tokens(table(spark, sf_dir, "documents"), "doc_id", "text", cjk_bigrams=_cjk())
+    return keywords.prepare_documents(table(spark, sf_dir, "documents"), "doc_id", "text", cjk_bigrams=_cjk())
 
 
 def _tc_and_m(spark, sf_dir):

@@ -2,19 +2,24 @@
 
 Plan shape for a document table (one row per document):
 
-1. tokenise per row (JVM regular expressions, no Python);
-2. ``groupBy(doc, word).count()`` — every token of a document is produced in
-   the task that read the document, so the partial aggregate completes the
-   term counts map-side and only distinct (doc, word) rows are shuffled;
-3. document frequency = ``groupBy(word).count()`` over those rows (partial
+1. :func:`prepare_documents` keeps documents with at least one word (a cheap
+   regex ``find`` guard) and, when the input has fewer splits than the
+   cluster has cores, spreads them by document key (a no-op on a large,
+   well-split input);
+2. tokens are produced inside ``explode``/``posexplode`` of the tokenising
+   expression itself.  Never as a named array column first: Catalyst would
+   infer ``size(tokens) > 0`` from the generator and push that filter — the
+   whole tokenisation — below the spread, into the unparallelised scan;
+3. ``groupBy(doc, word).count()`` — every token of a document is produced in
+   the task that holds the document, so the partial aggregate completes the
+   term counts map-side and only distinct (doc, word) rows move;
+4. document frequency = ``groupBy(word).count()`` over those rows (partial
    aggregation first, so a word found in every document costs one row per
    task before the shuffle);
-4. the (doc, word) rows join the per-word table on ``word``; that side has one
+5. the (doc, word) rows join the per-word table on ``word``; that side has one
    row per word, so a hot word on the large side is a skew-join split, and
-   AQE broadcasts the word table when runtime statistics show it is small;
-5. the document count is a scalar sub-query, not a cross join;
-6. an input with fewer splits than the cluster has cores is spread by
-   document key before tokenising (a no-op on a large, well-split input).
+   AQE broadcasts the word table only when runtime statistics show it small;
+6. the document count is a scalar sub-query, not a cross join.
 """
 
 from __future__ import annotations
@@ -22,33 +27,42 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import has_word, join_tokens, word_tokens
 from ..plans.partitioning import spread
-from ..functions.text import has_word, word_tokens, join_tokens
 
 
-def document_tokens(docs: DataFrame, id_col: str, text_col: str, cjk_bigrams: bool | Column = False) -> DataFrame:
-    """``doc, tokens``; NULL texts and texts without a token are dropped.
+def prepare_documents(docs: DataFrame, id_col: str, text_col: str, cjk_bigrams: bool | Column = False) -> DataFrame:
+    """``doc, text, cjk``: documents with at least one token, spread for tokenising."""
+    cjk = cjk_bigrams if isinstance(cjk_bigrams, Column) else F.lit(bool(cjk_bigrams))
+    kept = docs.where(F.col(text_col).isNotNull() & has_word(text_col, cjk_bigrams))
+    out = kept.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"), cjk.alias("cjk"))
+    return spread(out, ["doc"])
+
+
+def tokens(prepared: DataFrame) -> Column:
+    """The token array of each prepared document (use inside a generator or
+    a projection, not as a column to filter on)."""
+    return word_tokens(F.col("text"), F.col("cjk"))
+
 
-    The drop uses the cheap :func:`has_word` guard, never ``size(tokens)``:
-    a filter on the tokens would make Catalyst evaluate them twice."""
-    docs = spread(docs.where(F.col(text_col).isNotNull()), [id_col])
-    return (docs.where(has_word(text_col, cjk_bigrams))
-            .select(F.col(id_col).alias("doc"), word_tokens(text_col, cjk_bigrams).alias("tokens")))
+def document_tokens(prepared: DataFrame) -> DataFrame:
+    """``doc, tokens`` — the token arrays themselves."""
+    return prepared.select("doc", tokens(prepared).alias("tokens"))
 
 
-def joined_tokens(doc_tokens: DataFrame) -> DataFrame:
+def joined_tokens(prepared: DataFrame) -> DataFrame:
     """``doc, text`` with the tokens joined by single blanks."""
-    return doc_tokens.select("doc", join_tokens("tokens").alias("text"))
+    return prepared.select("doc", join_tokens(tokens(prepared)).alias("text"))
 
 
-def token_stream(doc_tokens: DataFrame) -> DataFrame:
+def token_stream(prepared: DataFrame) -> DataFrame:
     """``doc, pos, token`` — one row per token occurrence."""
-    return doc_tokens.select("doc", F.posexplode("tokens").alias("pos", "token"))
+    return prepared.select("doc", F.posexplode(tokens(prepared)).alias("pos", "token"))
 
 
-def word_counts(doc_tokens: DataFrame) -> DataFrame:
+def word_counts(prepared: DataFrame) -> DataFrame:
     """``word, n`` over all documents (partial + final hash aggregate)."""
-    return (doc_tokens.select(F.explode("tokens").alias("word"))
+    return (prepared.select(F.explode(tokens(prepared)).alias("word"))
             .groupBy("word").agg(F.count(F.lit(1)).alias("n")))
 
 
@@ -57,9 +71,9 @@ def top_words(counts: DataFrame, k: int = 20) -> DataFrame:
     return counts.orderBy(F.col("n").desc(), F.col("word").asc()).limit(k)
 
 
-def term_counts(doc_tokens: DataFrame) -> DataFrame:
+def term_counts(prepared: DataFrame) -> DataFrame:
     """``doc, word, tf``."""
-    return (doc_tokens.select("doc", F.explode("tokens").alias("word"))
+    return (prepared.select("doc", F.explode(tokens(prepared)).alias("word"))
             .groupBy("doc", "word").agg(F.count(F.lit(1)).alias("tf")))
 
 
@@ -100,13 +114,13 @@ def doc_keyword(scores: DataFrame, digits: int = 6) -> DataFrame:
     return best.select("doc", F.col("_b.word").alias("word"), (-F.col("_b.neg")).alias("score"))
 
 
-def tfidf_hashed(doc_tokens: DataFrame, num_features: int = 10000) -> DataFrame:
+def tfidf_hashed(prepared: DataFrame, num_features: int = 10000) -> DataFrame:
     """``doc, words, rawfeature, feature`` via ``pyspark.ml`` Tokenizer,
     HashingTF and IDF (JVM transformers; the IDF fit is one tree-aggregate of
     ``num_features`` document-frequency counters)."""
     from pyspark.ml.feature import HashingTF, IDF, Tokenizer
 
-    text = joined_tokens(doc_tokens)
+    text = joined_tokens(prepared)
     words = Tokenizer(inputCol="text", outputCol="words").transform(text)
     raw = HashingTF(numFeatures=num_features, inputCol="words", outputCol="rawfeature").transform(words)
     model = IDF(inputCol="rawfeature", outputCol="feature").fit(raw)
