@@ -1,5 +1,11 @@
 """Frequent itemsets over baskets (parallel FP-growth from ``pyspark.ml``).
 
+The miner reads its transactions several times (a count, the item counts,
+the tree building), and its result is lazy; so the transactions are
+materialised once with a reliable checkpoint (not a cache: a lost executor
+then costs a re-read, not a re-computation of the upstream joins); the lazy
+result then reads the checkpoint too.
+
 The miner counts items in one distributed pass (only items above the support
 reach the driver: at most ``avg basket size / min_support`` of them), then
 grows conditional FP-trees per item group on ``num_partitions`` tasks.  No
@@ -13,12 +19,15 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.checkpoint import cut_lineage
+
 
 def frequent_itemsets(baskets: DataFrame, items_col: str, min_support: float,
                       num_partitions: int | None = None) -> DataFrame:
     """``items array<string>`` (sorted) and ``freq``; support is counted over
     all non-NULL baskets, empty ones included."""
     tx = baskets.select(F.array_distinct(F.col(items_col)).alias("items")).where(F.col("items").isNotNull())
+    tx = cut_lineage(tx)
     fp = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=1.0)
     if num_partitions:
         fp = fp.setNumPartitions(num_partitions)

@@ -1,0 +1,21 @@
+"""The streaming word count equals the batch one on the same documents."""
+
+from pyspark.sql import functions as F
+
+from tessera.operators import keywords
+from tessera.streaming import document_stream, start_word_counts, streaming_word_counts
+from conftest import SF_SMALL
+
+
+def test_streaming_word_counts_match_batch(spark, tmp_path):
+    stream = document_stream(spark, SF_SMALL, glob="documents.parquet")
+    q = start_word_counts(streaming_word_counts(stream), str(tmp_path / "ckpt"), sink="memory",
+                          query_name="wc_test", output_mode="complete")
+    try:
+        q.processAllAvailable()
+        got = {r.word: r.n for r in spark.table("wc_test").collect()}
+    finally:
+        q.stop()
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    batch = {r.word: r.n for r in keywords.word_counts(keywords.prepare_documents(docs, "doc_id", "text")).collect()}
+    assert got == batch and len(got) > 100
