@@ -18,9 +18,13 @@ from pyspark.sql import functions as F
 
 
 def dot(features: Column | str, weights: list[float]) -> Column:
+    """``x . w`` as plain arithmetic, summed left to right from 0.0 (stays in
+    generated code; no lambda over the array)."""
     x = F.col(features) if isinstance(features, str) else features
-    terms = [F.get(x, j) * F.lit(float(w)) for j, w in enumerate(weights)]
-    return F.aggregate(F.array(*terms), F.lit(0.0), lambda a, b: a + b) if terms else F.lit(0.0)
+    acc = F.lit(0.0)
+    for j, w in enumerate(weights):
+        acc = acc + F.get(x, j) * F.lit(float(w))
+    return acc
 
 
 def svm_sgd(train: DataFrame, features: str = "features", label: str = "label", num_features: int | None = None,

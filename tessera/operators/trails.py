@@ -4,9 +4,8 @@ reaching a target page.
 Two input forms:
 
 * **event table** (one row per event; scales with trails of any length) —
-  :func:`path_to_target`.  Only aggregations and one keyed join; the join's
-  lookup side has one row per trail, so a hot trail on the event side is
-  split by AQE's skew handling (or ``salts``), never sorted in one task.
+  :func:`path_to_target`.  Two partial-aggregated group-bys, no join, so a
+  hot trail is never sorted or joined in one task.
 * **JSON trail** (one row per trail holding a JSON array whose first element
   is a header) — :func:`path_to_target_json` and :func:`trail_events`, pure
   per-row array expressions over Variant.
@@ -18,7 +17,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.json import json_array, json_get, json_has
-from ..plans.joins import salted_lookup_join
 
 
 def _substring_dedup(pages: Column) -> Column:
@@ -33,13 +31,17 @@ def _substring_dedup(pages: Column) -> Column:
 
 def path_to_target(events: DataFrame, trail_cols: list[str], ts_col: str, page_col: str, target: str,
                    order_col: str | None = None, type_col: str | None = None, type_value: str | None = None,
-                   dedup: str = "exact", salts: int = 1) -> DataFrame:
+                   dedup: str = "exact") -> DataFrame:
     """One row per trail that reaches ``target`` after at least one other page:
     ``trail_cols..., path array<string>`` in order of first sight.
 
-    ``order_col`` breaks ties of ``ts_col`` (e.g. an event id).  When
-    ``type_col`` is given only events with ``type_value`` count, both as
-    pages and as the target hit.
+    A page lies before the first hit of the target exactly when its *first*
+    sighting does, so no join back to the events is needed: the first sight
+    of every (trail, page) is a partial aggregate (a hot trail or page costs
+    one row per task before the shuffle), and each trail then collects only
+    its distinct pages with their first-sight times.  ``order_col`` breaks
+    ties of ``ts_col`` (e.g. an event id).  When ``type_col`` is given only
+    events with ``type_value`` count, both as pages and as the hit.
     """
     order_fields = [F.col(ts_col).alias("ts")] + ([F.col(order_col).alias("o")] if order_col else [])
     ev = events.select(*trail_cols, F.col(page_col).alias("_page"), F.struct(*order_fields).alias("_at"),
@@ -48,20 +50,17 @@ def path_to_target(events: DataFrame, trail_cols: list[str], ts_col: str, page_c
         ev = ev.where(F.col(type_col) == F.lit(type_value))
     ev = ev.where(F.col("_page").isNotNull())
 
-    hits = (ev.where(F.col("_page") == F.lit(target))
-            .groupBy(*trail_cols).agg(F.min("_at").alias("_hit")))
-    before = salted_lookup_join(ev.select(*trail_cols, "_page", "_at"), hits, trail_cols, "inner", salts=salts,
-                                salt_source=trail_cols + ["_page"])
-    before = before.where(F.col("_at") < F.col("_hit"))
-    firsts = before.groupBy(*trail_cols, "_page").agg(F.min("_at").alias("_first"))
-    paths = (firsts.groupBy(*trail_cols)
+    firsts = ev.groupBy(*trail_cols, "_page").agg(F.min("_at").alias("_first"))
+    steps = (firsts.groupBy(*trail_cols)
              .agg(F.array_sort(F.collect_list(F.struct("_first", "_page"))).alias("_steps"))
-             .select(*trail_cols, F.transform("_steps", lambda s: s["_page"]).alias("path")))
+             .select(*trail_cols, F.transform("_steps", lambda s: s["_page"]).alias("_pages")))
+    hit = F.array_position("_pages", target)
+    paths = steps.where(hit > 1).select(*trail_cols, F.slice("_pages", 1, hit - 1).alias("path"))
     if dedup == "substring":
         paths = paths.withColumn("path", _substring_dedup(F.col("path")))
     elif dedup != "exact":
         raise ValueError(f"unknown dedup {dedup!r}")
-    return paths.where(F.size("path") > 0)
+    return paths
 
 
 def _steps(col: str) -> Column:
