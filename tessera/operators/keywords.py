@@ -16,9 +16,11 @@ Plan shape for a document table (one row per document):
 4. document frequency = ``groupBy(word).count()`` over those rows (partial
    aggregation first, so a word found in every document costs one row per
    task before the shuffle);
-5. the (doc, word) rows join the per-word table on ``word``; that side has one
-   row per word, so a hot word on the large side is a skew-join split, and
-   AQE broadcasts the word table only when runtime statistics show it small;
+5. the (doc, word) rows join the per-word table on ``word``.  That side is an
+   aggregate output with one row per word, so AQE's skew-join split does not
+   apply to it; the join is salted instead (each word row copied
+   ``JOIN_SALTS`` times, the large side salted by document), and AQE still
+   broadcasts the word side when runtime statistics show it small;
 6. the document count is a scalar sub-query, not a cross join.
 """
 
@@ -28,8 +30,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import has_word, join_tokens, word_tokens
+from ..plans.joins import salted_lookup_join
 from ..plans.partitioning import spread
 
+# Copies of each per-word row in the salted join: a hot word of the large
+# side is spread over this many tasks.
+JOIN_SALTS = 8
+
 
 def prepare_documents(docs: DataFrame, id_col: str, text_col: str, cjk_bigrams: bool | Column = False) -> DataFrame:
     """``doc, text, cjk``: documents with at least one token, spread for tokenising."""
@@ -98,10 +105,10 @@ def inverse_document_frequency(tc: DataFrame, m: Column) -> DataFrame:
             .select("word", "df", _idf(F.col("df"), m).alias("idf")))
 
 
-def tfidf(tc: DataFrame, m: Column) -> DataFrame:
+def tfidf(tc: DataFrame, m: Column, salts: int = JOIN_SALTS) -> DataFrame:
     """``doc, word, tf, tfidf`` — exact words, no hashing collisions."""
     idf = inverse_document_frequency(tc, m)
-    return (tc.join(idf.select("word", "idf"), "word")
+    return (salted_lookup_join(tc, idf.select("word", "idf"), ["word"], "inner", salts=salts, salt_source=["doc"])
             .select("doc", "word", "tf", (F.col("tf") * F.col("idf")).alias("tfidf")))
 
 

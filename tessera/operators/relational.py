@@ -13,6 +13,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.records import hash_bucket, year_range
+from ..plans.joins import salted_lookup_join
+
+# Copies of each member key in the salted lookup join: a key that holds a
+# large share of the labelled table is spread over this many tasks.
+JOIN_SALTS = 8
 
 
 def range_filter(df: DataFrame, column: str, low, high, select: list[str] | None = None) -> DataFrame:
@@ -44,26 +49,35 @@ def distinct_keys(df: DataFrame, key: str, alias: str | None = None) -> DataFram
     return df.select(F.col(key).alias(alias or key)).where(F.col(alias or key).isNotNull()).distinct()
 
 
+def _member_join(df: DataFrame, key: str, members: DataFrame, member_key: str, how: str,
+                 salts: int) -> DataFrame:
+    """``df`` joined to the distinct member keys.  The key side is an
+    aggregate output (one row per key), which AQE's skew split cannot cut, so
+    the join is salted by the other columns of ``df``."""
+    keys = distinct_keys(members, member_key, "_mkey").withColumn("_hit", F.lit(True))
+    left = df.withColumn("_mkey", F.col(key))
+    out = salted_lookup_join(left, keys, ["_mkey"], how, salts=salts, salt_source=df.columns)
+    return out.drop("_mkey")
+
+
 def membership_label(df: DataFrame, key: str, members: DataFrame, member_key: str,
-                     label: str = "label") -> DataFrame:
+                     label: str = "label", salts: int = JOIN_SALTS) -> DataFrame:
     """Every row of ``df`` plus ``label`` = 1.0 when its key occurs in
     ``members`` else 0.0.  A left join against the distinct member keys."""
-    keys = distinct_keys(members, member_key, "_mkey").withColumn("_hit", F.lit(True))
-    joined = df.join(keys, F.col(key) == F.col("_mkey"), "left")
-    return joined.select(*[df[c] for c in df.columns],
-                         F.when(F.col("_hit"), F.lit(1.0)).otherwise(F.lit(0.0)).alias(label))
+    joined = _member_join(df, key, members, member_key, "left", salts)
+    return joined.select(*df.columns, F.when(F.col("_hit"), F.lit(1.0)).otherwise(F.lit(0.0)).alias(label))
 
 
-def semi_members(df: DataFrame, key: str, members: DataFrame, member_key: str) -> DataFrame:
+def semi_members(df: DataFrame, key: str, members: DataFrame, member_key: str,
+                 salts: int = JOIN_SALTS) -> DataFrame:
     """Rows of ``df`` whose key occurs in ``members`` (each row once)."""
-    return df.join(members.select(F.col(member_key).alias("_mkey")),
-                   F.col(key) == F.col("_mkey"), "left_semi")
+    return _member_join(df, key, members, member_key, "left_semi", salts).select(*df.columns)
 
 
-def anti_members(df: DataFrame, key: str, members: DataFrame, member_key: str) -> DataFrame:
+def anti_members(df: DataFrame, key: str, members: DataFrame, member_key: str,
+                 salts: int = JOIN_SALTS) -> DataFrame:
     """Rows of ``df`` whose key does not occur in ``members``."""
-    return df.join(members.select(F.col(member_key).alias("_mkey")),
-                   F.col(key) == F.col("_mkey"), "left_anti")
+    return _member_join(df, key, members, member_key, "left_anti", salts).select(*df.columns)
 
 
 def union_labeled(positives: DataFrame, negatives: DataFrame, label: str = "label") -> DataFrame:
