@@ -18,7 +18,7 @@ from .functions.records import composite_record, labeled_line, parse_composite_r
 from .functions.text import CJK_LANGS, whitespace_tokens
 from .operators import categories, itemsets, keywords, relational, svm, trails
 from .sources.delimited import lines_from_columns, parse_delimited
-from .sources.json_docs import map_to_json, parse_json_column, read_json_column
+from .sources.json_docs import map_to_json, parse_json_column, read_json_column, required_json_fields
 
 # Fixed values of the fixtures.
 TEEN_LOW, TEEN_HIGH = 13, 19
@@ -84,11 +84,7 @@ def q_json_required_fields(spark, sf_dir):
         F.when(F.col("c_acctbal") > 0, F.concat(F.lit("u/"), F.col("c_custkey").cast("string"))).alias("link"),
         F.col("c_mktsegment").alias("gender"),
         F.col("c_name").alias("name"))).alias("account"))
-    v = F.try_parse_json("account")
-    out = acc.select("c_custkey", *[F.try_variant_get(v, f"$.{k}", "string").alias(k)
-                                    for k in ("email", "link", "gender", "name")])
-    return out.where(F.col("email").isNotNull() & F.col("link").isNotNull()
-                     & F.col("gender").isNotNull() & F.col("name").isNotNull())
+    return required_json_fields(acc, "account", ["email", "link", "gender", "name"], keep=["c_custkey"])
 
 
 def q_contains_filter(spark, sf_dir):

@@ -42,5 +42,19 @@ def read_json_column(df: DataFrame, column: str, keep: list[str] | None = None,
     return df.select(*(keep or []), parsed).select(*(keep or []), "_doc.*")
 
 
+def required_json_fields(df: DataFrame, column: str, fields: list[str], keep: list[str] | None = None,
+                         type_: str = "string") -> DataFrame:
+    """``keep..., fields...`` read from the JSON object in ``column``; a row is
+    dropped when the text is NULL or not JSON, or when any field is missing
+    or JSON null.  One parse per row (Variant), no exception handling."""
+    v = F.try_parse_json(F.col(column))
+    out = df.select(*(keep or []), *[F.try_variant_get(v, f"$.{f}", type_).alias(f) for f in fields])
+    cond = None
+    for f in fields:
+        c = F.col(f).isNotNull()
+        cond = c if cond is None else cond & c
+    return out.where(cond) if cond is not None else out
+
+
 def map_to_json(map_col: Column | str) -> Column:
     return F.to_json(F.col(map_col) if isinstance(map_col, str) else map_col)

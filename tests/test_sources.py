@@ -6,9 +6,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tessera.operators.relational import range_filter
-from tessera.sources import (create_table, infer_json_schema, load_delimited_into_table, parse_delimited,
-                             parse_json_column, read_jdbc, read_json_column, read_json_lines, read_lines,
-                             read_parquet, read_table, write_parquet, write_text_lines)
+from tessera.sources import (create_table, infer_json_schema, load_delimited_into_table, map_to_json,
+                             parse_delimited, parse_json_column, read_jdbc, read_json_column, read_json_lines,
+                             read_lines, read_parquet, read_table, required_json_fields, write_parquet,
+                             write_text_lines)
 
 PEOPLE = [("name", "string", False), ("age", "int", True)]
 
@@ -74,6 +75,23 @@ def test_json_inference_types(spark):
     assert flat.count() == 3
 
 
+def test_required_json_fields(spark):
+    rows = [(1, '{"email": "a@x", "link": "l", "gender": "f", "name": "A"}'),
+            (2, '{"email": "b@x", "gender": "m", "name": "B"}'),
+            (3, "not json"),
+            (4, None),
+            (5, '{"email": "e@x", "link": null, "gender": "m", "name": "E"}')]
+    df = spark.createDataFrame(rows, "id int, account string")
+    out = required_json_fields(df, "account", ["email", "link", "gender", "name"], keep=["id"]).collect()
+    assert [(r.id, r.email, r.link) for r in out] == [(1, "a@x", "l")]
+
+
+def test_map_to_json(spark):
+    df = spark.createDataFrame([(1, "click", "8")], "id int, t string, u string")
+    got = df.select(map_to_json(F.create_map(F.lit("message"), "t", F.lit("user"), "u")).alias("j")).first().j
+    assert got == '{"message":"click","user":"8"}'
+
+
 def test_catalog_table_load_twice(spark, tmp_path):
     spark.sql(f"CREATE DATABASE IF NOT EXISTS tdb LOCATION '{tmp_path / 'wh'}'")
     create_table(spark, "tdb.kv")
