@@ -47,6 +47,8 @@ def word_tokens(text: Column | str, cjk_bigrams: bool | Column = False) -> Colum
     """
     t = F.lower(_col(text))
     plain = F.regexp_extract_all(t, F.lit(WORD_PATTERN), 0)
+    if isinstance(cjk_bigrams, Column):
+        return F.when(cjk_bigrams, _cjk_tokens(t)).otherwise(plain)
     if cjk_bigrams is False:
         return plain
     if cjk_bigrams is True:
@@ -61,6 +63,8 @@ def has_word(text: Column | str, cjk_bigrams: bool | Column = False) -> Column:
     it would be evaluated once more)."""
     t = F.lower(_col(text))
     plain = t.rlike(WORD_PATTERN)
+    if isinstance(cjk_bigrams, Column):
+        return F.when(cjk_bigrams, t.rlike(_RUNS)).otherwise(plain)
     if cjk_bigrams is False:
         return plain
     if cjk_bigrams is True:

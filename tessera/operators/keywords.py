@@ -2,10 +2,11 @@
 
 Plan shape for a document table (one row per document):
 
-1. :func:`prepare_documents` keeps documents with at least one word (a cheap
-   regex ``find`` guard) and, when the input has fewer splits than the
-   cluster has cores, spreads them by document key (a no-op on a large,
-   well-split input);
+1. :func:`prepare_documents` drops NULL texts and, when the input has fewer
+   splits than the cluster has cores, spreads the documents by key (a no-op
+   on a large, well-split input).  Generators need no "has a word" filter —
+   an empty token array explodes to no rows — so that guard (a regex
+   ``find``) is paid only by the per-document outputs and the document count;
 2. tokens are produced inside ``explode``/``posexplode`` of the tokenising
    expression itself.  Never as a named array column first: Catalyst would
    infer ``size(tokens) > 0`` from the generator and push that filter — the
@@ -39,13 +40,18 @@ JOIN_SALTS = 8
 
 
 def prepare_documents(docs: DataFrame, id_col: str, text_col: str, cjk_bigrams: bool | Column = False) -> DataFrame:
-    """``doc, text, cjk``: documents with at least one token, spread for tokenising."""
+    """``doc, text, cjk``: non-NULL documents, spread for tokenising."""
     cjk = cjk_bigrams if isinstance(cjk_bigrams, Column) else F.lit(bool(cjk_bigrams))
-    kept = docs.where(F.col(text_col).isNotNull() & has_word(text_col, cjk_bigrams))
+    kept = docs.where(F.col(text_col).isNotNull())
     out = kept.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"), cjk.alias("cjk"))
     return spread(out, ["doc"])
 
 
+def _with_words(prepared: DataFrame) -> DataFrame:
+    """Documents that yield at least one token (cheap guard, see :func:`has_word`)."""
+    return prepared.where(has_word(F.col("text"), F.col("cjk")))
+
+
 def tokens(prepared: DataFrame) -> Column:
     """The token array of each prepared document (use inside a generator or
     a projection, not as a column to filter on)."""
@@ -53,13 +59,14 @@ def tokens(prepared: DataFrame) -> Column:
 
 
 def document_tokens(prepared: DataFrame) -> DataFrame:
-    """``doc, tokens`` — the token arrays themselves."""
-    return prepared.select("doc", tokens(prepared).alias("tokens"))
+    """``doc, tokens`` — the token arrays of documents with at least one token."""
+    return _with_words(prepared).select("doc", tokens(prepared).alias("tokens"))
 
 
 def joined_tokens(prepared: DataFrame) -> DataFrame:
-    """``doc, text`` with the tokens joined by single blanks."""
-    return prepared.select("doc", join_tokens(tokens(prepared)).alias("text"))
+    """``doc, text`` with the tokens joined by single blanks (documents with
+    at least one token)."""
+    return _with_words(prepared).select("doc", join_tokens(tokens(prepared)).alias("text"))
 
 
 def token_stream(prepared: DataFrame) -> DataFrame:
