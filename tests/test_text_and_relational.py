@@ -73,3 +73,13 @@ def test_year_filter_forms_agree(spark):
     a = relational.year_filter(o, "o_orderdate", 1995, "range").select("o_orderkey")
     b = relational.year_filter(o, "o_orderdate", 1995, "text").select("o_orderkey")
     assert sorted(a.collect()) == sorted(b.collect()) and a.count() > 0
+
+
+def test_null_and_blank_texts_drop_out(spark):
+    docs = spark.createDataFrame([(1, None), (2, "   "), (3, "a b"), (4, "hello hello world")], "id int, t string")
+    prep = keywords.prepare_documents(docs, "id", "t")
+    assert [r.doc for r in keywords.joined_tokens(prep).collect()] == [4]
+    tc = {(r.doc, r.word): r.tf for r in keywords.term_counts(prep).collect()}
+    assert tc == {(4, "hello"): 2, (4, "world"): 1}
+    m = keywords.document_count(docs, "id", "t")
+    assert keywords.inverse_document_frequency(keywords.term_counts(prep), m).where("word = 'world'").first().idf == 0.0

@@ -94,3 +94,14 @@ def test_event_form_type_filter_and_ties(spark):
     df = spark.createDataFrame(rows, "u string, ts int, id int, page string, type string")
     out = path_to_target(df, ["u"], "ts", "page", "recommend", order_col="id", type_col="type", type_value="pageshow")
     assert [(r.u, r.path) for r in out.collect()] == [("u", ["home", "list"])]
+
+
+def test_page_with_comma_stays_one_item(spark):
+    from tessera.operators.itemsets import frequent_itemsets
+
+    trails = [(i, json.dumps([H, p("a,b"), p("c"), p("recommend")])) for i in range(3)]
+    df = spark.createDataFrame(trails, "id int, feet string")
+    paths = path_to_target_json(df, "feet", keep=["id"])
+    assert {tuple(r.path) for r in paths.collect()} == {("a,b", "c")}
+    items = {tuple(r.items): r.freq for r in frequent_itemsets(paths, "path", 0.5).collect()}
+    assert items == {("a,b",): 3, ("c",): 3, ("a,b", "c"): 3}
