@@ -24,14 +24,27 @@ def _as_dbtable(table_or_query: str) -> str:
 def read_jdbc(spark: SparkSession, url: str, table_or_query: str, *,
               partition_column: str | None = None, num_partitions: int = 10,
               lower_bound=None, upper_bound=None, predicates: list[str] | None = None,
-              properties: dict | None = None) -> DataFrame:
+              bucket_expr: str | None = None, properties: dict | None = None) -> DataFrame:
+    """``bucket_expr``: for keys that cannot drive range partitions (text), a
+    SQL expression of the source database with ``{n}`` for the partition
+    count, e.g. ``"MOD(ABS(HASHTEXT(uid)), {n})"``; it becomes one predicate
+    ``expr = i`` per partition, so the rows are split evenly, each exactly once."""
     props = dict(properties or {})
     dbtable = _as_dbtable(table_or_query)
+    if bucket_expr and not predicates:
+        expr = bucket_expr.format(n=num_partitions)
+        predicates = [f"({expr}) = {i}" for i in range(num_partitions)]
     if predicates:
         return spark.read.jdbc(url, dbtable, predicates=predicates, properties=props)
     if partition_column is None:
         return spark.read.jdbc(url, dbtable, properties=props)
     if lower_bound is None or upper_bound is None:
+        # the column type comes from a zero-row schema probe; text keys cannot
+        # drive range partitions (and min/max may not even apply to them)
+        whole = spark.read.jdbc(url, dbtable, properties=props)
+        kinds = {f.name.lower(): f.dataType.simpleString() for f in whole.schema.fields}
+        if not kinds.get(partition_column.lower(), "").startswith(_NUMERIC_LIKE):
+            return whole
         stats = spark.read.jdbc(
             url, f"(SELECT MIN({partition_column}) AS lo, MAX({partition_column}) AS hi FROM {dbtable}) AS b",
             properties=props)

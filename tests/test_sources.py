@@ -127,3 +127,8 @@ def test_jdbc_partitioned_read_bounds_from_data(spark):
                       upper_bound=10, properties=props)
     fsizes = fixed.rdd.glom().map(len).collect()
     assert sum(fsizes) == 500 and max(fsizes) == 491  # bounds set the stride only
+    text_key = read_jdbc(spark, url, "FEET", partition_column="FEET", num_partitions=7, properties=props)
+    assert text_key.rdd.getNumPartitions() == 1 and text_key.count() == 500
+    buckets = read_jdbc(spark, url, "FEET", num_partitions=7, bucket_expr="MOD(UID, {n})", properties=props)
+    bsizes = buckets.rdd.glom().map(len).collect()
+    assert len(bsizes) == 7 and sum(bsizes) == 500 and max(bsizes) - min(bsizes) <= 1
