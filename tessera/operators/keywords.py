@@ -17,11 +17,12 @@ Plan shape for a document table (one row per document):
 4. document frequency = ``groupBy(word).count()`` over those rows (partial
    aggregation first, so a word found in every document costs one row per
    task before the shuffle);
-5. the (doc, word) rows join the per-word table on ``word``.  That side is an
-   aggregate output with one row per word, so AQE's skew-join split does not
-   apply to it; the join is salted instead (each word row copied
-   ``JOIN_SALTS`` times, the large side salted by document), and AQE still
-   broadcasts the word side when runtime statistics show it small;
+5. TF-IDF shuffles the (doc, word) rows once, by (word, salt) with the salt
+   a hash of the document: a hot word is spread over ``JOIN_SALTS`` tasks.
+   Both the per-word document frequency (a histogram per (word, salt, tf),
+   summed per word) and the join side read that one exchange, which Spark
+   reuses, so the corpus is tokenised once.  The per-word table is copied
+   once per salt for the join; AQE broadcasts it when it is small;
 6. the document count is a scalar sub-query, not a cross join.
 """
 
@@ -31,11 +32,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import has_word, join_tokens, word_tokens
-from ..plans.joins import salted_lookup_join
 from ..plans.partitioning import spread
 
-# Copies of each per-word row in the salted join: a hot word of the large
-# side is spread over this many tasks.
+# Salts of the (word, salt) shuffle: a hot word of the (doc, word) rows is
+# spread over this many tasks.
 JOIN_SALTS = 8
 
 
@@ -108,14 +108,28 @@ def document_count(docs: DataFrame, id_col: str, text_col: str, cjk_bigrams: boo
 def inverse_document_frequency(tc: DataFrame, m: Column) -> DataFrame:
     """``word, df, idf`` with idf = ln((m + 1) / (df + 1)), the smoothed form
     also used by ``pyspark.ml.feature.IDF``; ``m`` from :func:`document_count`."""
-    return (tc.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+    return (tc.groupBy("word").agg(F.count("doc").alias("df"))
             .select("word", "df", _idf(F.col("df"), m).alias("idf")))
 
 
 def tfidf(tc: DataFrame, m: Column, salts: int = JOIN_SALTS) -> DataFrame:
-    """``doc, word, tf, tfidf`` — exact words, no hashing collisions."""
-    idf = inverse_document_frequency(tc, m)
-    return (salted_lookup_join(tc, idf.select("word", "idf"), ["word"], "inner", salts=salts, salt_source=["doc"])
+    """``doc, word, tf, tfidf`` — exact words, no hashing collisions.
+
+    One shuffle of ``tc`` by (word, salt) feeds both the document frequency
+    and the join.  For Spark to reuse that exchange the two reads must need
+    the same columns and filters: the frequency side therefore groups by
+    ``tf`` as well (a per-word histogram of term frequencies, then summed) and
+    counts ``doc``, and the salt is non-nullable so the join infers no extra
+    ``isnotnull`` filter for only one of them.
+    """
+    n = int(tc.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salt = F.coalesce(F.pmod(F.xxhash64("doc"), F.lit(salts)), F.lit(0))
+    rows = tc.withColumn("_salt", salt).repartition(n, "word", "_salt")
+    hist = rows.groupBy("word", "_salt", "tf").agg(F.count("doc").alias("_n"))
+    freq = hist.groupBy("word").agg(F.sum("_n").alias("df"))
+    idf = freq.select("word", _idf(F.col("df"), m).alias("idf"))
+    copies = idf.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")))
+    return (rows.join(copies, ["word", "_salt"])
             .select("doc", "word", "tf", (F.col("tf") * F.col("idf")).alias("tfidf")))
 
 

@@ -33,6 +33,15 @@ def test_top20_is_take_ordered(spark):
     assert "TakeOrderedAndProject" in _plan(jobs.q_word_count_top20(spark, SF_SMALL))
 
 
+def test_tfidf_tokenises_once(spark):
+    df = jobs.q_tfidf(spark, SF_SMALL)
+    df.collect()
+    final = _plan(df).split("\n+- == Initial Plan ==")[0]
+    assert "ReusedExchange" in final
+    tokenising = [ln for ln in final.splitlines() if "Generate explode(" in ln and "regexp_extract_all" in ln]
+    assert len(tokenising) == 1
+
+
 @pytest.mark.parametrize("name", sorted(jobs.QUERIES))
 def test_no_python_in_plans(spark, name):
     plan = _plan(jobs.QUERIES[name](spark, SF_SMALL))
