@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from .functions.records import composite_record, labeled_line, parse_composite_record
 from .functions.text import CJK_LANGS, whitespace_tokens
 from .operators import categories, itemsets, keywords, relational, svm, trails
+from .plans.partitioning import spread
 from .sources.delimited import lines_from_columns, parse_delimited
 from .sources.json_docs import map_to_json, parse_json_column, read_json_column, required_json_fields
 
@@ -157,7 +158,10 @@ def q_whitespace_tokens(spark, sf_dir):
 # ---------------------------------------------------------------- trails and itemsets
 
 def _paths(spark, sf_dir):
-    ev = table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
+    # spread by user (only when under-split): both group-bys of the job are
+    # then satisfied by that partitioning and need no further shuffle
+    ev = spread(table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type"), ["user_id"])
+    ev = ev.withColumn("day", F.to_date("ts"))
     return trails.path_to_target(ev, ["user_id", "day"], "ts", "event_type", TARGET_PAGE, order_col="event_id")
 
 
@@ -176,7 +180,9 @@ def q_path_itemsets(spark, sf_dir):
 
 
 def q_frequent_itemsets(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
+    # spread by order (only when under-split): the basket group-by is then
+    # satisfied by that partitioning
+    li = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey"), ["l_orderkey"])
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
     lines = li.join(part, li.l_partkey == part.p_partkey)
     baskets = itemsets.baskets_of(lines, "l_orderkey", "p_brand")
