@@ -15,8 +15,13 @@ from pyspark.sql import DataFrame
 
 
 def spread(df: DataFrame, keys: list[str], min_partitions: int | None = None) -> DataFrame:
+    """Hash-partition ``df`` by ``keys`` over the cluster's cores when it has
+    fewer than twice as many splits (a split count says little about how many
+    are non-empty: one Parquet row group read in four byte ranges gives one
+    busy task and three empty ones)."""
     sc = df.sparkSession.sparkContext
-    target = min_partitions or sc.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    cores = sc.defaultParallelism
+    threshold = min_partitions or 2 * cores
+    if df.rdd.getNumPartitions() >= threshold:
         return df
-    return df.repartition(target, *keys)
+    return df.repartition(cores, *keys)
