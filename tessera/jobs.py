@@ -108,9 +108,8 @@ def _doc_tokens(spark, sf_dir):
 
 
 def _tc_and_m(spark, sf_dir):
-    tc = keywords.term_counts(_doc_tokens(spark, sf_dir))
-    m = keywords.document_count(table(spark, sf_dir, "documents"), "doc_id", "text", cjk_bigrams=_cjk())
-    return tc, m
+    prepared = _doc_tokens(spark, sf_dir)
+    return keywords.term_counts(prepared), keywords.document_count(prepared)
 
 
 def q_word_count_top20(spark, sf_dir):

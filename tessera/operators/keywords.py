@@ -23,7 +23,8 @@ Plan shape for a document table (one row per document):
    summed per word) and the join side read that one exchange, which Spark
    reuses, so the corpus is tokenised once.  The per-word table is copied
    once per salt for the join; AQE broadcasts it when it is small;
-6. the document count is a scalar sub-query, not a cross join.
+6. the document count is a scalar sub-query over the same prepared
+   documents, not a cross join.
 """
 
 from __future__ import annotations
@@ -95,14 +96,17 @@ def _idf(df_col: Column, m: Column) -> Column:
     return F.log((m + F.lit(1.0)) / (df_col + F.lit(1.0)))
 
 
-def document_count(docs: DataFrame, id_col: str, text_col: str, cjk_bigrams: bool | Column = False) -> Column:
+def document_count(prepared: DataFrame) -> Column:
     """Number of documents with at least one token, as a scalar sub-query.
 
     Counted with the :func:`has_word` guard (a regex ``find`` that stops at
-    the first word) instead of re-deriving it from the tokens: the sub-query
-    is planned on its own, so reading the tokens would tokenise twice."""
-    kept = docs.where(F.col(text_col).isNotNull() & has_word(text_col, cjk_bigrams))
-    return kept.select(F.count_distinct(id_col)).scalar()
+    the first word) rather than from the tokens, which the separately planned
+    sub-query would tokenise again.  The guard sits inside the aggregate, not
+    in a filter, so it is not pushed below the spread: the sub-query then
+    reads the same exchange as the main query (reused) and runs the guard on
+    every core instead of in the scan."""
+    has = has_word(F.col("text"), F.col("cjk"))
+    return prepared.select(F.count_distinct(F.when(has, F.col("doc")))).scalar()
 
 
 def inverse_document_frequency(tc: DataFrame, m: Column) -> DataFrame:

@@ -16,7 +16,7 @@ def _scores(spark, parts):
     docs = _docs(spark, parts)
     prep = keywords.prepare_documents(docs, "doc_id", "text")
     tc = keywords.term_counts(prep)
-    m = keywords.document_count(docs, "doc_id", "text")
+    m = keywords.document_count(prep)
     tfidf = keywords.tfidf(tc, m)
     return (sorted((r.doc, r.word, r.tf, round(r.tfidf, 9)) for r in tfidf.collect()),
             sorted(tuple(r) for r in keywords.doc_keyword(tfidf).collect()),
@@ -43,7 +43,7 @@ def test_salt_count_does_not_change_tfidf(spark):
     docs = _docs(spark, None)
     prep = keywords.prepare_documents(docs, "doc_id", "text")
     tc = keywords.term_counts(prep)
-    m = keywords.document_count(docs, "doc_id", "text")
+    m = keywords.document_count(prep)
     a = sorted((r.doc, r.word, round(r.tfidf, 9)) for r in keywords.tfidf(tc, m, salts=1).collect())
     b = sorted((r.doc, r.word, round(r.tfidf, 9)) for r in keywords.tfidf(tc, m, salts=5).collect())
     assert a == b and len(a) > 0

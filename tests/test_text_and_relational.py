@@ -30,7 +30,7 @@ def test_idf_matches_pyspark_ml(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     dt = keywords.prepare_documents(docs, "doc_id", "text")
     tc = keywords.term_counts(dt)
-    m = keywords.document_count(docs, "doc_id", "text")
+    m = keywords.document_count(dt)
     idf = {r.word: r.idf for r in keywords.inverse_document_frequency(tc, m).where(F.col("word") == "the").collect()}
     hashed = keywords.tfidf_hashed(dt, 1 << 18)
     from pyspark.ml.feature import HashingTF
@@ -81,5 +81,5 @@ def test_null_and_blank_texts_drop_out(spark):
     assert [r.doc for r in keywords.joined_tokens(prep).collect()] == [4]
     tc = {(r.doc, r.word): r.tf for r in keywords.term_counts(prep).collect()}
     assert tc == {(4, "hello"): 2, (4, "world"): 1}
-    m = keywords.document_count(docs, "id", "t")
+    m = keywords.document_count(prep)
     assert keywords.inverse_document_frequency(keywords.term_counts(prep), m).where("word = 'world'").first().idf == 0.0
