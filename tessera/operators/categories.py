@@ -39,8 +39,11 @@ def category_codes(pv: DataFrame, dictionary: DataFrame, unseen: float = 0.0) ->
 
 def category_encode(pv: DataFrame, dictionary: DataFrame, key: str, keep: list[str] | None = None,
                     unseen: float = 0.0) -> DataFrame:
-    """``key, keep..., features array<double>`` in position order.  The
-    re-grouping by record key collects one value per feature position."""
+    """``key, keep..., features array<double>`` in position order.
+
+    ``key`` must identify one record (as a row id does): the re-grouping by
+    key then collects exactly one code per feature position, a group bounded
+    by the number of features."""
     codes = category_codes(pv, dictionary, unseen)
     return (codes.groupBy(key, *(keep or []))
             .agg(F.array_sort(F.collect_list(F.struct("pos", "code"))).alias("_pc"))
