@@ -28,9 +28,20 @@ def dot(features: Column | str, weights: list[float]) -> Column:
 
 
 def svm_sgd(train: DataFrame, features: str = "features", label: str = "label", num_features: int | None = None,
-            iterations: int = 10, step: float = 1.0, reg: float = 0.01, tol: float = 0.001) -> list[float]:
-    """Weights of a linear SVM (labels 0/1)."""
+            iterations: int = 10, step: float = 1.0, reg: float = 0.01, tol: float = 0.001,
+            compress: bool = True) -> list[float]:
+    """Weights of a linear SVM (labels 0/1).
+
+    ``compress``: first group identical (label, vector) rows with their count
+    (one shuffle, merged map-side), so each iteration scans the distinct
+    combinations, weighted by count, instead of every row.  Index-coded
+    categorical features repeat heavily, so this is usually far smaller; the
+    sums are the same (up to floating-point rounding)."""
     data = train.select(F.col(features).alias("x"), F.col(label).cast("double").alias("y"))
+    if compress:
+        data = data.groupBy("x", "y").agg(F.count(F.lit(1)).cast("double").alias("w"))
+    else:
+        data = data.withColumn("w", F.lit(1.0))
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         d = num_features if num_features is not None else data.select(F.max(F.size("x"))).first()[0] or 0
@@ -39,9 +50,9 @@ def svm_sgd(train: DataFrame, features: str = "features", label: str = "label",
         for i in range(1, iterations + 1):
             s = F.lit(2.0) * F.col("y") - F.lit(1.0)
             active = F.lit(1.0) > s * dot("x", w)
-            aggs = [F.sum(F.when(active, -s * F.get(F.col("x"), j)).otherwise(F.lit(0.0))).alias(f"g{j}")
+            aggs = [F.sum(F.when(active, -s * F.get(F.col("x"), j) * F.col("w")).otherwise(F.lit(0.0))).alias(f"g{j}")
                     for j in range(d)]
-            row = data.agg(F.count(F.lit(1)).alias("n"), *aggs).first()
+            row = data.agg(F.sum("w").alias("n"), *aggs).first()
             n = row["n"]
             if not n:
                 break
