@@ -169,12 +169,19 @@ def q_path_to_target(spark, sf_dir):
                                         F.size("path").alias("n_pages"))
 
 
+def _fp_partitions(spark):
+    # the reference's 10 is a floor: the partition count of the tree-growing
+    # stage changes no result, and 10 tasks would hold every conditional tree
+    # of a large input
+    return max(PATH_PARTITIONS, spark.sparkContext.defaultParallelism)
+
+
 def _itemsets_out(df):
     return df.select(F.array_join("items", ",").alias("items"), F.col("freq"), F.size("items").alias("size"))
 
 
 def q_path_itemsets(spark, sf_dir):
-    fis = itemsets.frequent_itemsets(_paths(spark, sf_dir), "path", PATH_SUPPORT, PATH_PARTITIONS)
+    fis = itemsets.frequent_itemsets(_paths(spark, sf_dir), "path", PATH_SUPPORT, _fp_partitions(spark))
     return _itemsets_out(fis)
 
 
@@ -185,7 +192,7 @@ def q_frequent_itemsets(spark, sf_dir):
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
     lines = li.join(part, li.l_partkey == part.p_partkey)
     baskets = itemsets.baskets_of(lines, "l_orderkey", "p_brand")
-    return _itemsets_out(itemsets.frequent_itemsets(baskets, "items", BRAND_SUPPORT, PATH_PARTITIONS))
+    return _itemsets_out(itemsets.frequent_itemsets(baskets, "items", BRAND_SUPPORT, _fp_partitions(spark)))
 
 
 # ---------------------------------------------------------------- labels, split, categories, SVM
