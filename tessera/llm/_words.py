@@ -6,13 +6,13 @@ These run inside a Spark task on one Arrow batch at a time.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 
 # an odd multiplier has an inverse modulo 2^64
 _BASE = 0x9E3779B97F4A7C15
-_MASK = (1 << 64) - 1
 
 
 def batches_of(frames: Iterable[pd.DataFrame], column: str, max_chars: int) -> Iterator[pd.DataFrame]:
@@ -20,7 +20,7 @@ def batches_of(frames: Iterable[pd.DataFrame], column: str, max_chars: int) -> I
     for frame in frames:
         if not len(frame):
             continue
-        sizes = frame[column].str.len().fillna(0).to_numpy(dtype=np.int64)
+        sizes = np.array([len(t) if isinstance(t, str) else 0 for t in frame[column]], dtype=np.int64)
         part = (np.cumsum(sizes) - sizes) // max_chars
         for _, piece in frame.groupby(part, sort=False):
             yield piece
@@ -33,50 +33,8 @@ def joined_ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(starts - before, lengths) + np.arange(total, dtype=np.int64)
 
 
-class WordCodes:
-    """Codes of words, computed once for each distinct word and kept up to ``max_words``.
-
-    ``encode`` maps a list of words to their codes as one flat array and the
-    number of codes of each word.
-    """
-
-    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], dtype, max_words: int = 400_000):
-        self._encode, self._dtype, self._max = encode, dtype, max_words
-        self._clear()
-
-    def _clear(self):
-        self._slot: dict[str, int] = {}
-        self._flat = np.empty(0, self._dtype)
-        self._start = np.empty(0, np.int64)
-        self._length = np.empty(0, np.int64)
-
-    def _add(self, words: list[str]):
-        flat, lengths = self._encode(words)
-        starts = len(self._flat) + np.cumsum(lengths) - lengths
-        first = len(self._slot)
-        self._slot.update(zip(words, range(first, first + len(words)), strict=True))
-        self._flat = np.concatenate([self._flat, flat.astype(self._dtype)])
-        self._start = np.concatenate([self._start, starts])
-        self._length = np.concatenate([self._length, lengths])
-
-    def encode(self, documents: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-        """Codes of all documents as one flat array, and the number of codes of each document."""
-        counts = np.array([len(d) for d in documents], dtype=np.int64)
-        words = [w for d in documents for w in d]
-        new = [w for w in dict.fromkeys(words) if w not in self._slot]
-        if len(self._slot) + len(new) > self._max:
-            self._clear()
-            new = list(dict.fromkeys(words))
-        if new:
-            self._add(new)
-        slots = np.fromiter(map(self._slot.__getitem__, words), dtype=np.int64, count=len(words))
-        lengths = self._length[slots]
-        ends = np.concatenate([[0], np.cumsum(lengths)])
-        bounds = np.concatenate([[0], np.cumsum(counts)])
-        return self._flat[joined_ranges(self._start[slots], lengths)], np.diff(ends[bounds])
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+@lru_cache(maxsize=1)
+def _power_table(n: int) -> tuple[np.ndarray, np.ndarray]:
     with np.errstate(over="ignore"):
         up = np.full(n + 1, _BASE, np.uint64)
         up[0] = 1
@@ -85,6 +43,12 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
         return np.multiply.accumulate(up), np.multiply.accumulate(down)
 
 
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n + 1 powers of the base and of its inverse modulo 2^64."""
+    up, down = _power_table(1 << max(20, n.bit_length()))
+    return up[:n + 1], down[:n + 1]
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit values (a fixed one-to-one map)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -121,8 +85,71 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
+def cut_documents(cuts: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words of documents laid out as by ``text_bytes``: each begins where
+    ``cuts`` holds and at the start of a document.  Starts, ends, and the
+    number of words of each document."""
+    if len(cuts):
+        cuts[starts[:-1]] = True
+        cuts[starts[1:] - 1] = True  # the zero byte after a document
+    at = np.flatnonzero(cuts)
+    closing = np.isin(at, starts[1:] - 1, assume_unique=True)
+    ends = np.append(at[1:], len(cuts))
+    document = np.searchsorted(starts, at, side="right") - 1
+    return at[~closing], ends[~closing], np.bincount(document[~closing], minlength=len(starts) - 1)
+
+
 def word_ranges(data: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Start and end of the maximal runs of bytes for which the 256-entry table ``is_word`` holds."""
     inside = np.concatenate([[False], is_word[data], [False]])
     edges = np.flatnonzero(inside[1:] != inside[:-1])
     return edges[0::2], edges[1::2]
+
+
+class WordCodes:
+    """Codes of words, computed once for each distinct word and kept up to ``max_words``.
+
+    ``encode`` takes the words as ranges of a byte array.  Equal words are
+    found by 64-bit hashes of their bytes; ``encode_words`` gets the new ones
+    and returns their codes as one flat array and the number of codes of each.
+    """
+
+    def __init__(self, encode_words: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], dtype,
+                 max_words: int = 600_000):
+        self._encode, self._dtype, self._max = encode_words, dtype, max_words
+        self._clear()
+
+    def _clear(self):
+        self._hash = np.empty(0, np.uint64)  # sorted
+        self._slot = np.empty(0, np.int64)
+        self._flat = np.empty(0, self._dtype)
+        self._start = np.empty(0, np.int64)
+        self._length = np.empty(0, np.int64)
+
+    def _add(self, hashes: np.ndarray, words: list[bytes]):
+        flat, lengths = self._encode(words)
+        at = np.searchsorted(self._hash, hashes)
+        self._hash = np.insert(self._hash, at, hashes)
+        self._slot = np.insert(self._slot, at, len(self._start) + np.arange(len(words)))
+        self._start = np.concatenate([self._start, len(self._flat) + np.cumsum(lengths) - lengths])
+        self._flat = np.concatenate([self._flat, flat.astype(self._dtype)])
+        self._length = np.concatenate([self._length, lengths])
+
+    def encode(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray,
+               counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Codes of all words as one flat array, and the number of codes of
+        each document; ``counts`` holds the words of each document."""
+        distinct, first, inverse = np.unique(range_hashes(data, starts, ends), return_index=True, return_inverse=True)
+        new = np.flatnonzero(~np.isin(distinct, self._hash, assume_unique=True))
+        if len(self._hash) + len(new) > self._max:
+            self._clear()
+            new = np.arange(len(distinct))
+        if len(new):
+            raw = data.tobytes()
+            at = first[new]
+            self._add(distinct[new], [raw[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)])
+        slots = self._slot[np.searchsorted(self._hash, distinct)][inverse]
+        lengths = self._length[slots]
+        total = np.concatenate([[0], np.cumsum(lengths)])
+        bounds = np.concatenate([[0], np.cumsum(counts)])
+        return self._flat[joined_ranges(self._start[slots], lengths)], np.diff(total[bounds])

@@ -11,12 +11,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import sentencepiece_codec, sharding, url_filter
+from . import decontaminate, language_id, sentencepiece_codec, sharding, token_files, url_filter
 
 # fixed values: host, path, verdict of the URL rules
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
              ("net", "/es/", "block"), ("net", "/fr/", "block")]
 SHARDS = 8
+END_ID = 2
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +35,12 @@ def op2_sharding(spark, sf_dir):
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op4_decontamination(spark, sf_dir):
+    found = decontaminate.search_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+                        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
+
+
 def op5_sentencepiece(spark, sf_dir):
     coded = sentencepiece_codec.encode_decode(table(spark, sf_dir, "documents"),
                                               public_tokenizers.path("piece_bpe_32k.model"))
@@ -42,6 +49,17 @@ def op5_sentencepiece(spark, sf_dir):
                         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op6_language_id(spark, sf_dir):
+    return language_id.predict_languages(table(spark, sf_dir, "documents"))
+
+
+def op8_token_files(spark, sf_dir):
+    manifest = token_files.write_token_files(table(spark, sf_dir, "documents"),
+                                             public_tokenizers.path("byte_bpe_50k.json"), END_ID)
+    read = token_files.read_token_files(spark, manifest)
+    return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 QUERIES = {name: fn for name, fn in sorted(globals().items()) if name.startswith("op") and callable(fn)}
 
 _RULES_SQL = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
@@ -64,4 +82,30 @@ ORACLE_SQL = {
             GROUP BY host, path)
         SELECT page_id, p.host, p.path, rule, coalesce(verdict, 'allow') AS verdict
         FROM parts p LEFT JOIN best b ON p.host = b.host AND p.path = b.path""",
+    "op4_decontamination": r"""
+        WITH dw AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+        iw AS (
+            SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+        strings AS (
+            SELECT DISTINCT item_id, s, len(s) AS n FROM (
+                SELECT item_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 10 THEN [w]
+                       ELSE list_transform(range(1, len(w) - 8), lambda i: w[i:i + 9]) END) AS s FROM iw)),
+        lengths AS (SELECT DISTINCT n FROM strings),
+        runs AS (
+            SELECT doc_id, n, p, w[p:p + n - 1] AS s
+            FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM dw, lengths)),
+        hits AS (SELECT doc_id, item_id, p, r.n FROM runs r JOIN strings t ON r.n = t.n AND r.s = t.s),
+        marked AS (
+            SELECT doc_id, count(DISTINCT q) AS n_hit
+            FROM (SELECT doc_id, unnest(range(p, p + n)) AS q FROM hits) GROUP BY doc_id),
+        listed AS (
+            SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+            FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits WHERE item_id IS NOT NULL)
+            GROUP BY doc_id)
+        SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM dw d LEFT JOIN marked m ON d.doc_id = m.doc_id LEFT JOIN listed l ON d.doc_id = l.doc_id""",
 }

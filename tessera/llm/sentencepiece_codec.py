@@ -24,8 +24,7 @@ input are ignored, whatever their names.
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -33,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._words import WordCodes, batches_of, joined_ranges
+from ._words import WordCodes, batches_of, cut_documents, joined_ranges, text_bytes
 
 MARK = "▁"
 NO_RANK = np.iinfo(np.int32).max
@@ -79,10 +78,14 @@ class PieceModel:
             elif not sp.is_control(i):
                 self.surface[i] = sp.id_to_piece(i).replace(MARK, " ").encode()
         self.opens = {i for p, i in pieces.items() if p.startswith(MARK)}
-        self.words = re.compile(f"{MARK}{{{self.mark_block}}}(?={MARK})|{MARK}+[^{MARK}]*")
 
-    def split(self, text: str) -> list[str]:
-        return self.words.findall(MARK + text.replace(" ", MARK)) if text else []
+    def words(self, texts: Iterable[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The texts with blanks for marks as bytes; start and end of each word, and the words of each text."""
+        data, starts = text_bytes(" " + t.replace(MARK, " ") if isinstance(t, str) and t else "" for t in texts)
+        blank = data == 32
+        ix = np.arange(len(data))
+        run = np.maximum.accumulate(np.where(blank & ~np.concatenate([[False], blank[:-1]]), ix, 0))
+        return data, *cut_documents(blank & ((ix - run) % self.mark_block == 0), starts)
 
     def _pairs(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank and merged piece of symbol pairs; NO_RANK where there is no merge."""
@@ -92,9 +95,10 @@ class PieceModel:
         hit = self.pair_keys[at] == keys
         return np.where(hit, self.pair_rank[at], NO_RANK), self.pair_piece[at]
 
-    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def encode_words(self, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words as one flat array, and the number of ids of each word."""
-        codes = np.frombuffer("".join(words).encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
+        words = [w.decode() for w in raw]
+        codes = np.frombuffer("".join(words).replace(" ", MARK).encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
         word = np.repeat(np.arange(len(words)), [len(w) for w in words])
         at = np.searchsorted(self.char_codes, codes)
         at[at == len(self.char_codes)] = 0
@@ -197,7 +201,7 @@ def encode_decode(docs: DataFrame, model_file: str, id_col: str = "doc_id", text
         model = load_model(model_file)
         codes = WordCodes(model.encode_words, np.int32)
         for frame in batches_of(frames, "text", batch_chars):
-            flat, counts = codes.encode([model.split(t) if isinstance(t, str) else [] for t in frame["text"]])
+            flat, counts = codes.encode(*model.words(frame["text"]))
             ids = np.split(flat, np.cumsum(counts)[:-1])
             yield pd.DataFrame({"id": frame["id"], "ids": ids, "decoded": [model.decode(x.tolist()) for x in ids]})
 

@@ -28,8 +28,7 @@ input are ignored, whatever their names.
 from __future__ import annotations
 
 import os
-import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -38,32 +37,63 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans import scratch_path
-from ._words import WordCodes, batches_of
+from ._words import WordCodes, batches_of, cut_documents, text_bytes
 
 MAGIC = b"TOKIDX01"
 MANIFEST = "part int, folder string, width int, n_docs bigint, n_tokens bigint"
-_CHUNK = re.compile(r"\s*\S+|\s+")
-# separators that Python counts as white space and the pre-tokenizer does not
-_UNSAFE = re.compile("[\x1c-\x1f]")
-
-
-def split_text(text: str) -> list[str]:
-    """Pieces of the text that encode independently of each other."""
-    return [text] if _UNSAFE.search(text) else _CHUNK.findall(text)
-
-
-def _encoder(tokenizer_file: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(tokenizer_file)
-
-    def encode(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        ids = [e.ids for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        lengths = np.array([len(x) for x in ids], dtype=np.int64)
-        return np.fromiter((i for x in ids for i in x), dtype=np.int64, count=int(lengths.sum())), lengths
-
-    return encode, tokenizer.get_vocab_size()
+_BLANK = np.zeros(256, bool)
+_BLANK[[9, 10, 11, 12, 13, 32]] = True
+
+
+def split_words(texts: Iterable[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The texts as bytes, cut before each run of white space into words that
+    encode independently; start and end of each word, and the words of each text.
+
+    A run that may begin with white space outside ASCII is not cut off."""
+    data, starts = text_bytes(texts)
+    padded = np.concatenate([np.zeros(3, np.uint8), data])
+    last, second, third = padded[2:-1], padded[1:-2], padded[:-3]
+    wide = (last >= 0x80) & ((second == 0xC2) | ((third >= 0xE1) & (third <= 0xE3)))
+    return data, *cut_documents(_BLANK[data] & ~_BLANK[last] & ~wide, starts)
+
+
+class TokenizerWords:
+    """Ids of words by the tokenizers library.
+
+    Words that begin with a blank and end in ASCII are joined into a few
+    strings, since the pre-tokenizer parts them again; the lengths of the
+    tokens in bytes tell which belong to which word."""
+
+    def __init__(self, tokenizer_file: str, run: int = 2000):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self._tokenizer, self._run = Tokenizer.from_file(tokenizer_file), run
+        self.vocabulary = self._tokenizer.get_vocab_size()
+        special = {i: len(t.content.encode()) for i, t in self._tokenizer.get_added_tokens_decoder().items()}
+        # a character of a byte-level token stands for one byte
+        self._bytes = np.array([special.get(i, len(self._tokenizer.id_to_token(i) or ""))
+                                for i in range(self.vocabulary)], dtype=np.int64)
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, dtype=np.int64)
+                for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words as one flat array, and the number of ids of each word."""
+        joins = [_BLANK[w[0]] and w[-1] < 0x80 and not _BLANK[w[-1]] for w in words]
+        easy = [w for w, j in zip(words, joins, strict=True) if j]
+        runs = [easy[i:i + self._run] for i in range(0, len(easy), self._run)]
+        flat = np.concatenate([np.empty(0, np.int64), *self._ids([b"".join(r).decode() for r in runs])])
+        ends = np.cumsum([len(w) for w in easy], dtype=np.int64)
+        at = np.cumsum(self._bytes[flat])
+        cuts = np.searchsorted(at, ends)
+        if len(easy) and not np.array_equal(at[cuts], ends):
+            raise ValueError("this tokenizer joins a word with the blank after it")
+        parts = iter(np.split(flat, cuts[:-1] + 1) if len(easy) else [])
+        others = iter(self._ids([w.decode() for w, j in zip(words, joins, strict=True) if not j]))
+        ids = [next(parts) if j else next(others) for j in joins]
+        return np.concatenate([np.empty(0, np.int64), *ids]), np.array([len(x) for x in ids], dtype=np.int64)
 
 
 def _open(folder: str):
@@ -81,9 +111,9 @@ def write_token_files(docs: DataFrame, tokenizer_file: str, end_id: int, folder:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         task = TaskContext.get()
         part, attempt = task.partitionId(), task.taskAttemptId()
-        encode, vocabulary = _encoder(tokenizer_file)
-        width = 2 if max(vocabulary - 1, end_id) < 1 << 16 else 4
-        codes = WordCodes(encode, np.dtype(f"<u{width}"))
+        words = TokenizerWords(tokenizer_file)
+        width = 2 if max(words.vocabulary - 1, end_id) < 1 << 16 else 4
+        codes = WordCodes(words.encode, np.dtype(f"<u{width}"))
         store, base = _open(folder)
         store.create_dir(base, recursive=True)
         counts, ids, missing = [], [], []
@@ -91,7 +121,7 @@ def write_token_files(docs: DataFrame, tokenizer_file: str, end_id: int, folder:
         stream = None
         for frame in batches_of(frames, "text", batch_chars):
             stream = stream or store.open_output_stream(f"{own}.tok")
-            flat, n = codes.encode([split_text(t) if isinstance(t, str) else [] for t in frame["text"]])
+            flat, n = codes.encode(*split_words(frame["text"]))
             ends = np.cumsum(n)
             stream.write(np.insert(flat, ends, end_id).astype(f"<u{width}").tobytes())
             counts.append(n + 1)

@@ -110,8 +110,9 @@ def judge_urls(pages: DataFrame, listed: DataFrame, id_col: str = "page_id", url
     hits = _possible_hits(candidates, entries.select("key"), blocks).join(exact, "key")
     best = hits.groupBy("host", "path").agg(
         F.max_by(F.struct("key", "verdict"), F.struct(F.length("key"), F.col("key"))).alias("won"))
-    # written: the join back then shuffles two plain tables, which AQE can split at a hot URL
-    judged = write_through(best.select("host", "path", "won.key", "won.verdict"), "urls")
+    # written: the join back then shuffles two plain tables, which AQE can split at a hot URL; never broadcast,
+    # since it grows with the pages
+    judged = write_through(best.select("host", "path", "won.key", "won.verdict"), "urls").hint("merge")
     return (rows.join(judged, ["host", "path"], "left")
             .select(id_col, "host", "path", F.col("key").alias("rule"),
                     F.coalesce("verdict", F.lit(default)).alias("verdict")))
