@@ -11,7 +11,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language_id, sentencepiece_codec, sharding, token_files, url_filter
+from . import (decontaminate, language_id, lz_fingerprint, sentencepiece_codec, sharding, token_files, url_filter,
+               warc_audit)
+from ..plans import write_through
 
 # fixed values: host, path, verdict of the URL rules
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
@@ -60,6 +62,28 @@ def op8_token_files(spark, sf_dir):
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op9_lz_fingerprints(spark, sf_dir):
+    return lz_fingerprint.compare_with_edits(table(spark, sf_dir, "documents"))
+
+
+def op10_warc_audit(spark, sf_dir):
+    # a second replica derived from the table: one page in 40 has its first byte changed, as many are lost; it
+    # keeps the places of the original, where a changed byte moves nothing and a lost record leaves a gap
+    fate = F.conv(F.substr(F.md5(F.concat(F.lit("fate"), F.coalesce(F.col("page_id").cast("string"), F.lit("")))
+                                 .cast("binary")), F.lit(1), F.lit(8)), 16, 10).cast("bigint") % 40
+    html = F.when(fate == 0, F.concat(F.lit("X"), F.substr("html", F.lit(2)))).otherwise(F.col("html"))
+    there = F.sha2(warc_audit.record_text(F.col("page_id"), F.col("url"), html).cast("binary"), 256)
+    laid = write_through(warc_audit.lay_out(table(spark, sf_dir, "pages"), extra={"copy": there, "lost": fate == 1}),
+                         "layout")
+    replica = laid.where(~F.col("lost")).drop("digest").withColumnRenamed("copy", "digest")
+    located = warc_audit.audit(laid, replica)
+    status = F.coalesce("status", F.lit("same"))
+    return (laid.join(located, warc_audit.PLACE, "left")
+            .select("page_id", "file", "record_offset", "n_bytes", F.col("digest").alias("sha256"),
+                    F.when(status == "same", F.col("digest")).otherwise(F.col("there")).alias("replica_sha256"),
+                    status.alias("status")))
+
+
 QUERIES = {name: fn for name, fn in sorted(globals().items()) if name.startswith("op") and callable(fn)}
 
 _RULES_SQL = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
@@ -108,4 +132,31 @@ ORACLE_SQL = {
         SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
                sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM dw d LEFT JOIN marked m ON d.doc_id = m.doc_id LEFT JOIN listed l ON d.doc_id = l.doc_id""",
+    "op10_warc_audit": r"""
+        WITH fates AS (
+            SELECT *, ('0x' || substr(md5('fate' || coalesce(page_id::VARCHAR, '')), 1, 8))::BIGINT % 40 AS fate
+            FROM pages),
+        bodies AS (
+            SELECT *, coalesce(html, '') AS body,
+                   coalesce(CASE WHEN fate = 0 THEN 'X' || substr(html, 2) ELSE html END, '') AS copy FROM fates),
+        heads AS (
+            SELECT *, 'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10)
+                   || 'WARC-Record-ID: <urn:page:' || coalesce(page_id::VARCHAR, '') || '>' || chr(13) || chr(10)
+                   || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10)
+                   || 'Content-Type: text/html' || chr(13) || chr(10) || 'Content-Length: ' AS head,
+                   chr(13) || chr(10) || chr(13) || chr(10) AS gap FROM bodies),
+        records AS (
+            SELECT page_id, fate, head || strlen(body) || gap || body || gap AS one,
+                   head || strlen(copy) || gap || copy || gap AS two FROM heads),
+        hashed AS (
+            SELECT page_id, fate, strlen(one)::BIGINT AS n_bytes, sha256(one) AS sha256, sha256(two) AS there
+            FROM records),
+        placed AS (
+            SELECT *, (('0x' || substr(md5(sha256), 1, 8))::BIGINT % (SELECT greatest(1, (sum(n_bytes) + 16777215) // 16777216)
+                       FROM hashed))::INTEGER AS file FROM hashed)
+        SELECT page_id, file, coalesce(sum(n_bytes) OVER (PARTITION BY file ORDER BY page_id NULLS FIRST, sha256
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS record_offset, n_bytes, sha256,
+               CASE WHEN fate != 1 THEN there END AS replica_sha256,
+               CASE WHEN fate = 1 THEN 'missing' WHEN there != sha256 THEN 'changed' ELSE 'same' END AS status
+        FROM placed""",
 }
