@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (decontaminate, language_id, lz_fingerprint, sentencepiece_codec, sharding, token_files, url_filter,
+from . import (decontaminate, jaccard_join, language_id, lz_fingerprint, sentencepiece_codec, sharding, token_files, url_filter,
                warc_audit)
 from ..plans import write_through
 
@@ -55,6 +55,11 @@ def op6_language_id(spark, sf_dir):
     return language_id.predict_languages(table(spark, sf_dir, "documents"))
 
 
+def op7_jaccard_join(spark, sf_dir):
+    return jaccard_join.join_documents(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_shingles", "component_id", "n_links")
+
+
 def op8_token_files(spark, sf_dir):
     manifest = token_files.write_token_files(table(spark, sf_dir, "documents"),
                                              public_tokenizers.path("byte_bpe_50k.json"), END_ID)
@@ -132,6 +137,23 @@ ORACLE_SQL = {
         SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
                sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM dw d LEFT JOIN marked m ON d.doc_id = m.doc_id LEFT JOIN listed l ON d.doc_id = l.doc_id""",
+    "op7_jaccard_join": r"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        sets AS (
+            SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [w]
+                   ELSE list_transform(range(1, len(w) - 1), lambda i: w[i:i + 2]) END) AS s FROM words),
+        members AS (SELECT doc_id, len(s) AS n, hash(unnest(s)) AS h FROM sets),
+        pairs AS (
+            SELECT a.doc_id AS x, b.doc_id AS y FROM members a JOIN members b ON a.h = b.h AND a.doc_id != b.doc_id
+            GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+        reach(x, y) AS (
+            SELECT doc_id, doc_id FROM sets UNION SELECT r.x, p.y FROM reach r JOIN pairs p ON r.y = p.x),
+        least AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x),
+        counts AS (SELECT x, count(*) AS n_links FROM pairs GROUP BY x)
+        SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, component_id, coalesce(n_links, 0) AS n_links
+        FROM sets s JOIN least l ON s.doc_id = l.x LEFT JOIN counts c ON s.doc_id = c.x""",
     "op10_warc_audit": r"""
         WITH fates AS (
             SELECT *, ('0x' || substr(md5('fate' || coalesce(page_id::VARCHAR, '')), 1, 8))::BIGINT % 40 AS fate

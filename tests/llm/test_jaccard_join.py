@@ -1,0 +1,95 @@
+"""The join against all pairs on small tables."""
+
+import random
+import re
+
+import numpy as np
+from tessera.llm import jaccard_join as J
+
+WORD = re.compile("[^\x20\x09-\x0D]+")
+LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+
+
+def shingles(text):
+    w = WORD.findall((text or "").translate(LOWER))
+    return {tuple(w[i:i + 3]) for i in range(len(w) - 2)} if len(w) > 2 else {tuple(w)} if w else set()
+
+
+def brute(rows):
+    sets = [shingles(t) for _, t in rows]
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    links = [0] * len(rows)
+    for i in range(len(rows)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both and 100 * both >= 90 * len(sets[i] | sets[j]):
+                links[i] += 1
+                links[j] += 1
+                root[find(i)] = find(j)
+    least = {}
+    for i, (d, _) in enumerate(rows):
+        if d is not None:
+            least[find(i)] = min(d, least.get(find(i), d))
+    return sorted(((d, len(s), least.get(find(i)), n) for i, ((d, _), s, n) in
+                   enumerate(zip(rows, sets, links, strict=True))), key=repr)
+
+
+def got(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def family_rows():
+    rnd = random.Random(3)
+    words = [f"w{i}" for i in range(60)]
+    rows = []
+    for base in range(12):
+        text = rnd.choices(words, k=rnd.choice([1, 2, 3, 9, 12, 14, 22, 40, 150, 400]))
+        for _ in range(rnd.choice([1, 5, 30])):
+            copy = list(text)
+            for _ in range(rnd.choice([0, 0, 1, 1, 2, 4, 8])):
+                copy[rnd.randrange(len(copy))] = rnd.choice(words)
+            if rnd.random() < 0.2:
+                copy = copy[:rnd.randrange(1, len(copy) + 1)]
+            rows.append((len(rows), " ".join(copy)))
+    # sets of 10 to 20 shingles that differ in one
+    for n in range(10, 24):
+        text = rnd.choices(words, k=n + 2)
+        rows += [(len(rows), " ".join(text)), (len(rows) + 1, " ".join(text[1:])), (len(rows) + 2, " ".join([*text, "x"]))]
+    rnd.shuffle(rows)
+    return rows
+
+
+def test_matches_all_pairs(spark, documents):
+    rows = family_rows()
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    want = brute(rows)
+    assert got(J.join_documents(df)) == want
+    assert got(J.join_documents(df, block_sets=7, batch_chars=3000)) == want
+    real = [(r.doc_id, r.text) for r in documents.select("doc_id", "text").collect()]
+    assert got(J.join_documents(documents)) == brute(real)
+
+
+def test_awkward_rows(awkward, no_docs):
+    assert got(J.join_documents(awkward)) == brute([(r.doc_id, r.text) for r in awkward.collect()])
+    assert J.join_documents(no_docs).count() == 0
+
+
+def test_linked_sets_agree_in_a_fragment():
+    rnd = np.random.default_rng(1)
+    t = J.Threshold(90, 100)
+    for _ in range(3000):
+        n = int(rnd.integers(1, 60))
+        one = np.unique(rnd.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2))
+        drop = int(rnd.integers(0, 4))
+        other = np.unique(np.concatenate([one[drop:], rnd.integers(0, 1 << 63, int(rnd.integers(0, 3)), dtype=np.uint64)]))
+        if not len(other) or not t.holds(len(np.intersect1d(one, other)), len(one), len(other)):
+            continue
+        a, _ = J.fragment_hashes(one, np.array([len(one)]), t)
+        b, _ = J.fragment_hashes(other, np.array([len(other)]), t)
+        assert len(np.intersect1d(a, b))
