@@ -243,10 +243,11 @@ def join_documents(docs: DataFrame, shingle: int = 3, part: int = 90, whole: int
                    text_col: str = "text", block_shingles: int = 500_000, block_sets: int = 1500,
                    batch_chars: int = 4_000_000) -> DataFrame:
     """``id, n_shingles, component_id, n_links`` of every document: the size of its set, the least id reachable
-    by links, and the number of documents it is linked with."""
+    by links, and the number of documents it is linked with; also ``row``, a hash of its id and text, and
+    ``component``, a key of its component (NULL for an empty set)."""
     threshold = Threshold(part, whole)
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    rows = rows.withColumn("row", F.xxhash64("id", "text"))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"),
+                       _row_hash(id_col, text_col).alias("row"))
     kind = rows.schema["id"].dataType.simpleString()
 
     def keys(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -284,9 +285,27 @@ def join_documents(docs: DataFrame, shingle: int = 3, part: int = 90, whole: int
                         .select("k1", "k2", "first", F.coalesce("root", "node").alias("root"),
                                 (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "components")
     least = own.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = write_through(own.join(least, "root").select("k1", "k2", "component_id", "n_links"), "components")
+    named = write_through(own.join(least, "root").select("k1", "k2", "root", "component_id", "n_links"), "components")
     empty = F.col("n") == 0
     return narrow.join(named, ["k1", "k2"], "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
         F.when(empty, F.col("id")).otherwise(F.col("component_id")).alias("component_id"),
-        F.coalesce("n_links", F.lit(0)).alias("n_links"))
+        F.coalesce("n_links", F.lit(0)).alias("n_links"), "row", F.col("root").alias("component"))
+
+
+def _row_hash(id_col: str, text_col: str):
+    return F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`").cast("string"))
+
+
+def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` with one of each component: the smallest id, then the smallest hash of id and text."""
+    found = join_documents(docs, id_col=id_col, text_col=text_col, **options)
+    linked = found.where("component IS NOT NULL").groupBy("component").agg(
+        F.min_by("row", F.struct(F.col(id_col).isNull(), F.col(id_col), F.col("row"))).alias("row"))
+    # written: a plain table on both sides of the join below
+    chosen = write_through(linked.select("row").unionByName(found.where("component IS NULL").select("row")).distinct(),
+                           "chosen")
+    wrapped = docs.select(_row_hash(id_col, text_col).alias("row"), F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+                          .alias("columns"))
+    # rows equal in id and text are one document here
+    return wrapped.join(chosen, "row").dropDuplicates(["row"]).select("columns.*")

@@ -11,8 +11,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (decontaminate, jaccard_join, language_id, lz_fingerprint, sentencepiece_codec, sharding, token_files, url_filter,
-               warc_audit)
+from . import (decontaminate, jaccard_join, language_id, lz_fingerprint, sentencepiece_codec, sharding, suffix_dedup,
+               token_files, url_filter, warc_audit)
 from ..plans import write_through
 
 # fixed values: host, path, verdict of the URL rules
@@ -37,6 +37,10 @@ def op2_sharding(spark, sf_dir):
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op3_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op4_decontamination(spark, sf_dir):
     found = decontaminate.search_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),

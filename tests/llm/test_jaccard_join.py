@@ -41,7 +41,8 @@ def brute(rows):
 
 
 def got(df):
-    return sorted((tuple(r) for r in df.collect()), key=repr)
+    rows = df.select("doc_id", "n_shingles", "component_id", "n_links").collect()
+    return sorted((tuple(r) for r in rows), key=repr)
 
 
 def family_rows():
@@ -80,6 +81,16 @@ def test_awkward_rows(awkward, no_docs):
     assert J.join_documents(no_docs).count() == 0
 
 
+def test_one_of_each_group(spark, awkward):
+    kept = J.one_of_each_group(awkward)
+    assert kept.columns == awkward.columns
+    assert sorted((r.doc_id, r.text) for r in kept.collect() if r.doc_id is not None and r.doc_id in (5, 6, 7, 8)) == sorted(
+        (r.doc_id, r.text) for r in awkward.collect() if r.doc_id in (5, 7, 8))
+    rows = family_rows()
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert {r.doc_id for r in J.one_of_each_group(df).collect()} == {r[2] for r in brute(rows)}
+
+
 def test_linked_sets_agree_in_a_fragment():
     rnd = np.random.default_rng(1)
     t = J.Threshold(90, 100)
