@@ -240,7 +240,7 @@ def _count_links(size: int, threshold: Threshold):
 
 
 def join_documents(docs: DataFrame, shingle: int = 3, part: int = 90, whole: int = 100, id_col: str = "doc_id",
-                   text_col: str = "text", block_shingles: int = 500_000, block_sets: int = 1500,
+                   text_col: str = "text", block_shingles: int = 500_000, block_sets: int = 256,
                    batch_chars: int = 4_000_000) -> DataFrame:
     """``id, n_shingles, component_id, n_links`` of every document: the size of its set, the least id reachable
     by links, and the number of documents it is linked with; also ``row``, a hash of its id and text, and
