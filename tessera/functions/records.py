@@ -30,18 +30,22 @@ def hash_bucket(key: Column | str, buckets: int = 10) -> Column:
 
 def composite_record(key: Column | str, features: Column | str, label: Column | str,
                      field_sep: str = ",", item_sep: str = "::") -> Column:
-    """Export form ``key,f0::f1::...,label``."""
-    return F.concat_ws(field_sep, _c(key).cast("string"),
-                       F.array_join(_c(features), item_sep), _c(label).cast("string"))
+    """Export form ``key,f0::f1::...,label``; a NULL part is written as ``null``, so every
+    record has three fields and every feature keeps its place."""
+    text = lambda c: F.coalesce(_c(c).cast("string"), F.lit("null"))
+    items = F.coalesce(F.array_join(_c(features), item_sep, "null"), F.lit("null"))
+    return F.concat_ws(field_sep, text(key), items, text(label))
 
 
 def parse_composite_record(record: Column | str, field_sep: str = ",", item_sep: str = "::"):
-    """Inverse of :func:`composite_record`: (key, features array, label) columns."""
-    parts = F.split(_c(record), field_sep)
-    key = F.get(parts, 0)
-    label = F.element_at(parts, -1)
-    features = F.split(F.get(parts, 1), item_sep)
-    return key, features, label
+    """Inverse of :func:`composite_record`: (key, features array, label) columns.  The separators are
+    taken as plain text; a record has exactly three fields, the last one takes the rest."""
+    parts = F.split(_c(record), _quoted(field_sep), 3)
+    return F.get(parts, 0), F.split(F.get(parts, 1), _quoted(item_sep), -1), F.get(parts, 2)
+
+
+def _quoted(sep: str) -> str:
+    return "\\Q" + sep + "\\E"
 
 
 def year_range(ts: Column | str, year: int) -> Column:

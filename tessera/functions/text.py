@@ -39,6 +39,12 @@ def _cjk_tokens(t: Column) -> Column:
     ).otherwise(F.array(r))))
 
 
+def _per_row(cjk_bigrams: bool | Column, cjk: Column, plain: Column) -> Column:
+    if isinstance(cjk_bigrams, Column):
+        return F.when(cjk_bigrams, cjk).otherwise(plain)
+    return cjk if cjk_bigrams else plain
+
+
 def word_tokens(text: Column | str, cjk_bigrams: bool | Column = False) -> Column:
     """Ordered array of lower-case word tokens (length >= 2) of ``text``.
 
@@ -46,14 +52,7 @@ def word_tokens(text: Column | str, cjk_bigrams: bool | Column = False) -> Colum
     rows whose Han/Kana/Hangul runs become overlapping bigrams.
     """
     t = F.lower(_col(text))
-    plain = F.regexp_extract_all(t, F.lit(WORD_PATTERN), 0)
-    if isinstance(cjk_bigrams, Column):
-        return F.when(cjk_bigrams, _cjk_tokens(t)).otherwise(plain)
-    if cjk_bigrams is False:
-        return plain
-    if cjk_bigrams is True:
-        return _cjk_tokens(t)
-    return F.when(cjk_bigrams, _cjk_tokens(t)).otherwise(plain)
+    return _per_row(cjk_bigrams, _cjk_tokens(t), F.regexp_extract_all(t, F.lit(WORD_PATTERN), 0))
 
 
 def has_word(text: Column | str, cjk_bigrams: bool | Column = False) -> Column:
@@ -62,14 +61,7 @@ def has_word(text: Column | str, cjk_bigrams: bool | Column = False) -> Column:
     tokens themselves and keeps the token expression out of filters (where
     it would be evaluated once more)."""
     t = F.lower(_col(text))
-    plain = t.rlike(WORD_PATTERN)
-    if isinstance(cjk_bigrams, Column):
-        return F.when(cjk_bigrams, t.rlike(_RUNS)).otherwise(plain)
-    if cjk_bigrams is False:
-        return plain
-    if cjk_bigrams is True:
-        return t.rlike(_RUNS)
-    return F.when(cjk_bigrams, t.rlike(_RUNS)).otherwise(plain)
+    return _per_row(cjk_bigrams, t.rlike(_RUNS), t.rlike(WORD_PATTERN))
 
 
 def whitespace_tokens(text: Column | str, min_length: int = 2) -> Column:

@@ -15,9 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.records import composite_record, labeled_line, parse_composite_record
-from .functions.text import CJK_LANGS, whitespace_tokens
+from .functions.text import CJK_LANGS, join_tokens, whitespace_tokens
 from .operators import categories, itemsets, keywords, relational, svm, trails
-from .plans.partitioning import spread
+from .plans.checkpoint import write_through
 from .sources.delimited import lines_from_columns, parse_delimited
 from .sources.json_docs import map_to_json, parse_json_column, read_json_column, required_json_fields
 
@@ -27,6 +27,7 @@ NEEDLE = "license"
 YEAR = 1995
 BUYER_STATUS = "F"
 TARGET_PAGE = "purchase"
+JSON_TARGET, JSON_SHOW = "recommend", "pageshow"
 PATH_SUPPORT = 0.2
 PATH_PARTITIONS = 10
 BRAND_SUPPORT = 0.02
@@ -97,6 +98,11 @@ def q_year_text_filter(spark, sf_dir):
         "o_orderkey", "o_custkey", "o_orderdate")
 
 
+def q_year_locate_filter(spark, sf_dir):
+    return relational.year_filter(table(spark, sf_dir, "orders"), "o_orderdate", YEAR, mode="text").select(
+        "o_orderkey", "o_custkey", "o_orderdate")
+
+
 # ---------------------------------------------------------------- text
 
 def _cjk():
@@ -107,9 +113,9 @@ def _doc_tokens(spark, sf_dir):
     return keywords.prepare_documents(table(spark, sf_dir, "documents"), "doc_id", "text", cjk_bigrams=_cjk())
 
 
-def _tc_and_m(spark, sf_dir):
+def _terms_and_m(spark, sf_dir, buckets=None):
     prepared = _doc_tokens(spark, sf_dir)
-    return keywords.term_counts(prepared), keywords.document_count(prepared)
+    return keywords.term_rows(prepared, buckets), keywords.document_count(prepared)
 
 
 def q_word_count_top20(spark, sf_dir):
@@ -117,28 +123,25 @@ def q_word_count_top20(spark, sf_dir):
 
 
 def q_idf(spark, sf_dir):
-    tc, m = _tc_and_m(spark, sf_dir)
-    return keywords.inverse_document_frequency(tc, m).select("word", "df", F.round("idf", 6).alias("idf"))
+    terms, m = _terms_and_m(spark, sf_dir)
+    return keywords.inverse_document_frequency(terms, m).select("word", "df", F.round("idf", 6).alias("idf"))
 
 
 def q_tfidf(spark, sf_dir):
-    tc, m = _tc_and_m(spark, sf_dir)
-    return keywords.tfidf(tc, m).select(F.col("doc").alias("doc_id"), "word", "tf",
-                                     F.round("tfidf", 6).alias("tfidf"))
+    terms, m = _terms_and_m(spark, sf_dir)
+    return keywords.tfidf(terms, m).select(F.col("doc").alias("doc_id"), "word", "tf",
+                                           F.round("tfidf", 6).alias("tfidf"))
 
 
 def q_doc_keyword(spark, sf_dir):
-    tc, m = _tc_and_m(spark, sf_dir)
-    return keywords.doc_keyword(keywords.tfidf(tc, m)).select(F.col("doc").alias("doc_id"), "word", "score")
+    terms, m = _terms_and_m(spark, sf_dir)
+    return keywords.doc_keyword(keywords.tfidf(terms, m)).select(F.col("doc").alias("doc_id"), "word", "score")
 
 
 def q_tfidf_hashed(spark, sf_dir):
-    from pyspark.ml.functions import vector_to_array
-
-    out = keywords.tfidf_hashed(_doc_tokens(spark, sf_dir), HASH_BUCKETS)
-    arr = vector_to_array("feature")
-    return out.select(F.col("doc").alias("doc_id"), F.size("words").alias("n_words"),
-                      F.size(F.filter(arr, lambda x: x != 0)).alias("n_buckets"))
+    terms, m = _terms_and_m(spark, sf_dir, HASH_BUCKETS)
+    return keywords.tfidf(terms, m).select(F.col("doc").alias("doc_id"), F.col("word").alias("bucket"), "tf",
+                                           F.round("tfidf", 6).alias("tfidf"))
 
 
 def q_text_tokens(spark, sf_dir):
@@ -151,15 +154,13 @@ def q_tokens_joined(spark, sf_dir):
 
 def q_whitespace_tokens(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
-    return d.where(F.col("text").isNotNull()).select("doc_id", F.size(whitespace_tokens("text")).alias("n_words"))
+    return d.where(F.col("text").isNotNull()).select("doc_id", join_tokens(whitespace_tokens("text")).alias("words"))
 
 
 # ---------------------------------------------------------------- trails and itemsets
 
 def _paths(spark, sf_dir):
-    # spread by user (only when under-split): both group-bys of the job are
-    # then satisfied by that partitioning and need no further shuffle
-    ev = spread(table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type"), ["user_id"])
+    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
     ev = ev.withColumn("day", F.to_date("ts"))
     return trails.path_to_target(ev, ["user_id", "day"], "ts", "event_type", TARGET_PAGE, order_col="event_id")
 
@@ -169,6 +170,41 @@ def q_path_to_target(spark, sf_dir):
                                         F.size("path").alias("n_pages"))
 
 
+def _json_trails(spark, sf_dir):
+    """A short JSON trail per event row, built from its own columns: a header, two page shows around an
+    event whose type varies, then the target or another page; one row in ten is cut off in the middle."""
+    ev = table(spark, sf_dir, "events")
+    n = F.col("event_id")
+
+    def step(page, kind):
+        feet = F.struct(page.alias("page"), kind.alias("type"))
+        return F.to_json(F.struct(F.col("ts").cast("string").alias("t"), feet.alias("feet")))
+
+    show = F.lit(JSON_SHOW)
+    last = F.when(n % 4 == 0, F.lit("end")).otherwise(F.lit(JSON_TARGET))
+    steps = [step(F.col("event_type"), show),
+             step(F.concat(F.lit("p"), (n % 3).cast("string")), F.when(n % 3 == 0, F.lit("click")).otherwise(show)),
+             step(F.when(n % 2 == 0, F.substring("event_type", 1, 4)).otherwise(F.col("event_type")), show),
+             step(last, show), step(F.lit("after"), show)]
+    whole = F.concat(F.lit('[{"uid":0},'), F.concat_ws(",", *steps), F.lit("]"))
+    text = F.when(n % 10 == 9, F.substring(whole, 1, 60)).otherwise(whole)
+    return ev.select("event_id", "user_id", text.alias("feet"))
+
+
+def q_trail_events(spark, sf_dir):
+    return trails.trail_events(_json_trails(spark, sf_dir), "feet", keep=["event_id"]).select(
+        "event_id", "step", "page", "type", F.col("t").isNotNull().alias("timed"))
+
+
+def q_path_to_target_json(spark, sf_dir):
+    js = _json_trails(spark, sf_dir)
+    both = []
+    for dedup in ("exact", "substring"):
+        paths = trails.path_to_target_json(js, "feet", JSON_TARGET, JSON_SHOW, keep=["event_id"], dedup=dedup)
+        both.append(paths.select("event_id", F.lit(dedup).alias("dedup"), F.array_join("path", ",").alias("path")))
+    return both[0].unionByName(both[1])
+
+
 def _fp_partitions(spark):
     # the reference's 10 is a floor: the partition count of the tree-growing
     # stage changes no result, and 10 tasks would hold every conditional tree
@@ -186,9 +222,7 @@ def q_path_itemsets(spark, sf_dir):
 
 
 def q_frequent_itemsets(spark, sf_dir):
-    # spread by order (only when under-split): the basket group-by is then
-    # satisfied by that partitioning
-    li = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey"), ["l_orderkey"])
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
     lines = li.join(part, li.l_partkey == part.p_partkey)
     baskets = itemsets.baskets_of(lines, "l_orderkey", "p_brand")
@@ -229,11 +263,9 @@ def q_anti_members(spark, sf_dir):
 
 
 def q_union_labeled(spark, sf_dir):
-    c = _customers(spark, sf_dir).select("c_custkey")
-    b = _buyers(spark, sf_dir)
-    pos = relational.semi_members(c, "c_custkey", b, "o_custkey")
-    neg = relational.anti_members(c, "c_custkey", b, "o_custkey")
-    return relational.union_labeled(pos, neg)
+    # one label pass gives both halves; they are read back, not joined again
+    labeled = write_through(_labeled(spark, sf_dir).select("c_custkey", "label"), "labeled")
+    return relational.union_labeled(labeled.where("label = 1.0").drop("label"), labeled.where("label = 0.0").drop("label"))
 
 
 def _users(spark, sf_dir):
@@ -261,8 +293,10 @@ def q_category_index(spark, sf_dir):
 
 
 def _encoded(spark, sf_dir):
-    pv = _position_values(spark, sf_dir)
-    return categories.category_encode(pv, _dictionary(pv), "c_custkey", keep=["label", "split"])
+    # written once: the label join feeds the dictionary and the encoding, the encoded rows training and scoring
+    pv = write_through(_position_values(spark, sf_dir), "values")
+    encoded = categories.category_encode(pv, _dictionary(pv), "c_custkey", keep=["label", "split"])
+    return write_through(encoded, "encoded")
 
 
 def q_category_encode(spark, sf_dir):
@@ -270,6 +304,11 @@ def q_category_encode(spark, sf_dir):
     return e.select("c_custkey", "label", "split", *[F.get("features", j).alias(f"f{j}") for j in range(len(FEATURES))])
 
 
+def q_category_onehot(spark, sf_dir):
+    vectors = categories.one_hot(_encoded(spark, sf_dir), len(FEATURES))
+    return vectors.select("c_custkey", "label", "split", categories.set_slots("vector").alias("slots"))
+
+
 def q_composite_record(spark, sf_dir):
     u = _users(spark, sf_dir)
     feats = F.array(*[F.col(c).cast("string") for c in FEATURES])

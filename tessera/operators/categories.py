@@ -31,10 +31,13 @@ def category_index(pv: DataFrame) -> DataFrame:
 
 
 def category_codes(pv: DataFrame, dictionary: DataFrame, unseen: float = 0.0) -> DataFrame:
-    """``pv`` plus ``code`` = the dictionary index as a double; unseen → ``unseen``."""
-    d = dictionary.select("pos", "value", F.col("ix").cast("double").alias("_ix"))
-    return (pv.join(d, ["pos", "value"], "left")
-            .withColumn("code", F.coalesce(F.col("_ix"), F.lit(unseen))).drop("_ix"))
+    """``pv`` plus ``code`` = the dictionary index as a double; unseen → ``unseen``.  A NULL value is a
+    category like any other."""
+    d = dictionary.select(F.col("pos").alias("_pos"), F.col("value").alias("_value"),
+                          F.col("ix").cast("double").alias("_ix"))
+    same = (F.col("pos") == F.col("_pos")) & F.col("value").eqNullSafe(F.col("_value"))
+    return (pv.join(d, same, "left")
+            .withColumn("code", F.coalesce(F.col("_ix"), F.lit(unseen))).drop("_pos", "_value", "_ix"))
 
 
 def category_encode(pv: DataFrame, dictionary: DataFrame, key: str, keep: list[str] | None = None,
@@ -48,3 +51,24 @@ def category_encode(pv: DataFrame, dictionary: DataFrame, key: str, keep: list[s
     return (codes.groupBy(key, *(keep or []))
             .agg(F.array_sort(F.collect_list(F.struct("pos", "code"))).alias("_pc"))
             .select(key, *(keep or []), F.transform("_pc", lambda s: s["code"]).alias("features")))
+
+
+def one_hot(encoded: DataFrame, num_features: int, features: str = "features", vector: str = "vector") -> DataFrame:
+    """``encoded`` plus a sparse vector with one set slot per feature, the form a linear trainer such as
+    ``pyspark.ml.classification.LinearSVC`` takes (another optimiser than the index form's sub-gradient
+    descent).  Each feature has a block of slots as wide as its largest code plus one."""
+    from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+
+    codes = [f"_code{j}" for j in range(num_features)]
+    slots = [f"_slots{j}" for j in range(num_features)]
+    wide = encoded.select("*", *[F.get(features, j).alias(c) for j, c in enumerate(codes)])
+    wide = OneHotEncoder(inputCols=codes, outputCols=slots, dropLast=False).fit(wide).transform(wide)
+    return VectorAssembler(inputCols=slots, outputCol=vector).transform(wide).drop(*codes, *slots)
+
+
+def set_slots(vector: str) -> Column:
+    """The positions of a vector's non-zero slots, as text."""
+    from pyspark.ml.functions import vector_to_array
+
+    places = F.transform(vector_to_array(vector), lambda x, i: F.when(x != 0, i))
+    return F.array_join(F.array_compact(places), ",")

@@ -1,51 +1,39 @@
 """Word counts, document frequency, exact TF-IDF and per-document keywords.
 
-Plan shape for a document table (one row per document):
+Plan shape for a document table (one row per document), the same for any size
+and any number of input splits:
 
-1. :func:`prepare_documents` drops NULL texts and, when the input has fewer
-   splits than the cluster has cores, spreads the documents by key (a no-op
-   on a large, well-split input).  Generators need no "has a word" filter —
-   an empty token array explodes to no rows — so that guard (a regex
+1. tokens are produced inside ``explode``/``posexplode`` of the tokenising
+   expression itself, in the tasks of the scan.  An empty token array explodes
+   to no rows, so generators need no "has a word" filter; that guard (a regex
    ``find``) is paid only by the per-document outputs and the document count;
-2. tokens are produced inside ``explode``/``posexplode`` of the tokenising
-   expression itself.  Never as a named array column first: Catalyst would
-   infer ``size(tokens) > 0`` from the generator and push that filter — the
-   whole tokenisation — below the spread, into the unparallelised scan;
-3. ``groupBy(doc, word).count()`` — every token of a document is produced in
-   the task that holds the document, so the partial aggregate completes the
-   term counts map-side and only distinct (doc, word) rows move;
-4. document frequency = ``groupBy(word).count()`` over those rows (partial
-   aggregation first, so a word found in every document costs one row per
-   task before the shuffle);
-5. TF-IDF shuffles the (doc, word) rows once, by (word, salt) with the salt
-   a hash of the document: a hot word is spread over ``JOIN_SALTS`` tasks.
-   Both the per-word document frequency (a histogram per (word, salt, tf),
-   summed per word) and the join side read that one exchange, which Spark
-   reuses, so the corpus is tokenised once.  The per-word table is copied
-   once per salt for the join; AQE broadcasts it when it is small;
-6. the document count is a scalar sub-query over the same prepared
-   documents, not a cross join.
+2. TF-IDF shuffles the tokens once, by (word, salt) with the salt a hash of
+   the document: the term counts per (word, salt, document), the documents per
+   (word, salt) and the join below all use that partitioning.  The number of
+   salts is the number of shuffle partitions, so a word found in every document
+   is spread over as many tasks as there are;
+3. the lookup side holds only the (word, salt) pairs that occur, each with the
+   document frequency of its word (a sum over at most ``salts`` rows), so a
+   rare word costs a few rows there and no word is copied to every salt;
+4. the document count is a scalar sub-query: a scan of its own that stops at
+   the first word of each text.  It reads the text a second time, without
+   tokenising it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.records import hash_bucket
 from ..functions.text import has_word, join_tokens, word_tokens
-from ..plans.partitioning import spread
-
-# Salts of the (word, salt) shuffle: a hot word of the (doc, word) rows is
-# spread over this many tasks.
-JOIN_SALTS = 8
 
 
 def prepare_documents(docs: DataFrame, id_col: str, text_col: str, cjk_bigrams: bool | Column = False) -> DataFrame:
-    """``doc, text, cjk``: non-NULL documents, spread for tokenising."""
+    """``doc, text, cjk``: the documents with a text."""
     cjk = cjk_bigrams if isinstance(cjk_bigrams, Column) else F.lit(bool(cjk_bigrams))
     kept = docs.where(F.col(text_col).isNotNull())
-    out = kept.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"), cjk.alias("cjk"))
-    return spread(out, ["doc"])
+    return kept.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"), cjk.alias("cjk"))
 
 
 def _with_words(prepared: DataFrame) -> DataFrame:
@@ -59,11 +47,6 @@ def tokens(prepared: DataFrame) -> Column:
     return word_tokens(F.col("text"), F.col("cjk"))
 
 
-def document_tokens(prepared: DataFrame) -> DataFrame:
-    """``doc, tokens`` — the token arrays of documents with at least one token."""
-    return _with_words(prepared).select("doc", tokens(prepared).alias("tokens"))
-
-
 def joined_tokens(prepared: DataFrame) -> DataFrame:
     """``doc, text`` with the tokens joined by single blanks (documents with
     at least one token)."""
@@ -86,10 +69,19 @@ def top_words(counts: DataFrame, k: int = 20) -> DataFrame:
     return counts.orderBy(F.col("n").desc(), F.col("word").asc()).limit(k)
 
 
-def term_counts(prepared: DataFrame) -> DataFrame:
-    """``doc, word, tf``."""
-    return (prepared.select("doc", F.explode(tokens(prepared)).alias("word"))
-            .groupBy("doc", "word").agg(F.count(F.lit(1)).alias("tf")))
+def term_rows(prepared: DataFrame, buckets: int | None = None) -> DataFrame:
+    """``doc, word`` — one row per token; with ``buckets`` the word is replaced by its hash bucket
+    (md5, the same in any engine)."""
+    words = prepared.select("doc", F.explode(tokens(prepared)).alias("word"))
+    return words if buckets is None else words.select("doc", hash_bucket("word", buckets).alias("word"))
+
+
+def term_counts(terms: DataFrame) -> DataFrame:
+    """``doc, word, tf`` of token rows, in the partitioning that :func:`tfidf` joins in."""
+    salts = int(terms.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salt = F.coalesce(F.pmod(F.xxhash64("doc"), F.lit(salts)), F.lit(0)).cast("int")
+    spread = terms.withColumn("_salt", salt).repartition(salts, "word", "_salt")
+    return spread.groupBy("word", "_salt", "doc").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def _idf(df_col: Column, m: Column) -> Column:
@@ -97,63 +89,37 @@ def _idf(df_col: Column, m: Column) -> Column:
 
 
 def document_count(prepared: DataFrame) -> Column:
-    """Number of documents with at least one token, as a scalar sub-query.
-
-    Counted with the :func:`has_word` guard (a regex ``find`` that stops at
-    the first word) rather than from the tokens, which the separately planned
-    sub-query would tokenise again.  The guard sits inside the aggregate, not
-    in a filter, so it is not pushed below the spread: the sub-query then
-    reads the same exchange as the main query (reused) and runs the guard on
-    every core instead of in the scan."""
+    """Number of documents with at least one token, as a scalar sub-query."""
     has = has_word(F.col("text"), F.col("cjk"))
     return prepared.select(F.count_distinct(F.when(has, F.col("doc")))).scalar()
 
 
-def inverse_document_frequency(tc: DataFrame, m: Column) -> DataFrame:
+def inverse_document_frequency(terms: DataFrame, m: Column) -> DataFrame:
     """``word, df, idf`` with idf = ln((m + 1) / (df + 1)), the smoothed form
-    also used by ``pyspark.ml.feature.IDF``; ``m`` from :func:`document_count`."""
-    return (tc.groupBy("word").agg(F.count("doc").alias("df"))
+    also used by ``pyspark.ml.feature.IDF``; ``m`` from :func:`document_count`.
+    Distinct (word, document) pairs merge map-side, then per word."""
+    return (terms.distinct().groupBy("word").agg(F.count("doc").alias("df"))
             .select("word", "df", _idf(F.col("df"), m).alias("idf")))
 
 
-def tfidf(tc: DataFrame, m: Column, salts: int = JOIN_SALTS) -> DataFrame:
-    """``doc, word, tf, tfidf`` — exact words, no hashing collisions.
+def tfidf(terms: DataFrame, m: Column) -> DataFrame:
+    """``doc, word, tf, tfidf`` of token rows — exact words, no hashing collisions.
 
-    One shuffle of ``tc`` by (word, salt) feeds both the document frequency
-    and the join.  For Spark to reuse that exchange the two reads must need
-    the same columns and filters: the frequency side therefore groups by
-    ``tf`` as well (a per-word histogram of term frequencies, then summed) and
-    counts ``doc``, and the salt is non-nullable so the join infers no extra
-    ``isnotnull`` filter for only one of them.
-    """
-    n = int(tc.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    salt = F.coalesce(F.pmod(F.xxhash64("doc"), F.lit(salts)), F.lit(0))
-    rows = tc.withColumn("_salt", salt).repartition(n, "word", "_salt")
-    hist = rows.groupBy("word", "_salt", "tf").agg(F.count("doc").alias("_n"))
-    freq = hist.groupBy("word").agg(F.sum("_n").alias("df"))
-    idf = freq.select("word", _idf(F.col("df"), m).alias("idf"))
-    copies = idf.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")))
-    return (rows.join(copies, ["word", "_salt"])
-            .select("doc", "word", "tf", (F.col("tf") * F.col("idf")).alias("tfidf")))
+    The counts and the lookup side read one exchange of the tokens, which Spark
+    reuses: both need the same columns, and the salt is never NULL, so no filter
+    is inferred for one of them only."""
+    counts = term_counts(terms)
+    here = counts.groupBy("word", "_salt").agg(F.count("doc").alias("_n"))
+    everywhere = Window.partitionBy("word")
+    idf = here.select("word", "_salt", _idf(F.sum("_n").over(everywhere), m).alias("_idf"))
+    return (counts.join(idf, ["word", "_salt"])
+            .select("doc", "word", "tf", (F.col("tf") * F.col("_idf")).alias("tfidf")))
 
 
 def doc_keyword(scores: DataFrame, digits: int = 6) -> DataFrame:
-    """Best-scoring word per document: highest ``round(tfidf, digits)``, ties
-    by word.  A ``min`` over (−score, word) merges map-side, so a document with
-    many words never needs one sorted partition."""
+    """Best-scoring word per document, ties by word; the exact scores decide, the output is rounded.
+    A ``min`` over (−score, word) merges map-side, so a document with many words never needs one
+    sorted partition."""
     best = (scores.groupBy("doc")
-            .agg(F.min(F.struct((-F.round("tfidf", digits)).alias("neg"), F.col("word"))).alias("_b")))
-    return best.select("doc", F.col("_b.word").alias("word"), (-F.col("_b.neg")).alias("score"))
-
-
-def tfidf_hashed(prepared: DataFrame, num_features: int = 10000) -> DataFrame:
-    """``doc, words, rawfeature, feature`` via ``pyspark.ml`` Tokenizer,
-    HashingTF and IDF (JVM transformers; the IDF fit is one tree-aggregate of
-    ``num_features`` document-frequency counters)."""
-    from pyspark.ml.feature import HashingTF, IDF, Tokenizer
-
-    text = joined_tokens(prepared)
-    words = Tokenizer(inputCol="text", outputCol="words").transform(text)
-    raw = HashingTF(numFeatures=num_features, inputCol="words", outputCol="rawfeature").transform(words)
-    model = IDF(inputCol="rawfeature", outputCol="feature").fit(raw)
-    return model.transform(raw).select("doc", "words", "rawfeature", "feature")
+            .agg(F.min(F.struct((-F.col("tfidf")).alias("neg"), F.col("word"))).alias("_b")))
+    return best.select("doc", F.col("_b.word").alias("word"), F.round(-F.col("_b.neg"), digits).alias("score"))

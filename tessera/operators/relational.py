@@ -1,10 +1,8 @@
-"""Filters, projections, membership lookups, distinct, union, split, top-k.
+"""Filters, projections, membership lookups, distinct, union, split.
 
 All are declarative so Catalyst pushes predicates and column pruning into the
-scan.  Membership is a join, never a driver-side loop: the member keys are
-de-duplicated with a partial (map-side) aggregate first, so a key that holds a
-large share of the member table shrinks to one row per task before the
-shuffle.
+scan.  Membership is a plain join, never a driver-side loop: AQE splits a hot
+key of the labelled side by its measured size.
 """
 
 from __future__ import annotations
@@ -13,11 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.records import hash_bucket, year_range
-from ..plans.joins import salted_lookup_join
-
-# Copies of each member key in the salted lookup join: a key that holds a
-# large share of the labelled table is spread over this many tasks.
-JOIN_SALTS = 8
+from ..plans.checkpoint import write_through
 
 
 def range_filter(df: DataFrame, column: str, low, high, select: list[str] | None = None) -> DataFrame:
@@ -49,35 +43,33 @@ def distinct_keys(df: DataFrame, key: str, alias: str | None = None) -> DataFram
     return df.select(F.col(key).alias(alias or key)).where(F.col(alias or key).isNotNull()).distinct()
 
 
-def _member_join(df: DataFrame, key: str, members: DataFrame, member_key: str, how: str,
-                 salts: int) -> DataFrame:
-    """``df`` joined to the distinct member keys.  The key side is an
-    aggregate output (one row per key), which AQE's skew split cannot cut, so
-    the join is salted by the other columns of ``df``."""
-    keys = distinct_keys(members, member_key, "_mkey").withColumn("_hit", F.lit(True))
-    left = df.withColumn("_mkey", F.col(key))
-    out = salted_lookup_join(left, keys, ["_mkey"], how, salts=salts, salt_source=df.columns)
-    return out.drop("_mkey")
-
-
 def membership_label(df: DataFrame, key: str, members: DataFrame, member_key: str,
-                     label: str = "label", salts: int = JOIN_SALTS) -> DataFrame:
+                     label: str = "label") -> DataFrame:
     """Every row of ``df`` plus ``label`` = 1.0 when its key occurs in
-    ``members`` else 0.0.  A left join against the distinct member keys."""
-    joined = _member_join(df, key, members, member_key, "left", salts)
-    return joined.select(*df.columns, F.when(F.col("_hit"), F.lit(1.0)).otherwise(F.lit(0.0)).alias(label))
+    ``members`` else 0.0.
+
+    The distinct member keys are written first: the left join then has a plain
+    table on both sides, and AQE splits a key that holds many rows of ``df`` by
+    its measured size."""
+    keys = write_through(distinct_keys(members, member_key, "_mkey"), "members")
+    joined = df.join(keys, df[key] == keys["_mkey"], "left")
+    return joined.select(*[df[c] for c in df.columns],
+                         F.when(F.col("_mkey").isNotNull(), F.lit(1.0)).otherwise(F.lit(0.0)).alias(label))
 
 
-def semi_members(df: DataFrame, key: str, members: DataFrame, member_key: str,
-                 salts: int = JOIN_SALTS) -> DataFrame:
+def _member_rows(df: DataFrame, key: str, members: DataFrame, member_key: str, how: str) -> DataFrame:
+    keys = members.select(F.col(member_key).alias("_mkey")).where(F.col("_mkey").isNotNull())
+    return df.join(keys, df[key] == keys["_mkey"], how)
+
+
+def semi_members(df: DataFrame, key: str, members: DataFrame, member_key: str) -> DataFrame:
     """Rows of ``df`` whose key occurs in ``members`` (each row once)."""
-    return _member_join(df, key, members, member_key, "left_semi", salts).select(*df.columns)
+    return _member_rows(df, key, members, member_key, "left_semi")
 
 
-def anti_members(df: DataFrame, key: str, members: DataFrame, member_key: str,
-                 salts: int = JOIN_SALTS) -> DataFrame:
+def anti_members(df: DataFrame, key: str, members: DataFrame, member_key: str) -> DataFrame:
     """Rows of ``df`` whose key does not occur in ``members``."""
-    return _member_join(df, key, members, member_key, "left_anti", salts).select(*df.columns)
+    return _member_rows(df, key, members, member_key, "left_anti")
 
 
 def union_labeled(positives: DataFrame, negatives: DataFrame, label: str = "label") -> DataFrame:
@@ -95,9 +87,3 @@ def train_test_split(df: DataFrame, key: str, train_buckets: int = 8, buckets: i
     """(train, test) halves, disjoint and complete, independent of partitioning."""
     s = split_column(key, train_buckets, buckets)
     return df.where(s == "train"), df.where(s == "test")
-
-
-def top_k(df: DataFrame, k: int, *order: Column) -> DataFrame:
-    """``orderBy(...).limit(k)`` — planned as TakeOrderedAndProject (per-task
-    top-k, then a k-row merge), never a full sort."""
-    return df.orderBy(*order).limit(k)

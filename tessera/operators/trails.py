@@ -4,8 +4,8 @@ reaching a target page.
 Two input forms:
 
 * **event table** (one row per event; scales with trails of any length) —
-  :func:`path_to_target`.  Two partial-aggregated group-bys, no join, so a
-  hot trail is never sorted or joined in one task.
+  :func:`path_to_target`.  A partial aggregate to the first sights, then one
+  shuffle by trail; no join.
 * **JSON trail** (one row per trail holding a JSON array whose first element
   is a header) — :func:`path_to_target_json` and :func:`trail_events`, pure
   per-row array expressions over Variant.
@@ -13,7 +13,7 @@ Two input forms:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.json import json_array, json_get, json_has
@@ -38,24 +38,26 @@ def path_to_target(events: DataFrame, trail_cols: list[str], ts_col: str, page_c
     A page lies before the first hit of the target exactly when its *first*
     sighting does, so no join back to the events is needed: the first sight
     of every (trail, page) is a partial aggregate (a hot trail or page costs
-    one row per task before the shuffle), and each trail then collects only
-    its distinct pages with their first-sight times.  ``order_col`` breaks
-    ties of ``ts_col`` (e.g. an event id).  When ``type_col`` is given only
-    events with ``type_value`` count, both as pages and as the hit.
+    one row per task before the shuffle).  The target's own first sight cuts
+    each trail before its pages are collected, in the partitioning of that
+    collection.  Events without a time have no place in a trail and are
+    dropped.  ``order_col`` breaks ties of ``ts_col`` (e.g. an event id).
+    When ``type_col`` is given only events with ``type_value`` count, both as
+    pages and as the hit.
     """
     order_fields = [F.col(ts_col).alias("ts")] + ([F.col(order_col).alias("o")] if order_col else [])
     ev = events.select(*trail_cols, F.col(page_col).alias("_page"), F.struct(*order_fields).alias("_at"),
                        *([F.col(type_col)] if type_col else []))
     if type_col:
         ev = ev.where(F.col(type_col) == F.lit(type_value))
-    ev = ev.where(F.col("_page").isNotNull())
+    ev = ev.where(F.col("_page").isNotNull() & F.col("_at.ts").isNotNull())
 
     firsts = ev.groupBy(*trail_cols, "_page").agg(F.min("_at").alias("_first"))
-    steps = (firsts.groupBy(*trail_cols)
+    hit = F.min(F.when(F.col("_page") == target, F.col("_first"))).over(Window.partitionBy(*trail_cols))
+    before = firsts.withColumn("_hit", hit).where(F.col("_first") < F.col("_hit"))
+    paths = (before.groupBy(*trail_cols)
              .agg(F.array_sort(F.collect_list(F.struct("_first", "_page"))).alias("_steps"))
-             .select(*trail_cols, F.transform("_steps", lambda s: s["_page"]).alias("_pages")))
-    hit = F.array_position("_pages", target)
-    paths = steps.where(hit > 1).select(*trail_cols, F.slice("_pages", 1, hit - 1).alias("path"))
+             .select(*trail_cols, F.transform("_steps", lambda s: s["_page"]).alias("path")))
     if dedup == "substring":
         paths = paths.withColumn("path", _substring_dedup(F.col("path")))
     elif dedup != "exact":
@@ -73,10 +75,16 @@ def _steps(col: str) -> Column:
         (json_has(x, "$.t") & json_has(x, "$.feet.page") & json_has(x, "$.feet.type")).alias("ok")))
 
 
+def _parsed(df: DataFrame, column: str, keep: list[str] | None) -> DataFrame:
+    """``keep..., _steps``: each trail parsed once, behind a one-row generator that later uses of the
+    steps read instead of parsing again."""
+    return df.select(*(keep or []), F.explode(F.array(_steps(column))).alias("_steps"))
+
+
 def trail_events(df: DataFrame, column: str, keep: list[str] | None = None) -> DataFrame:
     """Explode a JSON trail into one row per element after the header:
     ``keep..., step (0-based), t, page, type``.  Malformed trails give no rows."""
-    return (df.select(*(keep or []), F.posexplode(_steps(column)).alias("step", "e"))
+    return (_parsed(df, column, keep).select(*(keep or []), F.posexplode("_steps").alias("step", "e"))
             .select(*(keep or []), "step", "e.t", "e.page", "e.type"))
 
 
@@ -87,13 +95,14 @@ def path_to_target_json(df: DataFrame, column: str, target: str = "recommend", t
     ``strict=True`` also drops a trail when any element before the hit lacks
     ``t``, ``feet.page`` or ``feet.type``; elements after the hit never matter.
     """
-    steps = _steps(column)
+    steps = F.col("_steps")
     hit = F.array_position(F.transform(steps, lambda s: (s["type"] == type_value) & (s["page"] == target)), True)
     before = F.when(hit > 1, F.slice(steps, 1, hit - 1))
     pages = F.transform(F.filter(before, lambda s: (s["type"] == type_value) & s["page"].isNotNull()),
                         lambda s: s["page"])
     path = F.array_distinct(pages) if dedup == "exact" else _substring_dedup(pages)
-    out = df.select(*(keep or []), path.alias("path"),
+    parsed = _parsed(df, column, keep)
+    out = parsed.select(*(keep or []), path.alias("path"),
                     F.forall(before, lambda s: s["ok"]).alias("_ok"))
     if strict:
         out = out.where(F.col("_ok"))

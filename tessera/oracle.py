@@ -19,7 +19,7 @@ dfreq AS (SELECT word, count(*) AS df, ln((m.m + 1.0) / (count(*) + 1.0)) AS idf
 scores AS (SELECT tc.doc_id, tc.word, tc.tf, tc.tf * dfreq.idf AS tfidf FROM tc JOIN dfreq USING (word))"""
 
 _FIRSTS = f"""ev AS (SELECT user_id, CAST(ts AS DATE) AS day, ts, event_id, event_type AS page
-            FROM events WHERE event_type IS NOT NULL),
+            FROM events WHERE event_type IS NOT NULL AND ts IS NOT NULL),
 hit AS (SELECT user_id, day, ts AS hts, event_id AS hid FROM (
           SELECT *, row_number() OVER (PARTITION BY user_id, day ORDER BY ts, event_id) AS rn
           FROM ev WHERE page = '{J.TARGET_PAGE}') WHERE rn = 1),
@@ -31,7 +31,8 @@ firsts AS (SELECT user_id, day, page, ts, event_id FROM (
 
 
 def _itemsets(baskets_cte: str, min_support: float, max_size: int = 4) -> str:
-    """Frequent itemsets of ``b(bk, item)`` (distinct rows) by self-joins, sizes 1..max_size."""
+    """Frequent itemsets of ``b(bk, item)`` (distinct rows) by self-joins, sizes 1..max_size.  Larger
+    frequent sets, if the data held any, would show as missing rows here, not pass unseen."""
     levels = []
     for k in range(1, max_size + 1):
         aliases = [f"x{i}" for i in range(k)]
@@ -60,8 +61,8 @@ dict AS (SELECT pos, value, row_number() OVER (ORDER BY pos, value) - 1 AS ix
          FROM (SELECT DISTINCT pos, value FROM pv WHERE split = 'train')),
 enc AS (SELECT u.c_custkey, u.label, u.split,
                coalesce(d0.ix, 0)::DOUBLE AS f0, coalesce(d1.ix, 0)::DOUBLE AS f1
-        FROM users u LEFT JOIN dict d0 ON d0.pos = 0 AND d0.value = u.v0
-                     LEFT JOIN dict d1 ON d1.pos = 1 AND d1.value = u.v1)"""
+        FROM users u LEFT JOIN dict d0 ON d0.pos = 0 AND d0.value IS NOT DISTINCT FROM u.v0
+                     LEFT JOIN dict d1 ON d1.pos = 1 AND d1.value IS NOT DISTINCT FROM u.v1)"""
 
 
 def _svm_sql() -> str:
@@ -90,6 +91,20 @@ def _svm_sql() -> str:
     return "WITH " + ",\n".join(parts)
 
 
+# The word of a hashed term is its bucket; the rest is the TF-IDF above.
+_HASHED = _TC.replace(
+    "unnest(toks) AS word FROM",
+    "unnest(list_transform(toks, lambda w: ('0x' || substr(md5(w), 1, 8))::BIGINT % "
+    f"{J.HASH_BUCKETS})) AS word FROM")
+
+_JSON_STEPS = f"""js AS (
+    SELECT event_id, 0 AS step, event_type AS page, '{J.JSON_SHOW}' AS type FROM events
+    UNION ALL SELECT event_id, 1, 'p' || (event_id % 3), CASE WHEN event_id % 3 = 0 THEN 'click' ELSE '{J.JSON_SHOW}' END FROM events
+    UNION ALL SELECT event_id, 2, CASE WHEN event_id % 2 = 0 THEN substr(event_type, 1, 4) ELSE event_type END, '{J.JSON_SHOW}' FROM events
+    UNION ALL SELECT event_id, 3, CASE WHEN event_id % 4 = 0 THEN 'end' ELSE '{J.JSON_TARGET}' END, '{J.JSON_SHOW}' FROM events
+    UNION ALL SELECT event_id, 4, 'after', '{J.JSON_SHOW}' FROM events),
+sound AS (SELECT * FROM js WHERE event_id % 10 != 9)"""
+
 SQL: dict[str, str] = {
     "range_filter": f"SELECT c_name FROM customer WHERE c_nationkey >= {J.TEEN_LOW} AND c_nationkey <= {J.TEEN_HIGH}",
     "format_row": f"""SELECT c_custkey,
@@ -110,14 +125,31 @@ SQL: dict[str, str] = {
     "tfidf": f"WITH {_TC} SELECT doc_id, word, tf, round(tfidf, 6) AS tfidf FROM scores",
     "doc_keyword": f"""WITH {_TC},
         r AS (SELECT doc_id, word, round(tfidf, 6) AS score,
-                     row_number() OVER (PARTITION BY doc_id ORDER BY round(tfidf, 6) DESC, word) AS rn FROM scores)
+                     row_number() OVER (PARTITION BY doc_id ORDER BY tfidf DESC, word) AS rn FROM scores)
         SELECT doc_id, word, score FROM r WHERE rn = 1""",
     "text_tokens": f"""SELECT doc_id, CAST(generate_subscripts(toks, 1) - 1 AS INTEGER) AS pos, unnest(toks) AS token
         FROM ({_DOCS}) WHERE len(toks) > 0""",
     "tokens_joined": f"SELECT doc_id, array_to_string(toks, ' ') AS text FROM ({_DOCS}) WHERE len(toks) > 0",
     "whitespace_tokens": r"""SELECT doc_id,
-        CAST(len(list_filter(regexp_split_to_array(lower(text), '\s+'), lambda w: length(w) >= 2)) AS INTEGER) AS n_words
+        array_to_string(list_filter(regexp_split_to_array(lower(text), '\s+'), lambda w: length(w) >= 2), ' ') AS words
         FROM documents WHERE text IS NOT NULL""",
+    "year_locate_filter": f"""SELECT o_orderkey, o_custkey, o_orderdate FROM orders
+        WHERE strpos(CAST(o_orderdate AS VARCHAR), '{J.YEAR}') > 0""",
+    "tfidf_hashed": f"WITH {_HASHED} SELECT doc_id, word AS bucket, tf, round(tfidf, 6) AS tfidf FROM scores",
+    "trail_events": f"""WITH {_JSON_STEPS}
+        SELECT event_id, CAST(step AS INTEGER) AS step, page, type,
+               (SELECT ts IS NOT NULL FROM events e WHERE e.event_id = sound.event_id) AS timed FROM sound""",
+    "path_to_target_json": f"""WITH {_JSON_STEPS},
+        shown AS (SELECT event_id, page, min(step) AS step FROM sound
+                  WHERE type = '{J.JSON_SHOW}' AND step < 3 AND event_id % 4 != 0 GROUP BY event_id, page),
+        -- a later page is left out if it is part of the earlier ones joined with commas
+        parts AS (SELECT s.event_id, s.page, s.step FROM shown s WHERE NOT EXISTS (
+                  SELECT 1 FROM shown e WHERE e.event_id = s.event_id AND e.step < s.step AND contains(e.page, s.page)))
+        SELECT event_id, 'exact' AS dedup, string_agg(page, ',' ORDER BY step) AS path FROM shown GROUP BY event_id
+        UNION ALL
+        SELECT event_id, 'substring' AS dedup, string_agg(page, ',' ORDER BY step) AS path FROM parts GROUP BY event_id""",
+    "category_onehot": f"""WITH {_users_sql()}, widths AS (SELECT max(f0) + 1 AS w0 FROM enc)
+        SELECT c_custkey, label, split, CAST(f0 AS INTEGER) || ',' || CAST(w0 + f1 AS INTEGER) AS slots FROM enc, widths""",
     "path_to_target": f"""WITH {_FIRSTS}
         SELECT user_id, day, string_agg(page, ',' ORDER BY ts, event_id) AS path, CAST(count(*) AS INTEGER) AS n_pages
         FROM firsts GROUP BY user_id, day""",
@@ -125,7 +157,8 @@ SQL: dict[str, str] = {
                                J.PATH_SUPPORT),
     "frequent_itemsets": _itemsets(
         """b AS (SELECT DISTINCT l_orderkey AS bk, p_brand AS item
-                 FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_brand IS NOT NULL)""", J.BRAND_SUPPORT),
+                 FROM lineitem JOIN part ON l_partkey = p_partkey
+                 WHERE p_brand IS NOT NULL AND l_orderkey IS NOT NULL)""", J.BRAND_SUPPORT),
     "distinct_keys": f"SELECT DISTINCT o_custkey FROM ({_BUYERS}) WHERE o_custkey IS NOT NULL",
     "membership_label": f"WITH {_users_sql()} SELECT c_custkey, label FROM users",
     "semi_members": f"SELECT c_custkey, c_name FROM customer WHERE c_custkey IN ({_BUYERS})",

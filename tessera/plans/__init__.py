@@ -1,9 +1,6 @@
-"""Plan-shaping helpers: lineage cuts, dense indexing, size-checked joins."""
+"""Plan-shaping helpers: lineage cuts and dense indexing."""
 
 from .checkpoint import checkpoint_dir, cut_lineage, release, scratch_path, write_through
 from .indexing import dense_index
-from .joins import broadcast_if_bounded, salted_lookup_join
-from .partitioning import spread
 
-__all__ = ["checkpoint_dir", "cut_lineage", "release", "scratch_path", "write_through", "dense_index",
-           "broadcast_if_bounded", "salted_lookup_join", "spread"]
+__all__ = ["checkpoint_dir", "cut_lineage", "release", "scratch_path", "write_through", "dense_index"]

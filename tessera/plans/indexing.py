@@ -3,7 +3,7 @@ single-task global window.
 
 The keys are range-partitioned and sorted inside each partition; every row
 then carries ``monotonically_increasing_id`` = (partition << 33) + position.
-After a reliable checkpoint freezes those ids, the per-partition row counts
+After a written cut freezes those ids, the per-partition row counts
 (one row per partition, so a proven bound) give each partition its offset.
 Only that tiny offsets table is windowed and broadcast.
 """

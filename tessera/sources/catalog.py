@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def create_table(spark: SparkSession, name: str, columns_ddl: str = "key INT, value STRING",
@@ -11,11 +12,16 @@ def create_table(spark: SparkSession, name: str, columns_ddl: str = "key INT, va
 
 
 def load_delimited_into_table(spark: SparkSession, path: str, table: str, sep: str = "\x01") -> None:
-    """Append a delimited file to ``table`` (positional columns, values that do
-    not convert become NULL).  The source file is left in place."""
-    schema = spark.table(table).schema
-    df = spark.read.schema(schema).option("sep", sep).option("mode", "PERMISSIVE").csv(path)
-    df.write.insertInto(table)
+    """Append a delimited text file to ``table`` by position, by the rules of such files: no quoting and
+    no escapes, ``\\N`` is NULL, an empty value stays empty, missing fields and values that do not
+    convert are NULL, further fields are ignored.  The source file is left in place."""
+    parts = F.split("value", "\\Q" + sep + "\\E", -1)
+    columns = []
+    for i, field in enumerate(spark.table(table).schema.fields):
+        text = F.get(parts, i)
+        text = F.when(text != "\\N", text)
+        columns.append(text.try_cast(field.dataType).alias(field.name))
+    spark.read.text(path).select(*columns).write.insertInto(table)
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:

@@ -25,23 +25,25 @@ def lines_from_columns(df: DataFrame, cols: list[str], sep: str = ", ") -> DataF
     return df.select(F.concat_ws(sep, *[F.col(c).cast("string") for c in cols]).alias("value"))
 
 
-def _field(parts: Column, i: int, name: str, type_: str, trim: bool, strict: bool) -> Column:
-    raw = F.try_element_at(parts, F.lit(i + 1))
-    if trim:
-        raw = F.trim(raw)
-    value = raw if type_ == "string" else raw.try_cast(type_)
-    if strict:
-        bad = raw.isNull() | value.isNull()
-        value = F.when(bad, F.raise_error(F.concat(
-            F.lit(f"malformed field '{name}' in line: "), F.array_join(parts, "|")))).otherwise(value)
-    return value.alias(name)
+def _fields(parts: Column, fields: list[FieldSpec]) -> tuple[list[Column], list[Column]]:
+    """The fields' raw texts and their typed values (NULL where they do not convert)."""
+    raw = [F.try_element_at(parts, F.lit(i + 1)) for i in range(len(fields))]
+    raw = [F.trim(r) if trim else r for r, (_, _, trim) in zip(raw, fields, strict=True)]
+    return raw, [r if kind == "string" else r.try_cast(kind) for r, (_, kind, _) in zip(raw, fields, strict=True)]
 
 
 def parse_delimited(lines: DataFrame, fields: list[FieldSpec], sep: str = ",",
                     column: str = "value", strict: bool = True, keep: list[str] | None = None) -> DataFrame:
-    """Split ``column`` on the regular expression ``sep`` into typed fields."""
-    stripped = F.regexp_replace(F.col(column), f"(?:{sep})+$", "")
-    parts = F.split(stripped, sep)
-    out = [F.col(k) for k in (keep or [])]
-    out += [_field(parts, i, n, t, tr, strict) for i, (n, t, tr) in enumerate(fields)]
-    return lines.select(*out)
+    """Split ``column`` on the regular expression ``sep`` into typed fields.
+
+    Strict parsing checks the whole line in a filter that raises, so no later projection, not even a
+    ``count``, can prune the check away."""
+    parts = F.split(F.regexp_replace(F.col(column), f"(?:{sep})+$", ""), sep)
+    raw, values = _fields(parts, fields)
+    if strict:
+        sound = F.lit(True)
+        for r, v in zip(raw, values, strict=True):
+            sound = sound & r.isNotNull() & v.isNotNull()
+        fault = F.raise_error(F.concat(F.lit("malformed line: "), F.coalesce(F.col(column), F.lit("null"))))
+        lines = lines.where(F.when(sound, F.lit(True)).otherwise(fault.cast("boolean")))
+    return lines.select(*(keep or []), *[v.alias(name) for v, (name, _, _) in zip(values, fields, strict=True)])

@@ -21,37 +21,42 @@ def _as_dbtable(table_or_query: str) -> str:
     return q
 
 
+def bucket_predicates(expr: str, n: int) -> list[str]:
+    """One predicate per bucket of ``expr``; the first also takes what no bucket would hold (NULL, or a
+    remainder outside 0..n-1), so each row is read exactly once."""
+    first = f"({expr}) = 0 OR ({expr}) IS NULL OR ({expr}) NOT BETWEEN 0 AND {n - 1}"
+    return [first, *(f"({expr}) = {i}" for i in range(1, n))]
+
+
+def require_range_key(column: str, kind: str) -> None:
+    if not kind.startswith(_NUMERIC_LIKE):
+        raise ValueError(f"{column} is of type {kind} and cannot be cut into ranges; give bucket_expr or predicates")
+
+
 def read_jdbc(spark: SparkSession, url: str, table_or_query: str, *,
               partition_column: str | None = None, num_partitions: int = 10,
               lower_bound=None, upper_bound=None, predicates: list[str] | None = None,
               bucket_expr: str | None = None, properties: dict | None = None) -> DataFrame:
     """``bucket_expr``: for keys that cannot drive range partitions (text), a
     SQL expression of the source database with ``{n}`` for the partition
-    count, e.g. ``"MOD(ABS(HASHTEXT(uid)), {n})"``; it becomes one predicate
-    ``expr = i`` per partition, so the rows are split evenly, each exactly once."""
+    count, e.g. ``"MOD(ABS(HASHTEXT(uid)), {n})"``; it becomes one predicate per
+    partition (see :func:`bucket_predicates`)."""
     props = dict(properties or {})
     dbtable = _as_dbtable(table_or_query)
     if bucket_expr and not predicates:
-        expr = bucket_expr.format(n=num_partitions)
-        predicates = [f"({expr}) = {i}" for i in range(num_partitions)]
+        predicates = bucket_predicates(bucket_expr.format(n=num_partitions), num_partitions)
     if predicates:
         return spark.read.jdbc(url, dbtable, predicates=predicates, properties=props)
     if partition_column is None:
         return spark.read.jdbc(url, dbtable, properties=props)
     if lower_bound is None or upper_bound is None:
-        # the column type comes from a zero-row schema probe; text keys cannot
-        # drive range partitions (and min/max may not even apply to them)
+        # the column type comes from a zero-row schema probe
         whole = spark.read.jdbc(url, dbtable, properties=props)
         kinds = {f.name.lower(): f.dataType.simpleString() for f in whole.schema.fields}
-        if not kinds.get(partition_column.lower(), "").startswith(_NUMERIC_LIKE):
-            return whole
+        require_range_key(partition_column, kinds.get(partition_column.lower(), "missing"))
         stats = spark.read.jdbc(
             url, f"(SELECT MIN({partition_column}) AS lo, MAX({partition_column}) AS hi FROM {dbtable}) AS b",
             properties=props)
-        kind = stats.dtypes[0][1]          # databases may upper-case the alias
-        if not kind.startswith(_NUMERIC_LIKE):
-            # text keys cannot drive range partitions; read as one partition
-            return spark.read.jdbc(url, dbtable, properties=props)
         row = stats.first()
         if row is None or row[0] is None:
             return spark.read.jdbc(url, dbtable, properties=props)

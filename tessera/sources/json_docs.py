@@ -7,6 +7,8 @@ import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import (ArrayType, DataType, DecimalType, DoubleType, NullType, StringType, StructField,
+                               StructType, VariantType)
 
 
 def parse_json_column(df: DataFrame, column: str, schema: str, alias: str = "doc") -> DataFrame:
@@ -14,31 +16,41 @@ def parse_json_column(df: DataFrame, column: str, schema: str, alias: str = "doc
     return df.withColumn(alias, F.from_json(F.col(column), schema))
 
 
-def _variant_schema_to_ddl(s: str) -> str:
-    s = s.replace("OBJECT<", "STRUCT<")
-    s = re.sub(r"DECIMAL\(\d+,\s*\d+\)", "DOUBLE", s)   # JSON fractions read as double, as the file reader does
-    s = re.sub(r"\bVOID\b", "STRING", s)
-    s = re.sub(r"\bVARIANT\b", "STRING", s)             # mixed shapes: keep the raw JSON text
-    return s
+def _file_type(kind: DataType) -> DataType:
+    """The type as the JSON file reader infers it: fractions as double, and text where there is no
+    value or values of several shapes."""
+    if isinstance(kind, StructType):
+        return StructType([StructField(f.name, _file_type(f.dataType)) for f in kind.fields])
+    if isinstance(kind, ArrayType):
+        return ArrayType(_file_type(kind.elementType))
+    if isinstance(kind, DecimalType):
+        return DoubleType()
+    return StringType() if isinstance(kind, (NullType, VariantType)) else kind
 
 
-def infer_json_schema(df: DataFrame, column: str) -> str:
-    """Infer a Spark DDL type for the JSON in ``column``.
+def infer_json_schema(df: DataFrame, column: str) -> StructType:
+    """Infer the type of the JSON objects in ``column``; other values and broken texts count for nothing.
 
     One distributed aggregate (``schema_of_variant_agg``, merged map-side);
-    only the resulting type string reaches the driver.
+    only the resulting type text reaches the driver.
     """
-    row = df.select(F.schema_of_variant_agg(F.try_parse_json(F.col(column))).alias("s")).first()
-    if row is None or row.s is None:
-        return "STRUCT<>"
-    return _variant_schema_to_ddl(row.s)
+    value = F.try_parse_json(F.col(column))
+    objects = F.when(F.startswith(F.schema_of_variant(value), F.lit("OBJECT<")), value)
+    row = df.select(F.schema_of_variant_agg(objects).alias("s")).first()
+    if row is None or row.s is None or not row.s.startswith("OBJECT<"):
+        return StructType()
+    # an object type starts the text or follows a name's colon or an array's bracket, never a name
+    ddl = re.sub(r"(^|: |ARRAY<)OBJECT<", r"\1STRUCT<", row.s)
+    return _file_type(DataType.fromDDL(ddl))
 
 
 def read_json_column(df: DataFrame, column: str, keep: list[str] | None = None,
-                     schema: str | None = None) -> DataFrame:
+                     schema: str | StructType | None = None) -> DataFrame:
     """Flatten the JSON objects of ``column`` into typed top-level columns."""
-    ddl = schema or infer_json_schema(df, column)
-    parsed = F.from_json(F.col(column), ddl).alias("_doc")
+    kind = schema if schema is not None else infer_json_schema(df, column)
+    if isinstance(kind, StructType) and not kind.fields:
+        return df.select(*(keep or []))
+    parsed = F.from_json(F.col(column), kind).alias("_doc")
     return df.select(*(keep or []), parsed).select(*(keep or []), "_doc.*")
 
 
@@ -46,14 +58,11 @@ def required_json_fields(df: DataFrame, column: str, fields: list[str], keep: li
                          type_: str = "string") -> DataFrame:
     """``keep..., fields...`` read from the JSON object in ``column``; a row is
     dropped when the text is NULL or not JSON, or when any field is missing
-    or JSON null.  One parse per row (Variant), no exception handling."""
-    v = F.try_parse_json(F.col(column))
-    out = df.select(*(keep or []), *[F.try_variant_get(v, f"$.{f}", type_).alias(f) for f in fields])
-    cond = None
+    or JSON null.  One parse per row: a generator reads all fields at once."""
+    rows = df.select(*(keep or []), F.json_tuple(F.col(column), *fields).alias(*fields))
     for f in fields:
-        c = F.col(f).isNotNull()
-        cond = c if cond is None else cond & c
-    return out.where(cond) if cond is not None else out
+        rows = rows.where(F.col(f).isNotNull())
+    return rows if type_ == "string" else rows.select(*(keep or []), *[F.col(f).try_cast(type_).alias(f) for f in fields])
 
 
 def map_to_json(map_col: Column | str) -> Column:

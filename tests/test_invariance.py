@@ -15,9 +15,7 @@ def _docs(spark, parts):
 def _scores(spark, parts):
     docs = _docs(spark, parts)
     prep = keywords.prepare_documents(docs, "doc_id", "text")
-    tc = keywords.term_counts(prep)
-    m = keywords.document_count(prep)
-    tfidf = keywords.tfidf(tc, m)
+    tfidf = keywords.tfidf(keywords.term_rows(prep), keywords.document_count(prep))
     return (sorted((r.doc, r.word, r.tf, round(r.tfidf, 9)) for r in tfidf.collect()),
             sorted(tuple(r) for r in keywords.doc_keyword(tfidf).collect()),
             sorted(tuple(r) for r in keywords.word_counts(prep).collect()))
@@ -40,10 +38,14 @@ def test_category_index_invariant(spark, parts):
 
 
 def test_salt_count_does_not_change_tfidf(spark):
-    docs = _docs(spark, None)
-    prep = keywords.prepare_documents(docs, "doc_id", "text")
-    tc = keywords.term_counts(prep)
-    m = keywords.document_count(prep)
-    a = sorted((r.doc, r.word, round(r.tfidf, 9)) for r in keywords.tfidf(tc, m, salts=1).collect())
-    b = sorted((r.doc, r.word, round(r.tfidf, 9)) for r in keywords.tfidf(tc, m, salts=5).collect())
-    assert a == b and len(a) > 0
+    prep = keywords.prepare_documents(_docs(spark, None), "doc_id", "text")
+    found = []
+    for partitions in ("1", "5"):
+        old = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        try:
+            scores = keywords.tfidf(keywords.term_rows(prep), keywords.document_count(prep))
+            found.append(sorted((r.doc, r.word, round(r.tfidf, 9)) for r in scores.collect()))
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert found[0] == found[1] and found[0]

@@ -33,13 +33,31 @@ def test_top20_is_take_ordered(spark):
     assert "TakeOrderedAndProject" in _plan(jobs.q_word_count_top20(spark, SF_SMALL))
 
 
-def test_tfidf_tokenises_once(spark):
-    df = jobs.q_tfidf(spark, SF_SMALL)
-    df.collect()
-    final = _plan(df).split("\n+- == Initial Plan ==")[0]
-    assert "ReusedExchange" in final
-    tokenising = [ln for ln in final.splitlines() if "Generate explode(" in ln and "regexp_extract_all" in ln]
-    assert len(tokenising) == 1
+@pytest.mark.parametrize("query", [jobs.q_tfidf, jobs.q_doc_keyword, jobs.q_tfidf_hashed])
+def test_one_plan_for_split_and_unsplit_input(spark, tmp_path, query):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    docs.repartition(40).write.parquet(str(tmp_path / "documents.parquet"))
+    for sf_dir in (SF_SMALL, str(tmp_path)):
+        df = query(spark, sf_dir)
+        df.collect()
+        final = _plan(df).split("\n+- == Initial Plan ==")[0]
+        tokenising = [ln for ln in final.splitlines() if "Generate explode(" in ln and "regexp_extract_all" in ln]
+        scans = [ln for ln in final.splitlines() if "FileScan parquet" in ln or "Scan parquet" in ln]
+        assert len(tokenising) == 1 and "ReusedExchange" in final
+        # the tokens move once; the document count is a guarded scan of its own
+        moves = [ln for ln in final.splitlines() if "REPARTITION_BY_NUM" in ln and "ReusedExchange" not in ln]
+        assert len(moves) == 1 and len(scans) <= 2
+
+
+def test_json_is_parsed_once(spark):
+    for query, call in ((jobs.q_trail_events, "parse_json"), (jobs.q_json_required_fields, "json_tuple")):
+        plan = _plan(query(spark, SF_SMALL)).lower().replace("parsejson", "parse_json")
+        assert plan.count(call) == 1, plan
+    js = jobs._json_trails(spark, SF_SMALL)
+    from tessera.operators.trails import path_to_target_json
+    for strict in (False, True):
+        plan = _plan(path_to_target_json(js, "feet", strict=strict)).lower().replace("parsejson", "parse_json")
+        assert plan.count("parse_json") == 1, plan
 
 
 @pytest.mark.parametrize("name", sorted(jobs.QUERIES))

@@ -12,27 +12,30 @@ from tessera.sources import (map_to_json, parse_delimited, read_json_column, rea
                              read_parquet, required_json_fields, write_parquet)
 
 
-def test_people_sql_over_text_parquet_and_json(spark, tmp_path):
-    txt = tmp_path / "people.txt"
-    txt.write_text("Ann, 29\nBo, 30\nCy, 19\n")
-    people = parse_delimited(read_lines(spark, str(txt)), [("name", "string", False), ("age", "int", True)])
-    people.createOrReplaceTempView("people")
-    teens = spark.sql("SELECT name FROM people WHERE age >= 13 AND age <= 19")
-    assert [r.line for r in teens.select(labeled_line(("Name", "name")).alias("line")).collect()] == ["Name: Cy"]
-
-    write_parquet(people, str(tmp_path / "people.parquet"))
-    read_parquet(spark, str(tmp_path / "people.parquet")).createOrReplaceTempView("parquetFile")
-    assert [r.name for r in spark.sql("SELECT name FROM parquetFile WHERE age >= 13 AND age <= 19").collect()] == ["Cy"]
-
-    js = tmp_path / "people.json"
-    js.write_text('{"name":"Ann"}\n{"name":"Bo","age":30}\n{"name":"Cy","age":19}\n')
-    read_json_lines(spark, str(js)).createOrReplaceTempView("people")          # the name is re-bound
-    assert [r.name for r in spark.sql("SELECT name FROM people WHERE age >= 13 AND age <= 19").collect()] == ["Cy"]
-
-    docs = spark.createDataFrame([('{"name":"Yin","address":{"city":"Columbus","state":"Ohio"}}',)], "json string")
-    read_json_column(docs, "json").createOrReplaceTempView("people2")
-    out = spark.sql("SELECT name, address.city FROM people2")
-    assert out.select(labeled_line(("Name", "name"), ("City", "city")).alias("l")).first().l == "Name: Yin, City: Columbus"
+def test_one_table_from_text_parquet_and_json(spark, tmp_path):
+    rooms = tmp_path / "rooms.txt"
+    rooms.write_text("attic; 4\nhall; 31\ncellar; 17\n")
+    parsed = parse_delimited(read_lines(spark, str(rooms)), [("room", "string", False), ("area", "int", True)], sep=";")
+    parsed.createOrReplaceTempView("rooms")
+    medium = spark.sql("SELECT room, area FROM rooms WHERE area BETWEEN 10 AND 20")
+    assert [r.line for r in medium.select(labeled_line(("Room", "room"), ("Area", "area")).alias("line")).collect()] == [
+        "Room: cellar, Area: 17"]
+
+    write_parquet(parsed, str(tmp_path / "rooms.parquet"))
+    read_parquet(spark, str(tmp_path / "rooms.parquet")).createOrReplaceTempView("stored_rooms")
+    assert spark.sql("SELECT sum(area) AS total FROM stored_rooms WHERE room <> 'hall'").first().total == 21
+
+    js = tmp_path / "rooms.json"
+    js.write_text('{"room":"loft","area":12}\n{"room":"porch"}\n{"area":3}\n')
+    read_json_lines(spark, str(js)).createOrReplaceTempView("rooms")          # the name is re-bound
+    assert [tuple(r) for r in spark.sql("SELECT room, area FROM rooms WHERE area IS NULL OR room IS NULL ORDER BY area NULLS FIRST").collect()] == [
+        ("porch", None), (None, 3)]
+
+    docs = spark.createDataFrame([('{"room":"study","desk":{"drawers":[{"key":"brass"}]}}',), ("{}",)], "json string")
+    read_json_column(docs, "json").createOrReplaceTempView("desks")
+    out = spark.sql("SELECT room, desk.drawers[0].key AS key FROM desks ORDER BY room NULLS LAST")
+    assert [r.l for r in out.select(labeled_line(("Room", "room"), ("Key", "key")).alias("l")).collect()] == [
+        "Room: study, Key: brass", "Room: null, Key: null"]
 
 
 def test_document_index_to_json_to_inferred_table(spark):
@@ -67,8 +70,8 @@ def test_news_programmatic_schema_to_top_words_and_tfidf(spark):
     prep = keywords.prepare_documents(news.where(F.length(F.trim("text")) > 0), "id", "text")
     top = [(r.word, r.n) for r in keywords.top_words(keywords.word_counts(prep), 20).collect()]
     assert top == [("deal", 3), ("big", 2), ("news", 1), ("no", 1), ("or", 1)]
-    hashed = keywords.tfidf_hashed(prep, 10000)
-    assert hashed.count() == 2 and hashed.first().feature.size == 10000
+    hashed = keywords.tfidf(keywords.term_rows(prep, 10000), keywords.document_count(prep))
+    assert hashed.count() == 6 and hashed.where("word < 0 OR word >= 10000").count() == 0
 
 
 def test_buyers_users_labels_split_encode_svm(spark):

@@ -1,12 +1,12 @@
 """A key holding a third of all rows: results stay whole, the trail job has
-no join at all, and the category lookup join is split by AQE (or by an
-explicit salt) instead of landing in one task."""
+no join at all, lookup joins are split by AQE, and a word of every document
+is spread by its salt."""
 
 from pyspark.sql import functions as F
 
-from tessera.operators import categories
+from tessera import jobs
+from tessera.operators import categories, keywords, relational
 from tessera.operators.trails import path_to_target
-from tessera.plans import broadcast_if_bounded, salted_lookup_join
 
 
 def _hot_events(spark, n=30000):
@@ -72,16 +72,43 @@ def test_hot_category_value_is_skew_split(spark):
         assert "isSkewJoin=true" in plan or "skew=true" in plan
 
 
-def test_salted_join_keeps_every_row(spark):
-    ev = _hot_events(spark, 9000)
-    lookup = ev.select("trail").distinct().withColumn("tag", F.length("trail"))
-    plain = ev.join(lookup, "trail", "left")
-    salted = salted_lookup_join(ev, lookup, ["trail"], "left", salts=8)
-    assert sorted(plain.collect()) == sorted(salted.select(*plain.columns).collect())
-
-
-def test_broadcast_only_with_bound(spark):
-    small = spark.range(10)
-    big = spark.range(1000)
-    assert "broadcast" in broadcast_if_bounded(small, 100)._jdf.queryExecution().analyzed().toString().lower()
-    assert broadcast_if_bounded(big, 100) is big
+def test_hot_member_key_is_skew_split(spark):
+    with _Confs(spark, **SKEWY):
+        # identical hot rows: a third of the labelled table is one key
+        df = spark.range(30000).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"),
+                                       F.lit("x").alias("v"))
+        members = spark.range(0, 30000, 7).select(F.col("id").alias("m"))
+        for out, n in ((relational.membership_label(df, "k", members, "m").where("label = 1.0"), None),
+                       (relational.semi_members(df, "k", members, "m"), None)):
+            rows = out.collect()
+            assert sum(r.k == 7 for r in rows) >= 10000
+            plan = out._jdf.queryExecution().executedPlan().toString()
+            assert "isSkewJoin=true" in plan or "skew=true" in plan, n
+
+
+def _tasks_of(df, word):
+    spread = df.where(F.col("word") == word).select(F.spark_partition_id().alias("p"))
+    return spread.distinct().count()
+
+
+def test_word_of_every_document_is_spread(spark):
+    with _Confs(spark, **{"spark.sql.shuffle.partitions": "24"}):
+        docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.concat(
+            F.lit("the word"), (F.col("id") % 900).cast("string")).alias("text"))
+        terms = keywords.term_rows(keywords.prepare_documents(docs, "doc_id", "text"))
+        assert _tasks_of(keywords.term_counts(terms), "the") > 8
+
+
+def test_hot_user_of_the_registered_trail_job(spark, tmp_path):
+    n = 30000
+    ev = spark.range(n).select(
+        F.col("id").alias("event_id"), F.timestamp_seconds(F.col("id") + 1_700_000_000).cast("timestamp_ntz").alias("ts"),
+        F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") % 2000).cast("bigint").alias("user_id"),
+        F.when(F.col("id") % 97 == 50, F.lit("purchase")).otherwise(F.concat(F.lit("p"), (F.col("id") % 13).cast("string")))
+        .alias("event_type"))
+    ev.write.parquet(str(tmp_path / "events.parquet"))
+    out = jobs.q_path_to_target(spark, str(tmp_path))
+    assert out.where("user_id = 1").count() >= 1
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.rindex("Exchange"):]
+    assert "partial_min" in below and "Join" not in plan   # first sights merge before anything moves

@@ -10,6 +10,7 @@ from tessera.sources import (create_table, infer_json_schema, load_delimited_int
                              parse_delimited, parse_json_column, read_jdbc, read_json_column, read_json_lines,
                              read_lines, read_parquet, read_table, required_json_fields, write_parquet,
                              write_text_lines)
+from tessera.sources.jdbc import bucket_predicates, require_range_key
 
 PEOPLE = [("name", "string", False), ("age", "int", True)]
 
@@ -32,6 +33,10 @@ def test_delimited_strict_raises_lenient_nulls(spark, tmp_path, line):
     p = _write(tmp_path / "bad.txt", f"Ann, 29\n{line}\n")
     with pytest.raises(Exception):
         parse_delimited(read_lines(spark, p), PEOPLE, strict=True).collect()
+    strict = parse_delimited(read_lines(spark, p), PEOPLE, strict=True)
+    for pruned in (strict.select("name"), strict.groupBy().count(), strict.select(F.lit(1))):
+        with pytest.raises(Exception):
+            pruned.collect()
     rows = parse_delimited(read_lines(spark, p), PEOPLE, strict=False).collect()
     assert rows[0].age == 29 and rows[1].age is None
 
@@ -48,21 +53,34 @@ def test_parquet_roundtrip_keeps_schema_and_refuses_existing(spark, tmp_path):
 
 
 def test_json_lines_inferred(spark, tmp_path):
-    p = _write(tmp_path / "people.json", '{"name":"Ann"}\n{"name":"Bo","age":30}\n{"name":"Cy","age":19}\n')
-    people = read_json_lines(spark, p)
-    assert dict(people.dtypes)["age"] == "bigint"
-    people.createOrReplaceTempView("people")
-    assert [r.name for r in spark.sql("SELECT name FROM people WHERE age >= 13 AND age <= 19").collect()] == ["Cy"]
+    p = _write(tmp_path / "boxes.json", '{"box":"r1","weight":7}\n{"box":"r2"}\n{"weight":12,"box":"r3"}\n\n')
+    boxes = read_json_lines(spark, p)
+    assert dict(boxes.dtypes) == {"box": "string", "weight": "bigint"}
+    boxes.createOrReplaceTempView("boxes")
+    heavy = spark.sql("SELECT box, weight * 2 AS twice FROM boxes WHERE weight > 10 OR weight IS NULL ORDER BY box")
+    assert [tuple(r) for r in heavy.collect()] == [("r2", None), ("r3", 24)]
 
 
 def test_nested_json_strings(spark):
-    docs = spark.createDataFrame([('{"name":"Yin","address":{"city":"Columbus","state":"Ohio"}}',)], "json string")
-    ddl = infer_json_schema(docs, "json")
-    assert "address" in ddl and "city" in ddl
+    docs = spark.createDataFrame([('{"ship":{"port":{"name":"Oslo","berths":[3,5]}},"id":4}',),
+                                  ('{"ship":{"port":null},"id":5}',), ('{"id":6}',)], "json string")
     flat = read_json_column(docs, "json")
-    assert flat.select("name", F.col("address.city")).first() == ("Yin", "Columbus")
-    parsed = parse_json_column(docs, "json", "name string, address struct<city: string, state: string>")
-    assert parsed.select("doc.name", "doc.address.city").first() == ("Yin", "Columbus")
+    got = sorted(tuple(r) for r in flat.select("id", F.col("ship.port.name"), F.col("ship.port.berths")[1]).collect())
+    assert got == [(4, "Oslo", 5), (5, None, None), (6, None, None)]
+    parsed = parse_json_column(docs, "json", "id int, ship struct<port: struct<name: string>>")
+    assert [r[0] for r in parsed.orderBy("doc.id").select("doc.ship.port.name").collect()] == ["Oslo", None, None]
+
+
+def test_json_inference_of_objects_only(spark):
+    rows = [("5",), ('"text"',), ("[1]",), ('{"VOID": 1, "DECIMAL(2, 1)": "x", "n": null, "OBJECT": {"VARIANT": 2.5}}',),
+            ("broken {",), (None,)]
+    df = spark.createDataFrame(rows, "j string")
+    kind = infer_json_schema(df, "j")
+    assert {f.name: f.dataType.simpleString() for f in kind.fields} == {
+        "VOID": "bigint", "DECIMAL(2, 1)": "string", "n": "string", "OBJECT": "struct<VARIANT:double>"}
+    assert sorted(r.VOID for r in read_json_column(df, "j").collect() if r.VOID is not None) == [1]
+    none = spark.createDataFrame([("5", 1), (None, 2)], "j string, k int")
+    assert read_json_column(none, "j", keep=["k"]).columns == ["k"]
 
 
 def test_json_inference_types(spark):
@@ -105,6 +123,24 @@ def test_catalog_table_load_twice(spark, tmp_path):
     assert (tmp_path / "kv.txt").exists()
 
 
+def test_catalog_load_keeps_text_as_it_is(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS tdb2 LOCATION '{tmp_path / 'wh2'}'")
+    create_table(spark, "tdb2.kv")
+    p = _write(tmp_path / "raw.txt", '1\x01"a\n2\x01\n3\x01\\N\n4\x01a,"b" \\t\n\\N\x01x\n6\n')
+    load_delimited_into_table(spark, p, "tdb2.kv")
+    rows = {r.key: r.value for r in read_table(spark, "tdb2.kv").collect()}
+    assert rows == {1: '"a', 2: "", 3: None, 4: 'a,"b" \\t', None: "x", 6: None}
+
+
+def test_jdbc_buckets_hold_every_row_once(duck):
+    predicates = bucket_predicates("k % 4", 4)
+    keys = "SELECT unnest([NULL, -7, -4, -1, 0, 1, 2, 3, 4, 9]) AS k"
+    held = [duck.execute(f"SELECT count(*) FROM ({keys}) WHERE {p}").fetchone()[0] for p in predicates]
+    assert len(predicates) == 4 and sum(held) == 10
+    with pytest.raises(ValueError, match="bucket_expr"):
+        require_range_key("uid", "string")
+
+
 def test_text_lines_sink(spark, tmp_path):
     df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, s string")
     out = str(tmp_path / "out")
@@ -127,8 +163,8 @@ def test_jdbc_partitioned_read_bounds_from_data(spark):
                       upper_bound=10, properties=props)
     fsizes = fixed.rdd.glom().map(len).collect()
     assert sum(fsizes) == 500 and max(fsizes) == 491  # bounds set the stride only
-    text_key = read_jdbc(spark, url, "FEET", partition_column="FEET", num_partitions=7, properties=props)
-    assert text_key.rdd.getNumPartitions() == 1 and text_key.count() == 500
+    with pytest.raises(ValueError, match="bucket_expr"):
+        read_jdbc(spark, url, "FEET", partition_column="FEET", num_partitions=7, properties=props)
     buckets = read_jdbc(spark, url, "FEET", num_partitions=7, bucket_expr="MOD(UID, {n})", properties=props)
     bsizes = buckets.rdd.glom().map(len).collect()
     assert len(bsizes) == 7 and sum(bsizes) == 500 and max(bsizes) - min(bsizes) <= 1

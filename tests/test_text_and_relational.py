@@ -5,9 +5,9 @@ import math
 from pyspark.sql import functions as F
 
 from tessera import jobs
-from tessera.functions import hash_bucket, word_tokens
+from tessera.functions import composite_record, hash_bucket, parse_composite_record, word_tokens
 from tessera.functions.text import has_word
-from tessera.operators import keywords, relational
+from tessera.operators import categories, itemsets, keywords, relational
 from conftest import SF_SMALL
 
 
@@ -29,11 +29,13 @@ def test_has_word_guard_is_exact(spark):
 def test_idf_matches_pyspark_ml(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     dt = keywords.prepare_documents(docs, "doc_id", "text")
-    tc = keywords.term_counts(dt)
     m = keywords.document_count(dt)
-    idf = {r.word: r.idf for r in keywords.inverse_document_frequency(tc, m).where(F.col("word") == "the").collect()}
-    hashed = keywords.tfidf_hashed(dt, 1 << 18)
-    from pyspark.ml.feature import HashingTF
+    terms = keywords.term_rows(dt)
+    idf = {r.word: r.idf for r in keywords.inverse_document_frequency(terms, m).where(F.col("word") == "the").collect()}
+    from pyspark.ml.feature import IDF, HashingTF, Tokenizer
+    words = Tokenizer(inputCol="text", outputCol="words").transform(keywords.joined_tokens(dt))
+    raw = HashingTF(numFeatures=1 << 18, inputCol="words", outputCol="rawfeature").transform(words)
+    hashed = IDF(inputCol="rawfeature", outputCol="feature").fit(raw).transform(raw)
     bucket = HashingTF(numFeatures=1 << 18).indexOf("the")
     ml_idf = hashed.select(F.col("feature")).first()  # any document carries the model's idf via the ratio
     row = hashed.where(F.array_contains("words", "the")).select("rawfeature", "feature").first()
@@ -79,7 +81,50 @@ def test_null_and_blank_texts_drop_out(spark):
     docs = spark.createDataFrame([(1, None), (2, "   "), (3, "a b"), (4, "hello hello world")], "id int, t string")
     prep = keywords.prepare_documents(docs, "id", "t")
     assert [r.doc for r in keywords.joined_tokens(prep).collect()] == [4]
-    tc = {(r.doc, r.word): r.tf for r in keywords.term_counts(prep).collect()}
+    tc = {(r.doc, r.word): r.tf for r in keywords.term_counts(keywords.term_rows(prep)).collect()}
     assert tc == {(4, "hello"): 2, (4, "world"): 1}
     m = keywords.document_count(prep)
-    assert keywords.inverse_document_frequency(keywords.term_counts(prep), m).where("word = 'world'").first().idf == 0.0
+    assert keywords.inverse_document_frequency(keywords.term_rows(prep), m).where("word = 'world'").first().idf == 0.0
+
+
+def test_exact_scores_choose_the_keyword(spark):
+    near = spark.createDataFrame([(1, "aaa", 0.3000001), (1, "zzz", 0.3000004), (2, "bb", 0.5), (2, "aa", 0.5)],
+                                 "doc int, word string, tfidf double")
+    assert sorted(tuple(r) for r in keywords.doc_keyword(near).collect()) == [(1, "zzz", 0.3), (2, "aa", 0.5)]
+
+
+def test_composite_record_keeps_places(spark):
+    df = spark.createDataFrame([("1", ["a", None, "c"], 1.0), (None, ["a.b", "", "x|y"], None)],
+                               "k string, f array<string>, y double")
+    rec = df.select(composite_record("k", "f", "y", "|", "::").alias("r"))
+    key, features, label = parse_composite_record("r", "|", "::")
+    assert rec.where("r like '1|%'").select(key, features, label).first() == ("1", ["a", "null", "c"], "1.0")
+    plain = df.select(composite_record("k", "f", "y").alias("r"))
+    key, features, label = parse_composite_record("r")
+    assert plain.where("r like 'null%'").select(key, features, label).first() == ("null", ["a.b", "", "x|y"], "null")
+
+
+def test_null_category_has_a_code(spark):
+    df = spark.createDataFrame([(1, None), (2, "a"), (3, None), (4, "b")], "k int, f string")
+    pv = categories.position_values(df, "k", ["f"])
+    d = categories.category_index(pv.where("k < 4"))
+    codes = {r.k: r.features for r in categories.category_encode(pv, d, "k", unseen=-1.0).collect()}
+    null = [r.ix for r in d.collect() if r.value is None]
+    assert codes[1] == codes[3] == [float(null[0])] and codes[4] == [-1.0] and codes[2] != codes[1]
+
+
+def test_one_hot_trains_a_linear_svc(spark):
+    from pyspark.ml.classification import LinearSVC
+
+    rows = [(i, float(i % 2), [float(i % 2), float(i % 3)]) for i in range(60)]
+    df = spark.createDataFrame(rows, "k int, label double, features array<double>")
+    wide = categories.one_hot(df, 2)
+    assert {(r.k, r.s) for r in wide.select("k", categories.set_slots("vector").alias("s")).collect()} == {
+        (i, f"{i % 2},{2 + i % 3}") for i in range(60)}
+    model = LinearSVC(featuresCol="vector", maxIter=10).fit(wide)
+    assert model.transform(wide).where("prediction != label").count() == 0
+
+
+def test_rows_without_a_basket_are_no_basket(spark):
+    df = spark.createDataFrame([(1, "a"), (None, "b"), (None, "c"), (2, "a")], "o int, item string")
+    assert sorted(r.o for r in itemsets.baskets_of(df, "o", "item").collect()) == [1, 2]

@@ -105,3 +105,9 @@ def test_page_with_comma_stays_one_item(spark):
     assert {tuple(r.path) for r in paths.collect()} == {("a,b", "c")}
     items = {tuple(r.items): r.freq for r in frequent_itemsets(paths, "path", 0.5).collect()}
     assert items == {("a,b",): 3, ("c",): 3, ("a,b", "c"): 3}
+
+
+def test_events_without_a_time_are_dropped(spark):
+    rows = [("u", None, "lost"), ("u", 1, "home"), ("u", 2, "recommend"), ("v", None, "recommend"), ("v", 1, "a")]
+    df = spark.createDataFrame(rows, "u string, ts int, page string")
+    assert [(r.u, r.path) for r in path_to_target(df, ["u"], "ts", "page", "recommend").collect()] == [("u", ["home"])]
