@@ -67,10 +67,12 @@ def propagate_labels(groups: DataFrame, capacity: int, shards: int, rounds: int)
         sums = state.agg(*[F.sum(F.col("held")[s]).alias(f"s{s}") for s in range(shards)]).first()
         load = [int(x or 0) for x in sums]
         free = F.array(*[F.lit(max(0, capacity - x)) for x in load])
-        # the preferred shard: most of the group, then most room, then by chance; a full shard asks for none
+        # the preferred shard: most of the group, ties by chance; shards without room only where no shard
+        # that holds some of the group has any, since then moves can only be swaps
+        room = F.exists(F.arrays_zip(F.col("held").alias("n"), free.alias("room")), lambda x: (x["n"] > 0) & (x["room"] > 0))
         ranked = F.transform(F.col("held"), lambda n, i: F.struct(
-            F.when(F.get(free, i) > 0, n).otherwise(F.lit(-1).cast("bigint")), F.get(free, i),
-            F.xxhash64(*GROUP, i), i.alias("shard")))
+            F.when(room & (F.get(free, i) <= 0), F.lit(-1).cast("bigint")).otherwise(n),
+            F.xxhash64(*GROUP, i, F.lit(r)), i.alias("shard")))
         asking = state.withColumn("target", F.array_max(ranked)["shard"])
         asking = asking.withColumn("moving", F.transform("held", lambda n, i: F.when(
             (i != F.col("target")) & (n <= F.get("held", F.col("target"))), n).otherwise(F.lit(0).cast("bigint"))))
