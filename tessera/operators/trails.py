@@ -65,8 +65,7 @@ def path_to_target(events: DataFrame, trail_cols: list[str], ts_col: str, page_c
     return paths
 
 
-def _steps(col: str) -> Column:
-    arr = json_array(col)
+def _steps(arr: Column) -> Column:
     elems = F.slice(arr, 2, F.greatest(F.size(arr) - 1, F.lit(0)))   # skip the header element
     return F.transform(elems, lambda x: F.struct(
         json_get(x, "$.feet.page").alias("page"),
@@ -76,9 +75,10 @@ def _steps(col: str) -> Column:
 
 
 def _parsed(df: DataFrame, column: str, keep: list[str] | None) -> DataFrame:
-    """``keep..., _steps``: each trail parsed once, behind a one-row generator that later uses of the
-    steps read instead of parsing again."""
-    return df.select(*(keep or []), F.explode(F.array(_steps(column))).alias("_steps"))
+    """``keep..., _steps``: each trail is parsed once and its steps are taken once, each behind a one-row
+    generator whose output later uses read instead of computing it again."""
+    parsed = df.select(*(keep or []), F.explode(F.array(json_array(column))).alias("_elements"))
+    return parsed.select(*(keep or []), F.explode(F.array(_steps(F.col("_elements")))).alias("_steps"))
 
 
 def trail_events(df: DataFrame, column: str, keep: list[str] | None = None) -> DataFrame:
