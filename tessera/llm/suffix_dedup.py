@@ -6,15 +6,16 @@ document with a smaller id; strings are judged on the input.  Each distinct
 text is taken once, with its smallest id: in a copy with a larger id every byte
 goes as soon as it is long enough.
 
-Distribution.  The anchor of a string is the least hash of its 16-byte
+Distribution.  The anchor of a string is the least hash of its 24-byte
 substrings, so equal strings have equal anchors.  Texts are dealt into blocks
 of bounded size.  Each block sends its anchors, cut to 32 bits within a bucket,
 and gets back those that other texts have too.  Consecutive strings with such
 an anchor form a segment; segments of one anchor meet in one task.  Of equal
 segments in a block only those with the smallest id are sent, the others are
-removed on the spot.  An anchor that more than ``hot_blocks`` blocks share
-sends its strings one by one under a key of their own, so what a third of all
-documents have in common meets as one row per block.
+removed on the spot.  Segments of an anchor that more than ``hot_blocks`` blocks
+share are cut further by anchors of 40 bytes, and into single strings if more
+than the square of that number share it: what a third of all documents have in
+common then meets as one row per block.
 
 Transform.  In a task the distinct segments of some anchors are joined into
 one string; its positions are sorted by their next 64 bytes, which gives the
@@ -46,7 +47,9 @@ from pyspark.sql import functions as F
 from ..plans import write_through
 from ._words import _SYMBOL, batches_of, joined_ranges, mix, range_hashes, text_bytes
 
-GRAM = 16
+# bytes whose hashes are anchors; the long ones cut segments of hot anchors further
+GRAM, LONG_GRAM = 24, 40
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
 STEP = 1 << 20
 LAST = (1 << 63) - 1
 TEXT = "block int, t1 bigint, t2 bigint, ord bigint, text string"
@@ -54,13 +57,23 @@ SEGMENT = "key bigint, block int, t1 bigint, t2 bigint, ord bigint, start bigint
 SPAN = "block int, t1 bigint, t2 bigint, start bigint, stop bigint"
 
 
-def _anchors(data: np.ndarray, length: int) -> np.ndarray:
-    """The anchor of the string of ``length`` bytes at each position."""
-    grams, width = _SYMBOL[data], 1
-    for factor in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F):
-        grams = grams[:-width] * np.uint64(factor) + grams[width:]
+def _grams(symbols: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of all runs of ``size`` symbols, put together from runs of powers of two."""
+    part, width, out, have = symbols, 1, None, 0
+    while width <= size:
+        if size & width:
+            n = len(symbols) - have - width + 1
+            out = part if out is None else out[:n] * _FACTOR + part[have:have + n]
+            have += width
+        if 2 * width <= size:
+            part = part[:-width] * (_FACTOR ^ np.uint64(width << 1)) + part[width:]
         width *= 2
-    least, span, wanted = mix(grams), 1, length - GRAM + 1
+    return out
+
+
+def _anchors(data: np.ndarray, length: int, gram: int) -> np.ndarray:
+    """The anchor of the string of ``length`` bytes at each position: its least hash of ``gram`` bytes."""
+    least, span, wanted = mix(_grams(_SYMBOL[data], gram)), 1, length - gram + 1
     while 2 * span <= wanted:
         least, span = np.minimum(least[:-span], least[span:]), 2 * span
     return np.minimum(least[:len(least) - (wanted - span)], least[wanted - span:]) if span < wanted else least
@@ -73,7 +86,7 @@ def segments(data: np.ndarray, starts: np.ndarray, length: int, longest: int = 6
         piece = data[a:a + STEP + length - 1]
         if len(piece) < length:
             break
-        anchor = _anchors(piece, length)
+        anchor = _anchors(piece, length, min(GRAM, length))
         at = a + np.arange(len(anchor))
         owner = np.searchsorted(starts, at, side="right") - 1
         inside = at + length < starts[owner + 1]
@@ -225,10 +238,11 @@ class _Plan:
         anchors, blocks = np.unique(np.concatenate(sent), return_counts=True)
         several = np.unique(np.concatenate([np.frombuffer(x, dtype=np.uint32) for x in frame["several"]]))
         shared = anchors[(blocks > 1) | np.isin(anchors, several, assume_unique=True)]
-        hot = anchors[blocks > self.hot]
+        hot, common = anchors[blocks > self.hot], anchors[blocks > self.hot * self.hot]
         pick = lambda own, of: own[np.isin(own, of, assume_unique=True)].tobytes()
         return pd.DataFrame({"block": frame["block"], "bucket": frame["bucket"],
-                             "shared": [pick(x, shared) for x in sent], "hot": [pick(x, hot) for x in sent]})
+                             "shared": [pick(x, shared) for x in sent], "hot": [pick(x, hot) for x in sent],
+                             "common": [pick(x, common) for x in sent]})
 
     def send_segments(self, texts: pd.DataFrame, shared: pd.DataFrame) -> pd.DataFrame:
         columns = [c.split()[0] for c in SEGMENT.split(", ")]
@@ -237,7 +251,7 @@ class _Plan:
         whole = lambda c: np.sort(np.concatenate([
             (np.uint64(b) << np.uint64(32)) | np.frombuffer(x, dtype=np.uint32).astype(np.uint64)
             for b, x in zip(shared["bucket"].tolist(), shared[c], strict=True)]))
-        known, hot = whole("shared"), whole("hot")
+        known, hot, common = whole("shared"), whole("hot"), whole("common")
         texts = _one_each(texts)
         out = []
         for piece in batches_of([texts], "text", self.chars):
@@ -246,14 +260,11 @@ class _Plan:
             short = self._short(anchor)[1]
             kept = np.isin(short, known)
             owner, at, count, anchor, short = owner[kept], at[kept], count[kept], anchor[kept], short[kept]
-            # the strings of hot anchors one by one, each under a key of its own
-            many = np.isin(short, hot)
-            single = joined_ranges(at[many], count[many])
-            alone = range_hashes(data, single, single + self.length) ^ np.repeat(anchor[many], count[many])
-            key = np.concatenate([anchor[~many], alone])
-            owner = np.concatenate([owner[~many], np.repeat(owner[many], count[many])])
-            at = np.concatenate([at[~many], single])
-            count = np.concatenate([count[~many], np.ones(len(single), np.int64)])
+            key = anchor
+            for level, many in ((0, hot), (1, common)):
+                if np.isin(short, many).any():
+                    owner, at, count, key, short = self._cut_hot(data, (owner, at, count, key, short),
+                                                                 np.isin(short, many), level)
             raw = data.tobytes()
             stop = at + count + self.length - 1
             rows = piece[["block", "t1", "t2", "ord"]].iloc[owner].reset_index(drop=True)
@@ -272,6 +283,25 @@ class _Plan:
                               "t2": removed["t2"], "ord": removed["stop"], "start": removed["start"], "bytes": None})
         return pd.concat([rows[~gone][columns], spans[columns]], ignore_index=True)
 
+    def _cut_hot(self, data: np.ndarray, rows: tuple, many: np.ndarray, level: int) -> tuple:
+        """The segments marked in ``many`` cut by anchors of longer grams (level 0) or into single strings (1)."""
+        owner, at, count, key, short = (column[many] for column in rows)
+        place = joined_ranges(at, count)
+        run = np.repeat(np.arange(len(at)), count)
+        if level == 0:
+            long = [_anchors(data[a:a + STEP + self.length - 1], self.length, min(LONG_GRAM, self.length))
+                    for a in range(0, len(data) - self.length + 1, STEP)]
+            finer = np.concatenate(long)[place]
+        else:
+            finer = range_hashes(data, place, place + self.length)
+        finer = mix(finer ^ key[run])
+        head = np.ones(len(place), bool)
+        head[1:] = (run[1:] != run[:-1]) | (finer[1:] != finer[:-1])
+        heads = np.flatnonzero(head)
+        source = run[heads]
+        cut = (owner[source], place[heads], np.diff(np.append(heads, len(place))), finer[heads], short[source])
+        return tuple(np.concatenate([old[~many], new]) for old, new in zip(rows, cut, strict=True))
+
     def judge(self, frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         waiting, size = [], 0
         for frame in frames:
@@ -347,7 +377,7 @@ def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", te
              .mapInPandas(plan.distinct, TEXT).repartition(blocks, "block"))
     anchors = texts.mapInPandas(plan.send_anchors, "block int, bucket bigint, anchors binary, several binary")
     shared = anchors.groupBy("bucket").applyInPandas(lambda frame: plan.shared_anchors(frame),
-                                                     "block int, bucket bigint, shared binary, hot binary")
+                                                     "block int, bucket bigint, shared binary, hot binary, common binary")
     sent = texts.groupBy("block").cogroup(shared.groupBy("block")).applyInPandas(
         lambda left, right: plan.send_segments(left, right), SEGMENT)
     spans = sent.repartition(blocks, "key").sortWithinPartitions("key").mapInPandas(plan.judge, SPAN)
