@@ -115,6 +115,29 @@ ORACLE_SQL = {
             GROUP BY host, path)
         SELECT page_id, p.host, p.path, rule, coalesce(verdict, 'allow') AS verdict
         FROM parts p LEFT JOIN best b ON p.host = b.host AND p.path = b.path""",
+    "op3_suffix_dedup": """
+        WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents),
+        strings AS (
+            SELECT doc_id, p, substr(h, 2 * p + 1, 100) AS s
+            FROM (SELECT doc_id, h, unnest(range(0, n - 49)) AS p FROM d)),
+        least AS (SELECT s, min(doc_id) AS first FROM strings GROUP BY s HAVING count(DISTINCT doc_id) > 1),
+        gone AS (
+            SELECT doc_id, p, p > lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 50 AS apart
+            FROM strings JOIN least USING (s) WHERE first < doc_id),
+        runs AS (
+            SELECT doc_id, p, count(*) FILTER (apart) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM gone),
+        spans AS (SELECT doc_id, min(p) AS a, max(p) + 50 AS z FROM runs GROUP BY doc_id, run),
+        gaps AS (
+            SELECT d.doc_id, a, z, n, h, coalesce(lag(z) OVER (PARTITION BY d.doc_id ORDER BY a), 0) AS before
+            FROM spans JOIN d ON d.doc_id = spans.doc_id),
+        cut AS (
+            SELECT doc_id, sum(z - a) AS n_removed, count(*) AS n_spans,
+                   string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a)
+                   || substr(any_value(h), 2 * max(z) + 1) AS kept
+            FROM gaps GROUP BY doc_id)
+        SELECT d.doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+               coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256
+        FROM d LEFT JOIN cut c ON d.doc_id = c.doc_id""",
     "op4_decontamination": r"""
         WITH dw AS (
             SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
