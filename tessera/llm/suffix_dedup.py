@@ -53,8 +53,9 @@ _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 STEP = 1 << 20
 LAST = (1 << 63) - 1
 TEXT = "block int, t1 bigint, t2 bigint, ord bigint, text string"
-SEGMENT = "key bigint, block int, t1 bigint, t2 bigint, ord bigint, start bigint, bytes binary"
-SPAN = "block int, t1 bigint, t2 bigint, start bigint, stop bigint"
+# source: the block, and the text's place among the block's texts
+SEGMENT = "key bigint, source bigint, ord bigint, start bigint, bytes binary"
+SPAN = "block int, place int, start bigint, stop bigint"
 
 
 def _grams(symbols: np.ndarray, size: int) -> np.ndarray:
@@ -130,7 +131,7 @@ def expand_intervals(before: np.ndarray, length: int) -> np.ndarray:
     begins = np.zeros(len(before), bool)
     begins[:1] = True
     for _ in range(length):
-        interval = np.cumsum(begins)[by_symbol]
+        interval = np.cumsum(begins, dtype=np.int32)[by_symbol]
         begins = new_symbol.copy()
         begins[1:] |= interval[1:] != interval[:-1]
     return begins
@@ -176,10 +177,13 @@ def _judge(frame: pd.DataFrame, length: int) -> pd.DataFrame:
     mine = strings[codes]
     smallest = least[joined_ranges((np.cumsum(strings) - strings)[codes], mine)]
     row, first, count = _spans(smallest < np.repeat(ord_, mine), mine)
-    out = frame[["block", "t1", "t2"]].iloc[row].reset_index(drop=True)
-    out["start"] = frame["start"].to_numpy()[row] + first
-    out["stop"] = out["start"] + count - 1 + length
-    return out
+    source = frame["source"].to_numpy(dtype=np.int64)[row]
+    start = frame["start"].to_numpy(dtype=np.int64)[row] + first
+    return _span_rows(source, start, start + count - 1 + length)
+
+
+def _span_rows(source, start, stop) -> pd.DataFrame:
+    return pd.DataFrame({"block": source >> 32, "place": source & 0xFFFFFFFF, "start": start, "stop": stop})
 
 
 class _Plan:
@@ -253,6 +257,7 @@ class _Plan:
             for b, x in zip(shared["bucket"].tolist(), shared[c], strict=True)]))
         known, hot, common = whole("shared"), whole("hot"), whole("common")
         texts = _one_each(texts)
+        texts["source"] = (texts["block"].to_numpy(dtype=np.int64) << 32) + np.arange(len(texts))
         out = []
         for piece in batches_of([texts], "text", self.chars):
             data, starts = text_bytes(piece["text"])
@@ -267,20 +272,17 @@ class _Plan:
                                                                  np.isin(short, many), level)
             raw = data.tobytes()
             stop = at + count + self.length - 1
-            rows = piece[["block", "t1", "t2", "ord"]].iloc[owner].reset_index(drop=True)
-            rows.insert(0, "key", key.view(np.int64))
-            rows["start"] = at - starts[owner]
-            rows["bytes"] = [raw[a:b] for a, b in zip(at.tolist(), stop.tolist(), strict=True)]
-            out.append(rows)
+            out.append(pd.DataFrame({
+                "key": key.view(np.int64), "source": piece["source"].to_numpy()[owner],
+                "ord": piece["ord"].to_numpy()[owner], "start": at - starts[owner],
+                "bytes": [raw[a:b] for a, b in zip(at.tolist(), stop.tolist(), strict=True)]}))
         rows = pd.concat(out, ignore_index=True)
         least = rows.groupby(["key", "bytes"], sort=False)["ord"].transform("min").to_numpy()
         gone = rows["ord"].to_numpy() > least
         # removed here: of these only their spans are sent, with the end in place of the id
-        rows.loc[gone, "key"] = mix(rows["t1"].to_numpy().view(np.uint64)).view(np.int64)[gone]
         rows["stop"] = rows["start"] + _lengths(rows["bytes"])
-        removed = rows[gone]
-        spans = pd.DataFrame({"key": removed["key"], "block": removed["block"], "t1": removed["t1"],
-                              "t2": removed["t2"], "ord": removed["stop"], "start": removed["start"], "bytes": None})
+        spans = rows[gone].drop(columns=["ord", "bytes"]).rename(columns={"stop": "ord"})
+        spans["key"], spans["bytes"] = mix(spans["source"].to_numpy().view(np.uint64)).view(np.int64), None
         return pd.concat([rows[~gone][columns], spans[columns]], ignore_index=True)
 
     def _cut_hot(self, data: np.ndarray, rows: tuple, many: np.ndarray, level: int) -> tuple:
@@ -307,8 +309,7 @@ class _Plan:
         for frame in frames:
             done = frame["bytes"].isna()
             ready = frame[done]
-            yield pd.DataFrame({"block": ready["block"], "t1": ready["t1"], "t2": ready["t2"],
-                                "start": ready["start"], "stop": ready["ord"]})
+            yield _span_rows(ready["source"].to_numpy(dtype=np.int64), ready["start"].to_numpy(), ready["ord"].to_numpy())
             frame = frame[~done]
             while len(frame):
                 ends = np.cumsum(_lengths(frame["bytes"])) + size
@@ -327,10 +328,10 @@ class _Plan:
 
     def cut(self, texts: pd.DataFrame, spans: pd.DataFrame) -> pd.DataFrame:
         """The kept bytes of each text of a block that loses any."""
-        ranges = {n: own[["start", "stop"]].to_numpy(dtype=np.int64) for n, own in spans.groupby(["t1", "t2"], sort=False)}
+        ranges = {n: own[["start", "stop"]].to_numpy(dtype=np.int64) for n, own in spans.groupby("place", sort=False)}
         out = []
-        for row in _one_each(texts).itertuples(index=False):
-            own = ranges.get((row.t1, row.t2))
+        for row in _one_each(texts).itertuples():
+            own = ranges.get(row.Index)
             if own is None and not self.keep_text:
                 continue
             data = np.frombuffer(row.text.encode(), dtype=np.uint8)
@@ -351,13 +352,13 @@ def _lengths(parts) -> np.ndarray:
 
 
 def _one_each(texts: pd.DataFrame) -> pd.DataFrame:
-    """One row per text of a block, with its smallest id."""
-    return texts.groupby(["block", "t1", "t2"], sort=False, as_index=False).agg({"ord": "min", "text": "first"})
+    """One row per text of a block, with its smallest id, in an order that depends on the texts only."""
+    return texts.groupby(["block", "t1", "t2"], sort=True, as_index=False).agg({"ord": "min", "text": "first"})
 
 
 def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text",
-                   keep: list[str] | None = None, block_bytes: int = 8 << 20, hot_blocks: int = 64,
-                   batch_chars: int = 1_000_000, task_bytes: int = 1 << 20) -> DataFrame:
+                   keep: list[str] | None = None, block_bytes: int = 8 << 20, hot_blocks: int = 256,
+                   batch_chars: int = 1_000_000, task_bytes: int = 1 << 18) -> DataFrame:
     """``id, n_bytes, n_removed, n_spans, kept_sha256`` of every document.
 
     With ``keep`` those columns come along as a struct ``kept_columns`` instead of the id, and ``kept`` holds the
@@ -393,8 +394,9 @@ def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", te
         # every copy of a cut or copied text needs the text's first id
         first = F.min("ord").alias("first")
         rows = write_through(docs.select(*own, *marks), "rows")
-        firsts = write_through(rows.where(whole).groupBy("t1", "t2").agg(first), "firsts")
-        joined = rows.join(firsts, ["t1", "t2"], "left").join(cut.drop("first"), ["t1", "t2"], "left")
+        firsts = rows.where(whole).groupBy("t1", "t2").agg(first)
+        found = write_through(firsts.join(cut.drop("first"), ["t1", "t2"], "left"), "texts")
+        joined = rows.join(found, ["t1", "t2"], "left")  # two plain tables: AQE can split a text of many copies
         return joined.select(
             F.col("id").alias(id_col), "n_bytes",
             F.when(copy, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
