@@ -7,8 +7,8 @@ back, to the next stage.
 
 1. ``language_id``: documents without an identified language (no text, no
    letter) go; without any labelled document none can be identified.
-2. ``jaccard_join``: of each group of linked documents (3-word shingles,
-   Jaccard similarity of 0.9) the one with the smallest id stays, the first by a
+2. ``jaccard_join``: of each group of linked documents (5-word shingles,
+   Jaccard similarity of 0.8) the one with the smallest id stays, the first by a
    hash of its row if ids are absent; documents without words are not linked.
 3. ``suffix_dedup``: bytes under a 50-byte string that also starts in a
    document with a smaller id go, and documents of which nothing is left;
@@ -36,7 +36,7 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return jaccard_join.one_of_each_group(docs)
+    return jaccard_join.one_of_each_group(docs, shingle=5, part=80, whole=100)
 
 
 def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

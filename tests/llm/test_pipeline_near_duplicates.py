@@ -1,0 +1,51 @@
+"""The near-duplicate stage links at 5-word shingles and a similarity of 0.8, whatever op7 takes."""
+
+import corpus_pipeline as P
+
+SF = "/root/testdata/sf0.001"
+
+
+def shingles(text):
+    w = text.split()
+    return {tuple(w[i:i + 5]) for i in range(len(w) - 4)}
+
+
+def test_two_changed_words_are_linked(spark):
+    words = [f"w{i}" for i in range(100)]
+    near = [*words[:30], "x", *words[31:70], "y", *words[71:]]
+    far = [*words[:20], "x", *words[21:50], "y", *words[51:80], "z", *words[81:]]
+    rows = [(1, " ".join(words)), (2, " ".join(near)), (3, " ".join(f"v{i}" for i in range(100)))]
+    one, other = shingles(rows[0][1]), shingles(rows[1][1])
+    assert (len(one & other), len(one | other)) == (86, 106)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert sorted(r.doc_id for r in P.near_duplicate_stage(spark, df, SF).collect()) == [1, 3]
+    # three changed words: 81 of 111
+    df = spark.createDataFrame([rows[0], (4, " ".join(far))], "doc_id bigint, text string")
+    assert sorted(r.doc_id for r in P.near_duplicate_stage(spark, df, SF).collect()) == [1, 4]
+
+
+def test_documents_against_all_pairs(spark, documents):
+    rows = [(r.doc_id, r.text) for r in documents.select("doc_id", "text").collect()]
+    lower = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+    sets = []
+    for _, t in rows:
+        w = (t or "").translate(lower).replace("\v", " ").replace("\f", " ")
+        w = [x for line in w.split("\n") for part in line.split("\t") for y in part.split("\r") for x in y.split(" ") if x]
+        sets.append({tuple(w[i:i + 5]) for i in range(len(w) - 4)} if len(w) > 4 else {tuple(w)} if w else set())
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in range(len(rows)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both and 100 * both >= 80 * len(sets[i] | sets[j]):
+                root[find(i)] = find(j)
+    least = {}
+    for i, (d, _) in enumerate(rows):
+        least[find(i)] = min(d, least.get(find(i), d))
+    got = sorted(r.doc_id for r in P.near_duplicate_stage(spark, documents, SF).select("doc_id").collect())
+    assert got == sorted(least.values())
