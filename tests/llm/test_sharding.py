@@ -61,3 +61,17 @@ def test_quotas_stay_in_the_free_room():
     for j, free in enumerate([0, 3, 0]):
         arrive, leave = sum(moved[i][j] for i in range(3)), sum(moved[j])
         assert arrive <= leave + free + 1e-9
+
+
+@pytest.mark.parametrize("hot,pairs,most", [(0.34, 0.1, 3), (0.1, 0.6, 1), (0, 1, 0)])
+def test_settled_labels_keep_groups_whole(spark, hot, pairs, most):
+    n = 4000
+    texts = [(i, "hot" if i < hot * n else f"pair {i // 2}" if i < (hot + pairs) * n else f"single {i}") for i in range(n)]
+    rows = shard_documents(spark.createDataFrame(texts, "doc_id bigint, text string"), 8).collect()
+    check(rows, texts, 8)
+    names, lying = dict(texts), {}
+    for r in rows:
+        lying.setdefault(names[r.doc_id], set()).add(r.shard)
+    assert not hot or len(lying["hot"]) == most
+    # no room is left at all where all documents are in pairs
+    assert sum(len(x) > 1 for t, x in lying.items() if t.startswith("pair")) <= (7 if pairs == 1 else 0)
