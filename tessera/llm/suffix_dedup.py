@@ -18,8 +18,9 @@ than the square of that number share it: what a third of all documents have in
 common then meets as one row per block.
 
 Transform.  In a task the distinct segments of some anchors are joined into
-one string; its positions are sorted by their next 64 bytes, which gives the
-transform.  Breadth first, each step extends all prefixes backwards by one
+one string, each ended by a symbol that no segment holds; its positions are
+sorted by their next 64 bytes (56 symbols where there are zero bytes), which
+gives the transform.  Breadth first, each step extends all prefixes backwards by one
 byte: rows whose last byte is the same stay in one interval of the longer
 prefix exactly if they were in one interval of the shorter.  So the intervals
 of common prefixes come out by increasing value; at ``length`` the expansion
@@ -106,18 +107,19 @@ def segments(data: np.ndarray, starts: np.ndarray, length: int, longest: int = 6
 
 
 def transform(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Positions in the order of their next 64 symbols, and the symbol before each (its transform)."""
-    n, width = len(text), 8
-    padded = np.concatenate([text, np.zeros(8, np.uint8)])
+    """Positions in the order of their next 64 bytes (56 wider symbols), and the symbol before each (its transform)."""
+    bits = 8 if text.dtype == np.uint8 else 9
+    n, width = len(text), 64 // bits
+    padded = np.concatenate([text, np.zeros(width, text.dtype)])
     value = np.zeros(n, np.uint64)
-    for k in range(8):
-        value = (value << np.uint64(8)) | padded[k:k + n]
+    for k in range(width):
+        value = (value << np.uint64(bits)) | padded[k:k + n]
     while True:
         order = np.argsort(value, kind="stable")
         ranked = value[order]
         rank = np.empty(n, np.uint64)
         rank[order] = np.cumsum(np.concatenate([[True], ranked[1:] != ranked[:-1]])).astype(np.uint64)
-        if width >= 64:
+        if width >= 56:
             return order, text[order - 1]
         later = np.concatenate([rank[width:], np.zeros(min(width, n), np.uint64)])
         value, width = (rank << np.uint64(32)) | later, 2 * width
@@ -141,10 +143,15 @@ def repeated_strings(parts: list[bytes], owners: np.ndarray, length: int) -> np.
     """For every string of ``length`` bytes of each part, one part after the other, the least owner of a part that
     has it; ``owners`` holds one number per part."""
     sizes = _lengths(parts)
+    ends = np.cumsum(sizes + 1) - 1
+    starts = ends - sizes
     text = np.frombuffer(b"\0".join(parts) + b"\0", dtype=np.uint8)
+    # the symbol 0 ends a part and is in no string: where strings hold zero bytes, bytes are the symbols 1 to 256
+    if np.count_nonzero(text == 0) > len(parts):
+        text = text.astype(np.uint16) + np.uint16(1)
+        text[ends] = 0
     order, before = transform(text)
     heads = np.flatnonzero(expand_intervals(before, length))
-    starts = np.cumsum(sizes + 1) - sizes - 1
     strings = sizes - length + 1
     at = joined_ranges(starts, strings)
     owner = np.full(len(text), LAST, np.int64)

@@ -83,3 +83,28 @@ def test_intervals_are_common_prefixes():
             least[p[i:i + 12]] = min(o, least.get(p[i:i + 12], o))
     want = [least[p[i:i + 12]] for p in parts for i in range(len(p) - 11)]
     assert S.repeated_strings(parts, owners, 12).tolist() == want
+
+
+def test_content_bytes_equal_to_no_separator():
+    rnd = random.Random(4)
+    for _ in range(5):
+        shared = bytes(rnd.choice(b"ab\0") for _ in range(70))
+        parts = [bytes(rnd.choices(b"abcd", k=rnd.randint(5, 30))) + shared + bytes(rnd.choices(b"abc\0", k=rnd.randint(5, 30)))
+                 for _ in range(4)]
+        owners = np.array([3, 1, 0, 2])
+        least = {}
+        for p, o in zip(parts, owners.tolist(), strict=True):
+            for i in range(len(p) - 49):
+                least[p[i:i + 50]] = min(o, least.get(p[i:i + 50], o))
+        want = [least[p[i:i + 50]] for p in parts for i in range(len(p) - 49)]
+        assert S.repeated_strings(parts, owners, 50).tolist() == want
+
+
+def test_documents_with_nul_bytes(spark):
+    rnd = random.Random(6)
+    shared = "".join(rnd.choice("ab\0") for _ in range(90))
+    rows = [(i, "".join(rnd.choices("cdef", k=20 + i)) + shared + "".join(rnd.choices("cd\0", k=30))) for i in range(12)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    want = sorted((r[:5] for r in brute(rows)), key=repr)
+    assert got(S.remove_repeats(df)) == want
+    assert sum(1 for r in want if r[2] >= 90) == 11
