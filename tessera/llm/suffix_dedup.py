@@ -19,8 +19,7 @@ common then meets as one row per block.
 
 Transform.  In a task the distinct segments of some anchors are joined into
 one string, each ended by a symbol that no segment holds; its positions are
-sorted by their next 64 bytes (56 symbols where there are zero bytes), which
-gives the transform.  Breadth first, each step extends all prefixes backwards by one
+sorted by ``length`` or more of their next symbols, which gives the transform.  Breadth first, each step extends all prefixes backwards by one
 byte: rows whose last byte is the same stay in one interval of the longer
 prefix exactly if they were in one interval of the shorter.  So the intervals
 of common prefixes come out by increasing value; at ``length`` the expansion
@@ -106,8 +105,8 @@ def segments(data: np.ndarray, starts: np.ndarray, length: int, longest: int = 6
     return tuple(np.concatenate(c) for c in zip(*found, strict=True))
 
 
-def transform(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Positions in the order of their next 64 bytes (56 wider symbols), and the symbol before each (its transform)."""
+def transform(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions in the order of their next ``length`` symbols at least, and the symbol before each (its transform)."""
     bits = 8 if text.dtype == np.uint8 else 9
     n, width = len(text), 64 // bits
     padded = np.concatenate([text, np.zeros(width, text.dtype)])
@@ -119,7 +118,7 @@ def transform(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         ranked = value[order]
         rank = np.empty(n, np.uint64)
         rank[order] = np.cumsum(np.concatenate([[True], ranked[1:] != ranked[:-1]])).astype(np.uint64)
-        if width >= 56:
+        if width >= length:
             return order, text[order - 1]
         later = np.concatenate([rank[width:], np.zeros(min(width, n), np.uint64)])
         value, width = (rank << np.uint64(32)) | later, 2 * width
@@ -150,7 +149,7 @@ def repeated_strings(parts: list[bytes], owners: np.ndarray, length: int) -> np.
     if np.count_nonzero(text == 0) > len(parts):
         text = text.astype(np.uint16) + np.uint16(1)
         text[ends] = 0
-    order, before = transform(text)
+    order, before = transform(text, length)
     heads = np.flatnonzero(expand_intervals(before, length))
     strings = sizes - length + 1
     at = joined_ranges(starts, strings)

@@ -108,3 +108,19 @@ def test_documents_with_nul_bytes(spark):
     want = sorted((r[:5] for r in brute(rows)), key=repr)
     assert got(S.remove_repeats(df)) == want
     assert sum(1 for r in want if r[2] >= 90) == 11
+
+
+def test_strings_longer_than_64_bytes():
+    rnd = random.Random(8)
+    passage = rnd.choices(b"ab", k=70)
+    parts = []
+    for _ in range(30):  # the same for 70 bytes, then one of two ends
+        parts.append(bytes(rnd.choices(b"ab", k=rnd.randint(3, 9)) + passage + [rnd.choice(b"ab")] + passage[:rnd.randint(20, 60)]))
+    owners = np.arange(30)[::-1].copy()
+    for length in (65, 80):
+        least = {}
+        for p, o in zip(parts, owners.tolist(), strict=True):
+            for i in range(len(p) - length + 1):
+                least[p[i:i + length]] = min(o, least.get(p[i:i + length], o))
+        want = [least[p[i:i + length]] for p in parts for i in range(len(p) - length + 1)]
+        assert S.repeated_strings(parts, owners, length).tolist() == want
