@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.operators import categories, keywords
-from conftest import SF_SMALL
+from testdata_dirs import SF_SMALL
 
 
 def _docs(spark, parts):

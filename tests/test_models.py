@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tessera import jobs
 from tessera.operators import categories, itemsets, svm
 from tessera.plans import dense_index
-from conftest import SF_SMALL
+from testdata_dirs import SF_SMALL
 
 
 def test_svm_matches_mllib(spark):

@@ -8,7 +8,7 @@ import pytest
 
 import __spark_entry__ as E
 from tessera import jobs
-from conftest import SF_SMALL
+from testdata_dirs import SF_SMALL
 from tools.plan_summary import final_lines
 
 PY_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF",

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import keywords
 from tessera.streaming import document_stream, start_word_counts, streaming_word_counts
-from conftest import SF_SMALL
+from testdata_dirs import SF_SMALL
 
 
 def test_streaming_word_counts_match_batch(spark, tmp_path):

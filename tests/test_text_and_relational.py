@@ -8,7 +8,7 @@ from tessera import jobs
 from tessera.functions import composite_record, hash_bucket, parse_composite_record, word_tokens
 from tessera.functions.text import has_word
 from tessera.operators import categories, itemsets, keywords, relational
-from conftest import SF_SMALL
+from testdata_dirs import SF_SMALL
 
 
 def test_tokens_words_and_cjk_bigrams(spark):

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.operators.trails import path_to_target, path_to_target_json, trail_events
-from conftest import SF_SMALL
+from testdata_dirs import SF_SMALL
 
 H = {"h": 1}
 
