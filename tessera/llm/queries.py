@@ -11,8 +11,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (decontaminate, jaccard_join, language_id, lz_fingerprint, sentencepiece_codec, sharding, suffix_dedup,
-               token_files, url_filter, warc_audit)
+from . import (decontaminate, jaccard_join, language_id, lexical_search, lz_fingerprint, sentencepiece_codec, sharding,
+               suffix_dedup, token_alignment, token_files, url_filter, warc_audit)
 from ..plans import write_through
 
 # fixed values: host, path, verdict of the URL rules
@@ -20,6 +20,7 @@ URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.exam
              ("net", "/es/", "block"), ("net", "/fr/", "block")]
 SHARDS = 8
 END_ID = 2
+TOP_DOCUMENTS = 50
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -93,6 +94,17 @@ def op10_warc_audit(spark, sf_dir):
                     status.alias("status")))
 
 
+def op11_lexical_search(spark, sf_dir):
+    index = write_through(lexical_search.build_index(table(spark, sf_dir, "documents")), "index")
+    return lexical_search.search(index, table(spark, sf_dir, "benchmark"), TOP_DOCUMENTS)
+
+
+def op12_token_alignment(spark, sf_dir):
+    return token_alignment.align_tokenizers(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN,
+        public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES = {name: fn for name, fn in sorted(globals().items()) if name.startswith("op") and callable(fn)}
 
 _RULES_SQL = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
@@ -208,4 +220,26 @@ ORACLE_SQL = {
                CASE WHEN fate != 1 THEN there END AS replica_sha256,
                CASE WHEN fate = 1 THEN 'missing' WHEN there != sha256 THEN 'changed' ELSE 'same' END AS status
         FROM placed""",
+    "op11_lexical_search": r"""
+        WITH dw AS (
+            SELECT doc_id, row_number() OVER () AS row, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+        iw AS (
+            SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS t FROM benchmark),
+        corpus AS (SELECT count(*) AS docs, sum(len(w))::BIGINT AS words FROM dw WHERE len(w) > 0),
+        tf AS (
+            SELECT doc_id, row, n, t, count(*) AS tf FROM (SELECT doc_id, row, len(w) AS n, unnest(w) AS t FROM dw)
+            WHERE t IN (SELECT t FROM iw) GROUP BY doc_id, row, n, t),
+        weights AS (
+            SELECT t, floor(1000 * ln((2 * docs + 2) / (2 * df + 1)))::BIGINT AS weight
+            FROM (SELECT t, count(*) AS df FROM tf GROUP BY t), corpus),
+        scores AS (
+            SELECT item_id, doc_id, row,
+                   sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // words))))::BIGINT AS score
+            FROM iw JOIN weights USING (t) JOIN tf USING (t), corpus GROUP BY item_id, doc_id, row),
+        ranked AS (
+            SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+            FROM scores WHERE score > 0)
+        SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50""",
 }
