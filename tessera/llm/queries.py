@@ -11,8 +11,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (decontaminate, jaccard_join, language_id, lexical_search, lz_fingerprint, sentencepiece_codec, sharding,
-               suffix_dedup, token_alignment, token_files, url_filter, warc_audit)
+from . import (bottom_k, decontaminate, jaccard_join, language_id, lexical_search, lz_fingerprint, sentencepiece_codec,
+               sharding, suffix_dedup, token_alignment, token_files, url_filter, warc_audit)
 from ..plans import write_through
 
 # fixed values: host, path, verdict of the URL rules
@@ -105,6 +105,10 @@ def op12_token_alignment(spark, sf_dir):
         public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op13_bottom_k(spark, sf_dir):
+    return bottom_k.near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
+
+
 QUERIES = {name: fn for name, fn in sorted(globals().items()) if name.startswith("op") and callable(fn)}
 
 _RULES_SQL = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
@@ -242,4 +246,20 @@ ORACLE_SQL = {
             SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
             FROM scores WHERE score > 0)
         SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50""",
+    "op13_bottom_k": r"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        sets AS (
+            SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 2 THEN [w]
+                   ELSE list_transform(range(1, len(w)), lambda i: w[i:i + 1]) END) AS s FROM words),
+        members AS (SELECT doc_id, len(s) AS n, hash(unnest(s)) AS h FROM sets),
+        pairs AS (
+            SELECT a.doc_id AS x, b.doc_id AS y FROM members a JOIN members b ON a.h = b.h AND a.doc_id != b.doc_id
+            GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+        reach(x, y) AS (
+            SELECT doc_id, doc_id FROM sets UNION SELECT r.x, p.y FROM reach r JOIN pairs p ON r.y = p.x),
+        least AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x)
+        SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, component_id, s.doc_id = component_id AS kept
+        FROM sets s JOIN least l ON s.doc_id = l.x""",
 }
