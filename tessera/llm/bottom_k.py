@@ -18,8 +18,8 @@ the similarity of a candidate pair; pairs that can reach the threshold are
 confirmed on their full sets, whose rows pass a Bloom filter first.
 
 Groups.  What is asked for is the classes' components, so no list is expanded
-into its pairs.  Rounds pair each member of a list with one member of it (the
-least by a hash that changes from round to round); confirmed links join
+into its pairs.  Rounds pair the members of a list with a few members of it (the
+least by hashes that change from round to round); confirmed links join
 components.  When rounds join no more, or little is left, every member of a
 list outside the list's largest component is paired with all members of other
 components.  Pairs inside a component are never made.
@@ -49,6 +49,10 @@ from ._words import batches_of
 from .jaccard_join import set_keys, shingle_sets
 
 
+HEADS = 16  # members of a list that the later rounds pair the others with
+LONG_LIST = 32
+
+
 @lru_cache(maxsize=8)
 def least_shared(k: int, part: int, whole: int, miss: float = 1e-11) -> int:
     """The number of ``k`` retained values that a pair at the threshold falls short of with probability ``miss``."""
@@ -133,16 +137,27 @@ class _Join:
                 .where(F.col("lists") >= needed).drop("lists"))
 
     def starred(self, members: DataFrame, seed: int) -> DataFrame:
-        """Each member of a list with the list's least one by a hash of this round."""
-        order = F.xxhash64("node", F.lit(seed))
-        heads = members.groupBy("value").agg(F.min_by(F.struct("node", "n", "comp"), order).alias("h"))
-        heads = write_through(heads.select("value", F.col("h.node").alias("head"), F.col("h.n").alias("nh"),
-                                           F.col("h.comp").alias("ch")), "heads")
-        pairs = (members.join(heads, "value").where((F.col("comp") != F.col("ch")) & self._sizes_fit(F.col("n"), F.col("nh")))
-                 .select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b"),
-                         F.when(F.col("node") < F.col("head"), F.col("n")).otherwise(F.col("nh")).alias("na"),
-                         F.when(F.col("node") < F.col("head"), F.col("nh")).otherwise(F.col("n")).alias("nb")))
-        return self._often(pairs)
+        """Members of a list with its least ones by hashes of this round.
+
+        The first round takes one for every list; later ones take several, for the lists that are long enough to
+        be worth it and the members outside their largest component."""
+        count = 1 if seed == 0 else HEADS
+        least = [F.min_by(F.struct("node", "n", "comp"), F.xxhash64("node", F.lit(seed * HEADS + i))) for i in range(count)]
+        if seed:
+            sizes = members.groupBy("value", "comp").agg(F.count(F.lit(1)).alias("c")).groupBy("value").agg(
+                F.sum("c").alias("s"), F.max_by("comp", F.struct("c", "comp")).alias("top"))
+            long = write_through(sizes.where(F.col("s") >= LONG_LIST), "long")
+            members = write_through(members.join(long, "value").select("value", "node", "n", "comp", "top"), "members")
+        heads = members.groupBy("value").agg(F.array_distinct(F.array(*least)).alias("heads"))
+        heads = write_through(heads, "heads")
+        met = (members if seed == 0 else members.where("comp != top")).join(heads, "value")
+        met = met.select("node", "n", "comp", F.explode("heads").alias("h")).where(
+            (F.col("comp") != F.col("h.comp")) & self._sizes_fit(F.col("n"), F.col("h.n")))
+        first = F.col("node") < F.col("h.node")
+        return self._often(met.select(
+            F.least("node", "h.node").alias("a"), F.greatest("node", "h.node").alias("b"),
+            F.when(first, F.col("n")).otherwise(F.col("h.n")).alias("na"),
+            F.when(first, F.col("h.n")).otherwise(F.col("n")).alias("nb")))
 
     def outsiders(self, members: DataFrame) -> DataFrame:
         """Members outside the largest component of a list with all its members of other components."""
@@ -162,13 +177,15 @@ class _Join:
     def confirm(self, pairs: DataFrame) -> DataFrame:
         """``a, b``: the pairs that the sketches let pass and the full sets confirm."""
         pairs = write_through(pairs, "pairs")
-        sketch = lambda side: self.classes.select(F.col("node").alias(side), F.col("sketch").alias(f"s{side}"))
+        # the high halves of the values, in the same order: two that agree in these alone can only add a pair
+        high = F.transform("sketch", lambda v: F.shiftright(v, 32).cast("int"))
+        sketch = lambda side: self.classes.select(F.col("node").alias(side), high.alias(f"s{side}"))
         both = pairs.join(sketch("a"), "a").join(sketch("b"), "b")
         union = F.slice(F.array_sort(F.array_union("sa", "sb")), 1, self.k)
         shared = F.size(F.array_intersect(F.array_intersect("sa", "sb"), union))
-        # a union that lies whole in its sketch is known exactly
-        may = F.when(F.size(union) < self.k, self._reaches(shared, F.size(union))).otherwise(
-            shared >= least_shared(self.k, self.part, self.whole))
+        # sets that lie whole in their sketches are known (but for the low halves)
+        may = F.when(F.greatest("na", "nb") < self.k, self._reaches(shared + 1, F.size(union))).otherwise(
+            shared >= least_shared(self.k, self.part, self.whole) - 1)
         likely = write_through(both.where(may).select("a", "b", "na", "nb"), "likely")
         nodes = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
         wanted = write_through(nodes.join(self.classes.select("node", "row"), "node"), "wanted")

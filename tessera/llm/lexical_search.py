@@ -96,7 +96,7 @@ def pack_shard(ids: np.ndarray, missing: np.ndarray, hashes: np.ndarray, n: np.n
 
 
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                shard_chars: int = 16_000_000) -> DataFrame:
+                shard_chars: int = 4_000_000) -> DataFrame:
     """The index of ``docs``, one row a shard of at most ``shard_chars`` characters (or one document)."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

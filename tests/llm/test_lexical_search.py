@@ -38,7 +38,7 @@ def brute(rows, items, k=50):
     return sorted(out, key=repr)
 
 
-def got(docs, items, k=50, shard_chars=16_000_000, **options):
+def got(docs, items, k=50, shard_chars=4_000_000, **options):
     index = write_through(S.build_index(docs, shard_chars=shard_chars), "index")
     return sorted((tuple(r) for r in S.search(index, items, k, **options).collect()), key=repr)
 
