@@ -64,9 +64,17 @@ def has_word(text: Column | str, cjk_bigrams: bool | Column = False) -> Column:
     return _per_row(cjk_bigrams, t.rlike(_RUNS), t.rlike(WORD_PATTERN))
 
 
-def whitespace_tokens(text: Column | str, min_length: int = 2) -> Column:
-    """Lower-case, split on runs of white space, keep tokens of ``min_length``+ chars."""
-    return F.filter(F.split(F.lower(_col(text)), r"\s+"), lambda w: F.length(w) >= min_length)
+# The white space that the tokenizer of the ML library splits at.
+WHITE_SPACE = r"[ \t\n\x0B\f\r]"
+
+
+def whitespace_tokens(text: Column | str) -> Column:
+    """Lower-case and split at every white-space character, as ``pyspark.ml.feature.Tokenizer`` does: words of one
+    letter and empty words between or before blanks are kept, empty words at the end are not."""
+    t = F.lower(_col(text))
+    body = F.regexp_replace(t, WHITE_SPACE + r"+$", "")
+    return (F.when(t == "", F.array(F.lit(""))).when(body == "", F.array().cast("array<string>"))
+            .otherwise(F.split(body, WHITE_SPACE)))
 
 
 def join_tokens(tokens: Column | str, sep: str = " ") -> Column:

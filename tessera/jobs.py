@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from .functions.records import composite_record, labeled_line, parse_composite_record
 from .functions.text import CJK_LANGS, join_tokens, whitespace_tokens
-from .operators import categories, itemsets, keywords, relational, svm, trails
+from .operators import categories, itemsets, keywords, relational, sparse_svm, svm, trails
 from .plans.checkpoint import write_through
 from .sources.delimited import lines_from_columns, parse_delimited
 from .sources.json_docs import map_to_json, parse_json_column, read_json_column, required_json_fields
@@ -35,6 +35,7 @@ HASH_BUCKETS = 10_000
 TOP_K = 20
 SVM_ITERATIONS = 10
 FEATURES = ["c_mktsegment", "c_nationkey"]
+BALANCE_STEP = 10  # of the wide feature: account balances in tens
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -113,9 +114,8 @@ def _doc_tokens(spark, sf_dir):
     return keywords.prepare_documents(table(spark, sf_dir, "documents"), "doc_id", "text", cjk_bigrams=_cjk())
 
 
-def _terms_and_m(spark, sf_dir, buckets=None):
-    prepared = _doc_tokens(spark, sf_dir)
-    return keywords.term_rows(prepared, buckets), keywords.document_count(prepared)
+def _terms(spark, sf_dir, buckets=None):
+    return keywords.term_rows(_doc_tokens(spark, sf_dir), buckets)
 
 
 def q_word_count_top20(spark, sf_dir):
@@ -123,25 +123,24 @@ def q_word_count_top20(spark, sf_dir):
 
 
 def q_idf(spark, sf_dir):
-    terms, m = _terms_and_m(spark, sf_dir)
-    return keywords.inverse_document_frequency(terms, m).select("word", "df", F.round("idf", 6).alias("idf"))
+    idf = keywords.inverse_document_frequency(_terms(spark, sf_dir))
+    return idf.select("word", "df", F.round("idf", 6).alias("idf"))
 
 
 def q_tfidf(spark, sf_dir):
-    terms, m = _terms_and_m(spark, sf_dir)
-    return keywords.tfidf(terms, m).select(F.col("doc").alias("doc_id"), "word", "tf",
-                                           F.round("tfidf", 6).alias("tfidf"))
+    return keywords.tfidf(_terms(spark, sf_dir)).select(F.col("doc").alias("doc_id"), "word", "tf",
+                                                        F.round("tfidf", 6).alias("tfidf"))
 
 
 def q_doc_keyword(spark, sf_dir):
-    terms, m = _terms_and_m(spark, sf_dir)
-    return keywords.doc_keyword(keywords.tfidf(terms, m)).select(F.col("doc").alias("doc_id"), "word", "score")
+    scores = keywords.tfidf(_terms(spark, sf_dir))
+    return keywords.doc_keyword(scores).select(F.col("doc").alias("doc_id"), "word", "score")
 
 
 def q_tfidf_hashed(spark, sf_dir):
-    terms, m = _terms_and_m(spark, sf_dir, HASH_BUCKETS)
-    return keywords.tfidf(terms, m).select(F.col("doc").alias("doc_id"), F.col("word").alias("bucket"), "tf",
-                                           F.round("tfidf", 6).alias("tfidf"))
+    scores = keywords.tfidf(_terms(spark, sf_dir, HASH_BUCKETS))
+    return scores.select(F.col("doc").alias("doc_id"), F.col("word").alias("bucket"), "tf",
+                         F.round("tfidf", 6).alias("tfidf"))
 
 
 def q_text_tokens(spark, sf_dir):
@@ -153,8 +152,9 @@ def q_tokens_joined(spark, sf_dir):
 
 
 def q_whitespace_tokens(spark, sf_dir):
-    d = table(spark, sf_dir, "documents")
-    return d.where(F.col("text").isNotNull()).select("doc_id", join_tokens(whitespace_tokens("text")).alias("words"))
+    d = table(spark, sf_dir, "documents").where(F.col("text").isNotNull())
+    words = d.select("doc_id", whitespace_tokens("text").alias("words"))
+    return words.select("doc_id", join_tokens("words").alias("words"), F.size("words").alias("n_words"))
 
 
 # ---------------------------------------------------------------- trails and itemsets
@@ -197,12 +197,9 @@ def q_trail_events(spark, sf_dir):
 
 
 def q_path_to_target_json(spark, sf_dir):
-    js = _json_trails(spark, sf_dir)
-    both = []
-    for dedup in ("exact", "substring"):
-        paths = trails.path_to_target_json(js, "feet", JSON_TARGET, JSON_SHOW, keep=["event_id"], dedup=dedup)
-        both.append(paths.select("event_id", F.lit(dedup).alias("dedup"), F.array_join("path", ",").alias("path")))
-    return both[0].unionByName(both[1])
+    paths = trails.path_to_target_json(_json_trails(spark, sf_dir), "feet", JSON_TARGET, JSON_SHOW, keep=["event_id"],
+                                       dedup=("exact", "substring"))
+    return paths.select("event_id", "dedup", F.array_join("path", ",").alias("path"))
 
 
 def _fp_partitions(spark):
@@ -343,6 +340,48 @@ def q_svm_error_rate(spark, sf_dir):
     return er.select("n", F.round("error_rate", 6).alias("error_rate"))
 
 
+def _wide_slots(spark, sf_dir):
+    """``slots`` and the rows over them: the two features and a wide one, many of whose values are not in the training
+    rows.  Written once: the label join feeds the dictionary, the training and the scoring."""
+    balance = F.floor(F.col("c_acctbal") / BALANCE_STEP).cast("string")
+    people = table(spark, sf_dir, "customer").select("c_custkey", *FEATURES, balance.alias("balance"))
+    users = relational.membership_label(people, "c_custkey", _buyers(spark, sf_dir), "o_custkey")
+    users = users.withColumn("split", relational.split_column("c_custkey"))
+    pv = write_through(categories.position_values(users, "c_custkey", [*FEATURES, "balance"], keep=["label", "split"]), "values")
+    slots = write_through(categories.feature_slots(_dictionary(pv), len(FEATURES) + 1), "slots")
+    return slots, write_through(categories.slot_rows(pv, slots, "c_custkey", keep=["label", "split"]), "encoded")
+
+
+def _wide_model(spark, sf_dir):
+    slots, rows = _wide_slots(spark, sf_dir)
+    weights = sparse_svm.train(rows.where(F.col("split") == "train"), iterations=SVM_ITERATIONS)
+    return slots, rows, weights
+
+
+def q_category_slots(spark, sf_dir):
+    _, rows = _wide_slots(spark, sf_dir)
+    return rows.select("c_custkey", "label", "split", F.array_join("slots", ",").alias("slots"))
+
+
+def q_svm_onehot_weights(spark, sf_dir):
+    slots, _, weights = _wide_model(spark, sf_dir)
+    return slots.join(weights, "slot").select("slot", "pos", "value", F.round("weight", 6).alias("weight"))
+
+
+def _wide_scores(spark, sf_dir):
+    _, rows, weights = _wide_model(spark, sf_dir)
+    return sparse_svm.scores(rows.where(F.col("split") == "test"), weights, "c_custkey", keep=["label"])
+
+
+def q_svm_onehot_scores(spark, sf_dir):
+    return _wide_scores(spark, sf_dir).select("c_custkey", "label", F.round("score", 6).alias("score"))
+
+
+def q_svm_onehot_error_rate(spark, sf_dir):
+    er = svm.svm_error_rate(_wide_scores(spark, sf_dir))
+    return er.select("n", F.round("error_rate", 6).alias("error_rate"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

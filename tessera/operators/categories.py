@@ -11,7 +11,7 @@ dictionary is small.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans.indexing import dense_index
@@ -53,6 +53,38 @@ def category_encode(pv: DataFrame, dictionary: DataFrame, key: str, keep: list[s
             .select(key, *(keep or []), F.transform("_pc", lambda s: s["code"]).alias("features")))
 
 
+def feature_slots(dictionary: DataFrame, num_features: int) -> DataFrame:
+    """``pos, value, slot, unseen``: the one-hot slots of a dictionary of :func:`category_index`.
+
+    Each position has a dense block of slots, its values in order and then one slot of its own for values that the
+    dictionary does not hold (that row has ``unseen`` set).  The blocks follow each other, so a slot is the dictionary
+    index and one more for each earlier position."""
+    spark = dictionary.sparkSession
+    known = dictionary.select("pos", "value", (F.col("ix") + F.col("pos")).alias("slot"), F.lit(False).alias("unseen"))
+    positions = spark.range(num_features).select(F.col("id").cast("int").alias("pos"))
+    sizes = dictionary.groupBy("pos").agg(F.count(F.lit(1)).alias("n"))
+    # one row a feature
+    up_to = Window.orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ends = positions.join(sizes, "pos", "left").withColumn("_end", F.sum(F.coalesce("n", F.lit(0))).over(up_to))
+    rest = ends.select("pos", F.lit(None).cast("string").alias("value"), (F.col("_end") + F.col("pos")).alias("slot"),
+                       F.lit(True).alias("unseen"))
+    return known.unionByName(rest)
+
+
+def slot_rows(pv: DataFrame, slots: DataFrame, key: str, keep: list[str] | None = None) -> DataFrame:
+    """``key, keep..., slots array<bigint>``: the set slot of each feature in position order, for rows of
+    :func:`position_values`.  The array is as long as there are features; no vector of all slots is made."""
+    known = slots.where("NOT unseen").select(F.col("pos").alias("_pos"), F.col("value").alias("_value"),
+                                             F.col("slot").alias("_slot"))
+    rest = slots.where("unseen").select(F.col("pos").alias("_at"), F.col("slot").alias("_unseen"))
+    same = (F.col("pos") == F.col("_pos")) & F.col("value").eqNullSafe(F.col("_value"))
+    # the slots for unseen values are one row a feature
+    found = pv.join(known, same, "left").join(F.broadcast(rest), F.col("pos") == F.col("_at"))
+    return (found.groupBy(key, *(keep or []))
+            .agg(F.array_sort(F.collect_list(F.struct("pos", F.coalesce("_slot", "_unseen").alias("slot")))).alias("_ps"))
+            .select(key, *(keep or []), F.transform("_ps", lambda p: p["slot"]).alias("slots")))
+
+
 def one_hot(encoded: DataFrame, num_features: int, features: str = "features", vector: str = "vector") -> DataFrame:
     """``encoded`` plus a sparse vector with one set slot per feature, the form a linear trainer such as
     ``pyspark.ml.classification.LinearSVC`` takes (another optimiser than the index form's sub-gradient

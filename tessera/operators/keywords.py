@@ -6,18 +6,20 @@ and any number of input splits:
 1. tokens are produced inside ``explode``/``posexplode`` of the tokenising
    expression itself, in the tasks of the scan.  An empty token array explodes
    to no rows, so generators need no "has a word" filter; that guard (a regex
-   ``find``) is paid only by the per-document outputs and the document count;
-2. TF-IDF shuffles the tokens once, by (word, salt) with the salt a hash of
+   ``find``) is paid only by the per-document outputs;
+2. a document is one row, so its words are counted inside that row, before
+   anything moves: :func:`term_rows` gives (document, word, count), and a mark,
+   the empty word with count 0, for each document that has a word;
+3. TF-IDF shuffles these rows once, by (word, salt) with the salt a hash of
    the document: the term counts per (word, salt, document), the documents per
    (word, salt) and the join below all use that partitioning.  The number of
    salts is the number of shuffle partitions, so a word found in every document
    is spread over as many tasks as there are;
-3. the lookup side holds only the (word, salt) pairs that occur, each with the
+4. the lookup side holds only the (word, salt) pairs that occur, each with the
    document frequency of its word (a sum over at most ``salts`` rows), so a
    rare word costs a few rows there and no word is copied to every salt;
-4. the document count is a scalar sub-query: a scan of its own that stops at
-   the first word of each text.  It reads the text a second time, without
-   tokenising it.
+5. the document count is the number of marks, an aggregate of the same
+   exchange; the text is read once.
 """
 
 from __future__ import annotations
@@ -69,19 +71,43 @@ def top_words(counts: DataFrame, k: int = 20) -> DataFrame:
     return counts.orderBy(F.col("n").desc(), F.col("word").asc()).limit(k)
 
 
-def term_rows(prepared: DataFrame, buckets: int | None = None) -> DataFrame:
-    """``doc, word`` — one row per token; with ``buckets`` the word is replaced by its hash bucket
-    (md5, the same in any engine)."""
-    words = prepared.select("doc", F.explode(tokens(prepared)).alias("word"))
-    return words if buckets is None else words.select("doc", hash_bucket("word", buckets).alias("word"))
+def _counted(words: Column) -> Column:
+    """``array<struct<word, n>>``: the empty word with 0, then the distinct elements of an array with their counts;
+    NULL for an empty array."""
+    mark = F.array(F.struct(F.lit("").alias("word"), F.lit(0).cast("bigint").alias("n")))
 
+    def of_sorted(w: Column) -> Column:
+        heads = F.filter(F.sequence(F.lit(1), F.size(w)), lambda i: (i == 1) | (F.get(w, i - 1) != F.get(w, i - 2)))
+        return F.transform(F.array(heads), lambda h: F.transform(h, lambda x, j: F.struct(
+            F.get(w, x - 1).alias("word"), (F.coalesce(F.get(h, j + 1), F.size(w) + 1) - x).cast("bigint").alias("n"))))[0]
 
-def term_counts(terms: DataFrame) -> DataFrame:
-    """``doc, word, tf`` of token rows, in the partitioning that :func:`tfidf` joins in."""
+    # an array of one element binds the sorted words to a name, so they are computed once
+    return F.transform(F.array(F.sort_array(words)), lambda w: F.when(F.size(w) > 0, F.concat(mark, of_sorted(w))))[0]
+
+
+def term_rows(prepared: DataFrame, buckets: int | None = None) -> DataFrame:
+    """``doc, word, n`` — a row for each distinct word of a document with its count, and one with the empty word and
+    count 0 for each document that has a word.  With ``buckets`` the word is replaced by its hash bucket (md5, the same
+    in any engine) and the empty word by -1; two words of a bucket are two rows."""
+    rows = prepared.select("doc", F.explode(_counted(tokens(prepared))).alias("t"))
+    # never NULL, so the joins below add no filter to one of their sides
+    word, n = F.coalesce("t.word", F.lit("")), F.coalesce("t.n", F.lit(0))
+    if buckets is not None:
+        word = F.when(n == 0, F.lit(-1)).otherwise(F.coalesce(hash_bucket(word, buckets), F.lit(-1))).cast("bigint")
+    return rows.select("doc", word.alias("word"), n.alias("n"))
+
+
+def _spread(terms: DataFrame) -> DataFrame:
+    """``word, _salt, doc, tf`` of :func:`term_rows`, the marks with a ``tf`` of 0."""
     salts = int(terms.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     salt = F.coalesce(F.pmod(F.xxhash64("doc"), F.lit(salts)), F.lit(0)).cast("int")
     spread = terms.withColumn("_salt", salt).repartition(salts, "word", "_salt")
-    return spread.groupBy("word", "_salt", "doc").agg(F.count(F.lit(1)).alias("tf"))
+    return spread.groupBy("word", "_salt", "doc").agg(F.sum("n").alias("tf"))
+
+
+def term_counts(terms: DataFrame) -> DataFrame:
+    """``word, _salt, doc, tf``, in the partitioning that :func:`tfidf` joins in."""
+    return _spread(terms).where("tf > 0")
 
 
 def _idf(df_col: Column, m: Column) -> Column:
@@ -94,32 +120,41 @@ def document_count(prepared: DataFrame) -> Column:
     return prepared.select(F.count_distinct(F.when(has, F.col("doc")))).scalar()
 
 
-def inverse_document_frequency(terms: DataFrame, m: Column) -> DataFrame:
+def inverse_document_frequency(terms: DataFrame, m: Column | None = None) -> DataFrame:
     """``word, df, idf`` with idf = ln((m + 1) / (df + 1)), the smoothed form
-    also used by ``pyspark.ml.feature.IDF``; ``m`` from :func:`document_count`.
+    also used by ``pyspark.ml.feature.IDF``; ``m`` is the number of documents
+    with a word, counted from the marks of ``terms`` when not given.
     Distinct (word, document) pairs merge map-side, then per word."""
-    return (terms.distinct().groupBy("word").agg(F.count("doc").alias("df"))
-            .select("word", "df", _idf(F.col("df"), m).alias("idf")))
-
-
-def tfidf(terms: DataFrame, m: Column) -> DataFrame:
-    """``doc, word, tf, tfidf`` of token rows — exact words, no hashing collisions.
-
-    The counts and the lookup side read one exchange of the tokens, which Spark
-    reuses: both need the same columns, and the salt is never NULL, so no filter
-    is inferred for one of them only."""
-    counts = term_counts(terms)
-    here = counts.groupBy("word", "_salt").agg(F.count("doc").alias("_n"))
+    pairs = terms.groupBy("word", "doc").agg(F.max("n").alias("n"))
+    # the marks are left out by an aggregate, since a filter on the word would part the two readers of one exchange
+    words = pairs.groupBy("word").agg(F.count("doc").alias("df"), F.max("n").alias("_most"))
+    if m is None:
+        m = words.select(F.coalesce(F.sum(F.when(F.col("_most") == 0, F.col("df"))), F.lit(0))).scalar()
+    return words.where("_most > 0").select("word", "df", _idf(F.col("df"), m).alias("idf"))
+
+
+def tfidf(terms: DataFrame, m: Column | None = None) -> DataFrame:
+    """``doc, word, tf, tfidf`` of :func:`term_rows` — exact words, no hashing collisions.
+
+    The counts, the lookup side and the document count read one exchange, which
+    Spark reuses: all need the same columns, neither word nor salt is ever NULL,
+    so no filter is inferred for one of them only, and the marks are told by
+    their summed count."""
+    counts = _spread(terms)
+    if m is None:
+        m = counts.select(F.count(F.when(F.col("tf") == 0, F.col("doc")))).scalar()
+    # by way of tf, so that this side needs the columns of the exchange that the others need
+    here = counts.groupBy("word", "_salt").agg(F.count(F.when(F.col("tf") >= 0, F.col("doc"))).alias("_n"))
     everywhere = Window.partitionBy("word")
     idf = here.select("word", "_salt", _idf(F.sum("_n").over(everywhere), m).alias("_idf"))
-    return (counts.join(idf, ["word", "_salt"])
+    return (counts.where("tf > 0").join(idf, ["word", "_salt"])
             .select("doc", "word", "tf", (F.col("tf") * F.col("_idf")).alias("tfidf")))
 
 
 def doc_keyword(scores: DataFrame, digits: int = 6) -> DataFrame:
     """Best-scoring word per document, ties by word; the exact scores decide, the output is rounded.
-    A ``min`` over (−score, word) merges map-side, so a document with many words never needs one
-    sorted partition."""
-    best = (scores.groupBy("doc")
-            .agg(F.min(F.struct((-F.col("tfidf")).alias("neg"), F.col("word"))).alias("_b")))
-    return best.select("doc", F.col("_b.word").alias("word"), F.round(-F.col("_b.neg"), digits).alias("score"))
+    One shuffle by document, whose rows are at most its distinct words: the best score over them, and of the words
+    that reach it (they alone are collected) the least."""
+    best = scores.withColumn("_best", F.max("tfidf").over(Window.partitionBy("doc"))).where("tfidf = _best")
+    return (best.groupBy("doc", "_best").agg(F.array_min(F.collect_set("word")).alias("word"))
+            .select("doc", "word", F.round("_best", digits).alias("score")))

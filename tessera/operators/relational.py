@@ -1,8 +1,9 @@
 """Filters, projections, membership lookups, distinct, union, split.
 
 All are declarative so Catalyst pushes predicates and column pruning into the
-scan.  Membership is a plain join, never a driver-side loop: AQE splits a hot
-key of the labelled side by its measured size.
+scan.  Membership is a plain join with the distinct member keys, never a
+driver-side loop: AQE splits a hot key of the labelled side by its measured
+size, and a hot key of the member side is one key.
 """
 
 from __future__ import annotations
@@ -11,8 +12,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.records import hash_bucket, year_range
+from ..plans.bloom import bloom_table, marked_by, may_be_in
 from ..plans.checkpoint import write_through
 
+# Member keys for which a Bloom filter is built: fewer are broadcast whole, more fill it.
+BLOOM_FROM, BLOOM_TO = 10_000, 1_000_000
+
 
 def range_filter(df: DataFrame, column: str, low, high, select: list[str] | None = None) -> DataFrame:
     """Rows with ``low <= column <= high`` (NULL never qualifies)."""
@@ -57,19 +62,43 @@ def membership_label(df: DataFrame, key: str, members: DataFrame, member_key: st
                          F.when(F.col("_mkey").isNotNull(), F.lit(1.0)).otherwise(F.lit(0.0)).alias(label))
 
 
-def _member_rows(df: DataFrame, key: str, members: DataFrame, member_key: str, how: str) -> DataFrame:
-    keys = members.select(F.col(member_key).alias("_mkey")).where(F.col("_mkey").isNotNull())
-    return df.join(keys, df[key] == keys["_mkey"], how)
+def _member_keys(members: DataFrame, member_key: str) -> DataFrame:
+    """The distinct keys, as a written table: a key that fills the member side is one row of each task before it
+    moves, and the join that follows has a plain table on both sides."""
+    return write_through(distinct_keys(members, member_key, "_mkey"), "members")
+
+
+def _worth_a_filter(keys: DataFrame) -> bool:
+    """More keys than a broadcast join takes at once, but not so many that the filter lets all rows pass."""
+    return BLOOM_FROM < keys.count() <= BLOOM_TO
+
+
+def semi_members(df: DataFrame, key: str, members: DataFrame, member_key: str, bloom: bool | None = None) -> DataFrame:
+    """Rows of ``df`` whose key occurs in ``members`` (each row once).
 
+    ``bloom``: look the keys up in a Bloom filter before the join, so that rows without a member are not moved;
+    decided by the number of distinct member keys when not given."""
+    keys = _member_keys(members, member_key)
+    bloom = _worth_a_filter(keys) if bloom is None else bloom
+    kind = df.schema[key].dataType
+    probed = may_be_in(df, bloom_table(keys.select(F.col("_mkey").cast(kind)), "_mkey"), key) if bloom else df
+    return probed.join(keys, probed[key] == keys["_mkey"], "left_semi")
 
-def semi_members(df: DataFrame, key: str, members: DataFrame, member_key: str) -> DataFrame:
-    """Rows of ``df`` whose key occurs in ``members`` (each row once)."""
-    return _member_rows(df, key, members, member_key, "left_semi")
 
+def anti_members(df: DataFrame, key: str, members: DataFrame, member_key: str, bloom: bool | None = None) -> DataFrame:
+    """Rows of ``df`` whose key does not occur in ``members`` (a NULL key does not).
 
-def anti_members(df: DataFrame, key: str, members: DataFrame, member_key: str) -> DataFrame:
-    """Rows of ``df`` whose key does not occur in ``members``."""
-    return _member_rows(df, key, members, member_key, "left_anti")
+    With ``bloom`` (see :func:`semi_members`) the rows that the filter does not know are kept as they are scanned, and
+    only the others are moved to have their key compared."""
+    keys = _member_keys(members, member_key)
+    bloom = _worth_a_filter(keys) if bloom is None else bloom
+    if not bloom:
+        return df.join(keys, df[key] == keys["_mkey"], "left_anti")
+    table = bloom_table(keys.select(F.col("_mkey").cast(df.schema[key].dataType)), "_mkey")
+    marked = marked_by(df, table, key, "_maybe")
+    sure = marked.where(~F.col("_maybe")).drop("_maybe")
+    unsure = marked.where("_maybe").drop("_maybe")
+    return sure.unionByName(unsure.join(keys, unsure[key] == keys["_mkey"], "left_anti"))
 
 
 def union_labeled(positives: DataFrame, negatives: DataFrame, label: str = "label") -> DataFrame:

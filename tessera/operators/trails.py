@@ -88,22 +88,31 @@ def trail_events(df: DataFrame, column: str, keep: list[str] | None = None) -> D
             .select(*(keep or []), "step", "e.t", "e.page", "e.type"))
 
 
+_DEDUPS = {"exact": F.array_distinct, "substring": _substring_dedup}
+
+
 def path_to_target_json(df: DataFrame, column: str, target: str = "recommend", type_value: str = "pageshow",
-                        keep: list[str] | None = None, strict: bool = False, dedup: str = "exact") -> DataFrame:
+                        keep: list[str] | None = None, strict: bool = False,
+                        dedup: str | tuple[str, ...] = "exact") -> DataFrame:
     """Path to target for JSON trails, one row in, at most one row out.
 
     ``strict=True`` also drops a trail when any element before the hit lacks
     ``t``, ``feet.page`` or ``feet.type``; elements after the hit never matter.
+    With several ways of ``dedup`` there is a row for each, told by a column
+    ``dedup``; the trails are read and parsed once for all of them.
     """
+    ways = (dedup,) if isinstance(dedup, str) else tuple(dedup)
     steps = F.col("_steps")
     hit = F.array_position(F.transform(steps, lambda s: (s["type"] == type_value) & (s["page"] == target)), True)
     before = F.when(hit > 1, F.slice(steps, 1, hit - 1))
     pages = F.transform(F.filter(before, lambda s: (s["type"] == type_value) & s["page"].isNotNull()),
                         lambda s: s["page"])
-    path = F.array_distinct(pages) if dedup == "exact" else _substring_dedup(pages)
-    parsed = _parsed(df, column, keep)
-    out = parsed.select(*(keep or []), path.alias("path"),
-                    F.forall(before, lambda s: s["ok"]).alias("_ok"))
+    # the pages are taken once, behind a generator, whatever the number of ways
+    parsed = _parsed(df, column, keep).select(*(keep or []), F.explode(F.array(F.struct(
+        pages.alias("pages"), F.forall(before, lambda s: s["ok"]).alias("ok")))).alias("_seen"))
     if strict:
-        out = out.where(F.col("_ok"))
-    return out.where(F.size("path") > 0).drop("_ok")
+        parsed = parsed.where(F.col("_seen.ok"))
+    paths = F.array(*[F.struct(F.lit(w).alias("dedup"), _DEDUPS[w](F.col("_seen.pages")).alias("path")) for w in ways])
+    out = parsed.select(*(keep or []), F.explode(paths).alias("_way")).select(*(keep or []), "_way.dedup", "_way.path")
+    out = out.where(F.size("path") > 0)
+    return out.drop("dedup") if isinstance(dedup, str) else out

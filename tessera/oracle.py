@@ -91,6 +91,45 @@ def _svm_sql() -> str:
     return "WITH " + ",\n".join(parts)
 
 
+def _wide_sql() -> str:
+    """Slots of three features (the last wide), the entries of each row, ``enc`` with the joined slots."""
+    positions = " UNION ALL ".join(
+        f"SELECT c_custkey, label, split, {i} AS pos, {v} AS value FROM wusers" for i, v in enumerate(("v0", "v1", "v2")))
+    return f"""wbuyers AS (SELECT DISTINCT o_custkey FROM ({_BUYERS})),
+wusers AS MATERIALIZED (SELECT c_custkey, CASE WHEN b.o_custkey IS NOT NULL THEN 1.0 ELSE 0.0 END::DOUBLE AS label,
+                 CASE WHEN {_BUCKET} < 8 THEN 'train' ELSE 'test' END AS split, c_mktsegment AS v0,
+                 CAST(c_nationkey AS VARCHAR) AS v1, CAST(CAST(floor(c_acctbal / {J.BALANCE_STEP}) AS BIGINT) AS VARCHAR) AS v2
+          FROM customer LEFT JOIN wbuyers b ON c_custkey = b.o_custkey),
+wpv AS MATERIALIZED ({positions}),
+wdict AS MATERIALIZED (SELECT pos, value, row_number() OVER (ORDER BY pos, value) - 1 + pos AS slot
+         FROM (SELECT DISTINCT pos, value FROM wpv WHERE split = 'train')),
+wrest AS (SELECT p.pos, (SELECT count(*) FROM wdict d WHERE d.pos <= p.pos) + p.pos AS slot
+          FROM (SELECT unnest([0, 1, 2]) AS pos) p),
+ent AS MATERIALIZED (SELECT c_custkey, label, split, wpv.pos, coalesce(d.slot, r.slot)::BIGINT AS slot
+        FROM wpv JOIN wrest r ON wpv.pos = r.pos LEFT JOIN wdict d ON d.pos = wpv.pos AND d.value IS NOT DISTINCT FROM wpv.value)"""
+
+
+def _wide_svm_sql() -> str:
+    """One table of weights for each iteration, joined to the entries by slot, with the same early stop."""
+    parts = [_wide_sql(), "te AS MATERIALIZED (SELECT c_custkey, slot, 2.0 * label - 1.0 AS s FROM ent WHERE split = 'train')",
+             "tn AS (SELECT count(DISTINCT c_custkey)::DOUBLE AS n FROM te)",
+             "x0 AS MATERIALIZED (SELECT DISTINCT slot, 0.0::DOUBLE AS weight FROM te)",
+             "stop0 AS (SELECT false AS conv)"]
+    for i in range(1, J.SVM_ITERATIONS + 1):
+        p, st = i - 1, f"(1.0::DOUBLE / sqrt({i}::DOUBLE))"
+        parts.append(f"""mar{i} AS (SELECT c_custkey, sum(weight) AS m FROM te JOIN x{p} USING (slot) GROUP BY c_custkey)""")
+        parts.append(f"""gr{i} AS (SELECT slot, sum(CASE WHEN 1.0 > s * m THEN -s ELSE 0.0 END) AS g
+    FROM te JOIN mar{i} USING (c_custkey) GROUP BY slot)""")
+        parts.append(f"""x{i} AS MATERIALIZED (SELECT slot, CASE WHEN conv THEN weight
+        ELSE weight * (1.0 - {st} * 0.01) - {st} * g / n END AS weight FROM x{p} JOIN gr{i} USING (slot), tn, stop{p})""")
+        check = "false" if i == 1 else (f"(SELECT sqrt(sum((a.weight - b.weight) ** 2)) < 0.001 * greatest(sqrt(sum(a.weight ** 2)), 1.0) "
+                                        f"FROM x{i} a JOIN x{p} b USING (slot))")
+        parts.append(f"stop{i} AS MATERIALIZED (SELECT conv OR {check} AS conv FROM stop{p})")
+    parts.append(f"""wscored AS (SELECT c_custkey, label, sum(coalesce(weight, 0.0)) AS score
+    FROM ent LEFT JOIN x{J.SVM_ITERATIONS} USING (slot) WHERE split = 'test' GROUP BY c_custkey, label)""")
+    return "WITH " + ",\n".join(parts)
+
+
 # The word of a hashed term is its bucket; the rest is the TF-IDF above.
 _HASHED = _TC.replace(
     "unnest(toks) AS word FROM",
@@ -130,9 +169,13 @@ SQL: dict[str, str] = {
     "text_tokens": f"""SELECT doc_id, CAST(generate_subscripts(toks, 1) - 1 AS INTEGER) AS pos, unnest(toks) AS token
         FROM ({_DOCS}) WHERE len(toks) > 0""",
     "tokens_joined": f"SELECT doc_id, array_to_string(toks, ' ') AS text FROM ({_DOCS}) WHERE len(toks) > 0",
-    "whitespace_tokens": r"""SELECT doc_id,
-        array_to_string(list_filter(regexp_split_to_array(lower(text), '\s+'), lambda w: length(w) >= 2), ' ') AS words
-        FROM documents WHERE text IS NOT NULL""",
+    # trailing white space first: empty words at the end are dropped
+    "whitespace_tokens": r"""WITH t AS (
+            SELECT doc_id, lower(text) AS t, regexp_replace(lower(text), '[ \t\n\x0B\f\r]+$', '') AS body
+            FROM documents WHERE text IS NOT NULL),
+        w AS (SELECT doc_id, CASE WHEN t = '' THEN [''] WHEN body = '' THEN []
+                     ELSE regexp_split_to_array(body, '[ \t\n\x0B\f\r]') END AS w FROM t)
+        SELECT doc_id, array_to_string(w, ' ') AS words, len(w)::INTEGER AS n_words FROM w""",
     "year_locate_filter": f"""SELECT o_orderkey, o_custkey, o_orderdate FROM orders
         WHERE strpos(CAST(o_orderdate AS VARCHAR), '{J.YEAR}') > 0""",
     "tfidf_hashed": f"WITH {_HASHED} SELECT doc_id, word AS bucket, tf, round(tfidf, 6) AS tfidf FROM scores",
@@ -179,4 +222,14 @@ SQL: dict[str, str] = {
     "svm_error_rate": _svm_sql() + """
         SELECT count(*) AS n, round(avg(CASE WHEN (CASE WHEN score > 0 THEN 1.0 ELSE 0.0 END) <> label
                                         THEN 1.0 ELSE 0.0 END), 6) AS error_rate FROM scored""",
+    "category_slots": f"""WITH {_wide_sql()}
+        SELECT c_custkey, label, split, string_agg(CAST(slot AS VARCHAR), ',' ORDER BY pos) AS slots FROM ent
+        GROUP BY c_custkey, label, split""",
+    "svm_onehot_weights": _wide_svm_sql() + f"""
+        SELECT slot::BIGINT AS slot, CAST(pos AS INTEGER) AS pos, value, round(weight, 6) AS weight
+        FROM x{J.SVM_ITERATIONS} JOIN wdict USING (slot)""",
+    "svm_onehot_scores": _wide_svm_sql() + "\nSELECT c_custkey, label, round(score, 6) AS score FROM wscored",
+    "svm_onehot_error_rate": _wide_svm_sql() + """
+        SELECT count(*) AS n, round(avg(CASE WHEN (CASE WHEN score > 0 THEN 1.0 ELSE 0.0 END) <> label
+                                        THEN 1.0 ELSE 0.0 END), 6) AS error_rate FROM wscored""",
 }

@@ -29,17 +29,22 @@ def _bits(hashed: Column) -> Column:
     return word
 
 
-def bloom_table(keys: DataFrame, *columns: str) -> DataFrame:
+def bloom_table(keys: DataFrame, column: str) -> DataFrame:
     """``_block, _word``: the filter of the keys' values (map-side combined, at most ``BLOCKS`` rows)."""
-    hashed = F.xxhash64(*columns, F.lit(_SEED))
+    hashed = F.xxhash64(column, F.lit(_SEED))
     return (keys.select(_block(hashed).alias("_block"), _bits(hashed).alias("_bits"))
             .groupBy("_block").agg(F.bit_or("_bits").alias("_word")))
 
 
-def may_be_in(rows: DataFrame, table: DataFrame, *columns: str) -> DataFrame:
-    """The rows whose key may be among the filter's; the key's type must be that of the filter's keys."""
-    hashed = F.xxhash64(*columns, F.lit(_SEED))
-    tried = rows.withColumn("_probe", hashed)
-    joined = tried.join(F.broadcast(table), _block(F.col("_probe")) == F.col("_block"))
+def marked_by(rows: DataFrame, table: DataFrame, column: str, mark: str) -> DataFrame:
+    """``rows`` and whether each key may be among the filter's; its type must be that of the filter's keys."""
+    tried = rows.withColumn("_probe", F.xxhash64(column, F.lit(_SEED)))
+    joined = tried.join(F.broadcast(table), _block(F.col("_probe")) == F.col("_block"), "left")
     bits = _bits(F.col("_probe"))
-    return joined.where(F.col("_word").bitwiseAND(bits) == bits).drop("_probe", "_block", "_word")
+    known = F.coalesce(F.col("_word").bitwiseAND(bits) == bits, F.lit(False))
+    return joined.withColumn(mark, known).drop("_probe", "_block", "_word")
+
+
+def may_be_in(rows: DataFrame, table: DataFrame, column: str) -> DataFrame:
+    """The rows whose key may be among the filter's."""
+    return marked_by(rows, table, column, "_maybe").where("_maybe").drop("_maybe")
