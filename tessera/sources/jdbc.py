@@ -8,7 +8,10 @@ When the caller gives no bounds they are read from the database as
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _NUMERIC_LIKE = ("int", "bigint", "smallint", "tinyint", "long", "short", "byte", "decimal",
                  "double", "float", "date", "timestamp", "timestamp_ntz")
@@ -28,6 +31,30 @@ def bucket_predicates(expr: str, n: int) -> list[str]:
     return [first, *(f"({expr}) = {i}" for i in range(1, n))]
 
 
+def depth_cuts(keys: DataFrame, column: str, n: int, accuracy: int = 10_000) -> list:
+    """At most ``n - 1`` ascending values that cut the rows of ``keys`` into parts of nearly equal size, from a
+    quantile sketch of the column (one aggregate; the sketch is bounded by ``accuracy``)."""
+    wanted = F.array(*[F.lit(i / n) for i in range(1, n)]) if n > 1 else F.array().cast("array<double>")
+    found = keys.select(F.percentile_approx(F.col(column), wanted, accuracy)).first()[0] if n > 1 else None
+    return sorted(set(found or []))
+
+
+def _literal(value) -> str:
+    if isinstance(value, (datetime.date, datetime.datetime)):
+        return f"'{value}'"
+    return str(value)
+
+
+def depth_predicates(column: str, cuts: list) -> list[str]:
+    """One range of ``column`` for each part between the cuts; the first also takes NULL, so each row is read exactly
+    once.  A value that is repeated cannot be cut: its part is as large as it is."""
+    if not cuts:
+        return ["1 = 1"]
+    marks = [_literal(c) for c in cuts]
+    inner = [f"{column} >= {a} AND {column} < {b}" for a, b in zip(marks, marks[1:], strict=False)]
+    return [f"{column} < {marks[0]} OR {column} IS NULL", *inner, f"{column} >= {marks[-1]}"]
+
+
 def require_range_key(column: str, kind: str) -> None:
     if not kind.startswith(_NUMERIC_LIKE):
         raise ValueError(f"{column} is of type {kind} and cannot be cut into ranges; give bucket_expr or predicates")
@@ -36,8 +63,11 @@ def require_range_key(column: str, kind: str) -> None:
 def read_jdbc(spark: SparkSession, url: str, table_or_query: str, *,
               partition_column: str | None = None, num_partitions: int = 10,
               lower_bound=None, upper_bound=None, predicates: list[str] | None = None,
-              bucket_expr: str | None = None, properties: dict | None = None) -> DataFrame:
-    """``bucket_expr``: for keys that cannot drive range partitions (text), a
+              bucket_expr: str | None = None, balanced: bool = False, properties: dict | None = None) -> DataFrame:
+    """``balanced``: cut the partitions at quantiles of the key instead of equal strides, for keys whose values crowd
+    together; the key alone is read first, by equal strides.
+
+    ``bucket_expr``: for keys that cannot drive range partitions (text), a
     SQL expression of the source database with ``{n}`` for the partition
     count, e.g. ``"MOD(ABS(HASHTEXT(uid)), {n})"``; it becomes one predicate per
     partition (see :func:`bucket_predicates`)."""
@@ -63,5 +93,10 @@ def read_jdbc(spark: SparkSession, url: str, table_or_query: str, *,
         lower_bound, upper_bound = row[0], row[1]
         if lower_bound == upper_bound:
             num_partitions = 1
-    return spark.read.jdbc(url, dbtable, column=partition_column, lowerBound=lower_bound,
-                           upperBound=upper_bound, numPartitions=num_partitions, properties=props)
+    stride = {"column": partition_column, "lowerBound": lower_bound, "upperBound": upper_bound,
+              "numPartitions": num_partitions, "properties": props}
+    if balanced:
+        keys = spark.read.jdbc(url, f"(SELECT {partition_column} FROM {dbtable}) AS k", **stride)
+        cuts = depth_cuts(keys, partition_column, num_partitions)
+        return spark.read.jdbc(url, dbtable, predicates=depth_predicates(partition_column, cuts), properties=props)
+    return spark.read.jdbc(url, dbtable, **stride)

@@ -168,3 +168,48 @@ def test_jdbc_partitioned_read_bounds_from_data(spark):
     buckets = read_jdbc(spark, url, "FEET", num_partitions=7, bucket_expr="MOD(UID, {n})", properties=props)
     bsizes = buckets.rdd.glom().map(len).collect()
     assert len(bsizes) == 7 and sum(bsizes) == 500 and max(bsizes) - min(bsizes) <= 1
+
+
+def test_equi_depth_ranges_of_a_skewed_key(spark):
+    from tessera.sources import depth_cuts, depth_predicates
+
+    # most keys crowd at the low end; a few are huge, some are NULL
+    keys = spark.range(20_000).select(F.when(F.col("id") % 100 == 0, None).when(F.col("id") % 1000 == 1, F.col("id") * 10**9)
+                                      .otherwise(F.floor(F.pow(F.col("id") / 20_000, 6) * 10**7)).cast("bigint").alias("k"))
+    cuts = depth_cuts(keys, "k", 8)
+    parts = depth_predicates("k", cuts)
+    sizes = [keys.where(p).count() for p in parts]
+    assert len(parts) == 8 and sum(sizes) == keys.count() and max(sizes) <= 2 * min(sizes)
+    # equal strides would put nearly all rows into the first part
+    top = keys.agg(F.max("k")).first()[0]
+    assert keys.where(f"k < {top // 8}").count() > 0.95 * keys.where("k IS NOT NULL").count()
+
+
+def test_equi_depth_ranges_at_the_edges(spark):
+    from tessera.sources import depth_cuts, depth_predicates
+
+    hot = spark.range(1000).select(F.when(F.col("id") < 700, 5).otherwise(F.col("id")).alias("k"))
+    parts = depth_predicates("k", depth_cuts(hot, "k", 6))
+    assert sum(hot.where(p).count() for p in parts) == 1000
+    assert depth_predicates("k", depth_cuts(hot.limit(0), "k", 4)) == ["1 = 1"] == depth_predicates("k", depth_cuts(hot, "k", 1))
+    days = spark.range(400).select(F.date_add(F.lit("2000-01-01").cast("date"), F.col("id").cast("int")).alias("d"))
+    parts = depth_predicates("d", depth_cuts(days, "d", 4))
+    assert len(parts) == 4 and sum(days.where(p).count() for p in parts) == 400
+
+
+def test_bucketed_tables_are_joined_without_a_shuffle(spark):
+    from tessera.sources import write_bucketed
+
+    facts = spark.range(5000).select((F.col("id") % 700).alias("k"), "id")
+    names = spark.range(700).select(F.col("id").alias("k"), F.concat(F.lit("n"), "id").alias("name"))
+    try:
+        write_bucketed(facts, "bucket_facts", "k", 8)
+        write_bucketed(names, "bucket_names", "k", 8)
+        joined = spark.table("bucket_facts").hint("merge").join(spark.table("bucket_names"), "k")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and joined.count() == 5000
+        grouped = spark.table("bucket_facts").groupBy("k").count()
+        assert "Exchange" not in grouped._jdf.queryExecution().executedPlan().toString() and grouped.count() == 700
+    finally:
+        spark.sql("DROP TABLE IF EXISTS bucket_facts")
+        spark.sql("DROP TABLE IF EXISTS bucket_names")
