@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._rows import carry
+from ._rows import beside_text, identity
 from ._words import LOWER, batches_of, joined_ranges, mix, range_hashes, text_bytes, word_ranges
 
 # fixed values: bytes of words after A-Z are lower-cased
@@ -166,6 +166,5 @@ def search_documents(docs: DataFrame, benchmark: DataFrame, window: int = 10, id
             out["contaminated"] = out["n_hit"] > 0
             yield out
 
-    plain, schema, restore = carry(docs, id_col, text_col, keep)
-    return restore(plain.mapInPandas(
-        run, f"{schema}, n_words bigint, n_hit bigint, items array<string>, contaminated boolean"))
+    return beside_text(docs, [identity(docs, id_col, keep)], text_col, run,
+                       "n_words bigint, n_hit bigint, items array<string>, contaminated boolean")

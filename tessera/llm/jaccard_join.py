@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 
 from ..plans import write_through
 from ._components import connected_components
+from ._rows import beside_text
 from ._words import LOWER, batches_of, joined_ranges, mix, range_hashes, text_bytes, word_ranges
 
 # fixed values: bytes between words
@@ -248,16 +249,15 @@ def join_documents(docs: DataFrame, shingle: int = 3, part: int = 90, whole: int
     threshold = Threshold(part, whole)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"),
                        _row_hash(id_col, text_col).alias("row"))
-    kind = rows.schema["id"].dataType.simpleString()
 
     def keys(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in batches_of(frames, "text", batch_chars):
-            hashes, sizes = shingle_sets(frame.pop("text"), shingle)
-            frame["n"] = sizes
-            frame["k1"], frame["k2"] = set_keys(hashes, sizes)
-            yield frame
+        for frame in batches_of(frames, "_text", batch_chars):
+            hashes, sizes = shingle_sets(frame["_text"], shingle)
+            k1, k2 = set_keys(hashes, sizes)
+            yield pd.DataFrame({"n": sizes, "k1": k1, "k2": k2})
 
-    narrow = write_through(rows.mapInPandas(keys, f"id {kind}, row bigint, n bigint, k1 bigint, k2 bigint"), "sets")
+    narrow = write_through(beside_text(rows, [F.col("id"), F.col("row")], "text", keys, "n bigint, k1 bigint, k2 bigint"),
+                           "sets")
     sets = write_through(narrow.where("n > 0").groupBy("k1", "k2").agg(
         F.min("row").alias("row"), F.min("id").alias("first"), F.count(F.lit(1)).alias("copies"),
         F.first("n").alias("n")), "sets")

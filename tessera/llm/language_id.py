@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._rows import carry
+from ._rows import beside_text, identity
 from ._words import batches_of
 
 UNKNOWN = "und"
@@ -131,5 +131,5 @@ def predict_languages(docs: DataFrame, size: int = 300, id_col: str = "doc_id",
             out["lang_pred"], out["score"] = [j[0] for j in judged], [j[1] for j in judged]
             yield out
 
-    plain, schema, restore = carry(docs, id_col, text_col, keep, held_out=held_out(id_col))
-    return restore(plain.mapInPandas(run, f"{schema}, lang_pred string, score double"))
+    return beside_text(docs, [identity(docs, id_col, keep), held_out(id_col).alias("held_out")], text_col, run,
+                       "lang_pred string, score double")

@@ -30,8 +30,8 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
+from ._rows import beside_text, identity
 from ._words import WordCodes, batches_of, cut_documents, joined_ranges, text_bytes
 
 MARK = "▁"
@@ -200,12 +200,9 @@ def encode_decode(docs: DataFrame, model_file: str, id_col: str = "doc_id", text
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = load_model(model_file)
         codes = WordCodes(model.encode_words, np.int32)
-        for frame in batches_of(frames, "text", batch_chars):
-            flat, counts = codes.encode(*model.words(frame["text"]))
+        for frame in batches_of(frames, "_text", batch_chars):
+            flat, counts = codes.encode(*model.words(frame["_text"]))
             ids = np.split(flat, np.cumsum(counts)[:-1])
-            yield pd.DataFrame({"id": frame["id"], "ids": ids, "decoded": [model.decode(x.tolist()) for x in ids]})
+            yield pd.DataFrame({"ids": ids, "decoded": [model.decode(x.tolist()) for x in ids]})
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    plain = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    out = plain.mapInPandas(run, f"id {kind}, ids array<int>, decoded string")
-    return out.withColumnRenamed("id", id_col)
+    return beside_text(docs, [identity(docs, id_col, None)], text_col, run, "ids array<int>, decoded string")

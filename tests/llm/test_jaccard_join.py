@@ -10,13 +10,13 @@ WORD = re.compile("[^\x20\x09-\x0D]+")
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 
 
-def shingles(text):
+def shingles(text, size=3):
     w = WORD.findall((text or "").translate(LOWER))
-    return {tuple(w[i:i + 3]) for i in range(len(w) - 2)} if len(w) > 2 else {tuple(w)} if w else set()
+    return {tuple(w[i:i + size]) for i in range(len(w) - size + 1)} if len(w) >= size else {tuple(w)} if w else set()
 
 
-def brute(rows):
-    sets = [shingles(t) for _, t in rows]
+def brute(rows, size=3, part=90):
+    sets = [shingles(t, size) for _, t in rows]
     root = list(range(len(rows)))
 
     def find(x):
@@ -28,7 +28,7 @@ def brute(rows):
     for i in range(len(rows)):
         for j in range(i):
             both = len(sets[i] & sets[j])
-            if both and 100 * both >= 90 * len(sets[i] | sets[j]):
+            if both and 100 * both >= part * len(sets[i] | sets[j]):
                 links[i] += 1
                 links[j] += 1
                 root[find(i)] = find(j)

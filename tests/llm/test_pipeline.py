@@ -27,7 +27,7 @@ def test_stages(spark, documents, awkward):
         assert step.columns == docs.columns
     before, judged, single, cut, clean, coded = steps
     assert sorted(pairs(judged)) == sorted((d, t) for d, t in pairs(before) if any(c.isalpha() for c in t))
-    keep = {r[2] for r in components(pairs(judged))}
+    keep = {r[2] for r in components(pairs(judged), 5, 80)}
     # rows equal in id and text are one document
     assert sorted(pairs(single)) == sorted({(d, t) for d, t in pairs(judged) if d in keep})
     left = {r[0]: r[5].decode("utf-8", "ignore") for r in without_repeats(pairs(single)) if r[2] == 0 or r[2] < r[1]}
