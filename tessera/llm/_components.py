@@ -14,8 +14,9 @@ def _star(both: DataFrame, moved) -> DataFrame:
                           "least")
     # both sides of the join are plain tables, so AQE can split a node with very many neighbours
     tied = both.where(moved).join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return write_through(tied.unionByName(least.select("a", F.col("m").alias("b"))).where("a != b").distinct(),
-                         "edges")
+    out = write_through(tied.unionByName(least.select("a", F.col("m").alias("b"))).where("a != b").distinct(), "edges")
+    release(least)
+    return out
 
 
 def connected_components(edges: DataFrame) -> DataFrame:

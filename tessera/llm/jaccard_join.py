@@ -1,4 +1,4 @@
-"""N-gram Jaccard join by vertical partitioning of the n-gram order.
+"""N-gram Jaccard join; vertical partitioning of the n-gram order selects the candidates.
 
 A document's set holds the 64-bit hashes of its distinct ``n``-word shingles;
 their order is the global n-gram order.  Equal sets are one node from the start.
@@ -15,11 +15,11 @@ many fragments are empty that linked sets might agree in empty ones only, those
 count as well.
 
 Counting.  A family's sets are cut into blocks of bounded size, and each pair
-of blocks is one group.  There the shared shingles are taken fragment by
-fragment: each fragment gives a partial overlap for every pair, the partial
-overlaps are summed per pair, and pairs that reach the threshold are linked.
-Pairs stay inside the task; what leaves it is one row per set, with its number
-of links and the least set it is connected to.
+of blocks is one group.  There the overlap of every two sets is counted on the
+whole sets (in pieces that bound memory, not by the fragments above, which only
+select candidates), and pairs that reach the threshold are linked.  Pairs stay
+inside the task; what leaves it is one row per set, with its number of links and
+the least set it is connected to.
 
 Edge cases: NULL texts and texts without words have empty sets, linked with
 nothing; repeated rows and copies are linked with each other; NULL ids do not
@@ -192,7 +192,7 @@ def _ties(docs: DataFrame, size: int, threshold: Threshold, batch_chars: int) ->
 
 
 def overlaps(hashes: np.ndarray, owner: np.ndarray, count: int, pairs_at_once: int = 4_000_000) -> np.ndarray:
-    """Shared shingles of every two sets of a block, summed over fragments of the n-gram order."""
+    """Shared shingles of every two sets of a block, in pieces of about ``pairs_at_once``."""
     order = np.argsort(hashes, kind="stable")
     hashes, owner = hashes[order], owner[order]
     heads = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]])) if len(hashes) else np.empty(0, int)
