@@ -1,25 +1,29 @@
-"""N-gram Jaccard join; vertical partitioning of the n-gram order selects the candidates.
-
-A document's set holds the 64-bit hashes of its distinct ``n``-word shingles;
-their order is the global n-gram order.  Equal sets are one node from the start.
-
-Candidates.  Sets are put into classes of similar size, such that linked sets
-are in the same class or in neighbouring ones.  For each class the order is cut
-into more fragments than two linked sets can have differing shingles, so linked
-sets agree in at least one whole fragment.  Each set sends a hash of each of
-its fragments (for its own class and the next); sets that meet at a fragment
-hash are tied to the least of them, and what is tied together is a family.  A
-task sends each fragment hash once, with ties among its own sets beside it, so
-a fragment that a third of all documents share is one row per task.  Where so
-many fragments are empty that linked sets might agree in empty ones only, those
-count as well.
+"""N-gram Jaccard join by vertical partitioning of the n-gram order.
+
+A document's set holds the 64-bit hashes of its distinct ``n``-word shingles.
+Equal sets are one node from the start.
+
+Order.  The global n-gram order goes from rare to frequent shingles, by hash
+among equals.  How frequent a shingle is, is read from a table of ``SLOTS``
+counters filled from all documents (one byte each when sent out), so its size
+does not grow with the corpus; shingles that share a counter only make the order
+less sharp, any order gives the same links.
+
+Candidates.  Two sets that link share one of the first shingles of each: as many
+as a set may lack of another, and one.  Each set sends these shingles; sets that
+meet at one are sorted by size and tied where their sizes allow a link, and what
+is tied together is a family.  Passages that many documents share stand late in
+the order and do not tie them.  A task sends a shingle once for each run of
+sizes, with ties among its own sets beside it, so a shingle that a third of all
+documents hold is a few rows per task.
 
 Counting.  A family's sets are cut into blocks of bounded size, and each pair
-of blocks is one group.  There the overlap of every two sets is counted on the
-whole sets (in pieces that bound memory, not by the fragments above, which only
-select candidates), and pairs that reach the threshold are linked.  Pairs stay
-inside the task; what leaves it is one row per set, with its number of links and
-the least set it is connected to.
+of blocks is one group.  There the shingles are cut into ``FRAGMENTS`` ranges of
+hashes; the overlaps of every two sets are counted in each fragment and
+summed per pair.  After a fragment, sets that cannot reach the threshold with
+any other by what is left are not counted further.  Pairs stay inside the task;
+what leaves it is one row per set, with its number of links and the least set it
+is connected to.
 
 Edge cases: NULL texts and texts without words have empty sets, linked with
 nothing; repeated rows and copies are linked with each other; NULL ids do not
@@ -29,20 +33,26 @@ table gives an empty result.  Other columns are ignored, whatever their names.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans import write_through
+from ..plans import release, write_through
 from ._components import connected_components
 from ._rows import beside_text
 from ._words import LOWER, batches_of, joined_ranges, mix, range_hashes, text_bytes, word_ranges
 
+SLOTS = 1 << 22
+FRAGMENTS = 8
+_PIECE = 1 << 16  # counters in a row
+_MOST = (1 << 32) - 1
+
 # fixed values: bytes between words
 _WORD = np.ones(256, bool)
 _WORD[[32, 9, 10, 11, 12, 13]] = False
@@ -93,119 +103,185 @@ class Threshold:
     part: int
     whole: int
 
-    @lru_cache(maxsize=1)  # noqa: B019 - one threshold per worker
-    def classes(self) -> np.ndarray:
-        """The least size of each class; a set's partners are in its own class or a neighbouring one."""
-        least = [1]
-        while least[-1] < 1 << 40:
-            least.append(max(least[-1] + 1, (least[-1] - 1) * self.whole // self.part + 1))
-        return np.array(least, dtype=np.int64)
+    def first(self, sizes: np.ndarray) -> np.ndarray:
+        """How many shingles of a set hold one of any set linked with it, whatever the order."""
+        return sizes * (self.whole - self.part) // self.whole + 1
 
-    def fragments(self, of_class: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Number of fragments of each class, and in how many of them linked sets agree at least."""
-        largest = self.classes()[of_class + 1] - 1
-        differing = 2 * largest * (self.whole - self.part) // (self.whole + self.part)
-        return differing + 1 + differing // 4, 1 + differing // 4
+    def near(self, less, more):
+        """Whether sets of these sizes may link."""
+        return self.whole * less >= self.part * more
 
     def holds(self, shared, one, other):
         return self.whole * shared >= self.part * (one + other - shared)
 
 
-def fragment_hashes(hashes: np.ndarray, sizes: np.ndarray, threshold: Threshold) -> tuple[np.ndarray, np.ndarray]:
-    """A hash for each fragment of each set (sizes over 0), for its own class and the next; and the set's number."""
-    out_key, out_set = [], []
-    own = np.searchsorted(threshold.classes(), sizes, side="right") - 1
+def shingle_levels(docs: DataFrame, size: int, batch_chars: int) -> np.ndarray:
+    """The level of each counter, higher the more shingles of ``docs`` fall on it."""
+
+    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts = np.zeros(SLOTS, np.int64)
+        for frame in batches_of(frames, "text", batch_chars):
+            hashes, _ = shingle_sets(frame["text"], size)
+            counts += np.bincount(_slot(hashes), minlength=SLOTS)
+        if counts.any():
+            pieces = [_packed(part) for part in counts.reshape(-1, _PIECE)]
+            yield pd.DataFrame({"piece": np.arange(len(pieces)), "salt": TaskContext.get().partitionId() % 64,
+                                "counts": pieces})
+
+    def add(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = {}
+        for frame in frames:
+            for row in frame.itertuples(index=False):
+                key = (row.piece, row.salt)
+                total[key] = np.minimum(total.get(key, 0) + _unpacked(row.counts), _MOST)
+        for (piece, salt), counts in total.items():
+            yield pd.DataFrame({"piece": [piece], "salt": [salt], "counts": [_packed(counts)]})
+
+    def level(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in add(frames):
+            frame["counts"] = [np.minimum(8 * np.log2(_unpacked(c) + 1), 255).astype(np.uint8).tobytes()
+                               for c in frame["counts"]]
+            yield frame
+
+    schema = "piece int, salt int, counts binary"
+    counted = docs.select("text").mapInPandas(count, schema)
+    # some of the tasks' counters at a time, then the sums: no task adds up those of all tasks
+    summed = counted.repartition("piece", "salt").mapInPandas(add, schema).withColumn("salt", F.lit(0))
+    levels = np.zeros(SLOTS, np.uint8)
+    # one byte a counter reaches the driver
+    for row in summed.repartition("piece").mapInPandas(level, schema).collect():
+        levels[row.piece * _PIECE:(row.piece + 1) * _PIECE] = np.frombuffer(row.counts, np.uint8)
+    return levels
+
+
+def _packed(counts: np.ndarray) -> bytes:
+    # the low bytes of all counters, then the next ones: most of those are 0
+    return zlib.compress(np.minimum(counts, _MOST).astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def _unpacked(packed: bytes) -> np.ndarray:
+    low_first = np.frombuffer(zlib.decompress(packed), np.uint8).reshape(4, -1).T
+    return np.ascontiguousarray(low_first).view("<u4").ravel().astype(np.int64)
+
+
+def _slot(hashes: np.ndarray) -> np.ndarray:
+    return (hashes & np.uint64(SLOTS - 1)).astype(np.int64)
+
+
+def first_shingles(hashes: np.ndarray, sizes: np.ndarray, threshold: Threshold,
+                   levels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first shingles of each set in the global order, of which linked sets share one, and their set's number."""
     owner = np.repeat(np.arange(len(sizes)), sizes)
-    for step in (0, 1):
-        of_class = own + step
-        count, agree = threshold.fragments(of_class)
-        fragment = ((hashes >> np.uint64(32)) * count[owner].astype(np.uint64) >> np.uint64(32)).astype(np.int64)
-        head = np.ones(len(hashes), bool)
-        head[1:] = (owner[1:] != owner[:-1]) | (fragment[1:] != fragment[:-1])
-        heads = np.flatnonzero(head)
-        if not len(heads):
-            continue
-        total = np.add.reduceat(mix(hashes + np.uint64(0xA0761D6478BD642F)), heads)
-        place = mix((of_class[owner[heads]].astype(np.uint64) << np.uint64(40)) + fragment[heads].astype(np.uint64))
-        out_key.append(mix(total + place))
-        out_set.append(owner[heads])
-        # sets with so many empty fragments that these may be the only ones in which they agree with another
-        filled = np.bincount(owner[heads], minlength=len(sizes))
-        for s in np.flatnonzero(count - filled >= agree):
-            mine = set(fragment[heads[owner[heads] == s]].tolist())
-            empty = np.array([f for f in range(count[s]) if f not in mine], dtype=np.uint64)
-            out_key.append(mix(mix((np.uint64(of_class[s]) << np.uint64(40)) + empty) ^ np.uint64(0x2545F4914F6CDD1D)))
-            out_set.append(np.full(len(empty), s))
-    if not out_key:
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
-    return np.concatenate(out_key), np.concatenate(out_set)
-
-
-def _tie(keys: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Each distinct key with its least node, and ties (node, least) of the others."""
-    order = np.lexsort((nodes, keys))
-    keys, nodes = keys[order], nodes[order]
-    head = np.ones(len(keys), bool)
-    head[1:] = keys[1:] != keys[:-1]
-    least = nodes[head][np.cumsum(head) - 1] if len(keys) else nodes
-    other = nodes != least
-    return keys[head], nodes[head], nodes[other], least[other]
+    order = np.lexsort((hashes, levels[_slot(hashes)], owner))
+    length = np.where(sizes > 0, threshold.first(sizes), 0)
+    at = joined_ranges(np.cumsum(sizes) - sizes, length)
+    return hashes[order[at]], np.repeat(np.arange(len(sizes)), length)
+
+
+def tie_runs(keys: np.ndarray, nodes: np.ndarray, least: np.ndarray, most: np.ndarray,
+             threshold: Threshold) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of rows of one key, sorted by key and least size, without a gap in size that a link cannot cross.
+
+    The first row of each run, the greatest size in it, and for each row its run."""
+    number = np.cumsum(np.append([0], keys[1:] != keys[:-1])) << 40 if len(keys) else np.empty(0, np.int64)
+    reach = np.maximum.accumulate(number + most) - number
+    new = np.ones(len(keys), bool)
+    new[1:] = (keys[1:] != keys[:-1]) | ~threshold.near(reach[:-1], least[1:])
+    first = np.flatnonzero(new)
+    return first, np.maximum.reduceat(most, first) if len(first) else most, np.cumsum(new) - 1
 
 
 def _ties(docs: DataFrame, size: int, threshold: Threshold, batch_chars: int) -> DataFrame:
-    """``a, b``: ties between sets (by their first key) that agree in a fragment."""
+    """``a, b``: ties between sets (by their first key) that share a first shingle and may link by their sizes."""
+    sent_levels = docs.sparkSession.sparkContext.broadcast(shingle_levels(docs, size, batch_chars))
+    columns = ["key", "node", "least", "most"]
 
     def send(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches_of(frames, "text", batch_chars):
             hashes, sizes = shingle_sets(frame["text"], size)
             node, _ = set_keys(hashes, sizes)
-            _, first = np.unique(node, return_index=True)
-            first = first[sizes[first] > 0]
+            _, own = np.unique(node, return_index=True)
+            own = own[sizes[own] > 0]
             starts = np.cumsum(sizes) - sizes
-            keys, owner = fragment_hashes(hashes[joined_ranges(starts[first], sizes[first])], sizes[first], threshold)
-            keys, least, tied, to = _tie(keys.view(np.int64), node[first][owner])
-            yield pd.DataFrame({"key": keys, "a": least, "b": least})
-            tied = np.unique(np.column_stack([tied, to]), axis=0)
-            yield pd.DataFrame({"key": tied[:, 0], "a": tied[:, 0], "b": tied[:, 1]})
+            keys, owner = first_shingles(hashes[joined_ranges(starts[own], sizes[own])], sizes[own], threshold,
+                                         sent_levels.value)
+            nodes, length = node[own][owner], sizes[own][owner]
+            order = np.lexsort((length, keys))
+            keys, nodes, length = keys[order].view(np.int64), nodes[order], length[order]
+            first, most, run = tie_runs(keys, nodes, length, length, threshold)
+            yield pd.DataFrame(dict(zip(columns, [keys[first], nodes[first], length[first], most], strict=True)))
+            tied = _pairs(nodes, nodes[first][run])
+            # a tie that is made already: no size, and the other set in the last column
+            yield pd.DataFrame(dict(zip(columns, [tied[:, 0], tied[:, 0], -1, tied[:, 1]], strict=True)))
 
     def meet(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last_key, last_node = None, None
+        carried = np.empty((0, 4), np.int64)
         for frame in frames:
-            ready = frame["a"] != frame["b"]
-            sent = frame[~ready]
-            ties = [frame.loc[ready, ["a", "b"]].to_numpy(dtype=np.int64).reshape(-1, 2)]
-            if len(sent):
-                key, node = sent["key"].to_numpy(), sent["a"].to_numpy()
-                head = np.ones(len(key), bool)
-                head[1:] = key[1:] != key[:-1]
-                least = node[head][np.cumsum(head) - 1]
-                if last_key is not None and key[0] == last_key:
-                    least = np.where(key == last_key, last_node, least)
-                last_key, last_node = key[-1], least[-1]
-                ties.append(np.column_stack([node, least])[node != least])
-            found = np.unique(np.concatenate(ties), axis=0)
-            yield pd.DataFrame({"a": found[:, 0], "b": found[:, 1]})
-
-    sent = docs.select("text").mapInPandas(send, "key bigint, a bigint, b bigint")
-    met = sent.repartition("key").sortWithinPartitions("key", "a")
+            rows = frame[columns].to_numpy(dtype=np.int64)
+            ready = rows[:, 2] < 0
+            rows, made = np.concatenate([carried, rows[~ready]]), rows[ready][:, [1, 3]]
+            if len(rows):
+                first, most, run = tie_runs(*rows.T, threshold)
+                made = np.concatenate([made, _pairs(rows[:, 1], rows[first][run, 1])])
+                carried = rows[first[-1:]].copy()  # the run may go on in the next frame
+                carried[:, 3] = most[-1]
+            yield pd.DataFrame(np.unique(made, axis=0), columns=["a", "b"])
+
+    sent = docs.select("text").mapInPandas(send, "key bigint, node bigint, least bigint, most bigint")
+    met = sent.repartition("key").sortWithinPartitions("key", "least")
     return met.mapInPandas(meet, "a bigint, b bigint")
 
 
-def overlaps(hashes: np.ndarray, owner: np.ndarray, count: int, pairs_at_once: int = 4_000_000) -> np.ndarray:
-    """Shared shingles of every two sets of a block, in pieces of about ``pairs_at_once``."""
-    order = np.argsort(hashes, kind="stable")
-    hashes, owner = hashes[order], owner[order]
+def _pairs(one: np.ndarray, other: np.ndarray) -> np.ndarray:
+    return np.unique(np.column_stack([one, other])[one != other], axis=0)
+
+
+def partial_overlaps(hashes: np.ndarray, owner: np.ndarray, count: int, pairs_at_once: int = 4_000_000,
+                     columns: int = 2048) -> np.ndarray:
+    """Shared shingles of every two sets within a fragment, given in the order of the hashes.
+
+    Shingles of an eighth of the sets are counted as a product of 0/1 columns, the others by their pairs."""
+    total = np.zeros((count, count), np.int32)
     heads = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]])) if len(hashes) else np.empty(0, int)
     run = np.diff(np.append(heads, len(hashes)))
-    shared = np.repeat(run > 1, run)
-    start, length = np.repeat(heads, run)[shared], np.repeat(run, run)[shared]
-    mine = owner[shared]
-    total = np.zeros(count * count, np.int64)
+    wide = np.flatnonzero((run > 1) & (8 * run > count))
+    for at in range(0, len(wide), columns):
+        part = wide[at:at + columns]
+        held = np.zeros((count, len(part)), np.float32)
+        held[owner[joined_ranges(heads[part], run[part])], np.repeat(np.arange(len(part)), run[part])] = 1
+        total += (held @ held.T).astype(np.int32)
+    few = np.flatnonzero((run > 1) & (8 * run <= count))
+    mine = joined_ranges(heads[few], run[few])
+    start, length = np.repeat(heads[few], run[few]), np.repeat(run[few], run[few])
     for part in np.split(np.arange(len(mine)), np.flatnonzero(np.diff(np.cumsum(length) // pairs_at_once)) + 1):
         if len(part):
             other = owner[joined_ranges(start[part], length[part])]
-            total += np.bincount(np.repeat(mine[part], length[part]) * count + other, minlength=count * count)
-    return total.reshape(count, count)
+            pair = np.repeat(owner[mine[part]], length[part]) * count + other
+            total += np.bincount(pair, minlength=count * count).reshape(count, count).astype(np.int32)
+    return total
+
+
+def linked_sets(hashes: np.ndarray, sizes: np.ndarray, threshold: Threshold) -> np.ndarray:
+    """For every two sets, one after the other in ``hashes``, whether they link (no set with itself)."""
+    n = len(sizes)
+    order = np.argsort(hashes, kind="stable")
+    hashes, owner = hashes[order], np.repeat(np.arange(n), sizes)[order]
+    cuts = np.searchsorted(hashes, np.arange(1, FRAGMENTS, dtype=np.uint64) * np.uint64((1 << 64) // FRAGMENTS))
+    total, left, open_ = np.zeros((n, n), np.int32), sizes.astype(np.int64), np.ones(n, bool)
+
+    def holds(shared: np.ndarray) -> np.ndarray:
+        linked = threshold.holds(shared.astype(np.int64), sizes[:, None], sizes[None, :])
+        np.fill_diagonal(linked, False)
+        return linked
+
+    for fragment, own in zip(np.split(hashes, cuts), np.split(owner, cuts), strict=True):
+        left = left - np.bincount(own, minlength=n)
+        counted = open_[own]
+        total += partial_overlaps(fragment[counted], own[counted], n)
+        open_ = holds(total + np.minimum(left[:, None], left[None, :])).any(axis=1)
+        if not open_.any():
+            break
+    return holds(total)
 
 
 def least_connected(linked: np.ndarray) -> np.ndarray:
@@ -225,10 +301,7 @@ def _count_links(size: int, threshold: Threshold):
     def count(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.drop_duplicates(["k1", "k2"]).sort_values(["k1", "k2"], ignore_index=True)
         hashes, sizes = shingle_sets(frame["text"], size)
-        n = len(frame)
-        shared = overlaps(hashes, np.repeat(np.arange(n), sizes), n)
-        linked = threshold.holds(shared, sizes[:, None], sizes[None, :])
-        np.fill_diagonal(linked, False)
+        linked = linked_sets(hashes, sizes, threshold)
         block = frame["block"].to_numpy()
         if frame["i"].iloc[0] != frame["j"].iloc[0]:
             linked &= block[:, None] != block[None, :]  # pairs within a block have a group of their own
@@ -241,7 +314,7 @@ def _count_links(size: int, threshold: Threshold):
 
 
 def join_documents(docs: DataFrame, shingle: int = 3, part: int = 90, whole: int = 100, id_col: str = "doc_id",
-                   text_col: str = "text", block_shingles: int = 500_000, block_sets: int = 256,
+                   text_col: str = "text", block_shingles: int = 1_000_000, block_sets: int = 1024,
                    batch_chars: int = 4_000_000) -> DataFrame:
     """``id, n_shingles, component_id, n_links`` of every document: the size of its set, the least id reachable
     by links, and the number of documents it is linked with; also ``row``, a hash of its id and text, and
@@ -265,9 +338,10 @@ def join_documents(docs: DataFrame, shingle: int = 3, part: int = 90, whole: int
     families = connected_components(_ties(rows, shingle, threshold, batch_chars))
     members = write_through(sets.join(families.withColumnRenamed("node", "k1"), "k1")
                             .select("k1", "k2", "row", "copies", "n", "root"), "members")
-    blocks = members.groupBy("root").agg(F.greatest(
-        F.ceil(F.sum("n") / block_shingles), F.ceil(F.count(F.lit(1)) / block_sets)).cast("int").alias("blocks"))
-    placed = members.join(write_through(blocks, "blocks"), "root").withColumn(
+    blocks = write_through(members.groupBy("root").agg(F.greatest(
+        F.ceil(F.sum("n") / block_shingles), F.ceil(F.count(F.lit(1)) / block_sets)).cast("int").alias("blocks")),
+        "blocks")
+    placed = members.join(blocks, "root").withColumn(
         "block", F.pmod(F.xxhash64("k1", "k2"), F.col("blocks")).cast("int"))
     texts = rows.select("row", "text").join(placed.drop("n"), "row")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
@@ -276,6 +350,8 @@ def join_documents(docs: DataFrame, shingle: int = 3, part: int = 90, whole: int
         F.greatest("block", "other").alias("j"))
     counted = write_through(pairs.groupBy("root", "i", "j").applyInPandas(
         _count_links(shingle, threshold), "k1 bigint, k2 bigint, r1 bigint, r2 bigint, links bigint"), "links")
+    release(members)
+    release(blocks)
 
     node = lambda a, b: F.concat_ws(":", F.lpad(F.hex(a), 16, "0"), F.lpad(F.hex(b), 16, "0"))
     joined = connected_components(counted.select(node("k1", "k2").alias("a"), node("r1", "r2").alias("b")))
@@ -284,8 +360,10 @@ def join_documents(docs: DataFrame, shingle: int = 3, part: int = 90, whole: int
                         .join(links, ["k1", "k2"], "left")
                         .select("k1", "k2", "first", F.coalesce("root", "node").alias("root"),
                                 (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "components")
+    release(counted)
     least = own.groupBy("root").agg(F.min("first").alias("component_id"))
     named = write_through(own.join(least, "root").select("k1", "k2", "root", "component_id", "n_links"), "components")
+    release(own)
     empty = F.col("n") == 0
     return narrow.join(named, ["k1", "k2"], "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"),

@@ -91,16 +91,52 @@ def test_one_of_each_group(spark, awkward):
     assert {r.doc_id for r in J.one_of_each_group(df).collect()} == {r[2] for r in brute(rows)}
 
 
-def test_linked_sets_agree_in_a_fragment():
+def test_linked_sets_share_a_first_shingle():
+    """In any order of the shingles."""
     rnd = np.random.default_rng(1)
-    t = J.Threshold(90, 100)
-    for _ in range(3000):
-        n = int(rnd.integers(1, 60))
-        one = np.unique(rnd.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2))
-        drop = int(rnd.integers(0, 4))
-        other = np.unique(np.concatenate([one[drop:], rnd.integers(0, 1 << 63, int(rnd.integers(0, 3)), dtype=np.uint64)]))
-        if not len(other) or not t.holds(len(np.intersect1d(one, other)), len(one), len(other)):
-            continue
-        a, _ = J.fragment_hashes(one, np.array([len(one)]), t)
-        b, _ = J.fragment_hashes(other, np.array([len(other)]), t)
-        assert len(np.intersect1d(a, b))
+    linked = 0
+    for t in (J.Threshold(90, 100), J.Threshold(80, 100)):
+        for _ in range(3000):
+            levels = rnd.integers(0, 4, J.SLOTS >> 10).astype(np.uint8)
+            levels = np.tile(levels, 1 << 10)
+            n = int(rnd.integers(1, 60))
+            one = np.unique(rnd.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2))
+            drop = int(rnd.integers(0, 6))
+            fresh = rnd.integers(0, 1 << 63, int(rnd.integers(0, 3)), dtype=np.uint64)
+            other = np.unique(np.concatenate([one[drop:], fresh]))
+            if not len(other) or not t.holds(len(np.intersect1d(one, other)), len(one), len(other)):
+                continue
+            linked += 1
+            a, _ = J.first_shingles(one, np.array([len(one)]), t, levels)
+            b, _ = J.first_shingles(other, np.array([len(other)]), t, levels)
+            assert len(np.intersect1d(a, b))
+            assert t.near(min(len(one), len(other)), max(len(one), len(other)))
+    assert linked > 500
+
+
+def test_overlaps_of_fragments_add_up():
+    """Frequent shingles (a product of columns) and rare ones (pairs), sets that are closed early and ones that are not."""
+    rnd = np.random.default_rng(2)
+    for n in (1, 2, 40, 90):
+        pool = rnd.integers(0, 1 << 63, 120, dtype=np.uint64) * np.uint64(2)
+        rare = rnd.integers(0, 1 << 63, 2000, dtype=np.uint64) * np.uint64(2)
+        sets = []
+        for i in range(n):
+            own = pool[rnd.random(120) < (0.97 if i % 3 else 0.4)]
+            sets.append(np.unique(np.concatenate([own, rnd.choice(rare, 5)])))
+        sizes = np.array([len(s) for s in sets])
+        for t in (J.Threshold(90, 100), J.Threshold(80, 100)):
+            want = [[i != j and t.holds(len(np.intersect1d(a, b)), len(a), len(b)) for j, b in enumerate(sets)]
+                    for i, a in enumerate(sets)]
+            assert J.linked_sets(np.concatenate(sets), sizes, t).tolist() == want
+            assert n < 40 or 0 < np.sum(want) < n * (n - 1)
+
+
+def test_runs_of_sizes():
+    t = J.Threshold(80, 100)
+    keys, sizes = np.array([1, 1, 1, 1, 2, 2]), np.array([10, 12, 15, 20, 20, 25])
+    first, most, run = J.tie_runs(keys, keys, sizes, sizes, t)
+    assert first.tolist() == [0, 3, 4] and most.tolist() == [15, 20, 25] and run.tolist() == [0, 0, 0, 1, 2, 2]
+    # a run of an earlier task reaches further than its own first size
+    first, most, run = J.tie_runs(keys[:3], keys[:3], np.array([10, 11, 30]), np.array([30, 11, 30]), t)
+    assert first.tolist() == [0] and most.tolist() == [30] and run.tolist() == [0, 0, 0]
