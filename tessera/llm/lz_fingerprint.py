@@ -34,7 +34,8 @@ from ..plans import write_through
 from ._words import batches_of, mix, range_hashes
 
 PARTS = 128
-_FACTORS = mix(np.arange(1, PARTS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+_FACTORS = (mix(np.arange(1, PARTS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype(
+    np.uint32) | np.uint32(1)
 
 
 def parse(text: str, ends: list[int], start: int = 0) -> list[int]:
@@ -50,22 +51,24 @@ def parse(text: str, ends: list[int], start: int = 0) -> list[int]:
     return ends
 
 
-def signatures(texts: list[str], ends: list[list[int]], step: int = 16_384) -> np.ndarray:
+def signatures(texts: list[str], ends: list[list[int]], step: int = 512) -> np.ndarray:
     """One row of ``PARTS`` bytes for each text, given the ends of its phrases."""
     codes = np.frombuffer("".join(texts).encode("utf-32-le"), dtype=np.uint32)
     base = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
     counts = np.array([len(e) for e in ends], dtype=np.int64)
-    owner = np.repeat(np.arange(len(texts)), counts)
-    stop = np.fromiter((x for e in ends for x in e), dtype=np.int64, count=int(counts.sum())) + base[owner]
+    stop = np.fromiter((x for e in ends for x in e), dtype=np.int64, count=int(counts.sum())) + np.repeat(base[:-1], counts)
     begin = np.concatenate([[0], stop[:-1]]).astype(np.int64)[:len(stop)]
     hashes = range_hashes(mix(codes.astype(np.uint64) + np.uint64(1)), begin, stop)
-    least = np.full((len(texts), PARTS), np.iinfo(np.uint64).max, np.uint64)
-    for a in range(0, len(hashes), step):
-        own = owner[a:a + step]
-        heads = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
-        found = np.minimum.reduceat(hashes[a:a + step, None] * _FACTORS, heads, axis=0)
-        least[own[heads]] = np.minimum(least[own[heads]], found)
-    out = (mix(least) >> np.uint64(56)).astype(np.uint8)
+    hashes = (hashes >> np.uint64(32)).astype(np.uint32)
+    least = np.full((len(texts), PARTS), np.iinfo(np.uint32).max, np.uint32)
+    room = np.empty((PARTS, step), np.uint32)  # stays in the processor's cache
+    first = np.concatenate([[0], np.cumsum(counts)]).tolist()
+    for own, lo, hi in zip(least, first, first[1:]):  # noqa: B905 - one start more than texts
+        for at in range(lo, hi, step):
+            some = hashes[at:min(at + step, hi)]
+            products = np.multiply(_FACTORS[:, None], some, out=room[:, :len(some)])
+            np.minimum(own, products.min(axis=1), out=own)
+    out = (mix(least.astype(np.uint64)) >> np.uint64(56)).astype(np.uint8)
     out[counts == 0] = 0
     return out
 

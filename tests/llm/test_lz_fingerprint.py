@@ -2,6 +2,7 @@
 
 import hashlib
 
+from tessera.llm import queries
 from tessera.llm.lz_fingerprint import compare_with_edits, fingerprints, parse
 
 
@@ -73,3 +74,34 @@ def test_awkward_rows(spark, awkward, no_docs):
     assert compare_with_edits(no_docs).count() == 0
     alone = compare_with_edits(awkward.where("doc_id = 5")).first()
     assert alone.near_next == 1.0 and alone.n_chars > 0
+
+
+def plain_signature(text):
+    """By whole numbers: the least product of each factor over the phrase hashes."""
+    wide, base = (1 << 64) - 1, 0x9E3779B97F4A7C15
+
+    def mixed(x):
+        x = (x ^ (x >> 30)) * 0xBF58476D1CE4E5B9 & wide
+        x = (x ^ (x >> 27)) * 0x94D049BB133111EB & wide
+        return x ^ (x >> 31)
+
+    hashes = [mixed((sum(mixed(ord(c) + 1) * pow(base, i, 1 << 64) for i, c in enumerate(p)) + len(p) * base) & wide) >> 32
+              for p in set(plain_phrases(text))]
+    factors = [mixed(k * base & wide) >> 32 | 1 for k in range(1, 129)]
+    return bytes(mixed(min(h * f & 0xFFFFFFFF for h in hashes)) >> 56 for f in factors).hex() if hashes else "00" * 128
+
+
+def test_query_against_plain_version(spark, documents, tmp_path):
+    rows = [(r.doc_id, r.text[:2500 if r.doc_id % 3 else 300]) for r in documents.limit(14).collect()]
+    rows += [(-1, None), (-2, ""), (-3, rows[0][1]), (-4, "é日本 😀 é日本 😀"), (1 << 60, "abab" * 700)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    want = expected(rows)
+    text = dict(rows)
+    out = queries.op9_lz_fingerprints(spark, str(tmp_path)).collect()
+    assert sorted(r.doc_id for r in out) == sorted(text)
+    alike = lambda a, b: sum(a[k:k + 2] == b[k:k + 2] for k in range(0, 256, 2)) / 128
+    for r in out:
+        n_chars, digest, edit, following = want[r.doc_id]
+        own, changed = plain_signature(text[r.doc_id] or ""), plain_signature(edit)
+        assert (r.n_chars, r.edited_sha256, r.fingerprint, r.edited_fingerprint) == (n_chars, digest, own, changed)
+        assert (r.near_edited, r.near_next) == (alike(own, changed), alike(own, plain_signature(following)))
