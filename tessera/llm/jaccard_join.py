@@ -44,6 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans import release, write_through
+from ..plans.bloom import bloom_table, marked_by, may_be_in
 from ._components import connected_components
 from ._rows import beside_text
 from ._words import LOWER, batches_of, joined_ranges, mix, range_hashes, text_bytes, word_ranges
@@ -343,7 +344,8 @@ def join_documents(docs: DataFrame, shingle: int = 3, part: int = 90, whole: int
         "blocks")
     placed = members.join(blocks, "root").withColumn(
         "block", F.pmod(F.xxhash64("k1", "k2"), F.col("blocks")).cast("int"))
-    texts = rows.select("row", "text").join(placed.drop("n"), "row")
+    # most texts are in no family: the filter keeps them from being moved
+    texts = may_be_in(rows.select("row", "text"), bloom_table(members, "row"), "row").join(placed.drop("n"), "row")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     pairs = texts.select("*", other.alias("other")).select(
         "text", "k1", "k2", "copies", "root", "block", F.least("block", "other").alias("i"),
@@ -377,13 +379,20 @@ def _row_hash(id_col: str, text_col: str):
 
 def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` with one of each component: the smallest id, then the smallest hash of id and text."""
-    found = join_documents(docs, id_col=id_col, text_col=text_col, **options)
+    found = write_through(join_documents(docs, id_col=id_col, text_col=text_col, **options)
+                          .select(F.col(f"`{id_col}`").alias("id"), "row", "component"), "found")
     linked = found.where("component IS NOT NULL").groupBy("component").agg(
-        F.min_by("row", F.struct(F.col(id_col).isNull(), F.col(id_col), F.col("row"))).alias("row"))
-    # written: a plain table on both sides of the join below
+        F.min_by("row", F.struct(F.col("id").isNull(), F.col("id"), F.col("row"))).alias("row"))
+    # written: a plain table on both sides of the joins below
     chosen = write_through(linked.select("row").unionByName(found.where("component IS NULL").select("row")).distinct(),
                            "chosen")
+    # rows that go, or of which one goes; those the filter does not know stay where they are scanned
+    touched = write_through(found.groupBy("row").agg(F.count(F.lit(1)).alias("rows")).join(
+        chosen.withColumn("stays", F.lit(True)), "row", "left").where("rows > 1 OR stays IS NULL").select("row"), "touched")
+    release(found)
     wrapped = docs.select(_row_hash(id_col, text_col).alias("row"), F.struct(*[F.col(f"`{c}`") for c in docs.columns])
                           .alias("columns"))
+    marked = marked_by(wrapped, bloom_table(touched, "row"), "row", "maybe")
     # rows equal in id and text are one document here
-    return wrapped.join(chosen, "row").dropDuplicates(["row"]).select("columns.*")
+    judged = marked.where("maybe").join(chosen, "row").dropDuplicates(["row"])
+    return marked.where("NOT maybe").select("columns.*").unionByName(judged.select("columns.*"))
