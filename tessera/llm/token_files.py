@@ -15,7 +15,8 @@ position of each partition in the whole sequence.  Readers map the files into
 memory where the folder is a mounted one and read them through the file system
 otherwise.
 
-Ids of equal words are computed once per batch: the pre-tokenizer of byte-level
+Ids of equal words are computed once and kept by the Python worker for its later
+batches and tasks (a bounded number of words): the pre-tokenizer of byte-level
 models never joins a character with a blank that follows it, so a text may be
 cut before each run of white space.
 
@@ -29,6 +30,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -37,10 +39,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans import scratch_path
-from ._words import WordCodes, batches_of, cut_documents, text_bytes
+from ._words import WordCodes, batches_of, cut_documents, joined_ranges, text_bytes
 
 MAGIC = b"TOKIDX01"
 MANIFEST = "part int, folder string, width int, n_docs bigint, n_tokens bigint"
+KNOWN_WORDS = 1_500_000
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
 
@@ -64,7 +67,7 @@ class TokenizerWords:
     strings, since the pre-tokenizer parts them again; the lengths of the
     tokens in bytes tell which belong to which word."""
 
-    def __init__(self, tokenizer_file: str, run: int = 2000):
+    def __init__(self, tokenizer_file: str, run: int = 200):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -81,8 +84,8 @@ class TokenizerWords:
 
     def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words as one flat array, and the number of ids of each word."""
-        joins = [_BLANK[w[0]] and w[-1] < 0x80 and not _BLANK[w[-1]] for w in words]
-        easy = [w for w, j in zip(words, joins, strict=True) if j]
+        joined = np.array([_BLANK[w[0]] and w[-1] < 0x80 and not _BLANK[w[-1]] for w in words], dtype=bool)
+        easy = [w for w, j in zip(words, joined, strict=True) if j]
         runs = [easy[i:i + self._run] for i in range(0, len(easy), self._run)]
         flat = np.concatenate([np.empty(0, np.int64), *self._ids([b"".join(r).decode() for r in runs])])
         ends = np.cumsum([len(w) for w in easy], dtype=np.int64)
@@ -90,10 +93,25 @@ class TokenizerWords:
         cuts = np.searchsorted(at, ends)
         if len(easy) and not np.array_equal(at[cuts], ends):
             raise ValueError("this tokenizer joins a word with the blank after it")
-        parts = iter(np.split(flat, cuts[:-1] + 1) if len(easy) else [])
-        others = iter(self._ids([w.decode() for w, j in zip(words, joins, strict=True) if not j]))
-        ids = [next(parts) if j else next(others) for j in joins]
-        return np.concatenate([np.empty(0, np.int64), *ids]), np.array([len(x) for x in ids], dtype=np.int64)
+        others = self._ids([w.decode() for w, j in zip(words, joined, strict=True) if not j])
+        counts = np.zeros(len(words), np.int64)
+        counts[joined] = np.diff(cuts, prepend=-1)
+        counts[~joined] = [len(x) for x in others]
+        # the joined words' ids come first in ``flat``, then the others'
+        starts = np.zeros(len(words), np.int64)
+        starts[joined] = np.cumsum(counts[joined]) - counts[joined]
+        starts[~joined] = len(flat) + np.cumsum(counts[~joined]) - counts[~joined]
+        return np.concatenate([flat, *others])[joined_ranges(starts, counts)], counts
+
+
+@lru_cache(maxsize=1)
+def word_codes(tokenizer_file: str, end_id: int) -> tuple[WordCodes, int]:
+    """The words known so far to this Python worker, which serves many tasks, and the bytes of an id.
+
+    At most ``KNOWN_WORDS`` words are kept, some 40 bytes each."""
+    words = TokenizerWords(tokenizer_file)
+    width = 2 if max(words.vocabulary - 1, end_id) < 1 << 16 else 4
+    return WordCodes(words.encode, np.dtype(f"<u{width}"), KNOWN_WORDS), width
 
 
 def _open(folder: str):
@@ -111,9 +129,7 @@ def write_token_files(docs: DataFrame, tokenizer_file: str, end_id: int, folder:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         task = TaskContext.get()
         part, attempt = task.partitionId(), task.taskAttemptId()
-        words = TokenizerWords(tokenizer_file)
-        width = 2 if max(words.vocabulary - 1, end_id) < 1 << 16 else 4
-        codes = WordCodes(words.encode, np.dtype(f"<u{width}"))
+        codes, width = word_codes(tokenizer_file, end_id)
         store, base = _open(folder)
         store.create_dir(base, recursive=True)
         counts, ids, missing = [], [], []

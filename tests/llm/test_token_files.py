@@ -1,10 +1,12 @@
 """Token files: encoding against the tokenizers library, order, positions and the files themselves."""
 
 import random
+import zlib
 
 import numpy as np
 import public_tokenizers
 import pytest
+from tessera.llm import queries
 from tessera.llm._words import WordCodes
 from tessera.llm.token_files import TokenizerWords, read_token_files, split_words, write_token_files
 from tokenizers import Tokenizer
@@ -53,3 +55,29 @@ def test_files_hold_the_sequence(spark, documents, awkward, library, tmp_path):
 def test_empty_table(spark, no_docs):
     manifest = write_token_files(no_docs, FILE, 2)
     assert manifest.count() == 0 and read_token_files(spark, manifest).count() == 0
+
+
+def test_query_against_the_library(spark, library):
+    """Every column of the registered query over the whole small table."""
+    from testdata_dirs import SF_SMALL
+
+    rows = queries.op8_token_files(spark, SF_SMALL).collect()
+    source = spark.read.parquet(f"{SF_SMALL}/documents.parquet").orderBy("doc_id").collect()
+    want, at = [], 0
+    for r in source:
+        ids = [*library.encode(r.text or "", add_special_tokens=False).ids, 2]
+        want.append((r.doc_id, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        at += len(ids)
+    assert sorted(tuple(r) for r in rows) == want and len(want) > 100
+    assert rows[0].asDict().keys() == {"doc_id", "start", "n_tokens", "ids_crc32"}
+
+
+def test_words_stay_known_and_are_forgotten_as_a_whole(library):
+    words = TokenizerWords(FILE)
+    codes = WordCodes(words.encode, np.uint16, max_words=40)
+    rnd = random.Random(5)
+    for _ in range(30):
+        texts = [" ".join(rnd.choice("abcdefgh") * rnd.randint(1, 6) for _ in range(20)) for _ in range(3)]
+        flat, counts = codes.encode(*split_words(texts))
+        got = [x.tolist() for x in np.split(flat, np.cumsum(counts)[:-1])]
+        assert got == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
