@@ -113,28 +113,47 @@ def transform(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     value = np.zeros(n, np.uint64)
     for k in range(width):
         value = (value << np.uint64(bits)) | padded[k:k + n]
+    # the order of positions that agree in all symbols looked at is free: it never parts an interval of ``length``
+    order = np.argsort(value)
+    ranked = value[order]
+    first = np.concatenate([[True], ranked[1:] != ranked[:-1]])
+    rank = np.empty(n, np.int64)
     while True:
-        order = np.argsort(value, kind="stable")
-        ranked = value[order]
-        rank = np.empty(n, np.uint64)
-        rank[order] = np.cumsum(np.concatenate([[True], ranked[1:] != ranked[:-1]])).astype(np.uint64)
-        if width >= length:
+        # a rank is the first row of those that agree so far, so it stays when others are told apart
+        rank[order] = np.maximum.accumulate(np.where(first, np.arange(n), 0))
+        tied = np.flatnonzero(~(first & np.append(first[1:], True)))
+        if width >= length or not len(tied):
             return order, text[order - 1]
-        later = np.concatenate([rank[width:], np.zeros(min(width, n), np.uint64)])
-        value, width = (rank << np.uint64(32)) | later, 2 * width
+        at = order[tied]
+        later = np.where(at + width < n, rank[np.minimum(at + width, n - 1)] + 1, 0)
+        value = (rank[at].astype(np.uint64) << np.uint64(32)) | later.astype(np.uint64)
+        sorting = np.argsort(value)
+        order[tied], ranked = at[sorting], value[sorting]
+        first[tied] = np.concatenate([[True], ranked[1:] != ranked[:-1]])
+        width *= 2
 
 
 def expand_intervals(before: np.ndarray, length: int) -> np.ndarray:
-    """For each row of the transform whether an interval of prefixes of ``length`` symbols begins there."""
+    """For each row of the transform whether an interval of prefixes of ``length`` symbols begins there.
+
+    An interval of one row stays one: only rows of longer intervals are extended."""
     by_symbol = np.argsort(before, kind="stable")  # row j of the longer prefixes comes from row by_symbol[j]
-    symbol = before[by_symbol]
-    new_symbol = np.concatenate([[True], symbol[1:] != symbol[:-1]])
-    begins = np.zeros(len(before), bool)
-    begins[:1] = True
+    longer = np.empty(len(before), np.int32)
+    longer[by_symbol] = np.arange(len(before), dtype=np.int32)
+    begins = np.ones(len(before), bool)
+    rows, interval = np.arange(len(before), dtype=np.int32), np.zeros(len(before), np.int32)
     for _ in range(length):
-        interval = np.cumsum(begins, dtype=np.int32)[by_symbol]
-        begins = new_symbol.copy()
-        begins[1:] |= interval[1:] != interval[:-1]
+        symbol = before[rows]
+        # rows of an interval follow each other, so the stable order by symbol keeps them in order
+        order = np.argsort(symbol, kind="stable")
+        rows, interval, symbol = longer[rows[order]], interval[order], symbol[order]
+        head = np.ones(len(rows) + 1, bool)
+        head[1:-1] = (interval[1:] != interval[:-1]) | (symbol[1:] != symbol[:-1])
+        live = np.flatnonzero(~(head[:-1] & head[1:]))
+        rows, interval = rows[live], np.cumsum(head[:-1], dtype=np.int32)[live]
+        if not len(rows):
+            return begins
+    begins[rows[1:][interval[1:] == interval[:-1]]] = False
     return begins
 
 
@@ -376,7 +395,7 @@ def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", te
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     blocks = max(partitions, -(-total // block_bytes))
-    bits = max(4, min(16, (blocks - 1).bit_length()))
+    bits = max(4, min(31, (blocks - 1).bit_length()))  # a short anchor has 32 bits more
     plan = _Plan(length, bits, hot_blocks, batch_chars, task_bytes, keep is not None)
 
     long = docs.select(*marks, text.alias("text")).where(F.col("n_bytes") >= length)

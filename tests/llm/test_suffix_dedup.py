@@ -124,3 +124,21 @@ def test_strings_longer_than_64_bytes():
                 least[p[i:i + length]] = min(o, least.get(p[i:i + length], o))
         want = [least[p[i:i + length]] for p in parts for i in range(len(p) - length + 1)]
         assert S.repeated_strings(parts, owners, length).tolist() == want
+
+
+def test_intervals_against_plain_prefixes():
+    rnd = random.Random(9)
+    for length, symbols in ((1, 3), (2, 2), (5, 2), (8, 3), (9, 2), (17, 2), (50, 1), (50, 2)):
+        for n in (1, 2, 60, 300):
+            text = np.array([rnd.randint(1, symbols) for _ in range(n - 1)] + [0], np.uint8)
+            text[n // 2:n - 1] = text[:n - 1 - n // 2]  # a long repeat
+            order, before = S.transform(text, length)
+            begins = S.expand_intervals(before, length)
+            round_trip = lambda p: bytes(np.roll(text, -p)[:length].tolist())
+            ends = [text[p:].tolist().index(0) for p in range(n)]
+            # strings that do not reach over the end symbol are one interval each
+            interval = np.empty(n, int)
+            interval[order] = np.cumsum(begins)
+            whole = [p for p in range(n) if ends[p] >= length]
+            assert len({(round_trip(p), interval[p]) for p in whole}) == len({round_trip(p) for p in whole}) == len(
+                {interval[p] for p in whole})
