@@ -19,11 +19,13 @@ common then meets as one row per block.
 
 Transform.  In a task the distinct segments of some anchors are joined into
 one string, each ended by a symbol that no segment holds; its positions are
-sorted by ``length`` or more of their next symbols, which gives the transform.  Breadth first, each step extends all prefixes backwards by one
+sorted by what follows them, which gives the transform.  Breadth first, from the
+rows where a whole string ends, each step extends all prefixes backwards by one
 byte: rows whose last byte is the same stay in one interval of the longer
-prefix exactly if they were in one interval of the shorter.  So the intervals
-of common prefixes come out by increasing value; at ``length`` the expansion
-stops, and each interval is one string with all the places where it occurs.
+prefix exactly if they were in one interval of the shorter, and intervals of one
+row are dropped.  So the intervals of common prefixes come out by increasing
+value; at ``length`` the expansion stops, and each interval is one string with
+all the places where it occurs.
 The least id of an interval removes the string everywhere else.
 
 Edge cases: NULL texts are empty; texts shorter than ``length`` lose nothing;
@@ -105,15 +107,14 @@ def segments(data: np.ndarray, starts: np.ndarray, length: int, longest: int = 6
     return tuple(np.concatenate(c) for c in zip(*found, strict=True))
 
 
-def transform(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions in the order of their next ``length`` symbols at least, and the symbol before each (its transform)."""
+def transform(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions in the order of what follows them, and the symbol before each (the transform)."""
     bits = 8 if text.dtype == np.uint8 else 9
     n, width = len(text), 64 // bits
     padded = np.concatenate([text, np.zeros(width, text.dtype)])
     value = np.zeros(n, np.uint64)
     for k in range(width):
         value = (value << np.uint64(bits)) | padded[k:k + n]
-    # the order of positions that agree in all symbols looked at is free: it never parts an interval of ``length``
     order = np.argsort(value)
     ranked = value[order]
     first = np.concatenate([[True], ranked[1:] != ranked[:-1]])
@@ -122,7 +123,7 @@ def transform(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
         # a rank is the first row of those that agree so far, so it stays when others are told apart
         rank[order] = np.maximum.accumulate(np.where(first, np.arange(n), 0))
         tied = np.flatnonzero(~(first & np.append(first[1:], True)))
-        if width >= length or not len(tied):
+        if not len(tied):  # parts are distinct, so no two positions agree for longer than two parts
             return order, text[order - 1]
         at = order[tied]
         later = np.where(at + width < n, rank[np.minimum(at + width, n - 1)] + 1, 0)
@@ -133,15 +134,14 @@ def transform(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
         width *= 2
 
 
-def expand_intervals(before: np.ndarray, length: int) -> np.ndarray:
-    """For each row of the transform whether an interval of prefixes of ``length`` symbols begins there.
+def expand_intervals(before: np.ndarray, rows: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted ``rows`` of the transform followed ``length`` symbols back, and the interval of each.
 
-    An interval of one row stays one: only rows of longer intervals are extended."""
+    Rows of one interval have these symbols in common.  An interval of one row stays one, so it is dropped."""
     by_symbol = np.argsort(before, kind="stable")  # row j of the longer prefixes comes from row by_symbol[j]
     longer = np.empty(len(before), np.int32)
     longer[by_symbol] = np.arange(len(before), dtype=np.int32)
-    begins = np.ones(len(before), bool)
-    rows, interval = np.arange(len(before), dtype=np.int32), np.zeros(len(before), np.int32)
+    interval = np.zeros(len(rows), np.int32)
     for _ in range(length):
         symbol = before[rows]
         # rows of an interval follow each other, so the stable order by symbol keeps them in order
@@ -151,10 +151,7 @@ def expand_intervals(before: np.ndarray, length: int) -> np.ndarray:
         head[1:-1] = (interval[1:] != interval[:-1]) | (symbol[1:] != symbol[:-1])
         live = np.flatnonzero(~(head[:-1] & head[1:]))
         rows, interval = rows[live], np.cumsum(head[:-1], dtype=np.int32)[live]
-        if not len(rows):
-            return begins
-    begins[rows[1:][interval[1:] == interval[:-1]]] = False
-    return begins
+    return rows, interval
 
 
 def repeated_strings(parts: list[bytes], owners: np.ndarray, length: int) -> np.ndarray:
@@ -168,16 +165,20 @@ def repeated_strings(parts: list[bytes], owners: np.ndarray, length: int) -> np.
     if np.count_nonzero(text == 0) > len(parts):
         text = text.astype(np.uint16) + np.uint16(1)
         text[ends] = 0
-    order, before = transform(text, length)
-    heads = np.flatnonzero(expand_intervals(before, length))
+    order, before = transform(text)
+    row = np.empty(len(text), np.int64)
+    row[order] = np.arange(len(text))
     strings = sizes - length + 1
     at = joined_ranges(starts, strings)
     owner = np.full(len(text), LAST, np.int64)
     owner[at] = np.repeat(owners, strings)
-    least = np.minimum.reduceat(owner[order], heads)
-    interval = np.empty(len(text), np.int64)
-    interval[order] = np.repeat(np.arange(len(heads)), np.diff(np.append(heads, len(text))))
-    return least[interval[at]]
+    # only what a whole string begins with is followed, from the string's end
+    rows, interval = expand_intervals(before, np.sort(row[at + length]), length)
+    if len(rows):
+        place = order[rows]
+        heads = np.flatnonzero(np.diff(interval, prepend=-1))
+        owner[place] = np.repeat(np.minimum.reduceat(owner[place], heads), np.diff(np.append(heads, len(place))))
+    return owner[at]
 
 
 def _spans(flags: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -129,16 +129,23 @@ def test_strings_longer_than_64_bytes():
 def test_intervals_against_plain_prefixes():
     rnd = random.Random(9)
     for length, symbols in ((1, 3), (2, 2), (5, 2), (8, 3), (9, 2), (17, 2), (50, 1), (50, 2)):
-        for n in (1, 2, 60, 300):
-            text = np.array([rnd.randint(1, symbols) for _ in range(n - 1)] + [0], np.uint8)
-            text[n // 2:n - 1] = text[:n - 1 - n // 2]  # a long repeat
-            order, before = S.transform(text, length)
-            begins = S.expand_intervals(before, length)
-            round_trip = lambda p: bytes(np.roll(text, -p)[:length].tolist())
-            ends = [text[p:].tolist().index(0) for p in range(n)]
-            # strings that do not reach over the end symbol are one interval each
-            interval = np.empty(n, int)
-            interval[order] = np.cumsum(begins)
-            whole = [p for p in range(n) if ends[p] >= length]
-            assert len({(round_trip(p), interval[p]) for p in whole}) == len({round_trip(p) for p in whole}) == len(
-                {interval[p] for p in whole})
+        for parts in (1, 2, 9, 40):
+            base = bytes(rnd.randint(1, symbols) for _ in range(150))
+            parts = list({base[i:i + length + rnd.randint(0, 80)] for i in (rnd.randint(0, 60) for _ in range(parts))})
+            parts = [p for p in parts if len(p) >= length]
+            owners = np.array([rnd.randint(0, 9) for _ in parts], np.int64)
+            least = {}
+            strings = [(p[i:i + length], int(o)) for p, o in zip(parts, owners, strict=True) for i in range(len(p) - length + 1)]
+            for s, o in strings:
+                least[s] = min(o, least.get(s, o))
+            assert S.repeated_strings(parts, owners, length).tolist() == [least[s] for s, _ in strings]
+
+
+def test_transform_is_in_the_order_of_suffixes():
+    rnd = random.Random(3)
+    for n in (1, 2, 7, 40, 500):
+        text = np.array([rnd.randint(1, 2) for _ in range(n - 1)] + [0], np.uint8)
+        order, before = S.transform(text)
+        raw = text.tobytes()
+        assert order.tolist() == sorted(range(n), key=lambda p: raw[p:])
+        assert before.tolist() == [raw[p - 1] for p in order]
