@@ -1,11 +1,12 @@
 """Sharding by balanced label propagation.
 
 Documents with equal texts are linked (each to the hub of its group, never to
-each other).  Groups of at least a ``HEAVY``-th of a shard, a bounded number,
-reserve their room first, the largest first: in the fullest shard that still
-holds them whole, else spread over the shards with most room, as few as fit.
-Every document of the other groups starts in a shard drawn from its id by the
-room left.  In each round every group prefers the shard that holds most of it,
+each other).  Every document starts in a shard drawn from its id.  Every linked
+group goes through the propagation.  Its first move is that of groups larger
+than half a shard, of which no two fit in one (twice the number of shards at
+most): they claim their room, the largest first, in the fullest shard that still
+holds them whole, else spread over the shards with most room, as few as fit; the
+others start by the room that is left.  In each round every other group prefers the shard that holds most of it,
 its documents elsewhere ask to move there, and the moves are granted under
 quotas: between two shards as many as ask in both directions, plus the
 receiving shard's free capacity.  In every other round a group prefers a shard
@@ -20,7 +21,7 @@ most.
 State is one row per linked group with its counts per shard, made by a
 map-side aggregate: a group that holds a third of all documents is one row.
 What reaches the driver is the shards x shards matrix of requested moves and
-one row per heavy group, at most ``HEAVY`` x shards.
+one row per claim.
 
 Edge cases: a NULL text has no bytes (size 1, crc32 0) and equals an empty one;
 repeated rows are documents of their own; NULL ids are placed like any other;
@@ -36,8 +37,6 @@ from pyspark.sql import functions as F
 from ..plans import release, write_through
 
 GROUP = ["text_hash", "text_crc32", "size"]
-# groups of at least this part of a shard are placed on the driver
-HEAVY = 64
 # rounds without fewer cut edges after which the labels are settled (of both kinds of rounds two)
 PATIENCE = 4
 
@@ -86,17 +85,23 @@ def _reserve(sizes: list[int], room: list[int]) -> list[list[int]]:
     return out
 
 
+def _whole(held: str) -> Column:
+    return F.aggregate(held, F.lit(0).cast("bigint"), lambda a, n: a + n)
+
+
 def _standing(state: DataFrame, shards: int) -> tuple[list[int], int]:
-    """The load per shard and the number of cut edges."""
-    size = F.aggregate("held", F.lit(0).cast("bigint"), lambda a, n: a + n)
-    sums = state.agg(*[F.sum(F.col("held")[s]).alias(f"s{s}") for s in range(shards)],
-                     F.sum(size - F.array_max("held")).alias("cut")).first()
+    """The load per shard and the number of cut edges but for those of claims."""
+    cut = F.when(F.col("claimed"), 0).otherwise(_whole("held") - F.array_max("held"))
+    sums = state.agg(*[F.sum(F.col("held")[s]).alias(f"s{s}") for s in range(shards)], F.sum(cut).alias("cut")).first()
     return [int(x or 0) for x in sums[:shards]], int(sums["cut"] or 0)
 
 
-def propagate_labels(groups: DataFrame, room: list[int], shards: int) -> DataFrame:
-    """``GROUP columns, held`` (counts per shard) when the labels are settled; ``room`` is the capacity per shard."""
-    state = write_through(groups, "labels")
+def propagate_labels(groups: DataFrame, claims: DataFrame, room: list[int], shards: int) -> DataFrame:
+    """``GROUP columns, held`` (counts per shard) when the labels are settled; ``room`` is the capacity per shard.
+
+    ``claims`` holds ``claim``, the counts per shard, of the groups that move first and then stay."""
+    state = write_through(groups.join(F.broadcast(claims), GROUP, "left").select(
+        *GROUP, F.coalesce("claim", "held").alias("held"), F.col("claim").isNotNull().alias("claimed")), "labels")
     load, cut = _standing(state, shards)
     r = idle = 0
     while cut and idle < PATIENCE:
@@ -110,7 +115,7 @@ def propagate_labels(groups: DataFrame, room: list[int], shards: int) -> DataFra
             F.xxhash64(*GROUP, i, F.lit(r)), i.alias("shard")))
         asking = state.withColumn("target", F.array_max(ranked)["shard"])
         asking = asking.withColumn("moving", F.transform("held", lambda n, i: F.when(
-            (i != F.col("target")) & (n <= F.get("held", F.col("target"))), n).otherwise(F.lit(0).cast("bigint"))))
+            ~F.col("claimed") & (i != F.col("target")) & (n <= F.get("held", F.col("target"))), n).otherwise(F.lit(0).cast("bigint"))))
         asked = (asking.select("target", F.posexplode("moving").alias("shard", "n")).where("n > 0")
                  .groupBy("shard", "target").agg(F.sum("n").alias("n")).collect())
         demand = [[0] * shards for _ in range(shards)]
@@ -124,7 +129,7 @@ def propagate_labels(groups: DataFrame, room: list[int], shards: int) -> DataFra
                 "moving", lambda n, i: F.least(n, F.floor(n * F.get("share", i) + _fraction(*GROUP, i, F.lit(r))))))
             arrived = F.aggregate("moved", F.lit(0).cast("bigint"), lambda a, m: a + m)
             following = write_through(moved.select(*GROUP, F.transform("held", lambda n, i: n - F.get("moved", i) + F.when(
-                i == F.col("target"), arrived).otherwise(F.lit(0).cast("bigint"))).alias("held")), "labels")
+                i == F.col("target"), arrived).otherwise(F.lit(0).cast("bigint"))).alias("held"), "claimed"), "labels")
             release(state)
             state = following
             load, cut = _standing(state, shards)
@@ -187,35 +192,32 @@ def shard_documents(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", te
     total = nodes.count()
     quota = [total // shards + (s < total % shards) for s in range(shards)]
     n_docs = F.count(F.lit(1)).alias("n_docs")
-    # a bounded number of groups
-    large = nodes.groupBy(*GROUP).agg(n_docs).where((F.col("n_docs") > 1) & (F.col("n_docs") * HEAVY >= max(quota))).collect()
+    # at most twice the number of shards
+    large = nodes.groupBy(*GROUP).agg(n_docs).where((F.col("n_docs") > 1) & (F.col("n_docs") * 2 > max(quota))).collect()
     large.sort(key=lambda g: (-g.n_docs, g.text_hash, g.text_crc32, g.size))
     room = list(quota)
     reserved = _reserve([g.n_docs for g in large], room)
     spread = [h for h in reserved if sum(n > 0 for n in h) > 1]
     runs = iter(range(len(spread)))
-    heavy = spark.createDataFrame(
-        [(g.text_hash, g.text_crc32, g.size, g.n_docs,
-          next(runs) if h in spread else len(spread) + next(s for s, n in enumerate(h) if n))
+    claims = spark.createDataFrame(
+        [(g.text_hash, g.text_crc32, g.size, h, next(runs) if h in spread else None)
          for g, h in zip(large, reserved, strict=True)],
-        "text_hash bigint, text_crc32 bigint, size bigint, heavy_docs bigint, heavy_run int")
+        "text_hash bigint, text_crc32 bigint, size bigint, claim array<bigint>, spread_run int")
 
     weights = F.array(*[F.lit(float(x)) for x in room])
-    light = nodes.join(F.broadcast(heavy), GROUP, "left_anti")
     start = _pick(_fraction("id", *GROUP, F.lit("start")), weights, F.lit(float(max(1, sum(room)))))
-    counts = light.withColumn("start", start).groupBy(*GROUP).agg(
+    counts = nodes.withColumn("start", start).groupBy(*GROUP).agg(
         F.array(*[F.count_if(F.col("start") == s) for s in range(shards)]).alias("held"))
-    linked = counts.where(F.aggregate("held", F.lit(0).cast("bigint"), lambda a, n: a + n) > 1)
-    state = propagate_labels(linked, room, shards)
+    state = propagate_labels(counts.where(_whole("held") > 1), claims.drop("spread_run"), quota, shards)
 
-    both = nodes.join(state, GROUP, "left").join(F.broadcast(heavy), GROUP, "left")
+    both = nodes.join(state, GROUP, "left").join(F.broadcast(claims.drop("claim")), GROUP, "left")
     held = F.transform("held", lambda n: n.cast("double"))
     whole = F.aggregate(held, F.lit(0.0), lambda a, n: a + n)
     label = F.lit(len(spread)) + _pick(_fraction("id", *GROUP, F.lit("place")), held, whole)
-    run = F.when(F.col("heavy_run").isNotNull(), F.col("heavy_run")).when(F.col("held").isNotNull(), label).otherwise(
+    run = F.when(F.col("spread_run").isNotNull(), F.col("spread_run")).when(F.col("held").isNotNull(), label).otherwise(
         F.lit(len(spread) + shards))
     # larger groups first
-    rank = -F.coalesce("heavy_docs", whole.cast("bigint"), F.lit(1).cast("bigint"))
+    rank = -F.coalesce(whole.cast("bigint"), F.lit(1).cast("bigint"))
     numbered = _numbered(both.select("id", *GROUP, run.cast("int").alias("run"), rank.alias("rank")),
                          ["run", "rank", *GROUP, "id"])
     found = {r.run: r.n_docs for r in numbered.groupBy("run").agg(n_docs).collect()}

@@ -4,6 +4,8 @@ import zlib
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
+from tessera.llm import queries, sharding
 from tessera.llm.sharding import _quotas, shard_documents
 
 
@@ -75,3 +77,36 @@ def test_settled_labels_keep_groups_whole(spark, hot, pairs, most):
     assert not hot or len(lying["hot"]) == most
     # no room is left at all where all documents are in pairs
     assert sum(len(x) > 1 for t, x in lying.items() if t.startswith("pair")) <= (7 if pairs == 1 else 0)
+
+
+def test_every_linked_group_is_propagated(spark, monkeypatch):
+    from testdata_dirs import SF_ORACLE
+
+    entered = {}
+    propagate = sharding.propagate_labels
+
+    def counted(groups, claims, room, shards):
+        entered.update(groups=groups.count(), claims=claims.count(), start=groups.agg(
+            F.sum(sharding._whole("held") - F.array_max("held"))).first()[0])
+        return propagate(groups, claims, room, shards)
+
+    monkeypatch.setattr(sharding, "propagate_labels", counted)
+    docs = spark.read.parquet(f"{SF_ORACLE}/documents.parquet")
+    rows = shard_documents(docs, 8).collect()
+    linked = docs.groupBy(F.coalesce("text", F.lit(""))).count().where("count > 1").count()
+    assert entered["groups"] == linked > 50 and entered["claims"] <= 16
+    lying = {}
+    for r in rows:
+        lying.setdefault((r.text_crc32, r.size), Counter())[r.shard] += 1
+    cut = sum(sum(c.values()) - max(c.values()) for c in lying.values())
+    assert entered["start"] > 50 and cut == 0
+
+
+def test_query_columns(spark):
+    from testdata_dirs import SF_SMALL
+
+    out = queries.op2_sharding(spark, SF_SMALL)
+    assert out.columns == ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"]
+    rows = out.collect()
+    check(rows, [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()], 8)
+    assert {(r.law, r.grown_shard) for r in rows} == {("rows", None)}
