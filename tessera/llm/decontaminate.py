@@ -6,13 +6,14 @@ shift table over blocks of consecutive words (how far the search may move on
 when a block ends at the current word) and buckets of test strings by the hash
 of their last block.  The search stands on the last word of a possible
 occurrence: a positive shift skips ahead, a zero shift selects a bucket, whose
-members are compared word by word.  Many stretches of the documents advance in
-step, one array element each.
+members are compared word by word: their hashes, then the bytes of the words
+themselves.  Many stretches of the documents advance in step, one array element
+each.
 
-The benchmark is read on the driver in blocks of ``block_chars`` characters;
-each block's tables (bounded by that size) are broadcast, and every document is
-searched against one block after the other within the same task, so there is no
-shuffle.  Words are compared by 64-bit hashes of their bytes.
+The benchmark is dealt into blocks of about ``block_chars`` characters, which
+tasks compile and write into the shared folder; the driver sees their names
+only.  Every document is searched against one block after the other within the
+same task, which holds one block at a time, so there is no shuffle of documents.
 
 Edge cases: NULL texts and texts without words have no hits; items without
 words are ignored; items without id mark words but are not listed; repeated
@@ -22,13 +23,18 @@ hits or no rows.  Other columns are ignored, whatever their names.
 
 from __future__ import annotations
 
+import pickle
+import uuid
 from collections.abc import Iterator
+from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..plans import scratch_path
 from ._rows import beside_text, identity
 from ._words import LOWER, batches_of, joined_ranges, mix, range_hashes, text_bytes, word_ranges
 
@@ -39,12 +45,32 @@ IS_WORD[0x61:0x7B] = True
 IS_WORD[0x80:] = True
 
 
-def hashed_words(texts) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words of all texts one after the other, and where each text's words begin."""
+class Words(NamedTuple):
+    """The words of some texts one after the other: bytes of the texts, start, end and hash of each word, and where
+    each text's words begin."""
+
+    data: np.ndarray
+    begin: np.ndarray
+    end: np.ndarray
+    hashes: np.ndarray
+    bounds: np.ndarray
+
+
+def words_of(texts) -> Words:
     data, starts = text_bytes(texts)
     data = LOWER[data]
     begin, end = word_ranges(data, IS_WORD)
-    return range_hashes(data, begin, end), np.searchsorted(begin, starts)
+    return Words(data, begin, end, range_hashes(data, begin, end), np.searchsorted(begin, starts))
+
+
+def same_words(a: Words, i: np.ndarray, b: Words, j: np.ndarray) -> np.ndarray:
+    """Whether the words ``i`` of ``a`` have the bytes of the words ``j`` of ``b``."""
+    size = a.end[i] - a.begin[i]
+    same = size == b.end[j] - b.begin[j]
+    at = np.flatnonzero(same)
+    differ = a.data[joined_ranges(a.begin[i[at]], size[at])] != b.data[joined_ranges(b.begin[j[at]], size[at])]
+    same[np.repeat(at, size[at])[differ]] = False
+    return same
 
 
 def _block_hashes(words: np.ndarray, size: int) -> np.ndarray:
@@ -61,8 +87,11 @@ def _block_hashes(words: np.ndarray, size: int) -> np.ndarray:
 class TestStrings:
     """Shift table and suffix buckets of test strings with the same number of words."""
 
-    def __init__(self, strings: np.ndarray, items: np.ndarray):
-        count, self.length = strings.shape
+    def __init__(self, source: Words, starts: np.ndarray, length: int, items: np.ndarray):
+        """Test strings are the ``length`` words of ``source`` from each of ``starts`` on."""
+        self.source, self.length = source, length
+        strings = source.hashes[starts[:, None] + np.arange(length)]
+        count = len(strings)
         self.block = 3 if self.length >= 6 else min(2, self.length)
         bits = max(12, int(count * self.length).bit_length() + 3)
         self.right = np.uint64(64 - min(bits, 22))
@@ -72,15 +101,16 @@ class TestStrings:
             last = _block_hashes(strings[:, end - self.block + 1:end + 1].reshape(-1), self.block)[self.block - 1::self.block]
             np.minimum.at(self.shift, last >> self.right, self.length - 1 - end)
         order = np.argsort(last, kind="stable")
-        self.suffix, self.strings, self.items = last[order], strings[order], items[order]
+        self.suffix, self.starts, self.items = last[order], starts[order], items[order]
 
-    def search(self, words: np.ndarray, bounds: np.ndarray, stretch: int = 512) -> tuple[np.ndarray, np.ndarray]:
-        """Last word and item of every occurrence inside the documents ``bounds[d] .. bounds[d + 1]``."""
+    def search(self, words: Words, stretch: int = 512) -> tuple[np.ndarray, np.ndarray]:
+        """Last word and item of every occurrence inside the texts."""
+        bounds = words.bounds
         first, stop = bounds[:-1] + self.length - 1, bounds[1:]
         lanes = np.maximum(0, -(-(stop - first) // stretch))
         at = joined_ranges(np.zeros(len(lanes), np.int64), lanes) * stretch + np.repeat(first, lanes)
         end = np.minimum(at + stretch, np.repeat(stop, lanes))
-        hashes = _block_hashes(words, self.block)
+        hashes = _block_hashes(words.hashes, self.block)
         slot = (hashes >> self.right).astype(np.int64)
         stops = []
         while len(at):
@@ -98,39 +128,87 @@ class TestStrings:
         for group in np.split(np.arange(len(where)), np.flatnonzero(np.diff(part)) + 1):
             candidate = joined_ranges(low[group], members[group])
             place = np.repeat(where[group], members[group])
-            same = np.ones(len(candidate), bool)
+            begin = place - self.length + 1
+            same = np.arange(len(candidate))
             for k in range(self.length):
-                same[same] = self.strings[candidate[same], k] == words[place[same] - self.length + 1 + k]
+                own = self.starts[candidate[same]] + k
+                same = same[self.source.hashes[own] == words.hashes[begin[same] + k]]
+            for k in range(self.length):
+                same = same[same_words(self.source, self.starts[candidate[same]] + k, words, begin[same] + k)]
             found_at.append(place[same])
             found.append(self.items[candidate[same]])
         return np.concatenate([np.empty(0, np.int64), *found_at]), np.concatenate([np.empty(0, np.int64), *found])
 
 
+def _distinct(words: Words) -> np.ndarray:
+    """A number for each word, the same for equal words and no others."""
+    names: dict[bytes, int] = {}
+    raw = words.data.tobytes()
+    return np.array([names.setdefault(raw[a:b], len(names)) for a, b in zip(words.begin.tolist(), words.end.tolist(),
+                                                                           strict=True)], dtype=np.int64)
+
+
 def compile_items(items: list[tuple], window: int) -> tuple[list[TestStrings], list[str | None]]:
     """The tables of one block of benchmark items ``(id, text)``."""
-    words, bounds = hashed_words([text for _, text in items])
-    sizes = np.diff(bounds)
+    words = words_of([text for _, text in items])
+    names = _distinct(words)
+    sizes = np.diff(words.bounds)
     out = []
     for length in sorted({int(min(n, window)) for n in sizes if n}):
         own = np.flatnonzero(np.minimum(sizes, window) == length)
-        starts = joined_ranges(bounds[own], sizes[own] - length + 1)
+        starts = joined_ranges(words.bounds[own], sizes[own] - length + 1)
         item = np.repeat(own, sizes[own] - length + 1)
-        strings = words[starts[:, None] + np.arange(length)]
-        distinct = np.unique(np.column_stack([strings, item.astype(np.uint64)]), axis=0)
-        out.append(TestStrings(distinct[:, :-1], distinct[:, -1].astype(np.int64)))
+        strings = names[starts[:, None] + np.arange(length)]
+        _, first = np.unique(np.column_stack([strings, item]), axis=0, return_index=True)
+        out.append(TestStrings(words, starts[first], length, item[first]))
     return out, [None if i is None else str(i) for i, _ in items]
 
 
-def _blocks(benchmark: DataFrame, window: int, block_chars: int):
+def write_blocks(items: DataFrame, window: int, block_chars: int) -> list[str]:
+    """Compile the items ``id, text`` in tasks; the paths of the blocks' tables in the shared folder."""
+    spark = items.sparkSession
+    items = items.where(F.col("text").isNotNull()).select(F.col("id").cast("string").alias("id"), "text")
+    total = items.agg(F.sum(F.length("text"))).first()[0] or 0
+    folder = scratch_path(spark, "blocks")
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        store, base = fs.FileSystem.from_uri(folder)
+        store.create_dir(base, recursive=True)
+        for block in _blocks(frames, block_chars):
+            # a name of its own: a task that runs again writes other files, and only the names it returns are read
+            name = uuid.uuid4().hex
+            with store.open_output_stream(f"{base}/{name}") as out:
+                out.write(pickle.dumps(compile_items(block, window), protocol=5))
+            yield pd.DataFrame({"name": [name]})
+
+    dealt = items.repartition(max(1, -(-total // block_chars)), F.xxhash64("id", "text"))
+    # one name per block
+    return [f"{folder}/{r.name}" for r in dealt.mapInPandas(run, "name string").collect()]
+
+
+def _blocks(frames: Iterator[pd.DataFrame], block_chars: int) -> Iterator[list[tuple]]:
     block, chars = [], 0
-    for row in benchmark.where(F.col("text").isNotNull()).toLocalIterator():
-        block.append((row.id, row.text))
-        chars += len(row.text)
-        if chars >= block_chars:
-            yield compile_items(block, window)
-            block, chars = [], 0
+    for frame in frames:
+        for i, text in zip(frame["id"], frame["text"], strict=True):
+            block.append((i if isinstance(i, str) else None, text))
+            chars += len(text)
+            if chars >= block_chars:
+                yield block
+                block, chars = [], 0
     if block:
-        yield compile_items(block, window)
+        yield block
+
+
+@lru_cache(maxsize=1)
+def read_block(path: str) -> tuple[list[TestStrings], list[str | None]]:
+    """The tables of one block; a worker keeps the last one it read."""
+    from pyarrow import fs
+
+    store, at = fs.FileSystem.from_uri(path)
+    with store.open_input_file(at) as f:
+        return pickle.loads(f.read())
 
 
 def search_documents(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id",
@@ -140,19 +218,19 @@ def search_documents(docs: DataFrame, benchmark: DataFrame, window: int = 10, id
     """``id, n_words, n_hit, items, contaminated`` for every document: its words, those inside an occurrence of
     a test string, and the sorted ids of the items whose test strings occur.  ``keep`` names columns of the
     documents to carry along as a struct ``kept`` instead of the id alone."""
-    spark = docs.sparkSession
-    items = benchmark.select(F.col(item_col).alias("id"), F.col(item_text_col).cast("string").alias("text"))
-    blocks = [spark.sparkContext.broadcast(b) for b in _blocks(items, window, block_chars)]
+    items = benchmark.select(F.col(f"`{item_col}`").alias("id"), F.col(f"`{item_text_col}`").cast("string").alias("text"))
+    blocks = write_blocks(items, window, block_chars)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches_of(frames, "_text", batch_chars):
-            words, bounds = hashed_words(frame["_text"])
-            edges = np.zeros(len(words) + 1, np.int64)
+            words = words_of(frame["_text"])
+            bounds = words.bounds
+            edges = np.zeros(len(words.hashes) + 1, np.int64)
             listed: list[set[str]] = [set() for _ in range(len(frame))]
             for block in blocks:
-                tables, ids = block.value
+                tables, ids = read_block(block)
                 for strings in tables:
-                    last, item = strings.search(words, bounds)
+                    last, item = strings.search(words)
                     np.add.at(edges, last - strings.length + 1, 1)
                     np.add.at(edges, last + 1, -1)
                     document = np.searchsorted(bounds, last, side="right") - 1

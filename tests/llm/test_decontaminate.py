@@ -2,7 +2,9 @@
 
 import re
 
+import numpy as np
 from pyspark.sql import functions as F
+from tessera.llm import decontaminate
 from tessera.llm.decontaminate import search_documents
 
 WORD = re.compile("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -57,3 +59,27 @@ def test_empty_tables(spark, awkward, no_docs):
     assert out.count() == awkward.count()
     kept = search_documents(awkward, none, keep=awkward.columns)
     assert kept.select("kept.*").columns == awkward.columns and kept.where(F.col("kept._text") == "x").count() > 5
+
+
+def test_words_of_equal_hash_are_told_apart(monkeypatch):
+    """With a hash of a word's length alone, only the bytes can tell words apart."""
+    monkeypatch.setattr(decontaminate, "range_hashes", lambda data, begin, end: (end - begin).astype(np.uint64))
+    items = [(1, "one two six ten"), (2, "ten six two one"), (2, "ten six two one"), (3, "abc"), (4, "two two two two two two")]
+    tables, ids = decontaminate.compile_items(items, 3)
+    docs = ["one two six ten one two", "xyz one two six", "xyz six two one", "", "two two two", "abd abc", "six two ten", None]
+    words = decontaminate.words_of(docs)
+    found = set()
+    for strings in tables:
+        last, item = strings.search(words)
+        d = np.searchsorted(words.bounds, last, side="right") - 1
+        found |= {(int(a), int(b - words.bounds[a]), ids[i]) for a, b, i in zip(d, last, item, strict=True)}
+    # document, last word and item of each occurrence
+    assert found == {(0, 2, "1"), (0, 3, "1"), (1, 3, "1"), (2, 3, "2"), (4, 2, "4"), (5, 1, "3")}
+
+
+def test_blocks_are_compiled_in_tasks(spark):
+    items = spark.createDataFrame([(i, f"word{i} " * 40) for i in range(50)] + [(None, "x"), (7, None)], "id int, text string")
+    paths = decontaminate.write_blocks(items, 10, 1000)
+    assert len(paths) > 5
+    ids = [i for p in paths for i in decontaminate.read_block(p)[1]]
+    assert sorted(ids, key=repr) == sorted([str(i) for i in range(50)] + [None], key=repr)
