@@ -52,3 +52,20 @@ def test_documents_and_awkward_rows(documents, awkward, no_docs, library):
         assert sorted(((r.doc_id, r["ids"]) for r in got), key=repr) == want
         assert all(r.decoded == library.decode(r["ids"]) for r in got)
     assert encode_decode(no_docs, FILE).count() == 0
+
+
+def test_query_against_the_library(spark, library):
+    """Every column of the registered query over the whole small table."""
+    import hashlib
+
+    from tessera.llm import queries
+    from testdata_dirs import SF_SMALL
+
+    digest = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    want = []
+    for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect():
+        ids = library.encode(r.text or "")
+        want.append((r.doc_id, len(ids), digest(",".join(map(str, ids))), digest(library.decode(ids))))
+    out = queries.op5_sentencepiece(spark, SF_SMALL)
+    assert out.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    assert sorted(tuple(r) for r in out.collect()) == sorted(want) and len(want) > 100
