@@ -13,6 +13,7 @@ import pandas as pd
 
 # an odd multiplier has an inverse modulo 2^64
 _BASE = 0x9E3779B97F4A7C15
+_HASHED_AT_ONCE = 1 << 18
 
 
 def batches_of(frames: Iterable[pd.DataFrame], column: str, max_chars: int) -> Iterator[pd.DataFrame]:
@@ -45,7 +46,7 @@ def _power_table(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first n + 1 powers of the base and of its inverse modulo 2^64."""
-    up, down = _power_table(1 << max(20, n.bit_length()))
+    up, down = _power_table(1 << max(19, n.bit_length()))
     return up[:n + 1], down[:n + 1]
 
 
@@ -62,9 +63,22 @@ _SYMBOL = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)
 def range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hashes of the sub-sequences ``values[s:e]``; equal contents have equal hashes.
 
-    ``values`` are bytes, or 64-bit values that are well spread already."""
+    ``values`` are bytes, or 64-bit values that are well spread already.  Ranges in ascending order are hashed a
+    piece of the values at a time: a hash does not depend on where its range lies."""
     if not len(values):
         return np.zeros(len(starts), np.uint64)
+    if len(values) > _HASHED_AT_ONCE and not (starts[1:] < starts[:-1]).any():
+        out = np.empty(len(starts), np.uint64)
+        cuts = np.flatnonzero(np.diff(starts // _HASHED_AT_ONCE)) + 1
+        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(starts)], strict=True):
+            if a < b:
+                low, high = starts[a], ends[a:b].max()
+                out[a:b] = _hashes_within(values[low:high], starts[a:b] - low, ends[a:b] - low)
+        return out
+    return _hashes_within(values, starts, ends)
+
+
+def _hashes_within(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     spread = _SYMBOL[values] if values.dtype == np.uint8 else values
     up, down = _powers(len(values))
     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(spread * up[:-1], dtype=np.uint64)])
@@ -140,7 +154,10 @@ class WordCodes:
         """Codes of all words as one flat array, and the number of codes of
         each document; ``counts`` holds the words of each document."""
         distinct, first, inverse = np.unique(range_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        new = np.flatnonzero(~np.isin(distinct, self._hash, assume_unique=True))
+        at = np.searchsorted(self._hash, distinct)
+        known = at < len(self._hash)
+        known[known] = self._hash[at[known]] == distinct[known]
+        new = np.flatnonzero(~known)
         if len(self._hash) + len(new) > self._max:
             self._clear()
             new = np.arange(len(distinct))

@@ -17,6 +17,11 @@ the order and do not tie them.  A task sends a shingle once for each run of
 sizes, with ties among its own sets beside it, so a shingle that a third of all
 documents hold is a few rows per task.
 
+Long sets send many first shingles, and chance ties grow with the corpus.  So a
+family of more than one block is tied again: the hashes are cut into so many
+ranges that linked sets agree in more whole ranges than each may leave out as
+short ones; sets that agree in a range, all its shingles, are tied.
+
 Counting.  A family's sets are cut into blocks of bounded size, and each pair
 of blocks is one group.  There the shingles are cut into ``FRAGMENTS`` ranges of
 hashes; the overlaps of every two sets are counted in each fragment and
@@ -108,6 +113,17 @@ class Threshold:
         """How many shingles of a set hold one of any set linked with it, whatever the order."""
         return sizes * (self.whole - self.part) // self.whole + 1
 
+    def parted(self) -> bool:
+        """Whether the ranges of :func:`range_keys` hold some eight shingles, so that few agree by chance."""
+        return self.part * self.part >= 8 * self.whole * (self.whole - self.part)
+
+    def classes(self, most: int) -> np.ndarray:
+        """Least sizes of the size classes up to ``most`` and the two beyond; linked sets are in one or in neighbours."""
+        least = [1]
+        while least[-1] <= most or len(least) < 3:
+            least.append(least[-1] * self.whole // self.part + 1)
+        return np.array([*least, least[-1] * self.whole // self.part + 1], dtype=np.int64)
+
     def near(self, less, more):
         """Whether sets of these sizes may link."""
         return self.whole * less >= self.part * more
@@ -179,6 +195,42 @@ def first_shingles(hashes: np.ndarray, sizes: np.ndarray, threshold: Threshold,
     return hashes[order[at]], np.repeat(np.arange(len(sizes)), length)
 
 
+def range_keys(hashes: np.ndarray, sizes: np.ndarray, threshold: Threshold) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of which linked sets share one, and their set's number.
+
+    Sets of one size class and the next cut the hashes into the same ranges: so many that two linked ones differ in
+    all but ``spare + 1`` at most.  A key stands for all shingles of a set in one range.  Ranges of two shingles or
+    less are left out of sets that have no more than ``spare`` of them: one that linked sets agree in is left."""
+    least = threshold.classes(int(sizes.max(initial=1)))
+    own_class = np.searchsorted(least, sizes, side="right") - 1
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    mixed, high = mix(hashes), hashes >> np.uint64(32)
+    keys, owners = [], []
+    for back in (0, 1):  # with the next class, with the one before
+        group = own_class - back
+        most = least[np.maximum(group, 0) + 1] + least[np.maximum(group, 0) + 2] - 2  # the sizes of two sets together
+        differ = most * (threshold.whole - threshold.part) // (threshold.whole + threshold.part)
+        spare = 1 + differ // 16
+        ranges = np.where((group >= 0) & (sizes > 0), differ + 1 + spare, 0)
+        inside = ranges[owner] > 0
+        base = np.cumsum(ranges) - ranges
+        held, by = high[inside], owner[inside]
+        # the hashes of a set are sorted, so those of a range stand together
+        slot = base[by] + ((held * ranges[by].astype(np.uint64)) >> np.uint64(32)).astype(np.int64)
+        total, count = np.zeros(int(ranges.sum()), np.uint64), np.bincount(slot, minlength=int(ranges.sum()))
+        heads = np.flatnonzero(np.concatenate([[True], slot[1:] != slot[:-1]])) if len(slot) else slot
+        if len(heads):
+            total[slot[heads]] = np.add.reduceat(mixed[inside], heads)
+        sets = np.repeat(np.arange(len(sizes)), ranges)
+        place = np.arange(len(total)) - base[sets]
+        key = mix(total + mix((group[sets].astype(np.uint64) << np.uint64(40)) + place.astype(np.uint64)))
+        short = np.bincount(sets[count <= 2], minlength=len(sizes))
+        kept = (count > 2) | (short > spare)[sets]
+        keys.append(key[kept])
+        owners.append(sets[kept])
+    return np.concatenate(keys), np.concatenate(owners)
+
+
 def tie_runs(keys: np.ndarray, nodes: np.ndarray, least: np.ndarray, most: np.ndarray,
              threshold: Threshold) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Runs of rows of one key, sorted by key and least size, without a gap in size that a link cannot cross.
@@ -195,7 +247,6 @@ def tie_runs(keys: np.ndarray, nodes: np.ndarray, least: np.ndarray, most: np.nd
 def _ties(docs: DataFrame, size: int, threshold: Threshold, batch_chars: int) -> DataFrame:
     """``a, b``: ties between sets (by their first key) that share a first shingle and may link by their sizes."""
     sent_levels = docs.sparkSession.sparkContext.broadcast(shingle_levels(docs, size, batch_chars))
-    columns = ["key", "node", "least", "most"]
 
     def send(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches_of(frames, "text", batch_chars):
@@ -207,18 +258,47 @@ def _ties(docs: DataFrame, size: int, threshold: Threshold, batch_chars: int) ->
             keys, owner = first_shingles(hashes[joined_ranges(starts[own], sizes[own])], sizes[own], threshold,
                                          sent_levels.value)
             nodes, length = node[own][owner], sizes[own][owner]
-            order = np.lexsort((length, keys))
-            keys, nodes, length = keys[order].view(np.int64), nodes[order], length[order]
-            first, most, run = tie_runs(keys, nodes, length, length, threshold)
-            yield pd.DataFrame(dict(zip(columns, [keys[first], nodes[first], length[first], most], strict=True)))
-            tied = _pairs(nodes, nodes[first][run])
-            # a tie that is made already: no size, and the other set in the last column
-            yield pd.DataFrame(dict(zip(columns, [tied[:, 0], tied[:, 0], -1, tied[:, 1]], strict=True)))
+            yield from _sent(keys, nodes, length, threshold)
+
+    return _met(docs.select("text").mapInPandas(send, _SENT), threshold)
+
+
+def _ties_again(texts: DataFrame, size: int, threshold: Threshold, batch_chars: int) -> DataFrame:
+    """``a, b``: ties between sets of one ``root`` that agree in a range of hashes and may link by their sizes."""
+
+    def send(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in batches_of(frames, "text", batch_chars):
+            hashes, sizes = shingle_sets(frame["text"], size)
+            node, _ = set_keys(hashes, sizes)
+            keys, owner = range_keys(hashes, sizes, threshold)
+            family = mix(frame["root"].to_numpy(dtype=np.int64).view(np.uint64))
+            yield from _sent(mix(keys + family[owner]), node[owner], sizes[owner], threshold)
+
+    return _met(texts.select("text", "root").mapInPandas(send, _SENT), threshold)
+
+
+_COLUMNS = ["key", "node", "least", "most"]
+_SENT = "key bigint, node bigint, least bigint, most bigint"
+
+
+def _sent(keys: np.ndarray, nodes: np.ndarray, length: np.ndarray, threshold: Threshold) -> Iterator[pd.DataFrame]:
+    """Rows of a batch's keys, one for each run of sizes, and the ties that are made already."""
+    order = np.lexsort((length, keys))
+    keys, nodes, length = keys[order].view(np.int64), nodes[order], length[order]
+    first, most, run = tie_runs(keys, nodes, length, length, threshold)
+    yield pd.DataFrame(dict(zip(_COLUMNS, [keys[first], nodes[first], length[first], most], strict=True)))
+    tied = _pairs(nodes, nodes[first][run])
+    # a tie that is made already: no size, and the other set in the last column
+    yield pd.DataFrame(dict(zip(_COLUMNS, [tied[:, 0], tied[:, 0], -1, tied[:, 1]], strict=True)))
+
+
+def _met(sent: DataFrame, threshold: Threshold) -> DataFrame:
+    """``a, b``: the ties of rows with equal keys."""
 
     def meet(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         carried = np.empty((0, 4), np.int64)
         for frame in frames:
-            rows = frame[columns].to_numpy(dtype=np.int64)
+            rows = frame[_COLUMNS].to_numpy(dtype=np.int64)
             ready = rows[:, 2] < 0
             rows, made = np.concatenate([carried, rows[~ready]]), rows[ready][:, [1, 3]]
             if len(rows):
@@ -228,7 +308,6 @@ def _ties(docs: DataFrame, size: int, threshold: Threshold, batch_chars: int) ->
                 carried[:, 3] = most[-1]
             yield pd.DataFrame(np.unique(made, axis=0), columns=["a", "b"])
 
-    sent = docs.select("text").mapInPandas(send, "key bigint, node bigint, least bigint, most bigint")
     met = sent.repartition("key").sortWithinPartitions("key", "least")
     return met.mapInPandas(meet, "a bigint, b bigint")
 
@@ -237,8 +316,8 @@ def _pairs(one: np.ndarray, other: np.ndarray) -> np.ndarray:
     return np.unique(np.column_stack([one, other])[one != other], axis=0)
 
 
-def partial_overlaps(hashes: np.ndarray, owner: np.ndarray, count: int, pairs_at_once: int = 4_000_000,
-                     columns: int = 2048) -> np.ndarray:
+def partial_overlaps(hashes: np.ndarray, owner: np.ndarray, count: int, pairs_at_once: int = 1_000_000,
+                     columns: int = 1024) -> np.ndarray:
     """Shared shingles of every two sets within a fragment, given in the order of the hashes.
 
     Shingles of an eighth of the sets are counted as a product of 0/1 columns, the others by their pairs."""
@@ -271,7 +350,10 @@ def linked_sets(hashes: np.ndarray, sizes: np.ndarray, threshold: Threshold) ->
     total, left, open_ = np.zeros((n, n), np.int32), sizes.astype(np.int64), np.ones(n, bool)
 
     def holds(shared: np.ndarray) -> np.ndarray:
-        linked = threshold.holds(shared.astype(np.int64), sizes[:, None], sizes[None, :])
+        linked = np.empty((n, n), bool)
+        for at in range(0, n, 256):
+            rows = slice(at, at + 256)
+            linked[rows] = threshold.holds(shared[rows].astype(np.int64), sizes[rows, None], sizes[None, :])
         np.fill_diagonal(linked, False)
         return linked
 
@@ -298,10 +380,11 @@ def least_connected(linked: np.ndarray) -> np.ndarray:
         label = new
 
 
-def _count_links(size: int, threshold: Threshold):
+def _count_links(size: int, threshold: Threshold, batch_chars: int):
     def count(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.drop_duplicates(["k1", "k2"]).sort_values(["k1", "k2"], ignore_index=True)
-        hashes, sizes = shingle_sets(frame["text"], size)
+        parts = [shingle_sets(part["text"], size) for part in batches_of([frame], "text", batch_chars)]
+        hashes, sizes = (np.concatenate(x) for x in zip(*parts, strict=True))
         linked = linked_sets(hashes, sizes, threshold)
         block = frame["block"].to_numpy()
         if frame["i"].iloc[0] != frame["j"].iloc[0]:
@@ -316,7 +399,7 @@ def _count_links(size: int, threshold: Threshold):
 
 def join_documents(docs: DataFrame, shingle: int = 3, part: int = 90, whole: int = 100, id_col: str = "doc_id",
                    text_col: str = "text", block_shingles: int = 1_000_000, block_sets: int = 1024,
-                   batch_chars: int = 4_000_000) -> DataFrame:
+                   batch_chars: int = 500_000) -> DataFrame:
     """``id, n_shingles, component_id, n_links`` of every document: the size of its set, the least id reachable
     by links, and the number of documents it is linked with; also ``row``, a hash of its id and text, and
     ``component``, a key of its component (NULL for an empty set)."""
@@ -336,12 +419,28 @@ def join_documents(docs: DataFrame, shingle: int = 3, part: int = 90, whole: int
         F.min("row").alias("row"), F.min("id").alias("first"), F.count(F.lit(1)).alias("copies"),
         F.first("n").alias("n")), "sets")
 
+    def blocks_of(members: DataFrame) -> DataFrame:
+        return write_through(members.groupBy("root").agg(F.greatest(
+            F.ceil(F.sum("n") / block_shingles), F.ceil(F.count(F.lit(1)) / block_sets)).cast("int").alias("blocks")),
+            "blocks")
+
     families = connected_components(_ties(rows, shingle, threshold, batch_chars))
     members = write_through(sets.join(families.withColumnRenamed("node", "k1"), "k1")
                             .select("k1", "k2", "row", "copies", "n", "root"), "members")
-    blocks = write_through(members.groupBy("root").agg(F.greatest(
-        F.ceil(F.sum("n") / block_shingles), F.ceil(F.count(F.lit(1)) / block_sets)).cast("int").alias("blocks")),
-        "blocks")
+    blocks = blocks_of(members)
+    if threshold.parted() and blocks.where("blocks > 1").limit(1).count():
+        marked = write_through(members.join(blocks, "root").select(*members.columns, (F.col("blocks") > 1).alias("large")),
+                               "members")
+        release(members)
+        release(blocks)
+        large = write_through(marked.where("large").drop("large"), "large")
+        texts = may_be_in(rows.select("row", "text"), bloom_table(large, "row"), "row").join(large.select("row", "root"), "row")
+        again = connected_components(_ties_again(texts, shingle, threshold, batch_chars))
+        members = write_through(marked.where("NOT large").drop("large").unionByName(
+            large.drop("root").join(again.withColumnRenamed("node", "k1"), "k1")), "members")
+        release(marked)
+        release(large)
+        blocks = blocks_of(members)
     placed = members.join(blocks, "root").withColumn(
         "block", F.pmod(F.xxhash64("k1", "k2"), F.col("blocks")).cast("int"))
     # most texts are in no family: the filter keeps them from being moved
@@ -351,7 +450,7 @@ def join_documents(docs: DataFrame, shingle: int = 3, part: int = 90, whole: int
         "text", "k1", "k2", "copies", "root", "block", F.least("block", "other").alias("i"),
         F.greatest("block", "other").alias("j"))
     counted = write_through(pairs.groupBy("root", "i", "j").applyInPandas(
-        _count_links(shingle, threshold), "k1 bigint, k2 bigint, r1 bigint, r2 bigint, links bigint"), "links")
+        _count_links(shingle, threshold, batch_chars), "k1 bigint, k2 bigint, r1 bigint, r2 bigint, links bigint"), "links")
     release(members)
     release(blocks)
 

@@ -140,3 +140,48 @@ def test_runs_of_sizes():
     # a run of an earlier task reaches further than its own first size
     first, most, run = J.tie_runs(keys[:3], keys[:3], np.array([10, 11, 30]), np.array([30, 11, 30]), t)
     assert first.tolist() == [0] and most.tolist() == [30] and run.tolist() == [0, 0, 0]
+
+
+def test_linked_sets_agree_in_a_range():
+    """Near copies of any size share a key; texts with a tenth of their shingles in common do not."""
+    rnd = np.random.default_rng(3)
+    t = J.Threshold(90, 100)
+    fresh = lambda n: rnd.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    linked = 0
+    for _ in range(3000):
+        n = int(rnd.integers(1, 400))
+        one = np.unique(fresh(n))
+        other = np.unique(np.concatenate([rnd.permutation(one)[int(rnd.integers(0, n // 9 + 2)):], fresh(int(rnd.integers(0, n // 18 + 2)))]))
+        if len(other) and t.holds(len(np.intersect1d(one, other)), len(one), len(other)):
+            linked += 1
+            keys, owner = J.range_keys(np.concatenate([one, other]), np.array([len(one), len(other)]), t)
+            assert len(np.intersect1d(keys[owner == 0], keys[owner == 1])), (len(one), len(other))
+    assert linked > 1000
+    common = fresh(300)
+    sets = [np.unique(np.concatenate([common, fresh(2700)])) for _ in range(40)]
+    keys, owner = J.range_keys(np.concatenate(sets), np.array([len(s) for s in sets]), t)
+    assert len(np.unique(keys)) == len(keys)
+    assert J.range_keys(np.empty(0, np.uint64), np.zeros(3, np.int64), t)[0].tolist() == []
+
+
+def test_chance_ties_make_no_large_groups(spark, monkeypatch):
+    """Long texts, each tied to the next by a shingle that stands first in the order, and near copies among them:
+    tied again, only the near copies are."""
+    rnd = random.Random(5)
+    texts = []
+    for i in range(60):
+        text = [f"w{i}x{rnd.randrange(10 ** 9)}" for _ in range(200)]
+        text[:3], text[-3:] = [f"a{i}", f"b{i}", f"c{i}"], [f"a{i + 1}", f"b{i + 1}", f"c{i + 1}"]
+        texts.append(" ".join(text))
+    texts += [texts[7] + " more", texts[7] + " other", texts[30] + " more"]
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    shared, _ = J.shingle_sets([f"a{i} b{i} c{i}" for i in range(61)], 3)
+    levels = np.full(J.SLOTS, 9, np.uint8)
+    levels[J._slot(shared)] = 0
+    monkeypatch.setattr(J, "shingle_levels", lambda *a: levels)
+    tied = []
+    again = J._ties_again
+    monkeypatch.setattr(J, "_ties_again", lambda *a: tied.append(again(*a).collect()) or again(*a))
+    assert got(J.join_documents(df, block_sets=8)) == brute(rows)
+    assert len(tied) == 1 and 0 < len(tied[0]) <= 4
