@@ -97,12 +97,16 @@ def term_rows(prepared: DataFrame, buckets: int | None = None) -> DataFrame:
     return rows.select("doc", word.alias("word"), n.alias("n"))
 
 
-def _spread(terms: DataFrame) -> DataFrame:
-    """``word, _salt, doc, tf`` of :func:`term_rows`, the marks with a ``tf`` of 0."""
+def _moved(terms: DataFrame) -> DataFrame:
+    """``doc, word, n, _salt``: the rows of :func:`term_rows`, dealt by word and salt."""
     salts = int(terms.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     salt = F.coalesce(F.pmod(F.xxhash64("doc"), F.lit(salts)), F.lit(0)).cast("int")
-    spread = terms.withColumn("_salt", salt).repartition(salts, "word", "_salt")
-    return spread.groupBy("word", "_salt", "doc").agg(F.sum("n").alias("tf"))
+    return terms.withColumn("_salt", salt).repartition(salts, "word", "_salt")
+
+
+def _spread(terms: DataFrame) -> DataFrame:
+    """``word, _salt, doc, tf`` of :func:`term_rows`, the marks with a ``tf`` of 0."""
+    return _moved(terms).groupBy("word", "_salt", "doc").agg(F.sum("n").alias("tf"))
 
 
 def term_counts(terms: DataFrame) -> DataFrame:
@@ -142,7 +146,8 @@ def tfidf(terms: DataFrame, m: Column | None = None) -> DataFrame:
     their summed count."""
     counts = _spread(terms)
     if m is None:
-        m = counts.select(F.count(F.when(F.col("tf") == 0, F.col("doc")))).scalar()
+        # of the marks alone: all rows of a document have one salt, so no (word, document) pairs are grouped for this
+        m = _moved(terms).select(F.count_distinct(F.when(F.col("n") == 0, F.col("doc")))).scalar()
     # by way of tf, so that this side needs the columns of the exchange that the others need
     here = counts.groupBy("word", "_salt").agg(F.count(F.when(F.col("tf") >= 0, F.col("doc"))).alias("_n"))
     everywhere = Window.partitionBy("word")
