@@ -4,6 +4,7 @@ import random
 import re
 from math import comb
 
+import numpy as np
 import pytest
 from tessera.llm import bottom_k as B
 
@@ -95,3 +96,46 @@ def test_least_shared_is_the_binomial_tail():
     tail = [sum(comb(64, i) * .8 ** i * .2 ** (64 - i) for i in range(n)) for n in (c, c + 1)]
     assert tail[0] <= 1e-11 < tail[1]
     assert B.least_shared(8, 100, 100) == 8
+
+
+def test_near_copies_just_under_the_threshold_make_no_row_per_pair(spark, monkeypatch):
+    rnd = random.Random(5)
+    base = [f"w{i}" for i in range(200)]
+    rows = []
+    for i in range(600):
+        copy = list(base)
+        for place in rnd.sample(range(200), rnd.choice([6, 7, 7, 7])):
+            copy[place] = f"x{i}y{place}"
+        rows.append((i, " ".join(copy)))
+    written = {}
+
+    def counted(df, label="cut", write=B.write_through):
+        out = write(df, label)
+        written[label] = max(written.get(label, 0), out.count())
+        return out
+
+    monkeypatch.setattr(B, "write_through", counted)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert got(df, shingle=2) == brute(rows, 2, 80, 100)
+    assert max(written.values()) < 110 * len(rows) < 600 * 599 // 2 // 2, written
+
+
+def test_linked_sets_share_a_key_and_a_set_has_few():
+    rnd = random.Random(6)
+    for size in (4, 5, 9, 17, 40, 100, 300, 3000):
+        whole = [rnd.getrandbits(64) for _ in range(size + size // 4)]
+        sets = [np.array(sorted(x), np.uint64) for x in (whole[:size], whole)]  # exactly at the threshold, or above
+        sizes = np.array([len(x) for x in sets])
+        keys, owner = B.tie_keys(np.concatenate(sets), sizes, 80, 100)
+        assert set(keys[owner == 0].tolist()) & set(keys[owner == 1].tolist()), size
+        assert len(keys) <= 2 * 2 * B.MOST_KEYS
+
+
+def test_blocks_of_a_family_and_the_union_sketch(spark):
+    rows = family_rows([0, 1, 2, 4, 8], seed=11)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert got(df, shingle=2, block_sets=5) == brute(rows, 2, 80, 100)
+    a, b = sorted(random.Random(1).sample(range(100), 20)), sorted(random.Random(2).sample(range(100), 20))
+    least = sorted(set(a) | set(b))[:20]
+    both = B.union_shared(np.array([a, b], np.uint64), np.array([0]), np.array([1]))
+    assert both.tolist() == [len(set(a) & set(b) & set(least))]
