@@ -43,10 +43,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans import write_through
+from ..plans.bloom import bloom_table, marked_by
 from ._words import _SYMBOL, batches_of, joined_ranges, mix, range_hashes, text_bytes
 
 # bytes whose hashes are anchors; the long ones cut segments of hot anchors further
@@ -54,9 +55,11 @@ GRAM, LONG_GRAM = 24, 40
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 STEP = 1 << 20
 LAST = (1 << 63) - 1
-TEXT = "block int, t1 bigint, t2 bigint, ord bigint, text string"
+TEXT = "block int, t1 bigint, t2 bigint, ord bigint, last bigint, text string"
 # source: the block, and the text's place among the block's texts
 SEGMENT = "key bigint, source bigint, ord bigint, start bigint, bytes binary"
+# of copies of a text
+_COPIES = {"ord": "min", "last": "max", "text": "first"}
 SPAN = "block int, place int, start bigint, stop bigint"
 
 
@@ -216,15 +219,15 @@ class _Plan:
     """Steps of one run, as functions of pandas frames."""
 
     def __init__(self, length: int, bucket_bits: int, hot_blocks: int, batch_chars: int, task_bytes: int,
-                 keep_text: bool):
+                 with_copies: bool):
         self.length, self.bits, self.hot, self.chars = length, bucket_bits, hot_blocks, batch_chars
-        self.task_bytes, self.keep_text = task_bytes, keep_text
+        self.task_bytes, self.with_copies = task_bytes, with_copies
 
     def distinct(self, frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Each text of the task once; later copies send their id without the text."""
         seen: set[tuple[int, int]] = set()
         for frame in frames:
-            least = frame.groupby(["block", "t1", "t2"], sort=False, as_index=False).agg({"ord": "min", "text": "first"})
+            least = frame.assign(last=frame["ord"]).groupby(["block", "t1", "t2"], sort=False, as_index=False).agg(_COPIES)
             names = list(zip(least["t1"].tolist(), least["t2"].tolist(), strict=True))
             least.loc[[n in seen for n in names], "text"] = None
             seen.update(names)
@@ -353,12 +356,13 @@ class _Plan:
             yield _judge(pd.concat(waiting, ignore_index=True), self.length)
 
     def cut(self, texts: pd.DataFrame, spans: pd.DataFrame) -> pd.DataFrame:
-        """The kept bytes of each text of a block that loses any."""
+        """What goes of each text of a block that loses any, or has copies, if these are asked for: ``cuts`` holds
+        where removed runs begin and end."""
         ranges = {n: own[["start", "stop"]].to_numpy(dtype=np.int64) for n, own in spans.groupby("place", sort=False)}
         out = []
         for row in _one_each(texts).itertuples():
             own = ranges.get(row.Index)
-            if own is None and not self.keep_text:
+            if own is None and not (self.with_copies and row.last > row.ord):
                 continue
             data = np.frombuffer(row.text.encode(), dtype=np.uint8)
             edges = np.zeros(len(data) + 1, np.int64)
@@ -368,9 +372,9 @@ class _Plan:
             gone = np.cumsum(edges[:-1]) > 0
             spans_left = int(np.count_nonzero(gone[1:] & ~gone[:-1])) + int(gone[0])
             kept = data[~gone].tobytes()
-            out.append((row.t1, row.t2, row.ord, int(gone.sum()), spans_left, hashlib.sha256(kept).hexdigest(),
-                        kept.decode("utf-8", "ignore") if self.keep_text else None))
-        return pd.DataFrame(out, columns=["t1", "t2", "first", "n_removed", "n_spans", "kept_sha256", "kept"])
+            cuts = np.flatnonzero(np.diff(gone, prepend=False, append=False)) if self.with_copies and own is not None else None
+            out.append((row.t1, row.t2, row.ord, int(gone.sum()), spans_left, hashlib.sha256(kept).hexdigest(), cuts))
+        return pd.DataFrame(out, columns=["t1", "t2", "first", "n_removed", "n_spans", "kept_sha256", "cuts"])
 
 
 def _lengths(parts) -> np.ndarray:
@@ -379,7 +383,20 @@ def _lengths(parts) -> np.ndarray:
 
 def _one_each(texts: pd.DataFrame) -> pd.DataFrame:
     """One row per text of a block, with its smallest id, in an order that depends on the texts only."""
-    return texts.groupby(["block", "t1", "t2"], sort=True, as_index=False).agg({"ord": "min", "text": "first"})
+    return texts.groupby(["block", "t1", "t2"], sort=True, as_index=False).agg(_COPIES)
+
+
+def left_of(text: str, cuts: list[int]) -> str:
+    """The text without the bytes between each two of ``cuts``; the broken rest of a character goes too."""
+    data, bounds = text.encode(), [0, *cuts, None]
+    return b"".join(data[a:b] for a, b in zip(bounds[::2], bounds[1::2], strict=True)).decode("utf-8", "ignore")
+
+
+def _left(text: Column, cuts: Column) -> Column:
+    def left(texts: pd.Series, cuts: pd.Series) -> pd.Series:
+        return pd.Series([t if c is None else left_of(t, c) for t, c in zip(texts, cuts, strict=True)], dtype=object)
+
+    return F.pandas_udf(left, "string")(text, cuts)
 
 
 def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text",
@@ -410,8 +427,8 @@ def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", te
     spans = sent.repartition(blocks, "key").sortWithinPartitions("key").mapInPandas(plan.judge, SPAN)
     cut = write_through(texts.groupBy("block").cogroup(spans.groupBy("block")).applyInPandas(
         lambda left, right: plan.cut(left, right),
-        "t1 bigint, t2 bigint, first bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept string"),
-        "kept")
+        "t1 bigint, t2 bigint, first bigint, n_removed bigint, n_spans bigint, kept_sha256 string, cuts array<bigint>"),
+        "cut")
 
     whole = F.col("n_bytes") >= length
     copy = whole & (F.col("ord") > F.col("first"))
@@ -429,11 +446,16 @@ def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", te
             F.when(copy, F.lit(1)).otherwise(F.coalesce("n_spans", F.lit(0))).cast("bigint").alias("n_spans"),
             F.when(copy, F.sha2(F.lit("").cast("binary"), 256)).otherwise(
                 F.coalesce("kept_sha256", "own_sha256")).alias("kept_sha256"))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep if c != text_col]).alias("columns"), *marks,
-                       F.when(F.octet_length(text) < length, F.col(f"`{text_col}`")).alias("short"))
-    joined = rows.join(cut, ["t1", "t2"], "left")
-    kept = F.when(~whole, F.col("short")).when(copy, F.lit("")).otherwise(F.col("kept"))
+    # texts that lose nothing stay where they are scanned; of the others only where they are cut was written
+    columns = [F.col(f"`{c}`").cast("string").alias(c) if c == text_col else F.col(f"`{c}`") for c in keep]
+    rows = docs.select(F.struct(*columns).alias("columns"), *marks)
+    marked = marked_by(rows, bloom_table(cut, "t1"), "t1", "maybe")
+    joined = marked.where("maybe").join(cut, ["t1", "t2"], "left")
+    own = F.col("columns")[text_col]
+    kept = F.when(copy, F.lit("")).when(F.col("cuts").isNull(), own).otherwise(_left(own, F.col("cuts")))
     columns = F.struct(*[kept.alias(c) if c == text_col else F.col("columns")[c].alias(c) for c in keep])
     return joined.select(
         columns.alias("kept_columns"), "n_bytes",
-        F.when(copy, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"))
+        F.when(copy, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed")).unionByName(
+        marked.where("NOT maybe").select(F.col("columns").alias("kept_columns"), "n_bytes",
+                                         F.lit(0).cast("bigint").alias("n_removed")))

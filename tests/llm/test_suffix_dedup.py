@@ -149,3 +149,23 @@ def test_transform_is_in_the_order_of_suffixes():
         raw = text.tobytes()
         assert order.tolist() == sorted(range(n), key=lambda p: raw[p:])
         assert before.tolist() == [raw[p - 1] for p in order]
+
+
+def test_texts_stay_where_they_are_scanned(spark, monkeypatch):
+    passage = "é shared passage of more than fifty bytes, in two texts é"
+    rows = [(0, "a " + passage + " b"), (1, "c " + passage + " é d"), (2, "a text of its own that loses nothing at all, long enough"),
+            (3, "copied as a whole, and of more than fifty bytes in all"), (4, "copied as a whole, and of more than fifty bytes in all"),
+            (5, "short"), (6, None), (None, "copied as a whole, and of more than fifty bytes in all")]
+    written = []
+
+    def noted(df, label="cut", write=S.write_through):
+        written.append((label, dict(df.dtypes)))
+        return write(df, label)
+
+    monkeypatch.setattr(S, "write_through", noted)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    out = {(r.kept_columns.doc_id, r.kept_columns.text, r.n_removed) for r in S.remove_repeats(df, keep=df.columns).collect()}
+    cut = f"c {passage} é d".replace(f" {passage} ", "")
+    expected = {(d, t, 0) for d, t in rows} - {rows[1] + (0,), rows[4] + (0,), rows[7] + (0,)}
+    assert out == expected | {(1, cut, len(f" {passage} ".encode())), (4, "", 54), (None, "", 54)}
+    assert [types["cuts"] for _, types in written] == ["array<bigint>"]  # no text is written
