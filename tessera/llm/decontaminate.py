@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans import scratch_path
+from ..plans import scratch_path, small_batches
 from ._rows import beside_text, identity
 from ._words import LOWER, batches_of, joined_ranges, mix, range_hashes, text_bytes, word_ranges
 
@@ -218,6 +218,7 @@ def search_documents(docs: DataFrame, benchmark: DataFrame, window: int = 10, id
     """``id, n_words, n_hit, items, contaminated`` for every document: its words, those inside an occurrence of
     a test string, and the sorted ids of the items whose test strings occur.  ``keep`` names columns of the
     documents to carry along as a struct ``kept`` instead of the id alone."""
+    small_batches(docs.sparkSession)
     items = benchmark.select(F.col(f"`{item_col}`").alias("id"), F.col(f"`{item_text_col}`").cast("string").alias("text"))
     blocks = write_blocks(items, window, block_chars)
 

@@ -48,7 +48,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans import release, write_through
+from ..plans import release, small_batches, write_through
 from ..plans.bloom import bloom_table, marked_by, may_be_in
 from ._components import connected_components
 from ._rows import beside_text
@@ -136,10 +136,11 @@ def shingle_levels(docs: DataFrame, size: int, batch_chars: int) -> np.ndarray:
     """The level of each counter, higher the more shingles of ``docs`` fall on it."""
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts = np.zeros(SLOTS, np.int64)
+        counts = np.zeros(SLOTS, np.uint32)
         for frame in batches_of(frames, "text", batch_chars):
             hashes, _ = shingle_sets(frame["text"], size)
-            counts += np.bincount(_slot(hashes), minlength=SLOTS)
+            slots, found = np.unique(_slot(hashes), return_counts=True)
+            counts[slots] = np.minimum(counts[slots] + found, _MOST)
         if counts.any():
             pieces = [_packed(part) for part in counts.reshape(-1, _PIECE)]
             yield pd.DataFrame({"piece": np.arange(len(pieces)), "salt": TaskContext.get().partitionId() % 64,
@@ -150,7 +151,7 @@ def shingle_levels(docs: DataFrame, size: int, batch_chars: int) -> np.ndarray:
         for frame in frames:
             for row in frame.itertuples(index=False):
                 key = (row.piece, row.salt)
-                total[key] = np.minimum(total.get(key, 0) + _unpacked(row.counts), _MOST)
+                total[key] = np.minimum(total.get(key, 0) + _unpacked(row.counts), _MOST).astype(np.uint32)
         for (piece, salt), counts in total.items():
             yield pd.DataFrame({"piece": [piece], "salt": [salt], "counts": [_packed(counts)]})
 
@@ -329,7 +330,7 @@ def partial_overlaps(hashes: np.ndarray, owner: np.ndarray, count: int, pairs_at
         part = wide[at:at + columns]
         held = np.zeros((count, len(part)), np.float32)
         held[owner[joined_ranges(heads[part], run[part])], np.repeat(np.arange(len(part)), run[part])] = 1
-        total += (held @ held.T).astype(np.int32)
+        np.add(total, held @ held.T, out=total, casting="unsafe")
     few = np.flatnonzero((run > 1) & (8 * run <= count))
     mine = joined_ranges(heads[few], run[few])
     start, length = np.repeat(heads[few], run[few]), np.repeat(run[few], run[few])
@@ -337,7 +338,7 @@ def partial_overlaps(hashes: np.ndarray, owner: np.ndarray, count: int, pairs_at
         if len(part):
             other = owner[joined_ranges(start[part], length[part])]
             pair = np.repeat(owner[mine[part]], length[part]) * count + other
-            total += np.bincount(pair, minlength=count * count).reshape(count, count).astype(np.int32)
+            np.add(total, np.bincount(pair, minlength=count * count).reshape(count, count), out=total, casting="unsafe")
     return total
 
 
@@ -349,11 +350,12 @@ def linked_sets(hashes: np.ndarray, sizes: np.ndarray, threshold: Threshold) ->
     cuts = np.searchsorted(hashes, np.arange(1, FRAGMENTS, dtype=np.uint64) * np.uint64((1 << 64) // FRAGMENTS))
     total, left, open_ = np.zeros((n, n), np.int32), sizes.astype(np.int64), np.ones(n, bool)
 
-    def holds(shared: np.ndarray) -> np.ndarray:
+    def holds(still: np.ndarray) -> np.ndarray:
         linked = np.empty((n, n), bool)
         for at in range(0, n, 256):
             rows = slice(at, at + 256)
-            linked[rows] = threshold.holds(shared[rows].astype(np.int64), sizes[rows, None], sizes[None, :])
+            shared = total[rows] + np.minimum(still[rows, None], still[None, :])
+            linked[rows] = threshold.holds(shared, sizes[rows, None], sizes[None, :])
         np.fill_diagonal(linked, False)
         return linked
 
@@ -361,10 +363,10 @@ def linked_sets(hashes: np.ndarray, sizes: np.ndarray, threshold: Threshold) ->
         left = left - np.bincount(own, minlength=n)
         counted = open_[own]
         total += partial_overlaps(fragment[counted], own[counted], n)
-        open_ = holds(total + np.minimum(left[:, None], left[None, :])).any(axis=1)
+        open_ = holds(left).any(axis=1)
         if not open_.any():
             break
-    return holds(total)
+    return holds(np.zeros(n, np.int64))
 
 
 def least_connected(linked: np.ndarray) -> np.ndarray:
@@ -404,6 +406,7 @@ def join_documents(docs: DataFrame, shingle: int = 3, part: int = 90, whole: int
     by links, and the number of documents it is linked with; also ``row``, a hash of its id and text, and
     ``component``, a key of its component (NULL for an empty set)."""
     threshold = Threshold(part, whole)
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"),
                        _row_hash(id_col, text_col).alias("row"))
 

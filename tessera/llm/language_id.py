@@ -28,6 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..plans import small_batches
 from ._rows import beside_text, identity
 from ._words import batches_of
 
@@ -121,6 +122,7 @@ def predict_languages(docs: DataFrame, size: int = 300, id_col: str = "doc_id",
     """``id, held_out, lang_pred, score`` for every document, learned from those not held out.
 
     ``keep`` names columns of the documents to carry along as a struct ``kept`` instead of the id alone."""
+    small_batches(docs.sparkSession)
     rows = learn_profiles(docs.where(~held_out(id_col)), lang_col, text_col, size).collect()
     profiles = docs.sparkSession.sparkContext.broadcast(Profiles(rows, size))
 

@@ -31,6 +31,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from ..plans import small_batches
 from ._rows import beside_text, identity
 from ._words import WordCodes, batches_of, cut_documents, joined_ranges, text_bytes
 
@@ -205,4 +206,5 @@ def encode_decode(docs: DataFrame, model_file: str, id_col: str = "doc_id", text
             ids = np.split(flat, np.cumsum(counts)[:-1])
             yield pd.DataFrame({"ids": ids, "decoded": [model.decode(x.tolist()) for x in ids]})
 
+    small_batches(docs.sparkSession)
     return beside_text(docs, [identity(docs, id_col, None)], text_col, run, "ids array<int>, decoded string")

@@ -49,3 +49,22 @@ def test_documents_against_all_pairs(spark, documents):
         least[find(i)] = min(d, least.get(find(i), d))
     got = sorted(r.doc_id for r in P.near_duplicate_stage(spark, documents, SF).select("doc_id").collect())
     assert got == sorted(least.values())
+
+
+def test_batches_of_long_texts_are_bounded(spark):
+    from tessera.llm import jaccard_join
+    from tessera.plans.batches import BATCH_BYTES
+
+    def sizes(frames):
+        for frame in frames:
+            yield frame[:1].assign(text=str(frame["text"].str.len().sum()))
+
+    own = spark.newSession()
+    docs = own.range(300).selectExpr("id AS doc_id", "repeat(concat('word', id, ' '), 8000) AS text").coalesce(1)
+    jaccard_join.join_documents(docs, shingle=5, part=80)
+    seen = [int(r.text) for r in docs.select("text").mapInPandas(sizes, "text string").collect()]
+    assert sum(seen) == sum(8000 * (5 + len(str(i))) for i in range(300))
+    assert len(seen) > 3 and max(seen) < 2 * BATCH_BYTES
+    own.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "1048576")
+    jaccard_join.small_batches(own)  # a lower bound stays
+    assert own.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "1048576"
