@@ -21,11 +21,11 @@ Transform.  In a task the distinct segments of some anchors are joined into
 one string, each ended by a symbol that no segment holds; its positions are
 sorted by what follows them, which gives the transform.  Breadth first, from the
 rows where a whole string ends, each step extends all prefixes backwards by one
-byte: rows whose last byte is the same stay in one interval of the longer
-prefix exactly if they were in one interval of the shorter, and intervals of one
-row are dropped.  So the intervals of common prefixes come out by increasing
-value; at ``length`` the expansion stops, and each interval is one string with
-all the places where it occurs.
+byte, or by two at once: rows whose last bytes are the same stay in one interval
+of the longer prefix exactly if they were in one interval of the shorter, and
+intervals of one row are dropped.  So the intervals of common prefixes come out
+by increasing value; at ``length`` the expansion stops, and each interval is one
+string with all the places where it occurs.
 The least id of an interval removes the string everywhere else.
 
 Edge cases: NULL texts are empty; texts shorter than ``length`` lose nothing;
@@ -46,14 +46,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..plans import write_through
+from ..plans import small_batches, write_through
 from ..plans.bloom import bloom_table, marked_by
 from ._words import _SYMBOL, batches_of, joined_ranges, mix, range_hashes, text_bytes
 
 # bytes whose hashes are anchors; the long ones cut segments of hot anchors further
 GRAM, LONG_GRAM = 24, 40
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
-STEP = 1 << 20
+# strings looked at together: their 64-bit hashes stay in the processor's cache
+STEP = 1 << 14
 LAST = (1 << 63) - 1
 TEXT = "block int, t1 bigint, t2 bigint, ord bigint, last bigint, text string"
 # source: the block, and the text's place among the block's texts
@@ -93,18 +94,27 @@ def segments(data: np.ndarray, starts: np.ndarray, length: int, longest: int = 6
         if len(piece) < length:
             break
         anchor = _anchors(piece, length, min(GRAM, length))
-        at = a + np.arange(len(anchor))
-        owner = np.searchsorted(starts, at, side="right") - 1
-        inside = at + length < starts[owner + 1]
-        at, anchor, owner = at[inside], anchor[inside], owner[inside]
-        if not len(at):
+        n = len(anchor)
+        low, high = np.searchsorted(starts, a, side="right") - 1, np.searchsorted(starts, a + n)
+        begin = np.maximum(starts[low:high], a) - a
+        stop = np.minimum(starts[low + 1:high + 1] - length, a + n) - a
+        owner = low + np.flatnonzero(stop > begin)
+        begin, stop = begin[owner - low], stop[owner - low]
+        if not len(owner):
             continue
-        head = np.ones(len(at), bool)
-        head[1:] = (anchor[1:] != anchor[:-1]) | (at[1:] != at[:-1] + 1)
-        ix = np.arange(len(at))
-        head |= (ix - np.maximum.accumulate(np.where(head, ix, 0))) % longest == 0
+        head = np.ones(n + 1, bool)
+        np.not_equal(anchor[1:], anchor[:-1], out=head[1:-1])
+        head[begin] = head[stop] = True
         heads = np.flatnonzero(head)
-        found.append((owner[heads], at[heads], np.diff(np.append(heads, len(at))), anchor[heads]))
+        heads, count = heads[:-1], np.diff(heads)
+        document = np.searchsorted(begin, heads, side="right") - 1
+        inside = (document >= 0) & (heads < stop[document])
+        heads, count, document = heads[inside], count[inside], document[inside]
+        parts = -(-count // longest)
+        run = np.repeat(np.arange(len(heads)), parts)
+        passed = longest * (np.arange(len(run)) - np.repeat(np.cumsum(parts) - parts, parts))
+        heads, count = heads[run] + passed, np.minimum(count[run] - passed, longest)
+        found.append((owner[document[run]], a + heads, count, anchor[heads]))
     if not found:
         return tuple(np.empty(0, t) for t in (np.int64, np.int64, np.int64, np.uint64))
     return tuple(np.concatenate(c) for c in zip(*found, strict=True))
@@ -144,12 +154,15 @@ def expand_intervals(before: np.ndarray, rows: np.ndarray, length: int) -> tuple
     by_symbol = np.argsort(before, kind="stable")  # row j of the longer prefixes comes from row by_symbol[j]
     longer = np.empty(len(before), np.int32)
     longer[by_symbol] = np.arange(len(before), dtype=np.int32)
-    interval = np.zeros(len(rows), np.int32)
-    for _ in range(length):
-        symbol = before[rows]
+    interval, steps = np.zeros(len(rows), np.int32), [(before, longer)] * length
+    if before.dtype == np.uint8:  # two steps in one: both symbols as one number, the one further back first
+        two = (before[longer].astype(np.uint16) << np.uint16(8)) | before, longer[longer]
+        steps = [two] * (length // 2) + steps[:length % 2]
+    for symbols, following in steps:
+        symbol = symbols[rows]
         # rows of an interval follow each other, so the stable order by symbol keeps them in order
         order = np.argsort(symbol, kind="stable")
-        rows, interval, symbol = longer[rows[order]], interval[order], symbol[order]
+        rows, interval, symbol = following[rows[order]], interval[order], symbol[order]
         head = np.ones(len(rows) + 1, bool)
         head[1:-1] = (interval[1:] != interval[:-1]) | (symbol[1:] != symbol[:-1])
         live = np.flatnonzero(~(head[:-1] & head[1:]))
@@ -248,11 +261,13 @@ class _Plan:
             for block, own in frame.groupby("block", sort=False):
                 for piece in batches_of([own], "text", self.chars):
                     owner, _, _, anchor = segments(*text_bytes(piece["text"]), self.length)
-                    order = np.lexsort((anchor, owner))
-                    owner, anchor = owner[order], anchor[order]
-                    head = np.ones(len(owner), bool)
-                    head[1:] = (owner[1:] != owner[:-1]) | (anchor[1:] != anchor[:-1])
-                    once.setdefault(int(block), []).append(self._short(anchor[head])[1])
+                    short = self._short(anchor)[1]
+                    order = np.argsort(short)
+                    short, owner = short[order], owner[order]
+                    new = np.diff(short, prepend=~short[:1]) != 0
+                    # an anchor that several of these texts have is listed twice
+                    again = short[1:][~new[1:] & (owner[1:] != owner[:-1])]
+                    once.setdefault(int(block), []).append(np.concatenate([short[new], np.unique(again)]))
         for block, found in once.items():
             short, n = np.unique(np.concatenate(found), return_counts=True)
             bucket = (short >> np.uint64(32)).astype(np.int64)
@@ -292,13 +307,13 @@ class _Plan:
             data, starts = text_bytes(piece["text"])
             owner, at, count, anchor = segments(data, starts, self.length)
             short = self._short(anchor)[1]
-            kept = np.isin(short, known)
+            kept = _among(short, known)
             owner, at, count, anchor, short = owner[kept], at[kept], count[kept], anchor[kept], short[kept]
             key = anchor
             for level, many in ((0, hot), (1, common)):
-                if np.isin(short, many).any():
-                    owner, at, count, key, short = self._cut_hot(data, (owner, at, count, key, short),
-                                                                 np.isin(short, many), level)
+                marked = _among(short, many)
+                if marked.any():
+                    owner, at, count, key, short = self._cut_hot(data, (owner, at, count, key, short), marked, level)
             raw = data.tobytes()
             stop = at + count + self.length - 1
             out.append(pd.DataFrame({
@@ -306,12 +321,16 @@ class _Plan:
                 "ord": piece["ord"].to_numpy()[owner], "start": at - starts[owner],
                 "bytes": [raw[a:b] for a, b in zip(at.tolist(), stop.tolist(), strict=True)]}))
         rows = pd.concat(out, ignore_index=True)
-        least = rows.groupby(["key", "bytes"], sort=False)["ord"].transform("min").to_numpy()
+        least = rows["ord"].to_numpy(copy=True)
+        several = np.flatnonzero(rows["key"].duplicated(keep=False))  # the others have no equal one here
+        least[several] = rows.iloc[several].groupby(["key", "bytes"], sort=False)["ord"].transform("min").to_numpy()
         gone = rows["ord"].to_numpy() > least
         # removed here: of these only their spans are sent, with the end in place of the id
-        rows["stop"] = rows["start"] + _lengths(rows["bytes"])
-        spans = rows[gone].drop(columns=["ord", "bytes"]).rename(columns={"stop": "ord"})
-        spans["key"], spans["bytes"] = mix(spans["source"].to_numpy().view(np.uint64)).view(np.int64), None
+        done = rows[gone]
+        start = done["start"].to_numpy(dtype=np.int64)
+        source, start, stop = _merged(done["source"].to_numpy(dtype=np.int64), start, start + _lengths(done["bytes"]))
+        spans = pd.DataFrame({"key": mix(source.view(np.uint64)).view(np.int64), "source": source, "ord": stop,
+                              "start": start, "bytes": None})
         return pd.concat([rows[~gone][columns], spans[columns]], ignore_index=True)
 
     def _cut_hot(self, data: np.ndarray, rows: tuple, many: np.ndarray, level: int) -> tuple:
@@ -358,27 +377,43 @@ class _Plan:
     def cut(self, texts: pd.DataFrame, spans: pd.DataFrame) -> pd.DataFrame:
         """What goes of each text of a block that loses any, or has copies, if these are asked for: ``cuts`` holds
         where removed runs begin and end."""
-        ranges = {n: own[["start", "stop"]].to_numpy(dtype=np.int64) for n, own in spans.groupby("place", sort=False)}
+        place, start, stop = _merged(*(spans[c].to_numpy(dtype=np.int64) for c in ("place", "start", "stop")))
+        once = _one_each(texts)
+        first, end = (np.searchsorted(place, np.arange(len(once)), side=side) for side in ("left", "right"))
+        loses = end > first
+        listed = np.flatnonzero(loses | (once["last"] > once["ord"]).to_numpy()) if self.with_copies else np.flatnonzero(loses)
         out = []
-        for row in _one_each(texts).itertuples():
-            own = ranges.get(row.Index)
-            if own is None and not (self.with_copies and row.last > row.ord):
-                continue
-            data = np.frombuffer(row.text.encode(), dtype=np.uint8)
-            edges = np.zeros(len(data) + 1, np.int64)
-            if own is not None:
-                np.add.at(edges, own[:, 0], 1)
-                np.add.at(edges, own[:, 1], -1)
-            gone = np.cumsum(edges[:-1]) > 0
-            spans_left = int(np.count_nonzero(gone[1:] & ~gone[:-1])) + int(gone[0])
-            kept = data[~gone].tobytes()
-            cuts = np.flatnonzero(np.diff(gone, prepend=False, append=False)) if self.with_copies and own is not None else None
-            out.append((row.t1, row.t2, row.ord, int(gone.sum()), spans_left, hashlib.sha256(kept).hexdigest(), cuts))
+        for row, a, b in zip(once.iloc[listed].itertuples(), first[listed].tolist(), end[listed].tolist(), strict=True):
+            data, cuts = row.text.encode(), np.column_stack([start[a:b], stop[a:b]]).ravel()
+            bounds = [0, *cuts.tolist(), None]
+            kept = b"".join([data[x:y] for x, y in zip(bounds[::2], bounds[1::2], strict=True)])
+            out.append((row.t1, row.t2, row.ord, len(data) - len(kept), b - a, hashlib.sha256(kept).hexdigest(),
+                        cuts if self.with_copies and a < b else None))
         return pd.DataFrame(out, columns=["t1", "t2", "first", "n_removed", "n_spans", "kept_sha256", "cuts"])
 
 
 def _lengths(parts) -> np.ndarray:
-    return np.array([len(p) for p in parts], dtype=np.int64)
+    return np.fromiter(map(len, parts), np.int64, len(parts))
+
+
+def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Whether each value is one of the sorted ``known`` ones."""
+    if not len(known):
+        return np.zeros(len(values), bool)
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
+
+
+def _merged(source: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The spans of each source in order; those that overlap or touch are one."""
+    order = np.lexsort((start, source))
+    source, start, stop = source[order], start[order], stop[order]
+    if not len(source):
+        return source, start, stop
+    # ends grow from source to source, so that the greatest end so far is one of the same source
+    base = np.cumsum(np.append(False, source[1:] != source[:-1])) * (int(stop.max()) + 1)
+    reach = np.maximum.accumulate(base + stop)
+    heads = np.flatnonzero(np.append(True, base[1:] + start[1:] > reach[:-1]))
+    return source[heads], start[heads], np.maximum.reduceat(stop, heads)
 
 
 def _one_each(texts: pd.DataFrame) -> pd.DataFrame:
@@ -407,6 +442,7 @@ def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", te
     With ``keep`` those columns come along as a struct ``kept_columns`` instead of the id, and ``kept`` holds the
     remaining text."""
     spark = docs.sparkSession
+    small_batches(spark)
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     marks = [F.coalesce(F.col(f"`{id_col}`").cast("bigint"), F.lit(LAST)).alias("ord"), F.xxhash64(text).alias("t1"),
              F.xxhash64(F.lit("second"), text).alias("t2"), F.octet_length(text).cast("bigint").alias("n_bytes")]

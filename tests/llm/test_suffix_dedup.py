@@ -169,3 +169,36 @@ def test_texts_stay_where_they_are_scanned(spark, monkeypatch):
     expected = {(d, t, 0) for d, t in rows} - {rows[1] + (0,), rows[4] + (0,), rows[7] + (0,)}
     assert out == expected | {(1, cut, len(f" {passage} ".encode())), (4, "", 54), (None, "", 54)}
     assert [types["cuts"] for _, types in written] == ["array<bigint>"]  # no text is written
+
+
+def test_removed_runs_of_a_block_are_sent_once():
+    rnd = random.Random(12)
+    letters = lambda n: "".join(rnd.choices("abcdef", k=n))
+    passage, other = letters(2 * S.STEP), letters(300)
+    texts = [letters(80) + passage + letters(70), passage + letters(60) + other, other]
+    frame = S.pd.DataFrame({"block": 0, "t1": [1, 2, 3], "t2": 0, "ord": [1, 2, 3], "last": [1, 2, 3], "text": texts})
+    plan = S._Plan(50, 4, 256, 1_000_000, 1 << 18, False)
+    shared = S.pd.concat([plan.shared_anchors(own) for _, own in S.pd.concat(plan.send_anchors(iter([frame]))).groupby("bucket")])
+    sent = plan.send_segments(frame, shared)
+    spans = sent[sent["bytes"].isna()]
+    # one row for each run, not one for each segment in it (the ends, shared in part by a segment, are judged later)
+    assert sorted(spans["source"].tolist()) == [1, 2]
+    judged = S.pd.concat(plan.judge(iter([sent.sort_values("key")])))
+    rows = plan.cut(frame, judged)
+    want = brute([(1, texts[0]), (2, texts[1]), (3, texts[2])])
+    assert [(r.first, r.n_removed, r.n_spans, r.kept_sha256) for r in rows.itertuples()] == [
+        (d, gone, runs, digest) for d, _, gone, runs, digest, _ in want if gone]
+
+
+def test_segments_hold_every_string_once():
+    rnd = random.Random(13)
+    texts = ["".join(rnd.choices("ab", k=n)) for n in (10, 49, 50, 51, S.STEP - 3, 120, 2 * S.STEP + 1)] + ["", "x" * 900]
+    data, starts = S.text_bytes(texts)
+    owner, at, count, anchor = S.segments(data, starts, 50)
+    assert count.max() <= 64
+    held = [(o, p) for o, a, n in zip(owner.tolist(), at.tolist(), count.tolist(), strict=True) for p in range(a, a + n)]
+    assert held == [(i, starts[i] + p) for i, t in enumerate(texts) for p in range(len(t) - 49)]
+    raw, by_string = data.tobytes(), {}
+    for a, n, key in zip(at.tolist(), count.tolist(), anchor.tolist(), strict=True):
+        for p in range(a, a + n):
+            assert by_string.setdefault(raw[p:p + 50], key) == key
