@@ -41,10 +41,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans import release, write_through
+from ..plans import release, small_batches, write_through
 from ._words import batches_of, joined_ranges
 
 MARK = "▁"
+# of texts that are aligned at once: the flat arrays of a batch take some hundred times its characters
+BATCH_CHARS = 250_000
 DIGEST = "id bigint, missing boolean, n_a bigint, n_b bigint, n_groups bigint, groups_sha256 string, links binary"
 FRAGMENT = ("row bigint, id bigint, missing boolean, part bigint, sound boolean, open boolean, n_a bigint, n_b bigint, "
             "a_prefix binary, b_prefix binary, groups binary, links binary, a_suffix binary, b_suffix binary")
@@ -214,6 +216,15 @@ class Aligned:
         return out
 
 
+def digests_of(pair: TokenizerPair, frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """``id, missing`` and the digests of whole texts, a bounded batch at a time."""
+    for frame in batches_of(frames, "text", BATCH_CHARS):
+        own = frame[["id", "missing"]].reset_index(drop=True)
+        # a missing text is an empty one, whose blank B does not give back
+        texts = [t if isinstance(t, str) else "" for t in frame["text"]]
+        yield pd.concat([own, Aligned(pair, texts).digests()], axis=1)
+
+
 EMPTY = {"sound": True, "open": True, "n_a": 0, "n_b": 0, "a_prefix": b"", "b_prefix": b"", "groups": b"", "links": b"",
          "a_suffix": b"", "b_suffix": b""}
 
@@ -304,7 +315,7 @@ def _long_texts(docs: DataFrame, load, chunk_bytes: int, fan_in: int) -> DataFra
 
     def align(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pair = load()
-        for frame in batches_of(frames, "text", 2_000_000):
+        for frame in batches_of(frames, "text", BATCH_CHARS):
             aligned = Aligned(pair, frame["text"].tolist(), frame["begin"].to_numpy(), frame["stop"].to_numpy())
             own = frame[["row", "id", "missing", "part"]].reset_index(drop=True)
             yield pd.concat([own, pd.DataFrame(aligned.fragments())], axis=1)
@@ -398,20 +409,14 @@ def align_tokenizers(docs: DataFrame, ranks_file: str, pattern: str, piece_file:
 
     ``ranks_file`` and ``pattern`` are the byte-level vocabulary as ranks and its splitting pattern."""
     load = lambda: load_pair(ranks_file, pattern, piece_file)
-
-    def digest(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pair = load()
-        for frame in batches_of(frames, "text", 2_000_000):
-            own = frame[["id", "missing"]].reset_index(drop=True)
-            # a missing text is an empty one, whose blank B does not give back
-            texts = [t if isinstance(t, str) else "" for t in frame["text"]]
-            yield pd.concat([own, Aligned(pair, texts).digests()], axis=1)
+    # the texts, and the links that are read again
+    small_batches(docs.sparkSession)
 
     ident = F.col(f"`{id_col}`").cast("bigint")
     rows = docs.select(F.coalesce(ident, F.lit(0)).alias("id"), ident.isNull().alias("missing"),
                        F.col(f"`{text_col}`").cast("string").alias("text"))
     long = F.coalesce(F.octet_length("text"), F.lit(0)) > chunk_bytes
-    aligned = write_through(rows.where(~long).mapInPandas(digest, DIGEST).unionByName(
+    aligned = write_through(rows.where(~long).mapInPandas(lambda frames: digests_of(load(), frames), DIGEST).unionByName(
         _long_texts(rows.where(long), load, chunk_bytes, fan_in)), "aligned")
     counts = write_through(_count(aligned), "pairs")
     fits = counts.count() <= broadcast_pairs

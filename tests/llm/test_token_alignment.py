@@ -106,3 +106,27 @@ def test_fragments_of_any_cut_compose_to_the_whole():
         left = T.join([T.join([T.join(parts[:other]), T.join(parts[other:cut])]), T.join(parts[cut:])])
         right = T.join([T.join(parts[:other]), T.join([T.join(parts[other:cut]), T.join(parts[cut:]), T.EMPTY])])
         assert left == right and T.finish(left) == whole
+
+
+def test_memory_of_long_frames(spark):
+    """A frame of 2 MB is aligned in batches whose arrays are small, and batches on their way are bounded by bytes."""
+    import tracemalloc
+
+    import pandas as pd
+    from tessera.plans.batches import BATCH_BYTES
+
+    rnd, pair = random.Random(4), T.load_pair(*FILES)
+    words = ["the", "cat", "naïve", "sat", "on", "zebra", "12345", "mat,", "日本"]
+    texts = [" ".join(rnd.choices(words, k=400)) for _ in range(1000)]
+    frame = pd.DataFrame({"id": range(1000), "missing": False, "text": texts})
+    tracemalloc.start()
+    # without the links, so that the results themselves take next to nothing
+    parts = [out.drop(columns="links") for out in T.digests_of(pair, [frame])]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100_000_000
+    whole = T.Aligned(pair, texts).digests().drop(columns="links")
+    assert pd.concat(parts, ignore_index=True).drop(columns=["id", "missing"]).equals(whole)
+    own = spark.newSession()
+    got(own.createDataFrame([(1, "one two")], "doc_id bigint, text string"))
+    assert int(own.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= BATCH_BYTES
