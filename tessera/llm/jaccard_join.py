@@ -418,29 +418,30 @@ def join_documents(docs: DataFrame, shingle: int = 3, part: int = 90, whole: int
 
     narrow = write_through(beside_text(rows, [F.col("id"), F.col("row")], "text", keys, "n bigint, k1 bigint, k2 bigint"),
                            "sets")
+    count = narrow.count()  # from the files' footers; the tables of sets below have no more rows
     sets = write_through(narrow.where("n > 0").groupBy("k1", "k2").agg(
         F.min("row").alias("row"), F.min("id").alias("first"), F.count(F.lit(1)).alias("copies"),
-        F.first("n").alias("n")), "sets")
+        F.first("n").alias("n")), "sets", count)
 
     def blocks_of(members: DataFrame) -> DataFrame:
         return write_through(members.groupBy("root").agg(F.greatest(
             F.ceil(F.sum("n") / block_shingles), F.ceil(F.count(F.lit(1)) / block_sets)).cast("int").alias("blocks")),
-            "blocks")
+            "blocks", count)
 
-    families = connected_components(_ties(rows, shingle, threshold, batch_chars))
+    families = connected_components(_ties(rows, shingle, threshold, batch_chars), count)
     members = write_through(sets.join(families.withColumnRenamed("node", "k1"), "k1")
-                            .select("k1", "k2", "row", "copies", "n", "root"), "members")
+                            .select("k1", "k2", "row", "copies", "n", "root"), "members", count)
     blocks = blocks_of(members)
     if threshold.parted() and blocks.where("blocks > 1").limit(1).count():
         marked = write_through(members.join(blocks, "root").select(*members.columns, (F.col("blocks") > 1).alias("large")),
-                               "members")
+                               "members", count)
         release(members)
         release(blocks)
-        large = write_through(marked.where("large").drop("large"), "large")
+        large = write_through(marked.where("large").drop("large"), "large", count)
         texts = may_be_in(rows.select("row", "text"), bloom_table(large, "row"), "row").join(large.select("row", "root"), "row")
-        again = connected_components(_ties_again(texts, shingle, threshold, batch_chars))
+        again = connected_components(_ties_again(texts, shingle, threshold, batch_chars), count)
         members = write_through(marked.where("NOT large").drop("large").unionByName(
-            large.drop("root").join(again.withColumnRenamed("node", "k1"), "k1")), "members")
+            large.drop("root").join(again.withColumnRenamed("node", "k1"), "k1")), "members", count)
         release(marked)
         release(large)
         blocks = blocks_of(members)
@@ -458,15 +459,15 @@ def join_documents(docs: DataFrame, shingle: int = 3, part: int = 90, whole: int
     release(blocks)
 
     node = lambda a, b: F.concat_ws(":", F.lpad(F.hex(a), 16, "0"), F.lpad(F.hex(b), 16, "0"))
-    joined = connected_components(counted.select(node("k1", "k2").alias("a"), node("r1", "r2").alias("b")))
+    joined = connected_components(counted.select(node("k1", "k2").alias("a"), node("r1", "r2").alias("b")), count)
     links = counted.groupBy("k1", "k2").agg(F.sum("links").alias("links"))
     own = write_through(sets.withColumn("node", node("k1", "k2")).join(joined, "node", "left")
                         .join(links, ["k1", "k2"], "left")
                         .select("k1", "k2", "first", F.coalesce("root", "node").alias("root"),
-                                (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "components")
+                                (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "components", count)
     release(counted)
     least = own.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = write_through(own.join(least, "root").select("k1", "k2", "root", "component_id", "n_links"), "components")
+    named = write_through(own.join(least, "root").select("k1", "k2", "root", "component_id", "n_links"), "components", count)
     release(own)
     empty = F.col("n") == 0
     return narrow.join(named, ["k1", "k2"], "left").select(

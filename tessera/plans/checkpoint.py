@@ -20,6 +20,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+ROWS_A_FILE = 100_000
 _written: dict[str, SparkSession] = {}
 
 
@@ -48,9 +49,16 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
-def write_through(df: DataFrame, label: str = "cut") -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and return it as read back."""
+def write_through(df: DataFrame, label: str = "cut", rows: int | None = None) -> DataFrame:
+    """Write ``df`` as Parquet to the shared folder and return it as read back.
+
+    ``rows``: about how many it has, if that is known.  A table that is small for the number of shuffle partitions
+    is written by fewer tasks, as many as run at once at least: a task and its file cost more than its few rows."""
     spark = df.sparkSession
+    if rows is not None:
+        tasks = max(spark.sparkContext.defaultParallelism, -(-rows // ROWS_A_FILE))
+        if tasks < int(spark.conf.get("spark.sql.shuffle.partitions")):
+            df = df.coalesce(tasks)
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
