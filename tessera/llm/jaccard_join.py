@@ -22,6 +22,14 @@ family of more than one block is tied again: the hashes are cut into so many
 ranges that linked sets agree in more whole ranges than each may leave out as
 short ones; sets that agree in a range, all its shingles, are tied.
 
+Where linked sets may differ in so much that such ranges are too short, sets are
+left out before the order is made.  Of each set the shingles below a bound of
+the hash are looked at, more of them than it may lack of another; one is alone
+if no other set that may link by its size holds it.  A set with more of them
+alone than linked sets may differ in is linked with none.  Counters, order and
+ties are then those of the sets that are left: what unrelated sets share by
+chance ties them no more, however large the corpus.
+
 Counting.  A family's sets are cut into blocks of bounded size, and each pair
 of blocks is one group.  There the shingles are cut into ``FRAGMENTS`` ranges of
 hashes; the overlaps of every two sets are counted in each fragment and
@@ -113,6 +121,12 @@ class Threshold:
         """How many shingles of a set hold one of any set linked with it, whatever the order."""
         return sizes * (self.whole - self.part) // self.whole + 1
 
+    def looked_at(self, sizes: np.ndarray) -> np.ndarray:
+        """Below which upper half of a hash the shingles of a set are looked at: a quarter more of them than a set may
+        lack, and what a small set's share may fall short by chance.  No higher for larger sets."""
+        share = 1.25 * (self.whole - self.part) / self.whole + 1 / np.sqrt(np.maximum(sizes, 1))
+        return (np.minimum(share, 1) * (1 << 32)).astype(np.uint64)
+
     def parted(self) -> bool:
         """Whether the ranges of :func:`range_keys` hold some eight shingles, so that few agree by chance."""
         return self.part * self.part >= 8 * self.whole * (self.whole - self.part)
@@ -245,6 +259,82 @@ def tie_runs(keys: np.ndarray, nodes: np.ndarray, least: np.ndarray, most: np.nd
     return first, np.maximum.reduceat(most, first) if len(first) else most, np.cumsum(new) - 1
 
 
+def _looked_at(hashes: np.ndarray, sizes: np.ndarray, limits: np.ndarray) -> np.ndarray:
+    """Whether each shingle lies below its set's limit."""
+    return (hashes >> np.uint64(32)) < np.repeat(limits, sizes)
+
+
+def count_looked_at(hashes: np.ndarray, sizes: np.ndarray, threshold: Threshold) -> np.ndarray:
+    """How many shingles of each set are looked at."""
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    return np.bincount(owner[_looked_at(hashes, sizes, threshold.looked_at(sizes))], minlength=len(sizes))
+
+
+def _shared(docs: DataFrame, size: int, threshold: Threshold, batch_chars: int) -> DataFrame:
+    """``node, shared``: how many of the shingles looked at of a set (by its first key) are not alone, or a few more;
+    sets that have none are not in it."""
+
+    def send(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in batches_of(frames, "text", batch_chars):
+            hashes, sizes = shingle_sets(frame["text"], size)
+            node, _ = set_keys(hashes, sizes)
+            _, own = np.unique(node, return_index=True)
+            own = own[sizes[own] > 0]
+            hashes = hashes[joined_ranges((np.cumsum(sizes) - sizes)[own], sizes[own])]
+            node, sizes = node[own], sizes[own]
+            # all that the smallest set that may link looks at
+            sent = _looked_at(hashes, sizes, threshold.looked_at(sizes * threshold.part // threshold.whole))
+            looked = _looked_at(hashes, sizes, threshold.looked_at(sizes))[sent]
+            owner = np.repeat(np.arange(len(sizes)), sizes)[sent]
+            order = np.lexsort((sizes[owner], hashes[sent]))
+            keys, looked, owner = hashes[sent][order].view(np.int64), looked[order], owner[order]
+            length = sizes[owner]
+            first, most, run = tie_runs(keys, node[owner], length, length, threshold)
+            many = np.bincount(run, minlength=len(first)) > 1
+            yield pd.DataFrame(dict(zip(_LOOKED, [keys[first], node[owner[first]], length[first], most,
+                                                  looked[first] & ~many, many], strict=True)))
+            # shared with a set of the same batch: no size, and their number in the column after it
+            found = np.bincount(owner[many[run] & looked], minlength=len(sizes))
+            some = np.flatnonzero(found)
+            yield pd.DataFrame(dict(zip(_LOOKED, [node[some], node[some], -1, found[some], False, False], strict=True)))
+
+    def meet(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        carried = np.empty((0, len(_LOOKED)), np.int64)
+        for frame in frames:
+            rows = frame[_LOOKED].to_numpy(dtype=np.int64)
+            ready = rows[:, 2] < 0
+            nodes, counts = rows[ready, 1], rows[ready, 3]
+            rows = np.concatenate([carried, rows[~ready]])
+            if len(rows):
+                key, node, least, most, looked, many = rows.T
+                first, most, run = tie_runs(key, node, least, most, threshold)
+                shared = np.logical_or.reduceat((many > 0) | (node != node[first][run]), first)
+                hit = shared[run] & (looked > 0)
+                hits = _distinct_rows(np.column_stack([run[hit], node[hit]]))[:, 1]
+                nodes, counts = np.append(nodes, hits), np.append(counts, np.ones(len(hits), np.int64))
+                carried = rows[first[-1:]].copy()  # the run may go on in the next frame
+                carried[:, 3] = most[-1]
+                if shared[-1]:
+                    carried[:, 4:] = 0, 1
+            yield pd.DataFrame({"node": nodes, "found": counts})
+
+    sent = docs.select("text").mapInPandas(send, _LOOKED_TYPES)
+    met = sent.repartition("key").sortWithinPartitions("key", "least").mapInPandas(meet, "node bigint, found bigint")
+    return met.groupBy("node").agg(F.sum("found").alias("shared"))
+
+
+_LOOKED = ["key", "node", "least", "most", "looked", "many"]
+_LOOKED_TYPES = "key bigint, node bigint, least bigint, most bigint, looked boolean, many boolean"
+
+
+def _distinct_rows(pairs: np.ndarray) -> np.ndarray:
+    order = np.lexsort(pairs.T[::-1])
+    pairs = pairs[order]
+    new = np.ones(len(pairs), bool)
+    new[1:] = (pairs[1:] != pairs[:-1]).any(axis=1)
+    return pairs[new]
+
+
 def _ties(docs: DataFrame, size: int, threshold: Threshold, batch_chars: int) -> DataFrame:
     """``a, b``: ties between sets (by their first key) that share a first shingle and may link by their sizes."""
     sent_levels = docs.sparkSession.sparkContext.broadcast(shingle_levels(docs, size, batch_chars))
@@ -414,21 +504,30 @@ def join_documents(docs: DataFrame, shingle: int = 3, part: int = 90, whole: int
         for frame in batches_of(frames, "_text", batch_chars):
             hashes, sizes = shingle_sets(frame["_text"], shingle)
             k1, k2 = set_keys(hashes, sizes)
-            yield pd.DataFrame({"n": sizes, "k1": k1, "k2": k2})
+            yield pd.DataFrame({"n": sizes, "looked": count_looked_at(hashes, sizes, threshold), "k1": k1, "k2": k2})
 
-    narrow = write_through(beside_text(rows, [F.col("id"), F.col("row")], "text", keys, "n bigint, k1 bigint, k2 bigint"),
-                           "sets")
+    narrow = write_through(beside_text(rows, [F.col("id"), F.col("row")], "text", keys,
+                                       "n bigint, looked bigint, k1 bigint, k2 bigint"), "sets")
     count = narrow.count()  # from the files' footers; the tables of sets below have no more rows
     sets = write_through(narrow.where("n > 0").groupBy("k1", "k2").agg(
         F.min("row").alias("row"), F.min("id").alias("first"), F.count(F.lit(1)).alias("copies"),
-        F.first("n").alias("n")), "sets", count)
+        F.first("n").alias("n"), F.first("looked").alias("looked")), "sets", count)
+    texts_of = rows.select("row", "text")
+    if not threshold.parted():
+        alone = F.col("looked") - F.coalesce("shared", F.lit(0))
+        left = write_through(sets.join(_shared(rows, shingle, threshold, batch_chars).withColumnRenamed("node", "k1"), "k1", "left")
+                             .where(alone <= F.floor(F.col("n") * (whole - part) / whole)).select("row"),
+                             "left", count)
+        # one text of each set that is left, not moved before the filter
+        texts_of = write_through(may_be_in(texts_of, bloom_table(left, "row"), "row").join(left, "row", "left_semi"), "texts")
+        release(left)
 
     def blocks_of(members: DataFrame) -> DataFrame:
         return write_through(members.groupBy("root").agg(F.greatest(
             F.ceil(F.sum("n") / block_shingles), F.ceil(F.count(F.lit(1)) / block_sets)).cast("int").alias("blocks")),
             "blocks", count)
 
-    families = connected_components(_ties(rows, shingle, threshold, batch_chars), count)
+    families = connected_components(_ties(texts_of, shingle, threshold, batch_chars), count)
     members = write_through(sets.join(families.withColumnRenamed("node", "k1"), "k1")
                             .select("k1", "k2", "row", "copies", "n", "root"), "members", count)
     blocks = blocks_of(members)
@@ -438,7 +537,7 @@ def join_documents(docs: DataFrame, shingle: int = 3, part: int = 90, whole: int
         release(members)
         release(blocks)
         large = write_through(marked.where("large").drop("large"), "large", count)
-        texts = may_be_in(rows.select("row", "text"), bloom_table(large, "row"), "row").join(large.select("row", "root"), "row")
+        texts = may_be_in(texts_of, bloom_table(large, "row"), "row").join(large.select("row", "root"), "row")
         again = connected_components(_ties_again(texts, shingle, threshold, batch_chars), count)
         members = write_through(marked.where("NOT large").drop("large").unionByName(
             large.drop("root").join(again.withColumnRenamed("node", "k1"), "k1")), "members", count)
@@ -448,7 +547,7 @@ def join_documents(docs: DataFrame, shingle: int = 3, part: int = 90, whole: int
     placed = members.join(blocks, "root").withColumn(
         "block", F.pmod(F.xxhash64("k1", "k2"), F.col("blocks")).cast("int"))
     # most texts are in no family: the filter keeps them from being moved
-    texts = may_be_in(rows.select("row", "text"), bloom_table(members, "row"), "row").join(placed.drop("n"), "row")
+    texts = may_be_in(texts_of, bloom_table(members, "row"), "row").join(placed.drop("n"), "row")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     pairs = texts.select("*", other.alias("other")).select(
         "text", "k1", "k2", "copies", "root", "block", F.least("block", "other").alias("i"),
@@ -457,6 +556,8 @@ def join_documents(docs: DataFrame, shingle: int = 3, part: int = 90, whole: int
         _count_links(shingle, threshold, batch_chars), "k1 bigint, k2 bigint, r1 bigint, r2 bigint, links bigint"), "links")
     release(members)
     release(blocks)
+    if not threshold.parted():
+        release(texts_of)
 
     node = lambda a, b: F.concat_ws(":", F.lpad(F.hex(a), 16, "0"), F.lpad(F.hex(b), 16, "0"))
     joined = connected_components(counted.select(node("k1", "k2").alias("a"), node("r1", "r2").alias("b")), count)
