@@ -26,9 +26,11 @@ Where linked sets may differ in so much that such ranges are too short, sets are
 left out before the order is made.  Of each set the shingles below a bound of
 the hash are looked at, more of them than it may lack of another; one is alone
 if no other set that may link by its size holds it.  A set with more of them
-alone than linked sets may differ in is linked with none.  Counters, order and
-ties are then those of the sets that are left: what unrelated sets share by
-chance ties them no more, however large the corpus.
+alone than it may lack is linked with none.  Counters, order and ties are then
+those of the sets that are left, and some more first shingles are sent: linked
+sets meet at so many more of them.  Every two sets that meet at a shingle of few
+sets are counted, and tied if they meet often enough; a shingle of many sets ties
+them all.  So what unrelated sets share by chance does not tie them.
 
 Counting.  A family's sets are cut into blocks of bounded size, and each pair
 of blocks is one group.  There the shingles are cut into ``FRAGMENTS`` ranges of
@@ -127,6 +129,10 @@ class Threshold:
         share = 1.25 * (self.whole - self.part) / self.whole + 1 / np.sqrt(np.maximum(sizes, 1))
         return (np.minimum(share, 1) * (1 << 32)).astype(np.uint64)
 
+    def meetings(self, sizes: np.ndarray) -> np.ndarray:
+        """In how many of their first shingles linked sets meet, the less of the two, if so many less one are added."""
+        return 1 + np.minimum(7, sizes * self.part // (16 * self.whole))
+
     def parted(self) -> bool:
         """Whether the ranges of :func:`range_keys` hold some eight shingles, so that few agree by chance."""
         return self.part * self.part >= 8 * self.whole * (self.whole - self.part)
@@ -200,12 +206,14 @@ def _slot(hashes: np.ndarray) -> np.ndarray:
     return (hashes & np.uint64(SLOTS - 1)).astype(np.int64)
 
 
-def first_shingles(hashes: np.ndarray, sizes: np.ndarray, threshold: Threshold,
-                   levels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The first shingles of each set in the global order, of which linked sets share one, and their set's number."""
+def first_shingles(hashes: np.ndarray, sizes: np.ndarray, threshold: Threshold, levels: np.ndarray,
+                   more: int | np.ndarray = 0) -> tuple[np.ndarray, np.ndarray]:
+    """The first shingles of each set in the global order, of which linked sets share one, and their set's number.
+
+    Of ``more`` shingles of each set linked ones share so many more."""
     owner = np.repeat(np.arange(len(sizes)), sizes)
     order = np.lexsort((hashes, levels[_slot(hashes)], owner))
-    length = np.where(sizes > 0, threshold.first(sizes), 0)
+    length = np.where(sizes > 0, threshold.first(sizes) + more, 0)
     at = joined_ranges(np.cumsum(sizes) - sizes, length)
     return hashes[order[at]], np.repeat(np.arange(len(sizes)), length)
 
@@ -291,12 +299,12 @@ def _shared(docs: DataFrame, size: int, threshold: Threshold, batch_chars: int)
             length = sizes[owner]
             first, most, run = tie_runs(keys, node[owner], length, length, threshold)
             many = np.bincount(run, minlength=len(first)) > 1
-            yield pd.DataFrame(dict(zip(_LOOKED, [keys[first], node[owner[first]], length[first], most,
-                                                  looked[first] & ~many, many], strict=True)))
+            yield pd.DataFrame(dict(zip(_LOOKED, [keys[first], node[owner[first]], length[first],
+                                                  4 * most + 2 * (looked[first] & ~many) + many], strict=True)))
             # shared with a set of the same batch: no size, and their number in the column after it
             found = np.bincount(owner[many[run] & looked], minlength=len(sizes))
             some = np.flatnonzero(found)
-            yield pd.DataFrame(dict(zip(_LOOKED, [node[some], node[some], -1, found[some], False, False], strict=True)))
+            yield pd.DataFrame(dict(zip(_LOOKED, [node[some], node[some], -1, found[some]], strict=True)))
 
     def meet(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         carried = np.empty((0, len(_LOOKED)), np.int64)
@@ -306,16 +314,14 @@ def _shared(docs: DataFrame, size: int, threshold: Threshold, batch_chars: int)
             nodes, counts = rows[ready, 1], rows[ready, 3]
             rows = np.concatenate([carried, rows[~ready]])
             if len(rows):
-                key, node, least, most, looked, many = rows.T
-                first, most, run = tie_runs(key, node, least, most, threshold)
-                shared = np.logical_or.reduceat((many > 0) | (node != node[first][run]), first)
-                hit = shared[run] & (looked > 0)
+                key, node, least, rest = rows.T
+                first, most, run = tie_runs(key, node, least, rest >> 2, threshold)
+                shared = np.logical_or.reduceat(((rest & 1) > 0) | (node != node[first][run]), first)
+                hit = shared[run] & ((rest & 2) > 0)
                 hits = _distinct_rows(np.column_stack([run[hit], node[hit]]))[:, 1]
                 nodes, counts = np.append(nodes, hits), np.append(counts, np.ones(len(hits), np.int64))
                 carried = rows[first[-1:]].copy()  # the run may go on in the next frame
-                carried[:, 3] = most[-1]
-                if shared[-1]:
-                    carried[:, 4:] = 0, 1
+                carried[:, 3] = 4 * most[-1] + (1 if shared[-1] else carried[:, 3] & 2)
             yield pd.DataFrame({"node": nodes, "found": counts})
 
     sent = docs.select("text").mapInPandas(send, _LOOKED_TYPES)
@@ -323,8 +329,9 @@ def _shared(docs: DataFrame, size: int, threshold: Threshold, batch_chars: int)
     return met.groupBy("node").agg(F.sum("found").alias("shared"))
 
 
-_LOOKED = ["key", "node", "least", "most", "looked", "many"]
-_LOOKED_TYPES = "key bigint, node bigint, least bigint, most bigint, looked boolean, many boolean"
+# rest: four times the greatest size, two if the row's set looks at the shingle, one if the row stands for several sets
+_LOOKED = ["key", "node", "least", "rest"]
+_LOOKED_TYPES = "key bigint, node bigint, least bigint, rest bigint"
 
 
 def _distinct_rows(pairs: np.ndarray) -> np.ndarray:
@@ -354,6 +361,97 @@ def _ties(docs: DataFrame, size: int, threshold: Threshold, batch_chars: int) ->
     return _met(docs.select("text").mapInPandas(send, _SENT), threshold)
 
 
+def _ties_counted(docs: DataFrame, size: int, threshold: Threshold, batch_chars: int) -> DataFrame:
+    """``a, b``: ties between sets that meet in as many first shingles as linked ones do and may link by their sizes.
+
+    Sets that meet at a shingle of more than ``_FEW`` sets are tied by that one."""
+    sent_levels = docs.sparkSession.sparkContext.broadcast(shingle_levels(docs, size, batch_chars))
+
+    def send(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in batches_of(frames, "text", batch_chars):
+            hashes, sizes = shingle_sets(frame["text"], size)
+            node, _ = set_keys(hashes, sizes)
+            _, own = np.unique(node, return_index=True)
+            own = own[sizes[own] > 0]
+            hashes = hashes[joined_ranges((np.cumsum(sizes) - sizes)[own], sizes[own])]
+            node, sizes = node[own], sizes[own]
+            keys, owner = first_shingles(hashes, sizes, threshold, sent_levels.value, threshold.meetings(sizes) - 1)
+            order = np.lexsort((sizes[owner], keys))
+            keys, nodes, length = keys[order].view(np.int64), node[owner[order]], sizes[owner[order]]
+            first, most, run = tie_runs(keys, nodes, length, length, threshold)
+            many = np.bincount(run, minlength=len(first)) > _FEW
+            kept = ~many[run]
+            kept[first] = True
+            # of many sets one row, and the ties that are made already: no size, and the other set in the last column
+            rest = 2 * np.where(many[run], most[run], length) + many[run]
+            yield pd.DataFrame(dict(zip(_MET, [keys[kept], nodes[kept], length[kept], rest[kept]], strict=True)))
+            tied = _pairs(nodes[many[run]], nodes[first][run][many[run]])
+            yield pd.DataFrame(dict(zip(_MET, [tied[:, 0], tied[:, 0], -1, tied[:, 1]], strict=True)))
+
+    def meet(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def made(tied: np.ndarray, pairs: np.ndarray, need: np.ndarray) -> pd.DataFrame:
+            tied = np.sort(tied, axis=1)
+            out = {"a": np.append(tied[:, 0], pairs[:, 0]), "b": np.append(tied[:, 1], pairs[:, 1]),
+                   "met": np.append(np.full(len(tied), _ENOUGH), np.ones(len(pairs), np.int64)),
+                   "need": np.append(np.ones(len(tied), np.int64), need)}
+            return pd.DataFrame(out)
+
+        carried = np.empty((0, len(_MET)), np.int64)
+        for frame in frames:
+            rows = frame[_MET].to_numpy(dtype=np.int64)
+            ready = rows[:, 2] < 0
+            tied, rows = rows[ready][:, [1, 3]], np.concatenate([carried, rows[~ready]])
+            pairs, need = np.empty((0, 2), np.int64), np.empty(0, np.int64)
+            if len(rows):
+                first, most, run = tie_runs(*rows[:, :3].T, rows[:, 3] >> 1, threshold)
+                count = np.diff(np.append(first, len(rows)))
+                many = np.logical_or.reduceat((rows[:, 3] & 1) > 0, first) | (count > _FEW)
+                tied = np.concatenate([tied, _pairs(rows[many[run], 1], rows[first][run, 1][many[run]])])
+                # the last run may go on in the next frame
+                if many[-1]:
+                    carried = rows[first[-1:]].copy()
+                    carried[:, 3] = 2 * most[-1] + 1
+                else:
+                    carried = rows[first[-1]:]
+                few = ~many
+                few[-1] = False
+                pairs, need = _meetings(rows, first[few], count[few], threshold)
+            yield made(tied, pairs, need)
+        if len(carried) > 1:
+            yield made(np.empty((0, 2), np.int64),
+                       *_meetings(carried, np.zeros(1, np.int64), np.array([len(carried)]), threshold))
+
+    sent = docs.select("text").mapInPandas(send, "key bigint, node bigint, least bigint, rest bigint")
+    met = sent.repartition("key").sortWithinPartitions("key", "least").mapInPandas(
+        meet, "a bigint, b bigint, met bigint, need bigint")
+    # few pairs: what is summed grows with the sets, not with their squares
+    return met.groupBy("a", "b").agg(F.sum("met").alias("met"), F.min("need").alias("need")).where(
+        "met >= need").select("a", "b")
+
+
+# rest: twice the greatest size, and one if the row stands for many sets
+_MET = ["key", "node", "least", "rest"]
+_FEW = 16
+_ENOUGH = 1 << 20
+
+
+def _meetings(rows: np.ndarray, first: np.ndarray, count: np.ndarray,
+              threshold: Threshold) -> tuple[np.ndarray, np.ndarray]:
+    """Every two rows within the runs that may link by their sizes, and in how many shingles they have to meet."""
+    node, length = rows[:, 1], rows[:, 2]
+    one, other = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for ahead in range(1, int(count.max(initial=1))):
+        longer = count > ahead
+        at = joined_ranges(first[longer], count[longer] - ahead)
+        one.append(at)
+        other.append(at + ahead)
+    one, other = np.concatenate(one), np.concatenate(other)
+    kept = (node[one] != node[other]) & threshold.near(length[one], length[other])
+    one, other = one[kept], other[kept]
+    need = np.minimum(threshold.meetings(length[one]), threshold.meetings(length[other]))
+    return np.sort(np.column_stack([node[one], node[other]]), axis=1), need
+
+
 def _ties_again(texts: DataFrame, size: int, threshold: Threshold, batch_chars: int) -> DataFrame:
     """``a, b``: ties between sets of one ``root`` that agree in a range of hashes and may link by their sizes."""
 
@@ -527,7 +625,8 @@ def join_documents(docs: DataFrame, shingle: int = 3, part: int = 90, whole: int
             F.ceil(F.sum("n") / block_shingles), F.ceil(F.count(F.lit(1)) / block_sets)).cast("int").alias("blocks")),
             "blocks", count)
 
-    families = connected_components(_ties(texts_of, shingle, threshold, batch_chars), count)
+    ties = _ties if threshold.parted() else _ties_counted
+    families = connected_components(ties(texts_of, shingle, threshold, batch_chars), count)
     members = write_through(sets.join(families.withColumnRenamed("node", "k1"), "k1")
                             .select("k1", "k2", "row", "copies", "n", "root"), "members", count)
     blocks = blocks_of(members)

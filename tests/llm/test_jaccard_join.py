@@ -185,3 +185,83 @@ def test_chance_ties_make_no_large_groups(spark, monkeypatch):
     monkeypatch.setattr(J, "_ties_again", lambda *a: tied.append(again(*a).collect()) or again(*a))
     assert got(J.join_documents(df, block_sets=8)) == brute(rows)
     assert len(tied) == 1 and 0 < len(tied[0]) <= 4
+
+
+def test_linked_sets_meet_often_enough():
+    """Linked sets share as many of their first shingles as are asked for, and none has too many alone."""
+    rnd = np.random.default_rng(8)
+    t = J.Threshold(80, 100)
+    levels = rnd.integers(0, 3, J.SLOTS).astype(np.uint8)
+    fresh = lambda n: rnd.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    linked = 0
+    for _ in range(2000):
+        n = int(rnd.integers(1, 400))
+        one = np.unique(fresh(n))
+        other = np.unique(np.concatenate([rnd.permutation(one)[int(rnd.integers(0, n // 5 + 2)):], fresh(int(rnd.integers(0, n // 9 + 2)))]))
+        if len(other) and t.holds(len(np.intersect1d(one, other)), len(one), len(other)):
+            linked += 1
+            sizes = np.array([len(one), len(other)])
+            keys, owner = J.first_shingles(np.concatenate([one, other]), sizes, t, levels, t.meetings(sizes) - 1)
+            assert len(np.intersect1d(keys[owner == 0], keys[owner == 1])) >= t.meetings(sizes).min(), sizes
+            for a, b in ((one, other), (other, one)):
+                below = a[J._looked_at(a, np.array([len(a)]), t.looked_at(np.array([len(a)])))]
+                sent = b[J._looked_at(b, np.array([len(b)]), t.looked_at(np.array([len(b)]) * 80 // 100))]
+                assert len(np.setdiff1d(below, sent)) < t.first(np.array([len(a)]))[0]
+    assert linked > 800
+
+
+def test_five_words_and_a_lower_similarity_match_all_pairs(spark):
+    rows = family_rows()
+    rnd = random.Random(9)
+    text = [f"y{i}" for i in range(120)]
+    rows += [(1000 + i, " ".join([*text[:100], f"z{rnd.randrange(10 ** 9)}", *text[101:]])) for i in range(40)]
+    rows += [(2000, None), (2001, "  "), (None, rows[5][1])]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    want = brute(rows, 5, 80)
+    assert got(J.join_documents(df, shingle=5, part=80)) == want
+    assert got(J.join_documents(df.repartition(7), shingle=5, part=80, block_sets=8, batch_chars=3000)) == want
+
+
+def chained_texts():
+    """Texts that share a passage with the next two each, and near copies among them."""
+    rnd = random.Random(6)
+    own = lambda n: [f"w{rnd.randrange(10 ** 9)}" for _ in range(n)]
+    passages = [own(12) for _ in range(62)]
+    texts = [" ".join([*own(60), *passages[i], *own(60), *passages[i + 1], *own(60), *passages[i + 2]]) for i in range(60)]
+    return [*texts, texts[7] + " more", texts[7] + " other", texts[30] + " more"]
+
+
+def test_shared_passages_make_no_large_families(spark, monkeypatch):
+    """With counters that tell no shingle from another, as those of a large corpus, only near copies are one family."""
+    rows = list(enumerate(chained_texts()))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    monkeypatch.setattr(J, "shingle_levels", lambda *a: np.zeros(J.SLOTS, np.uint8))
+    families = []
+    components = J.connected_components
+    monkeypatch.setattr(J, "connected_components", lambda ties, *a: families.append(
+        components(ties, *a).groupBy("root").count().collect()) or components(ties, *a))
+    assert got(J.join_documents(df, shingle=5, part=80)) == brute(rows, 5, 80)
+    assert sorted(r["count"] for r in families[0]) == [2, 3]
+
+
+def test_counted_ties(spark, monkeypatch):
+    """Passages that are shared tie no sets, near copies and a shingle of many sets do."""
+    monkeypatch.setattr(J, "shingle_levels", lambda *a: np.zeros(J.SLOTS, np.uint8))
+    t = J.Threshold(80, 100)
+
+    def ties(texts, **options):
+        hashes, sizes = J.shingle_sets(texts, 5)
+        number = {k: i for i, k in enumerate(J.set_keys(hashes, sizes)[0].tolist())}
+        df = spark.createDataFrame([(x,) for x in texts], "text string").repartition(5)
+        return {tuple(sorted((number[r.a], number[r.b]))) for r in J._ties_counted(df, 5, t, 5000).collect()}
+
+    texts = chained_texts()
+    alike = {(7, 60), (7, 61), (60, 61), (30, 62)}
+    found = ties(texts)
+    assert alike <= found and len(found) < len(alike) + 3
+    copies = [" ".join([*(f"c{i}" for i in range(90)), f"d{i}"]) for i in range(40)]
+    root = list(range(40))
+    for a, b in sorted(ties(copies)):
+        old, new = root[a], root[b]
+        root = [new if r == old else r for r in root]
+    assert len(set(root)) == 1
